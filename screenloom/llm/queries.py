@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from screenloom.llm.bpe import decode_bpe, encode_bpe
 from screenloom.llm.exact_dedup import exact_dedup
+from screenloom.llm.ngram_join import ngram_jaccard_components
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,6 +16,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_jaccard_components(docs, size=3, least=90, of=100).withColumnRenamed("id", "doc_id")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again; digests of the ids and of the decoded bytes."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = decode_bpe(encode_bpe(docs, path, public_tokenizers.PATTERN), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the id of the copy that stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +53,10 @@ SELECT doc_id,
 FROM t
 """
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op5_bpe": op5_bpe,
+    "op10_exact_dedup": op10_exact_dedup,
+}
 
 ORACLE_SQL = {"op10_exact_dedup": OP10_SQL}
