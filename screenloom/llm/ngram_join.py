@@ -1,20 +1,24 @@
 """N-gram Jaccard join by vertical partitioning.
 
-A document's set holds the hashes of its distinct word n-grams. The hash space, in its order, is
-cut into fragments; every fragment counts on its own and the counts are summed per document or pair:
+A document's set holds the hashes of its distinct word n-grams. The hash space is cut into
+fragments; every fragment counts on its own and the counts are summed per document or pair:
 
 1. *Prune.* Each fragment counts the n-grams that only one document holds. The sum over fragments
    is the number of n-grams that a document shares with nobody; a document with too many of them
    can't reach the threshold with anyone. Equal sets are brought down to one representative.
-2. *Candidates.* If two sets reach the threshold, they reach it within at least one fragment
-   (the sums of overlaps and unions are sums over fragments). So each fragment orders its own
-   n-grams from rare to frequent and posts the prefix of each document under them (prefix filter).
+2. *Candidates.* Each fragment counts how often its n-grams occur among the documents left and
+   names the rarest of each document; together they give the document's prefix in the global order
+   from rare to frequent. Sets that reach the threshold share an n-gram of their prefixes.
 3. *Overlaps.* For candidate pairs each fragment counts a partial overlap; the sum per pair is
    compared with the threshold.
 
-Only links between different components matter for components, so large groups of near copies are
-first compared with one leader for each posting, and only pairs whose components still differ are
-then compared in full. No candidate is dropped in doing so.
+Large groups of near copies share frequent n-grams, under which nearly all of their pairs would be
+candidates. Three exact arguments keep that linear in practice. Only links between different
+components matter, so every document is first compared with one leader, and then only pairs whose
+components still differ are. Two documents that share a rare n-gram (one that at most ``RARE``
+documents hold) meet under it; so under a frequent n-gram only pairs that share no rare one need
+to meet, and their overlap is at most the smaller number of frequent n-grams. And documents of one
+component with equal counts are compared as one when such bounds are tested.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from screenloom.llm.common import salted_join, stored
 FRAGMENT_NGRAMS = 4_000_000
 #: Fragments when the input is small.
 LEAST_FRAGMENTS = 32
+#: N-grams held by at most so many documents are rare; their pairs are all looked at.
+RARE = 16
 _LOW = np.uint64(32)
 _NOBODY = np.uint64(0xFFFFFFFF)
 
@@ -180,50 +186,66 @@ def ngram_counts(docs: DataFrame, size: int, id_col: str, text_col: str) -> Data
 
 # --- 2. candidates -----------------------------------------------------------------------------
 
-_SEGMENTS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("singles", pa.int64()), ("fragment", pa.int32()), ("ngrams", pa.list_(pa.int64()))])
+_SEGMENTS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("fragment", pa.int32()), ("ngrams", pa.list_(pa.int64()))])
 
 
 def _segments(size: int, fragments: int):
-    """(id, text, n, singles, digest) → the part of each set that lies in each fragment."""
+    """(id, text, n, digest) → the part of each set that lies in each fragment."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, text, n, singles, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, text, n, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 s = ngram_set(text, size)
                 if xxhash.xxh128_digest(_binary(s)) != digest:
                     continue  # another row of this id, with a smaller set
                 ends = np.searchsorted(_fragment_of(s, fragments), np.arange(fragments + 1, dtype=np.uint64))
-                rows += [(i, n, singles, f, s[ends[f] : ends[f + 1]].view(np.int64)) for f in range(fragments) if ends[f] < ends[f + 1]]
+                rows += [(i, n, f, s[ends[f] : ends[f + 1]].view(np.int64)) for f in range(fragments) if ends[f] < ends[f + 1]]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), _SEGMENTS, strict=True)], schema=_SEGMENTS)
 
     return work
 
 
-_POSTINGS = pa.schema([("ngram", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("singles", pa.int64())])
+_RAREST = pa.schema(
+    [("id", pa.int64()), ("n", pa.int64()), ("rare", pa.int64()), ("rarest", pa.list_(pa.struct([("often", pa.int32()), ("ngram", pa.int64())])))]
+)
+_RAREST_DDL = "id long, n long, rare long, rarest array<struct<often:int,ngram:long>>"
 
 
-def _postings(least: int, of: int):
-    """All segments of one fragment → postings (ngram, document) of each segment's prefix, rare n-grams first."""
+def _rarest(least: int, of: int):
+    """All segments of one fragment → for each document the rarest n-grams that its prefix may need, and how many are rare."""
 
     def work(table: pa.Table) -> pa.Table:
         lists = table.column("ngrams").combine_chunks()
         ngrams = lists.flatten().to_numpy(zero_copy_only=False)
         length = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        n = table.column("n").to_numpy()
         row = np.repeat(np.arange(len(length)), length)
         _, which, count = np.unique(ngrams, return_inverse=True, return_counts=True)
         often = count[which]
         order = np.lexsort((ngrams, often, row))
         place = np.arange(len(order)) - np.repeat(np.cumsum(length) - length, length)
-        prefix = length - -(-length * least // of) + 1
-        pick = order[(place < np.repeat(prefix, length)) & (often[order] > 1)]
-        columns = [table.column(c).to_numpy()[row[pick]] for c in ("id", "n", "singles")]
-        return pa.table([ngrams[pick], *columns], schema=_POSTINGS)
+        taken = np.minimum(length, n - -(-n * least // of) + 1)
+        pick = order[place < np.repeat(taken, length)]
+        items = pa.StructArray.from_arrays([pa.array(often[pick].astype(np.int32)), pa.array(ngrams[pick])], fields=list(_RAREST.field("rarest").type.value_type))
+        rarest = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(taken)]).astype(np.int32), items)
+        rare = np.bincount(row[often <= RARE], minlength=len(length))
+        return pa.table([table.column("id"), table.column("n"), pa.array(rare, pa.int64()), rarest], schema=_RAREST)
 
     return work
 
 
+def _postings(segments: DataFrame, least: int, of: int) -> DataFrame:
+    """(ngram, often, id, n, rare) for every n-gram of every prefix that more than one document holds."""
+    parts = segments.select("id", "n", "fragment", "ngrams").groupBy("fragment").applyInArrow(_rarest(least, of), _RAREST_DDL)
+    prefix = (F.col("n") - F.ceil(F.col("n") * least / of) + 1).cast("int")
+    whole = parts.groupBy("id", "n").agg(F.sum("rare").alias("rare"), F.array_sort(F.flatten(F.collect_list("rarest"))).alias("rarest"))
+    return whole.select("id", "n", "rare", F.explode(F.slice("rarest", F.lit(1), prefix)).alias("x")).filter("x.often > 1").select(
+        F.col("x.ngram").alias("ngram"), F.col("x.often").alias("often"), "id", "n", "rare"
+    )
+
+
 # --- 3. overlaps -------------------------------------------------------------------------------
 
 
@@ -263,44 +285,43 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select(F.col("b"), F.col("b")).distinct())
 
 
-def _near(least: int, of: int, a: str, b: str):
-    """Whether two set sizes let a pair reach the threshold at all."""
-    return F.least(a, b) * of >= F.greatest(a, b) * least
-
-
 def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, of: int, id_col: str, text_col: str) -> DataFrame:
     """(id, component) of the documents that link with a document whose set differs from theirs.
 
     ``counts`` comes from :func:`ngram_counts`; of equal sets only the smallest id appears.
     """
-    chosen = counts.filter(F.col("n") * of >= F.col("singles") * of + F.col("n") * least).filter(F.col("n") * of >= (F.col("n") + 1) * least)
-    chosen = stored(chosen.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.min("singles").alias("singles")), "chosen")
+    n, m = F.col("n"), F.col("n_b")
+    chosen = counts.filter((n - F.col("singles")) * of >= n * least).filter(n * of >= (n + 1) * least)
+    chosen = stored(chosen.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n")), "chosen")
     total = chosen.agg(F.sum("n")).first()[0] or 0
-    fragments = max(8, -(-total // FRAGMENT_NGRAMS))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-    segments = stored(
-        texts.select("id", "text", "n", "singles", "digest").mapInArrow(_segments(size, fragments), "id long, n long, singles long, fragment int, ngrams array<long>").dropDuplicates(["id", "fragment"]),
-        "segments",
-    )
-    postings = stored(segments.groupBy("fragment").applyInArrow(_postings(least, of), "ngram long, id long, n long, singles long"), "postings")
-
-    # each document with the leader of each of its postings: the one with the fewest n-grams of its own
-    leaders = postings.groupBy("ngram").agg(F.min(F.struct("singles", "id", "n")).alias("leader"))
-    led = postings.join(leaders, "ngram").filter(F.col("leader.id") != F.col("id")).filter(_near(least, of, "n", "leader.n"))
+    fragments = max(4, -(-total // FRAGMENT_NGRAMS))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("id", "text", "n", "digest")
+    segments = texts.mapInArrow(_segments(size, fragments), "id long, n long, fragment int, ngrams array<long>").dropDuplicates(["id", "fragment"])
+    segments = stored(segments, "segments")
+    postings = stored(_postings(segments, least, of), "postings")
+    near = F.least(n, m) * of >= F.greatest(n, m) * least
+
+    # each document with one leader: among the leaders of its postings the one with the fewest rare n-grams
+    leaders = postings.groupBy("ngram").agg(F.min(F.struct("rare", "id", "n")).alias("leader"))
+    led = postings.join(leaders, "ngram").withColumn("n_b", F.col("leader.n")).filter((F.col("leader.id") != F.col("id")) & near)
     led = led.groupBy("id").agg(F.min("leader").alias("leader")).select(F.col("id").alias("a"), F.col("leader.id").alias("b"))
     edges = stored(_linked(led, segments, least, of), "led")
     known = components(edges)
 
-    # what is left: pairs under one posting whose components still differ
+    # what is left: pairs that meet under an n-gram, may reach the threshold and are in different components
     group = F.coalesce("component", "id")
-    own = stored(postings.select("ngram", "id", "n").join(known, "id", "left").select("ngram", "id", "n", group.alias("component")), "own")
+    own = postings.join(known, "id", "left").select("ngram", "id", "n", (n - F.col("rare")).alias("frequent"), (F.col("often") <= RARE).alias("is_rare"), group.alias("component"))
+    own = stored(own.filter(F.col("is_rare") | (F.col("frequent") * of >= n * least)), "own")
     mixed = own.groupBy("ngram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("ngram")
-    groups = own.join(mixed, "ngram").select("ngram", "component").distinct()
-    cross = groups.alias("p").join(groups.alias("q"), (F.col("p.ngram") == F.col("q.ngram")) & (F.col("p.component") < F.col("q.component")))
-    cross = cross.select(F.col("p.ngram").alias("ngram"), F.col("p.component").alias("c"), F.col("q.component").alias("d"))
-    one = own.select("ngram", F.col("component").alias("c"), F.col("id").alias("a"), F.col("n").alias("n_a"))
-    two = own.select("ngram", F.col("component").alias("d"), F.col("id").alias("b"), F.col("n").alias("n_b"))
-    pairs = cross.join(one, ["ngram", "c"]).join(two, ["ngram", "d"]).filter(_near(least, of, "n_a", "n_b")).select("a", "b").distinct()
+    alike = ["ngram", "component", "n", "frequent"]
+    groups = own.join(mixed, "ngram").select(*alike, "is_rare").distinct()
+    other = groups.select("ngram", F.col("component").alias("component_b"), F.col("n").alias("n_b"), F.col("frequent").alias("frequent_b"))
+    most = F.least("frequent", "frequent_b")
+    may = near & (F.col("is_rare") | (most * (of + least) >= (n + m) * least))
+    cross = groups.join(other, "ngram").filter((F.col("component") < F.col("component_b")) & may)
+    one = own.select(*alike, F.col("id").alias("a"))
+    two = own.select("ngram", F.col("component").alias("component_b"), F.col("n").alias("n_b"), F.col("frequent").alias("frequent_b"), F.col("id").alias("b"))
+    pairs = cross.join(one, alike).join(two, ["ngram", "component_b", "n_b", "frequent_b"]).select("a", "b").distinct()
     rest = _linked(pairs, segments, least, of)
     return stored(components(edges.union(rest)), "components")
 
