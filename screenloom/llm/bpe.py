@@ -52,7 +52,7 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Encodes the bytes of one match of the splitting pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 300_000) -> None:
         self.ranks, self.most = ranks, most_states
         self.bytes_of = {i: t for t, i in ranks.items()}
         # tokens that merging never makes of their own bytes can only stand for a whole match
@@ -76,7 +76,8 @@ class Transducer:
     def _restart(self) -> None:
         self.states: dict[tuple, int] = {}
         self.of: list[tuple] = []
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state * 256 + byte
+        self.places: dict[tuple, tuple] = {}  # states share their parts
         self.ends: list[tuple[int, ...]] = []
         self.start = self._state((((0, ()),), -1))
 
@@ -85,7 +86,6 @@ class Transducer:
         if n is None:
             n = self.states[state] = len(self.of)
             self.of.append(state)
-            self.moves.append({})
             self.ends.append(state[0][-1][1])  # the place after the last byte comes last
         return n
 
@@ -117,7 +117,7 @@ class Transducer:
             return len(self.bytes_of[token]) == 1 or self._halves(token) is not None
         ok = self._pairs.get((before, token))
         if ok is None:
-            if len(self._pairs) > 400_000:
+            if len(self._pairs) > 150_000:
                 self._pairs.clear()
             left, right, i, j, ok = self._edge(before, 1), self._edge(token, 0), 0, 0, True
             while True:
@@ -166,7 +166,8 @@ class Transducer:
             moved = [(node, path[agreed:]) for node, path in moved]
         if shortest > agreed:
             last = -2
-        return self._state((tuple(moved), last)), ended[:agreed]
+        keep = self.places.setdefault
+        return self._state((tuple([keep(p, p) for p in moved]), last)), ended[:agreed]
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one match."""
@@ -175,11 +176,11 @@ class Transducer:
             return (whole,)
         if len(self.of) > self.most:
             self._restart()
-        moves, state, out = self.moves, self.start, []
+        moves, find, state, out = self.moves, self.moves.get, self.start, []
         for byte in piece:
-            found = moves[state].get(byte)
+            found = find(state << 8 | byte)
             if found is None:
-                found = moves[state][byte] = self._move(state, byte)
+                found = moves[state << 8 | byte] = self._move(state, byte)
             state, sure = found
             if sure:
                 out += sure
@@ -191,7 +192,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.pattern, self.machine = regex.compile(pattern), Transducer(ranks)
-        self.matches = Recent(100_000)
+        self.matches = Recent(50_000)
         self.chunks = ChunkEncoder(self._texts)
 
     def _texts(self, texts: list[str]) -> list[tuple[int, ...]]:

@@ -39,7 +39,7 @@ class ChunkEncoder:
     ``encode`` takes a list of strings and returns their ids, each encoded as a text of its own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[tuple[int, ...]]], most: int = 150_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[tuple[int, ...]]], most: int = 60_000) -> None:
         self.encode, self.known = encode, Recent(most)
 
     def parts(self, texts: list[str]) -> list[list[tuple[int, ...]]]:
