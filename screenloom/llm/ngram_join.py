@@ -37,6 +37,8 @@ from screenloom.llm.common import salted_join, stored
 FRAGMENT_NGRAMS = 4_000_000
 #: Fragments when the input is small.
 LEAST_FRAGMENTS = 32
+#: Texts whose n-grams are handled at once.
+BLOCK_TEXTS = 2048
 #: N-grams held by at most so many documents are rare; their pairs are all looked at.
 RARE = 16
 _LOW = np.uint64(32)
@@ -89,11 +91,9 @@ def _blocks(size: int, fragments: int):
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, BLOCK_TEXTS) for b in batches for i in range(0, b.num_rows, BLOCK_TEXTS)):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             sets = [ngram_set(t, size) for t in batch.column(1).to_pylist()]
-            if not sets:
-                continue
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             digests = b"".join(xxhash.xxh128_digest(_binary(s)) for s in sets)
             ngrams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
@@ -295,7 +295,8 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
     chosen = stored(chosen.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n")), "chosen")
     total = chosen.agg(F.sum("n")).first()[0] or 0
     fragments = max(4, -(-total // FRAGMENT_NGRAMS))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("id", "text", "n", "digest")
+    # the ids chosen grow with the input: they are never broadcast
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen.hint("merge"), "id").select("id", "text", "n", "digest")
     segments = texts.mapInArrow(_segments(size, fragments), "id long, n long, fragment int, ngrams array<long>").dropDuplicates(["id", "fragment"])
     segments = stored(segments, "segments")
     postings = stored(_postings(segments, least, of), "postings")
