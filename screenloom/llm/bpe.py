@@ -52,7 +52,7 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Encodes the bytes of one match of the splitting pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 300_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 250_000) -> None:
         self.ranks, self.most = ranks, most_states
         self.bytes_of = {i: t for t, i in ranks.items()}
         # tokens that merging never makes of their own bytes can only stand for a whole match
@@ -219,29 +219,32 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
-def encode_bpe(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode_bpe(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """Add ``ids_col`` (array<int>): the ids of each whole text, without special tokens.
 
-    ``path`` names the file of ranks, on every machine. Null text counts as empty and has no ids.
-    Rows are independent, so ties and repeated rows need no rule; a column already named
-    ``ids_col`` is replaced. An empty table gives no rows.
+    ``path`` names the file of ranks, on every machine. With ``decoded_col`` the ids are decoded
+    again in the same task and their bytes added under that name. Null text counts as empty and
+    has no ids. Rows are independent, so ties and repeated rows need no rule; columns already
+    named so are replaced. An empty table gives no rows.
     """
-    df = df.drop(ids_col)
+    df = df.drop(ids_col, *[decoded_col] * (decoded_col is not None))
     at = df.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, pattern)
+        encoder, tokens = _encoder(path, pattern), _tokens(path)
         for batch in batches:
-            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+            for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
                 ids = encoder.encode([t or "" for t in part.column(at).to_pylist()])
-                column = pa.ListArray.from_arrays(
-                    np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32),
-                    np.concatenate(ids) if ids else np.empty(0, np.int32),
-                )
-                yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids_col])
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                columns, names = [pa.ListArray.from_arrays(ends, np.concatenate(ids))], [ids_col]
+                if decoded_col is not None:
+                    columns.append(pa.array([b"".join(map(tokens.__getitem__, x.tolist())) for x in ids], pa.binary()))
+                    names.append(decoded_col)
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(work, f"{fields}, `{ids_col}` array<int>")
+    more = f", `{decoded_col}` binary" if decoded_col is not None else ""
+    return df.mapInArrow(work, f"{fields}, `{ids_col}` array<int>{more}")
 
 
 # --- decoding ----------------------------------------------------------------------------------

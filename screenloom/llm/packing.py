@@ -10,24 +10,53 @@ pieces exchanged between partitions by another hash, and best-fit decreasing run
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenloom.llm.chunks import ChunkEncoder
 from screenloom.llm.common import stored
 
 #: About so many pieces are packed by one task.
 PARTITION_PIECES = 50_000
 
 
+#: The splitting pattern of the byte-level pre-tokenizer (fixed by the vocabulary).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_of_letter() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones for themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+@cache
+def byte_level_encoding(path: str) -> tiktoken.Encoding:
+    """The encoder of a byte-level BPE vocabulary file of the tokenizers library.
+
+    Its ids are in the order of its merges, so they serve as ranks. Special tokens are left out:
+    their strings in a text are ordinary text.
+    """
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    special = {t["content"] for t in spec["added_tokens"]}
+    letters = byte_of_letter()
+    ranks = {bytes(map(letters.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+_PIECES = 50_000
+
+
 @cache
 def _chunk_encoder(path: str) -> ChunkEncoder:
     from tokenizers import Tokenizer
@@ -56,13 +85,13 @@ def token_pieces(
     schema = pa.schema(columns + [("ids", pa.list_(pa.int32()))] * keep_ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _chunk_encoder(path)
+        encode = byte_level_encoding(path).encode_ordinary
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 names, texts = (c.slice(at, 256).to_pylist() for c in batch.columns)
                 rows = []
-                for name, parts in zip(names, encoder.parts([t or "" for t in texts]), strict=True):
-                    ids = np.fromiter(chain(chain.from_iterable(parts), (end_id,)), np.dtype("<u4"))
+                for name, text in zip(names, texts, strict=True):
+                    ids = np.array([*encode(text or ""), end_id], np.dtype("<u4"))
                     first = (len(ids) - 1) % capacity + 1
                     for piece, end in enumerate(range(first, len(ids) + 1, capacity)):
                         start = max(0, end - capacity)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm.bpe import decode_bpe, encode_bpe
+from screenloom.llm.bpe import encode_bpe
 from screenloom.llm.exact_dedup import exact_dedup
 from screenloom.llm.gif_media import gif_media, gif_payloads
 from screenloom.llm.langid import held_out, identify_languages
@@ -51,7 +51,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again; digests of the ids and of the decoded bytes."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode_bpe(encode_bpe(docs, path, public_tokenizers.PATTERN), path)
+    both = encode_bpe(docs, path, public_tokenizers.PATTERN, decoded_col="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
