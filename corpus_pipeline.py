@@ -36,7 +36,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """
     groups = ngram_jaccard_components(docs, size=5, least=80, of=100)
     gone = groups.filter(F.col("component_id") != F.col("id")).select(F.col("id").alias("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # the ids that go grow with the input: they are never broadcast
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

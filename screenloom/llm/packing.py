@@ -26,6 +26,8 @@ from screenloom.llm.common import stored
 
 #: About so many pieces are packed by one task.
 PARTITION_PIECES = 50_000
+#: Share of the sequences with room that a partition opens for an exchange, the emptiest first.
+OPENED = 0.02
 
 
 #: The splitting pattern of the byte-level pre-tokenizer (fixed by the vocabulary).
@@ -191,13 +193,11 @@ def pack_pieces(pieces: DataFrame, capacity: int, rounds: int = 6) -> tuple[Data
         bins, gaps = parts.agg(F.coalesce(F.sum("bins"), F.lit(0)), F.coalesce(F.sum(F.col("bins") - F.col("bound")), F.lit(0))).first()
         if used + bins <= bound or turn + 1 >= rounds:
             break
-        # open the emptiest sequences: in partitions with a gap so many that the gap could be closed, elsewhere the one left over
-        rooms = packed.groupBy("part", "bin").agg(F.first("fill").alias("fill"), F.first("bins").alias("bins"), F.first("bound").alias("bound"), F.count(F.lit(1)).alias("n"))
-        by_room = rooms.filter(F.col("fill") < capacity)
-        least = by_room.groupBy("part").agg(F.percentile_approx("fill", F.greatest(F.lit(0.02), F.lit(0.0)), 10_000).alias("least"))
-        opened = stored(
-            by_room.join(least, "part").filter((F.col("fill") <= F.col("least")) | (F.col("fill") < capacity * 3 // 4)).select("part", "bin", "fill", "n"), "opened"
-        )
+        # open the emptiest sequences of each partition: a small share of those with room, and all that are under three quarters full
+        rooms = packed.groupBy("part", "bin").agg(F.first("fill").alias("fill"), F.count(F.lit(1)).alias("n")).filter(F.col("fill") < capacity)
+        least = rooms.groupBy("part").agg(F.percentile_approx("fill", OPENED, 10_000).alias("least"))
+        wide = (F.col("fill") <= F.col("least")) | (F.col("fill") < capacity * 3 // 4)
+        opened = stored(rooms.join(least, "part").filter(wide).select("part", "bin", "fill", "n"), "opened")
         open_bins, open_pieces, open_tokens = opened.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("fill"), F.lit(0))).first()
         if open_bins < 2 or -(-open_tokens // capacity) >= open_bins:
             break
