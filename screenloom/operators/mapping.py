@@ -206,13 +206,15 @@ def ransac_inliers(pairs: DataFrame, most: float, samples: int = 200, size: int
     drawn = drawn.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= size).select("well", "sample", "x", "y", "ox", "oy")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = {k: pdf[k] - pdf[k].mean() for k in ("x", "y", "ox", "oy")}
-        m = {f"s_{a}_{b}": float((c[a] * c[b]).sum()) for a in c for b in c} | {f"m_{k}": float(pdf[k].mean()) for k in c} | {"n": len(pdf)}
-        p, _ = _gauss_newton(m, 25)
-        return pd.DataFrame([(pdf["well"].iloc[0], pdf["sample"].iloc[0], *p)], columns=["well", "sample", "dx", "dy", "theta", "scale_x", "scale_y"])
+        rows = []
+        for sample, own in pdf.groupby("sample"):
+            c = {k: own[k].to_numpy() - own[k].mean() for k in ("x", "y", "ox", "oy")}
+            m = {f"s_{a}_{b}": float(c[a] @ c[b]) for a in c for b in c} | {f"m_{k}": float(own[k].mean()) for k in c} | {"n": len(own)}
+            rows.append((pdf["well"].iloc[0], sample, *_gauss_newton(m, 25)[0]))
+        return pd.DataFrame(rows, columns=["well", "sample", "dx", "dy", "theta", "scale_x", "scale_y"])
 
     names = ["dx", "dy", "theta", "scale_x", "scale_y"]
-    fits = saved(drawn.groupBy("well", "sample").applyInPandas(fit, "well long, sample int, " + ", ".join(f"{n} double" for n in names)), "fits")
+    fits = saved(drawn.groupBy("well").applyInPandas(fit, "well long, sample int, " + ", ".join(f"{n} double" for n in names)), "fits")
     each = fits.groupBy("well").agg(F.collect_list(F.struct("sample", *names)).alias("fits"))
 
     def error(t: Column) -> Column:
