@@ -5,15 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the folder in spark.checkpoint.dir, which all machines share, and read back.
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, which all machines share.
 
     A local session without that setting gets a temporary folder.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if where is None:
@@ -21,6 +20,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(where)
-    path = f"{where.rstrip('/')}/screenloom/{uuid.uuid4().hex}-{name}"
+    return f"{where.rstrip('/')}/screenloom/{uuid.uuid4().hex}-{name}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder and read back."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

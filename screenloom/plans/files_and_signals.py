@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenloom.operators import mapping as om
+from screenloom.operators.iterate import new_folder
 from screenloom.operators import tiles as ot
 from screenloom.operators import traces as tr
 from screenloom.plans.registry import query
@@ -62,6 +63,26 @@ def mapping_records(points10, points40):
     return sf.mapping_json(fits.drop("n", "rmse"), om.transform_error(moved, "well"))
 
 
+@query("q1_9_written_by_tile", "SELECT well, tile, cell, sgrna, reads FROM {genotypes}")
+def written_by_tile(genotypes):
+    """Genotypes written in a folder per well and tile, and read back."""
+    path = new_folder(genotypes.sparkSession, "by-tile")
+    sf.write_by_tile(genotypes, path)
+    schema = "cell long, sgrna string, reads long, well long, tile long"
+    return genotypes.sparkSession.read.schema(schema).parquet(path).select("well", "tile", "cell", "sgrna", "reads")
+
+
+@query("q1_6_tile_tables", "SELECT well, tile, cell, sgrna, reads FROM {genotypes}")
+def tile_tables(genotypes):
+    """Genotypes written as a CSV file per tile, and read back with the well and tile that each path gives."""
+    path = new_folder(genotypes.sparkSession, "csv")
+    named = genotypes.withColumn("file", F.format_string("Well%d_Tile%d", "well", "tile")).select("file", "cell", "sgrna", "reads")
+    named.repartition("file").write.partitionBy("file").option("header", True).csv(path)
+    rows = genotypes.sparkSession.read.schema("cell long, sgrna string, reads long").option("header", True).option("recursiveFileLookup", True).csv(path)
+    part = lambda n: F.regexp_extract("_metadata.file_path", r"Well(\d+)_Tile(\d+)", n).cast("long")
+    return rows.select(part(1).alias("well"), part(2).alias("tile"), "cell", "sgrna", "reads")
+
+
 _SAMPLES = "samples AS (SELECT trace, channel, k - 1 AS k, embedding[k]::DOUBLE AS v FROM (SELECT trace, channel, embedding, unnest(range(1, len(embedding) + 1)) AS k FROM {traces}))"
 _LEVEL = f"""{_SAMPLES}, lifted AS (
   SELECT trace, channel, k, v - min(v) OVER (PARTITION BY trace, channel ORDER BY k ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS u FROM samples
