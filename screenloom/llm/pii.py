@@ -89,8 +89,12 @@ def _from(values: list[str], digest: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), _hex(digest, F.lit(at), len(values)) + 1)
 
 
-def _same_shape(text: Column, digest: Column, skip: Column) -> Column:
-    """Digits for digits and letters for letters, of the same case, after the first ``skip`` characters."""
+def _same_shape(text: Column, digest: Column, skip: Column, wide: Column | None = None) -> Column:
+    """Digits for digits and letters for letters, of the same case, after the first ``skip`` characters.
+
+    Where ``wide`` holds there are letters for all other characters too.
+    """
+    case = F.when(F.upper(text) == text, 65).otherwise(97)
 
     def one(c: Column, i: Column) -> Column:
         n = i * 3
@@ -99,7 +103,7 @@ def _same_shape(text: Column, digest: Column, skip: Column) -> Column:
             .when(c.rlike("[0-9]"), _hex(digest, n, 10).cast("string"))
             .when(c.rlike("\\p{Lu}"), F.char(_hex(digest, n, 26) + 65))
             .when(c.rlike("\\p{L}"), F.char(_hex(digest, n, 26) + 97))
-            .otherwise(c)
+            .otherwise(c if wide is None else F.when(wide, F.char(_hex(digest, n, 26) + case)).otherwise(c))
         )
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -128,6 +132,8 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     body = F.substring(canonical, F.lit(1), F.length(canonical) - F.length(tld))
     # short local parts leave little choice: later attempts add letters
     longer = F.when(attempt > 3, F.substring(digest, F.lit(60), attempt)).otherwise("")
+    # so do the letters and digits of a masked secret: later attempts replace its other characters, and the first one if there is nothing else
+    wide = (attempt > 3) | ~canonical.rlike("[0-9\\p{L}]")
     return (
         F.when(kind == "email", F.concat(longer, _same_shape(body, digest, F.lit(0)), tld))
         .when(kind == "ip", F.concat_ws(".", octet(0), octet(1), octet(2), octet(3)))
@@ -136,7 +142,7 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
         .when(kind == "iban", _same_shape(canonical, digest, F.lit(2)))
         .when(kind == "person", F.concat(F.substring_index(canonical, ":", 1), F.lit(":"), person))
         .when((kind == "secret") & canonical.rlike("^[0-9a-f]{32,64}$"), hexadecimal)
-        .otherwise(_same_shape(canonical, digest, F.lit(0)))
+        .otherwise(_same_shape(canonical, digest, F.lit(0), wide & (kind == "secret")))
     )
 
 

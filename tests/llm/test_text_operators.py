@@ -192,3 +192,13 @@ def test_surrogates_stay_distinct(spark):
     assert len({p[0] for p in pairs}) == len({p[1] for p in pairs}) == 3000
     before = {x for _, t in rows for x in t[3:].split(" and ")}
     assert not before & {x for p in pairs for x in p}
+
+
+def test_masked_secrets_get_surrogates(spark):
+    masked = ["********", "--------", "........", "*" * 40, *[f"-------{i}" for i in range(10)], "A@@@@@@@", "a@@@@@@@"]
+    rows = [(i, f'password = "{m}"') for i, m in enumerate([*masked, "********"])]
+    out = {r.doc_id: r for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    new = [out[i].text.split('"')[1] for i in range(len(rows))]
+    assert {r.n_entities for r in out.values()} == {1} and new[-1] == new[0]
+    assert len(set(new[:-1])) == len(masked) and not set(new) & set(masked)
+    assert [len(n) for n in new[:-1]] == [len(m) for m in masked]
