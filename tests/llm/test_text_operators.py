@@ -1,5 +1,6 @@
 import collections
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 from screenloom.llm import packing
 from screenloom.llm.bpe import Encoder, StreamDecoder, _tokens, decode_bpe, decode_bpe_stream, encode_bpe, merge_bytes, read_ranks
 from screenloom.llm.langid import held_out, identify_languages
-from screenloom.llm.licenses import TEMPLATES, bigrams, scan_licenses, words_of
+from screenloom.llm.licenses import TEMPLATES, WHOLE, bigrams, scan_licenses, words_of
 from screenloom.llm.pii import replace_entities
 
 SF = "/root/testdata/sf0.001"
@@ -202,3 +203,23 @@ def test_masked_secrets_get_surrogates(spark):
     assert {r.n_entities for r in out.values()} == {1} and new[-1] == new[0]
     assert len(set(new[:-1])) == len(masked) and not set(new) & set(masked)
     assert [len(n) for n in new[:-1]] == [len(m) for m in masked]
+
+
+def test_license_passages(spark):
+    def wrapped(text, mark):
+        return "\n".join(f"{mark} {line}" for line in textwrap.wrap(text, 60))
+
+    filler = "\n".join(f"int value_{i} = compute({i}, {i * 7});" for i in range(200))
+    rows = [(i, f"{filler}\n{wrapped(text, '#')}\n{filler}") for i, text in enumerate(WHOLE.values())]
+    inline = "Some words before it, and " + WHOLE["MIT-whole"] + " and further words of the same long paragraph, " * 60
+    rows += [(100, inline), (101, f"{filler} Released under the MIT License. {filler}"), (102, WHOLE["MIT-whole"]), (103, filler)]
+    got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = collections.defaultdict(dict)
+    for r in got:
+        by[r.doc_id][r.unit] = r
+    for i, (name, text) in enumerate(WHOLE.items()):
+        r = by[i][-202]
+        assert r.license == name and r.overlap == r.unit_size == r.template_size == len(bigrams(words_of(text)))
+    assert [(r.unit, r.license) for r in got if r.doc_id == 100] == [(-2, "MIT-whole")]
+    assert [(r.unit, r.license) for r in got if r.doc_id == 101] == [(-201, "MIT")]
+    assert [(r.unit, r.license) for r in got if r.doc_id == 102] == [(-2, "MIT-whole")] and not by[103]
