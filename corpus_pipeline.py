@@ -20,8 +20,8 @@ from screenloom.llm.pii import replace_entities
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a language: null texts and texts without a letter."""
-    return identify_languages(docs).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    """Reject documents in none of the labelled languages, as the network sees it, and those without a letter."""
+    return identify_languages(docs, reject=True).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,11 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 UNKNOWN = "und"
+#: A text is in no language if the class of made-up texts has more than this share of its probability.
+LEAST_KNOWN = 0.5
+#: Ranges of characters from which made-up texts are drawn: ASCII letters, symbols, digits, and other scripts.
+_ASCII = ((97, 123), (33, 127), (32, 65), (48, 58))
+_SCRIPTS = ((0x100, 0x180), (0x370, 0x400), (0x400, 0x500), (0x590, 0x600), (0x600, 0x700), (0x900, 0x980), (0xE00, 0xE80), (0x3040, 0x3100), (0x4E00, 0xA000), (0xAC00, 0xD7A4))
 #: Byte → symbol: A-Z as a-z; 0 fills windows up.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -121,6 +126,30 @@ def train(examples: np.ndarray, targets: np.ndarray, languages: list[str], epoch
     return net
 
 
+def made_up(examples: np.ndarray, seed: int = 5) -> np.ndarray:
+    """As many windows in no language as there are examples, and as long.
+
+    Half are examples whose letters a-z are exchanged for others; the rest is drawn from a range
+    of ASCII, drawn from another script, or one to three characters over and over.
+    """
+    rng, out = np.random.default_rng(seed), np.zeros_like(examples)
+    for row, made in zip(examples, out, strict=True):
+        kind, used = rng.integers(0, 6), max(1, int(np.count_nonzero(row)))
+        if kind < 3:
+            letters = np.arange(256, dtype=np.uint8)
+            letters[97:123] = 97 + rng.permutation(26) if kind else rng.integers(97, 123, 26)
+            made[:] = letters[row]
+            continue
+        ranges = _ASCII if kind == 3 else _SCRIPTS
+        low, high = ranges[rng.integers(0, len(ranges))] if kind < 5 else _ASCII[1]
+        codes = rng.integers(low, high, used if kind < 5 else rng.integers(1, 4))
+        if kind < 5:
+            codes[rng.random(used) < rng.choice([0, 0.15])] = 32
+        data = FOLD[np.frombuffer("".join(map(chr, codes)).encode(), np.uint8)]
+        made[:used] = np.resize(data, used)
+    return out
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a document is kept from training: crc32 of its id as text, modulo 5, is 0 (or the id is null)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(True))
@@ -168,13 +197,16 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Dat
     """``docs`` with lang_pred and score (the mean probability of that language over the text's windows).
 
     A text that is null or has no letter is ``und`` with score 0, as is every text when there is
-    no network. Very long texts have more windows; all bytes are looked at. Existing columns named
+    no network. Where the network knows the class ``und`` and gives it more than ``1 - LEAST_KNOWN``
+    of a text, the text is ``und`` with that score. Very long texts have more windows; all bytes are looked at. Existing columns named
     lang_pred and score are replaced.
     """
     docs = docs.drop("lang_pred", "score")
     if net is None:
         return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
     at = docs.columns.index(text_col)
+    # the class of made-up texts comes last
+    known = len(net.languages) - (net.languages[-1] == UNKNOWN)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     # no window of a text without letters is looked at
     lettered = docs.withColumn("_lettered", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
@@ -192,17 +224,22 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Dat
                     begin = np.cumsum([0, *map(len, cut)])[:-1]
                     mean = np.add.reduceat(p * used[:, None], begin) / np.add.reduceat(used, begin)[:, None]
                     for i, m in zip((i for i, t in enumerate(texts) if t is not None), mean, strict=True):
-                        best[i], score[i] = net.languages[int(m.argmax())], min(1.0, float(m.max()))
+                        top = int(m[:known].argmax()) if m[:known].sum() >= LEAST_KNOWN else known
+                        best[i], score[i] = net.languages[top], min(1.0, float(m[top]))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(best, pa.string()), pa.array(score, pa.float64())], [*part.schema.names[:-1], "lang_pred", "score"])
 
     return lettered.mapInArrow(work, f"{fields}, lang_pred string, score double")
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", reject: bool = False) -> DataFrame:
     """Train on the labelled documents that aren't held out, predict all: ``docs`` with lang_pred and score.
 
     Labels, sources and ids are never inputs of a prediction. Repeated rows and ties get equal
-    results; an empty table gives no rows; without labels everything is ``und``.
+    results; an empty table gives no rows; without labels everything is ``und``. With ``reject``
+    the network learns made-up texts as a further class, and texts that it counts among them are ``und``.
     """
     examples, targets, languages = labelled_windows(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    if reject and languages:
+        examples, targets = np.concatenate([examples, made_up(examples)]), np.append(targets, np.full(len(examples), len(languages)))
+        languages = [*languages, UNKNOWN]
     return predict(docs, train(examples, targets, languages) if languages else None, text_col)

@@ -1,5 +1,7 @@
 """The pipeline against a brute-force version of each stage."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -41,3 +43,15 @@ def test_queries_have_their_columns(spark):
     assert len(q) == 10 and set(queries.ORACLE_SQL) <= set(q)
     assert q["op1_ngram_jaccard_join"](spark, SF).columns[:3] == ["doc_id", "n_shingles", "component_id"]
     assert q["op2_language_id"](spark, SF).columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+
+
+def test_language_stage_rejects_junk(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(2)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    junk = [draw("abcdefghijklmnopqrstuvwxyz ", 600), draw("#$%&*()_+=-{}[]|;:<>?/~ 0123456789x", 600), " ".join(draw("xqzkjvw", 6) for _ in range(80))]
+    junk += ["政府昨天宣布了一项关于公共交通的新法律,议会将在下周审议该法律。工会已经表示反对。", "Η κυβέρνηση ανακοίνωσε χθες έναν νέο νόμο για τις δημόσιες συγκοινωνίες, ο οποίος θα εξεταστεί από το κοινοβούλιο."]
+    junk += ["Rząd ogłosił wczoraj nową ustawę o transporcie publicznym, która zostanie rozpatrzona przez parlament w przyszłym tygodniu."]
+    planted = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(junk)], docs.schema)
+    kept = corpus_pipeline.keep_known_languages(spark, docs.unionByName(planted), SF)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
