@@ -45,7 +45,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(PATTERNS.values())
 #: Whatever has an entity matches this, which is quicker to rule out.
-HINT = f"[0-9@]|(?i:token|secret|passw|api_?key)|(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN})\\.? \\p{{Lu}}"
+HINT = f"[0-9@]|(?i:token|secret|passw|api_?key)|AKIA|gh[pousr]_|sk-|xox[abp]-|[a-fA-F]{{32}}|(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN})\\.? \\p{{Lu}}"
 
 
 def _matches(text: Column) -> Column:

@@ -223,3 +223,9 @@ def test_license_passages(spark):
     assert [(r.unit, r.license) for r in got if r.doc_id == 100] == [(-2, "MIT-whole")]
     assert [(r.unit, r.license) for r in got if r.doc_id == 101] == [(-201, "MIT")]
     assert [(r.unit, r.license) for r in got if r.doc_id == 102] == [(-2, "MIT-whole")] and not by[103]
+
+
+def test_secrets_without_digits_are_found(spark):
+    secrets = ["sk-" + "abcdefghij" * 2, "xoxb-abcdefghijkl", "xoxa-abcdefghijkl", "xoxp-abcdefghijkl", *[f"gh{c}_{'abcdef' * 5}" for c in "pousr"], "AKIA" + "ABCDEFGHIJKLMNOP", "deadbeef" * 4, "DEADBEEF" * 4]
+    out = replace_entities(spark.createDataFrame([(i, f"see {s} there") for i, s in enumerate(secrets)], "doc_id long, text string"), "key").collect()
+    assert all(r.n_entities == 1 and secrets[r.doc_id] not in r.text for r in out)
