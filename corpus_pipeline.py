@@ -48,7 +48,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of at most 2048 tokens."""
-    return pack_documents(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return pack_documents(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0, special=True)
 
 
 STAGES = [

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pandas as pd
@@ -42,18 +42,18 @@ def byte_of_letter() -> dict[str, int]:
 
 
 @cache
-def byte_level_encoding(path: str) -> tiktoken.Encoding:
+def byte_level_encoding(path: str, special: bool = False) -> tiktoken.Encoding:
     """The encoder of a byte-level BPE vocabulary file of the tokenizers library.
 
-    Its ids are in the order of its merges, so they serve as ranks. Special tokens are left out:
-    their strings in a text are ordinary text.
+    Its ids are in the order of its merges, so they serve as ranks. Unless ``special``, special
+    tokens are left out: their strings in a text are ordinary text.
     """
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec["added_tokens"]}
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
     letters = byte_of_letter()
-    ranks = {bytes(map(letters.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(map(letters.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in added}
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added if special else {})
 
 
 _PIECES = 50_000
@@ -76,18 +76,20 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def token_pieces(
-    docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False
+    docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, special: bool = False
 ) -> DataFrame:
     """The pieces of each document: doc_id, piece, start, length, ids_crc32 (and ids if ``keep_ids``).
 
     A document is the ids of its whole text and then ``end_id``. One with more than ``capacity``
-    ids is cut into pieces of ``capacity``, of which the first may be shorter.
+    ids is cut into pieces of ``capacity``, of which the first may be shorter. With ``special`` the
+    string of a special token is that token, as by default in the tokenizers library.
     """
     columns = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(columns + [("ids", pa.list_(pa.int32()))] * keep_ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_level_encoding(path).encode_ordinary
+        encoding = byte_level_encoding(path, special)
+        encode = partial(encoding.encode, allowed_special="all") if special else encoding.encode_ordinary
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 names, texts = (c.slice(at, 256).to_pylist() for c in batch.columns)
@@ -217,15 +219,15 @@ def pack_pieces(pieces: DataFrame, capacity: int, rounds: int = 6) -> tuple[Data
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"), {"sequences": used + bins, "bound": bound, "rounds": turn + 1, "gaps": gaps}
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", special: bool = False) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Null text
     counts as empty and is ``end_id`` alone. Very long texts are cut, others never. Repeated rows
     are packed as often as they occur; a null id is kept as null. Other columns of ``docs`` are not
-    looked at. An empty table gives no rows.
+    looked at. An empty table gives no rows. ``special`` as for :func:`token_pieces`.
     """
-    pieces = stored(token_pieces(docs, path, capacity, end_id, id_col, text_col), "pieces")
+    pieces = stored(token_pieces(docs, path, capacity, end_id, id_col, text_col, special=special), "pieces")
     return pack_pieces(pieces, capacity)[0]
 
 

@@ -44,7 +44,7 @@ def op3_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0, special=True)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,3 +229,13 @@ def test_secrets_without_digits_are_found(spark):
     secrets = ["sk-" + "abcdefghij" * 2, "xoxb-abcdefghijkl", "xoxa-abcdefghijkl", "xoxp-abcdefghijkl", *[f"gh{c}_{'abcdef' * 5}" for c in "pousr"], "AKIA" + "ABCDEFGHIJKLMNOP", "deadbeef" * 4, "DEADBEEF" * 4]
     out = replace_entities(spark.createDataFrame([(i, f"see {s} there") for i, s in enumerate(secrets)], "doc_id long, text string"), "key").collect()
     assert all(r.n_entities == 1 and secrets[r.doc_id] not in r.text for r in out)
+
+
+def test_special_tokens_are_those_of_the_library(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    texts = [*odd_texts(), "<|endoftext|>", "a<|endoftext|>b <|endoftext|> \n<|endoftext|><|endoftext|>", "<|endoftext|"]
+    out = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), JSON, 10_000, special=True)
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in out.collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
