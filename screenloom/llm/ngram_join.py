@@ -87,7 +87,8 @@ def _blocks(size: int, fragments: int):
     """Batches of (id, text) → for each fragment, one block with the n-grams of all documents in the batch.
 
     An n-gram that several documents of the batch hold is sent once, without a document: that it
-    is shared is all that counts. Fragment 0 also carries the size and digest of each set.
+    is shared is all that counts. A document is its id and the start of its digest, which tells rows
+    of one id with different sets apart. Fragment 0 also carries the size and digest of each set.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +97,7 @@ def _blocks(size: int, fragments: int):
             sets = [ngram_set(t, size) for t in batch.column(1).to_pylist()]
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             digests = b"".join(xxhash.xxh128_digest(_binary(s)) for s in sets)
+            rows_of = np.stack([ids, np.frombuffer(digests, np.int64)[::2]])
             ngrams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
             order = np.argsort(ngrams)
             equal = ngrams[order[1:]] == ngrams[order[:-1]]
@@ -118,7 +120,7 @@ def _blocks(size: int, fragments: int):
                 held = doc[a:b]
                 first = np.flatnonzero(np.diff(held, prepend=-1))
                 rows.append(
-                    (f, _binary(ids[held[first]]), _binary(np.diff(first, append=len(held)).astype(np.uint32)), _binary(low[a:b]), _binary((several[c:d] & _NOBODY).astype(np.uint32)))
+                    (f, _binary(rows_of[:, held[first]]), _binary(np.diff(first, append=len(held)).astype(np.uint32)), _binary(low[a:b]), _binary((several[c:d] & _NOBODY).astype(np.uint32)))
                     + ((_binary(np.stack([ids, sizes])), digests) if f == 0 else (None, None))
                 )
             yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), _BLOCKS, strict=True)], schema=_BLOCKS)
@@ -126,7 +128,7 @@ def _blocks(size: int, fragments: int):
     return work
 
 
-_SINGLES = pa.schema([("id", pa.int64()), ("singles", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
+_SINGLES = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("singles", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
 
 
 def _count_singles(table: pa.Table) -> pa.Table:
@@ -138,11 +140,11 @@ def _count_singles(table: pa.Table) -> pa.Table:
     ids, ngrams, docs, size, digest, doc_ids = [], [], [], [], [], []
     at = 0
     for row in table.to_pylist():
-        own = np.frombuffer(row["ids"], np.int64)
+        own = np.frombuffer(row["ids"], np.int64).reshape(2, -1)
         ids.append(own)
         ngrams.append(np.frombuffer(row["ngrams"], np.uint32))
-        docs.append(np.repeat(np.arange(at, at + len(own), dtype=np.uint64), np.frombuffer(row["counts"], np.uint32)))
-        at += len(own)
+        docs.append(np.repeat(np.arange(at, at + own.shape[1], dtype=np.uint64), np.frombuffer(row["counts"], np.uint32)))
+        at += own.shape[1]
         several = np.frombuffer(row["several"], np.uint32)
         for _ in range(2):
             ngrams.append(several)
@@ -152,19 +154,19 @@ def _count_singles(table: pa.Table) -> pa.Table:
             doc_ids.append(x[0])
             size.append(x[1])
             digest += [row["digests"][i : i + 16] for i in range(0, len(row["digests"]), 16)]
-    ids = np.concatenate(ids)
+    ids = np.concatenate(ids, axis=1)
     key = (np.concatenate(ngrams).astype(np.uint64) << _LOW) | np.concatenate(docs)
     key.sort()
     ngram = key >> _LOW
     alone = np.ones(len(key), bool)
     equal = ngram[1:] == ngram[:-1]
     alone[1:][equal] = alone[:-1][equal] = False
-    count = np.bincount((key[alone] & _NOBODY).astype(np.int64), minlength=len(ids))
+    count = np.bincount((key[alone] & _NOBODY).astype(np.int64), minlength=ids.shape[1])
     some = np.flatnonzero(count)
-    out = [pa.table([ids[some], count[some].astype(np.int64), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary())], schema=_SINGLES)]
+    out = [pa.table([*ids[:, some], count[some].astype(np.int64), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary())], schema=_SINGLES)]
     if doc_ids:
         n = np.concatenate(size)
-        out.append(pa.table([np.concatenate(doc_ids), np.zeros(len(n), np.int64), n, pa.array(digest, pa.binary())], schema=_SINGLES))
+        out.append(pa.table([np.concatenate(doc_ids), np.frombuffer(b"".join(digest), np.int64)[::2].copy(), np.zeros(len(n), np.int64), n, pa.array(digest, pa.binary())], schema=_SINGLES))
     return pa.concat_tables(out)
 
 
@@ -178,10 +180,10 @@ def ngram_counts(docs: DataFrame, size: int, id_col: str, text_col: str) -> Data
     fragments = max(LEAST_FRAGMENTS, -(-chars // (6 * FRAGMENT_NGRAMS)))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     blocks = rows.mapInArrow(_blocks(size, fragments), _BLOCKS_DDL)
-    singles = blocks.groupBy("fragment").applyInArrow(_count_singles, "id long, singles long, n long, digest binary")
-    return singles.groupBy("id").agg(
-        F.max("n").alias("n"), F.max_by("digest", F.struct("n", "digest")).alias("digest"), F.sum("singles").alias("singles")
-    )
+    singles = blocks.groupBy("fragment").applyInArrow(_count_singles, "id long, row long, singles long, n long, digest binary")
+    sets = singles.groupBy("id", "row").agg(F.max("n").alias("n"), F.max("digest").alias("digest"), F.sum("singles").alias("singles"))
+    largest = F.max(F.struct("n", "digest", "singles")).alias("largest")
+    return sets.groupBy("id").agg(largest).select("id", "largest.n", "largest.digest", "largest.singles")
 
 
 # --- 2. candidates -----------------------------------------------------------------------------

@@ -105,3 +105,12 @@ def test_lines_is_brute_force(spark):
         assert (got[i].host, got[i].n_lines, got[i].n_dropped, got[i].text) == (host, len(lines), len(lines) - len(kept), "\n".join(kept))
     assert sum(r.n_dropped for r in got.values())
     assert drop_boilerplate(spark.createDataFrame(pages[:1], "page_id long, url string, html string").filter(F.lit(False))).count() == 0
+
+
+def test_singles_of_a_smaller_row_do_not_count(spark):
+    from screenloom.llm.ngram_join import ngram_jaccard_components
+
+    shared, own = [f"w{i}" for i in range(102)], [f"x{i}" for i in range(92)]
+    rows = [(5, " ".join(shared)), (6, " ".join([*shared[:-1], "y"])), (5, " ".join(own)), (7, "a b c d")]
+    out = ngram_jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), size=3, least=90).collect()
+    assert {(r.id, r.n_shingles, r.component_id) for r in out} == {(5, 100, 5), (6, 100, 5), (7, 2, 7)}
