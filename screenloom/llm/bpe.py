@@ -7,7 +7,9 @@ to remember only the places where a token may still be under way. A state holds
 each, the bytes read since then (a node of the token trie) and the tokens up to it that aren't yet
 certain. Reading a byte moves every place on, adds the place after the byte, and emits the tokens
 that all places agree on; a place lives no longer than the longest token, so the lookahead is
-bounded. States and transitions are made when first needed and then only looked up.
+bounded. States and transitions are made when first needed and then only looked up. All unseen
+matches of a batch are stepped together: one look-up of a whole array of (state, byte), and Python
+only for transitions that are new.
 
 Decoding. Tokens are parts of characters, so a streaming decoder must hold back the bytes of an
 unfinished one. A machine over the byte classes of UTF-8 does this; its moves over whole tokens
@@ -17,6 +19,7 @@ are composed when a token is first seen in a state.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from screenloom.llm.chunks import ChunkEncoder, Recent
+from screenloom.llm.chunks import ChunkEncoder, Recent, portions
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,10 +52,55 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
+class Numbers:
+    """A map from whole numbers (0 or more) to whole numbers, in numpy arrays by open addressing."""
+
+    def __init__(self) -> None:
+        self.keys, self.values, self.used = np.full(1 << 12, -1, np.int64), np.empty(1 << 12, np.int64), 0
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, or -1."""
+        out, left, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._first(keys)
+        while len(left):
+            held = self.keys[at]
+            hit = held == keys[left]
+            out[left[hit]] = self.values[at[hit]]
+            on = ~hit & (held >= 0)
+            left, at = left[on], (at[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys that are distinct and not yet in the map."""
+        self.used += len(keys)
+        if 2 * self.used > len(self.keys):
+            held = self.keys >= 0
+            keys, values = np.append(self.keys[held], keys), np.append(self.values[held], values)
+            room = 1 << (4 * self.used - 1).bit_length()
+            self.keys, self.values = np.full(room, -1, np.int64), np.empty(room, np.int64)
+        left, at = np.arange(len(keys)), self._first(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[at] < 0)
+            slots, who = np.unique(at[free], return_index=True)
+            chosen = free[who]
+            self.keys[slots], self.values[slots] = keys[left[chosen]], values[left[chosen]]
+            on = np.ones(len(left), bool)
+            on[chosen] = False
+            left, at = left[on], (at[on] + 1) & (len(self.keys) - 1)
+
+
 class Transducer:
-    """Encodes the bytes of one match of the splitting pattern."""
+    """Encodes the bytes of matches of the splitting pattern.
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 250_000) -> None:
+    Matches are stepped together, a byte at a time. A move is (next state, number of an output);
+    a state is kept as the bytes of its numbers: the last certain token, then for each place its
+    node, how many uncertain tokens lead to it, and these.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 400_000) -> None:
         self.ranks, self.most = ranks, most_states
         self.bytes_of = {i: t for t, i in ranks.items()}
         # tokens that merging never makes of their own bytes can only stand for a whole match
@@ -69,24 +117,33 @@ class Transducer:
                 node = nxt
             self.token_at[node] = rank
         self._split: dict[int, tuple[int, int] | None] = {}
-        self._edges: dict[tuple[int, int], list[int]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._edges: dict[int, list[int]] = {}
+        self._pairs: dict[int, bool] = {}
         self._restart()
 
     def _restart(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.of: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state * 256 + byte
-        self.places: dict[tuple, tuple] = {}  # states share their parts
-        self.ends: list[tuple[int, ...]] = []
-        self.start = self._state((((0, ()),), -1))
-
-    def _state(self, state: tuple) -> int:
-        n = self.states.get(state)
+        self.states: dict[bytes, int] = {}
+        self.of: list[bytes] = []
+        self.moves = Numbers()  # state * 256 + byte → next state * 2**32 + output
+        self.ends: list[int] = []  # output at the end of a match, by state
+        self.outputs: dict[tuple[int, ...], int] = {(): 0}
+        self.emitted: list[tuple[int, ...]] = [()]
+        self.start = self._state([-1, 0, 0], ())
+
+    def _output(self, tokens: tuple[int, ...]) -> int:
+        n = self.outputs.get(tokens)
+        if n is None:
+            n = self.outputs[tokens] = len(self.emitted)
+            self.emitted.append(tokens)
+        return n
+
+    def _state(self, numbers: list[int], ends: tuple[int, ...]) -> int:
+        key = array("i", numbers).tobytes()
+        n = self.states.get(key)
         if n is None:
-            n = self.states[state] = len(self.of)
-            self.of.append(state)
-            self.ends.append(state[0][-1][1])  # the place after the last byte comes last
+            n = self.states[key] = len(self.of)
+            self.of.append(key)
+            self.ends.append(self._output(ends))
         return n
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -101,10 +158,10 @@ class Transducer:
 
     def _edge(self, token: int, side: int) -> list[int]:
         """The tokens that stand at one edge (0: left, 1: right) while ``token`` is being made, first to last."""
-        found = self._edges.get((token, side))
+        found = self._edges.get(token << 1 | side)
         if found is None:
             halves = self._halves(token)
-            found = self._edges[token, side] = [*self._edge(halves[side], side), token] if halves else [token]
+            found = self._edges[token << 1 | side] = [*self._edge(halves[side], side), token] if halves else [token]
         return found
 
     def _fits(self, before: int, token: int) -> bool:
@@ -113,105 +170,201 @@ class Transducer:
         It may unless some merge across the boundary comes before the next merge at either edge.
         Of equal ranks the leftmost comes first.
         """
-        if before == -1:
-            return len(self.bytes_of[token]) == 1 or self._halves(token) is not None
-        ok = self._pairs.get((before, token))
+        key = (before + 1) << 32 | token
+        ok = self._pairs.get(key)
         if ok is None:
-            if len(self._pairs) > 150_000:
+            if len(self._pairs) > 500_000:
                 self._pairs.clear()
-            left, right, i, j, ok = self._edge(before, 1), self._edge(token, 0), 0, 0, True
-            while True:
-                across = self.ranks.get(self.bytes_of[left[i]] + self.bytes_of[right[j]])
-                next_left = left[i + 1] if i + 1 < len(left) else 1 << 60
-                next_right = right[j + 1] if j + 1 < len(right) else 1 << 60
-                if across is not None and across < next_left and across <= next_right:
-                    ok = False
-                    break
-                if next_left == next_right == 1 << 60:
-                    break
-                if next_left <= next_right:
-                    i += 1
-                else:
-                    j += 1
-            self._pairs[before, token] = ok
+            if before == -1:
+                ok = len(self.bytes_of[token]) == 1 or self._halves(token) is not None
+            else:
+                ok = self._meet(self._edge(before, 1), self._edge(token, 0))
+            self._pairs[key] = ok
         return ok
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        places, last = self.of[state]
-        children, token_at, pairs, moved, ended = self.children, self.token_at, self._pairs, [], None
-        for node, path in places:
-            node = children[node].get(byte)
+    def _meet(self, left: list[int], right: list[int]) -> bool:
+        i = j = 0
+        while True:
+            across = self.ranks.get(self.bytes_of[left[i]] + self.bytes_of[right[j]])
+            next_left = left[i + 1] if i + 1 < len(left) else 1 << 60
+            next_right = right[j + 1] if j + 1 < len(right) else 1 << 60
+            if across is not None and across < next_left and across <= next_right:
+                return False
+            if next_left == next_right == 1 << 60:
+                return True
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+
+    def _move(self, state: int, byte: int) -> int:
+        numbers = array("i", self.of[state])
+        last, at, moved, ended = numbers[0], 1, [], None
+        while at < len(numbers):
+            node, path = self.children[numbers[at]].get(byte), numbers[at + 2 : at + 2 + numbers[at + 1]]
+            at += 2 + len(path)
             if node is None:
                 continue
-            moved.append((node, path))
             # the longest that fits: places are in order of their beginning
-            if ended is None and (token := token_at[node]) >= 0:
-                before = path[-1] if path else last
-                fits = pairs.get((before, token))
-                if self._fits(before, token) if fits is None else fits:
-                    ended = (*path, token)
+            if ended is None and (token := self.token_at[node]) >= 0 and self._fits(path[-1] if path else last, token):
+                ended = [*path, token]
+            if self.children[node]:
+                moved.append((node, path))
         agreed = shortest = len(ended)
         for _, path in moved:
-            n, most = 0, len(path)
-            if most < shortest:
-                shortest = most
-                if most < agreed:
-                    agreed = most
-            while n < agreed and ended[n] == path[n]:
+            shortest = min(shortest, len(path))
+            n = 0
+            for a, b in zip(ended[:agreed], path, strict=False):
+                if a != b:
+                    break
                 n += 1
             agreed = n
         moved.append((0, ended))
         if agreed:
             last = ended[agreed - 1]
-            moved = [(node, path[agreed:]) for node, path in moved]
-        if shortest > agreed:
-            last = -2
-        keep = self.places.setdefault
-        return self._state((tuple([keep(p, p) for p in moved]), last)), ended[:agreed]
-
-    def encode(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one match."""
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return (whole,)
+        # no place is left that begins after the last certain token
+        after = [-2 if shortest > agreed else last]
+        for node, path in moved:
+            after += (node, len(path) - agreed, *path[agreed:])
+        return self._state(after, tuple(ended[agreed:])) << 32 | self._output(tuple(ended[:agreed]))
+
+    def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all matches, one after another, and how many each has."""
         if len(self.of) > self.most:
             self._restart()
-        moves, find, state, out = self.moves, self.moves.get, self.start, []
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data, begin = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(lengths) - lengths
+        order = np.argsort(-lengths, kind="stable")
+        longer = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0)) + 1), side="left")
+        states = np.full(len(pieces), self.start, np.int64)
+        whose, outputs, at = [], [], 0
+        # a few long ones are stepped alone
+        while at < len(longer) and longer[at] > 8:
+            own = order[: longer[at]]
+            keys = states[own] << 8 | data[begin[own] + at]
+            found = self.moves.find(keys)
+            new = np.unique(keys[found < 0])
+            if len(new):
+                made = np.array([self._move(k >> 8, k & 255) for k in new.tolist()], np.int64)
+                self.moves.put(new, made)
+                missing = np.flatnonzero(found < 0)
+                found[missing] = made[np.searchsorted(new, keys[missing])]
+            states[own] = found >> 32
+            output = found & 0xFFFFFFFF
+            some = np.flatnonzero(output)
+            whose.append(own[some])
+            outputs.append(output[some])
+            at += 1
+        alone = order[: longer[at]] if at < len(longer) else order[:0]
+        rest = np.setdiff1d(np.arange(len(pieces)), alone)
+        whose.append(rest)
+        outputs.append(np.array(self.ends, np.int64)[states[rest]])
+        for i in alone.tolist():
+            emitted = self._alone(int(states[i]), pieces[i][at:])
+            whose.append(np.full(len(emitted), i))
+            outputs.append(np.array(emitted, np.int64))
+        whose, outputs = np.concatenate(whose), np.concatenate(outputs)
+        outputs = outputs[np.argsort(whose, kind="stable")]
+        number = np.fromiter(map(len, self.emitted), np.int64, len(self.emitted))
+        ids = np.fromiter(chain.from_iterable(map(self.emitted.__getitem__, outputs.tolist())), np.int32)
+        return ids, np.bincount(np.sort(whose), number[outputs], len(pieces)).astype(np.int64)
+
+    def _alone(self, state: int, piece: bytes) -> list[int]:
+        """Outputs of the rest of one match."""
+        out, seen = [], {}
         for byte in piece:
-            found = find(state << 8 | byte)
+            key = state << 8 | byte
+            found = seen.get(key)
             if found is None:
-                found = moves[state << 8 | byte] = self._move(state, byte)
-            state, sure = found
-            if sure:
-                out += sure
-        return (*out, *self.ends[state])
+                found = int(self.moves.find(np.array([key]))[0])
+                if found < 0:
+                    found = self._move(state, byte)
+                    self.moves.put(np.array([key]), np.array([found]))
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen[key] = found
+            state = found >> 32
+            if found & 0xFFFFFFFF:
+                out.append(found & 0xFFFFFFFF)
+        return [*out, self.ends[state]]
+
+    def encode(self, piece: bytes) -> tuple[int, ...]:
+        """Ids of one match."""
+        whole = self.ranks.get(piece)
+        return tuple(self.encode_all([piece])[0].tolist()) if whole is None else (whole,)
+
+
+# Letters and numbers of Unicode 17 (first-last code points), which tiktoken does not
+# count among them; other versions of its tables would need other ranges.
+NEWER_LETTERS = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 "
+    "10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA "
+    "18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 "
+    "1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E "
+    "2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+NEWER_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+
+
+def _char_class(ranges: str) -> str:
+    return "[" + "".join("-".join(f"\\U{int(c, 16):08X}" for c in r.split("-")) for r in ranges.split()) + "]"
+
+
+class Splitter:
+    """The matches of a pattern, as tiktoken finds them."""
+
+    def __init__(self, pattern: str) -> None:
+        letters, numbers = _char_class(NEWER_LETTERS), _char_class(NEWER_NUMBERS)
+        self.newer = regex.compile(letters[:-1] + numbers[1:])
+        self.usual = regex.compile(pattern)
+        exact = pattern.replace(r"\p{L}", rf"[\p{{L}}--{letters}]").replace(r"\p{N}", rf"[\p{{N}}--{numbers}]")
+        self.exact = regex.compile(exact, regex.V1)
+
+    def __call__(self, text: str) -> list[str]:
+        return (self.usual if text.isascii() or not self.newer.search(text) else self.exact).findall(text)
 
 
 class Encoder:
     """Text → ids, each match of ``pattern`` separately; recent chunks and matches are kept."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.pattern, self.machine = regex.compile(pattern), Transducer(ranks)
+        self.split, self.machine = Splitter(pattern), Transducer(ranks)
         self.matches = Recent(50_000)
         self.chunks = ChunkEncoder(self._texts)
 
-    def _texts(self, texts: list[str]) -> list[tuple[int, ...]]:
+    def _texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the bytes of 32-bit numbers."""
         self.matches.turn()
-        out = []
-        for text in texts:
-            ids: list[int] = []
-            for match in self.pattern.findall(text):
-                got = self.matches.find(match)
-                if got is None:
-                    got = self.machine.encode(match.encode())
-                    if len(match) < 32:
-                        self.matches[match] = got
-                ids += got
-            out.append(tuple(ids))
-        return out
+        # words of ASCII letters are one match
+        cut = [[t] if t.isascii() and (t[1:] if t[:1] == " " else t).isalpha() else self.split(t) for t in texts]
+        distinct: dict[str, bytes] = {}
+        new, ranks, find = [], self.machine.ranks, self.matches.find
+        for match in dict.fromkeys(chain.from_iterable(cut)):
+            got = find(match)
+            if got is None:
+                piece = match.encode()
+                whole = ranks.get(piece)
+                if whole is None:
+                    new.append((match, piece))
+                    continue
+                got = array("i", (whole,)).tobytes()
+            distinct[match] = got
+        for some in (new[i : i + 20_000] for i in range(0, len(new), 20_000)):
+            ids, number = self.machine.encode_all([piece for _, piece in some])
+            data, end = ids.tobytes(), (np.cumsum(number) * 4).tolist()
+            for (match, _), a, b in zip(some, [0, *end], end, strict=False):
+                distinct[match] = data[a:b]
+        # the others are kept with their chunks
+        self.matches.update((m, distinct[m]) for matches in cut if len(matches) > 1 for m in matches if len(m) < 32)
+        return [distinct[m[0]] if len(m) == 1 else b"".join(map(distinct.__getitem__, m)) for m in cut]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has. Null counts as empty."""
+        return self.chunks.encode(texts)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.fromiter(chain.from_iterable(parts), np.int32) for parts in self.chunks.parts(texts)]
+        ids, number = self.encode_array(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(number)[:-1]) if texts else []
 
 
 @cache
@@ -223,7 +376,7 @@ def encode_bpe(df: DataFrame, path: str, pattern: str, text_col: str = "text", i
     """Add ``ids_col`` (array<int>): the ids of each whole text, without special tokens.
 
     ``path`` names the file of ranks, on every machine. With ``decoded_col`` the ids are decoded
-    again in the same task and their bytes added under that name. Null text counts as empty and
+    again by the streaming machine in the same task and their bytes added under that name. Null text counts as empty and
     has no ids. Rows are independent, so ties and repeated rows need no rule; columns already
     named so are replaced. An empty table gives no rows.
     """
@@ -232,15 +385,16 @@ def encode_bpe(df: DataFrame, path: str, pattern: str, text_col: str = "text", i
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tokens = _encoder(path, pattern), _tokens(path)
-        for batch in batches:
-            for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
-                ids = encoder.encode([t or "" for t in part.column(at).to_pylist()])
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                columns, names = [pa.ListArray.from_arrays(ends, np.concatenate(ids))], [ids_col]
-                if decoded_col is not None:
-                    columns.append(pa.array([b"".join(map(tokens.__getitem__, x.tolist())) for x in ids], pa.binary()))
-                    names.append(decoded_col)
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names])
+        decoder = StreamDecoder(tokens)
+        for part in (p for batch in batches for p in portions(batch, at)):
+            ids, number = encoder.encode_array(part.column(at))
+            ends = np.concatenate([[0], np.cumsum(number)]).astype(np.int32)
+            columns, names = [pa.ListArray.from_arrays(ends, ids)], [ids_col]
+            if decoded_col is not None:
+                decoded = ((decoder.feed(ids[a:b]) + decoder.finish()).encode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                columns.append(pa.array(decoded, pa.binary()))
+                names.append(decoded_col)
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     more = f", `{decoded_col}` binary" if decoded_col is not None else ""
@@ -284,6 +438,8 @@ class StreamDecoder:
 
     def __init__(self, tokens: list[bytes]) -> None:
         self.tokens, self.state, self.held = tokens, 0, b""
+        #: the tokens that lead from between characters back there
+        self.whole = np.array([self._token(0, i) == (0, len(t)) for i, t in enumerate(tokens)])
         self._over: dict[tuple[int, int], tuple[int, int]] = {}
 
     def _token(self, state: int, token: int) -> tuple[int, int]:
@@ -298,32 +454,49 @@ class StreamDecoder:
         return state, done
 
     def feed(self, ids: Iterable[int]) -> str:
-        """Characters that these ids complete."""
-        out = []
-        for token in ids:
-            key = (self.state, token)
-            found = self._over.get(key)
-            if found is None:
-                found = self._over[key] = self._token(*key)
-            state, done = found
-            if state == 8:  # let the standard error handler find the bytes at fault
-                data = self.held + self.tokens[token]
-                for n in range(len(data), max(-1, len(data) - 4), -1):
-                    s = 0
-                    for byte in data[n:]:
-                        s = self.MOVES[s][byte]
-                    if s not in (0, 8) or n == len(data):
-                        keep, self.state = n, s
-                out.append(data[:keep].decode("utf-8", "replace"))
-                self.held = data[keep:]
-            elif done < 0:
-                self.held += self.tokens[token]
-                self.state = state
-            else:
-                out.append((self.held + self.tokens[token][:done]).decode())
-                self.held, self.state = self.tokens[token][done:], state
+        """Characters that these ids complete.
+
+        Between characters, tokens of whole characters leave the machine where it is, so a run of
+        them is taken at once; the others are stepped.
+        """
+        ids = np.asarray(ids, np.int64)
+        odd = np.flatnonzero(~self.whole[ids])
+        out, at, ids, tokens = [], 0, ids.tolist(), self.tokens
+        for stop in [*odd.tolist(), len(ids)]:
+            if stop < at:
+                continue  # stepped already
+            if self.state == 0 and stop > at:
+                out.append(b"".join(map(tokens.__getitem__, ids[at:stop])).decode())
+                at = stop
+            while at < len(ids) and (at == stop or self.state):
+                out.append(self._step(ids[at]))
+                at += 1
         return "".join(out)
 
+    def _step(self, token: int) -> str:
+        key = (self.state, token)
+        found = self._over.get(key)
+        if found is None:
+            found = self._over[key] = self._token(*key)
+        state, done = found
+        if state == 8:  # let the standard error handler find the bytes at fault
+            data = self.held + self.tokens[token]
+            for n in range(len(data), max(-1, len(data) - 4), -1):
+                s = 0
+                for byte in data[n:]:
+                    s = self.MOVES[s][byte]
+                if s not in (0, 8) or n == len(data):
+                    keep, self.state = n, s
+            self.held = data[keep:]
+            return data[:keep].decode("utf-8", "replace")
+        self.state = state
+        if done < 0:
+            self.held += self.tokens[token]
+            return ""
+        text = (self.held + self.tokens[token][:done]).decode()
+        self.held = self.tokens[token][done:]
+        return text
+
     def finish(self) -> str:
         """What is left of an unfinished character."""
         held, self.held, self.state = self.held, b"", 0

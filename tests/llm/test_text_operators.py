@@ -239,3 +239,32 @@ def test_special_tokens_are_those_of_the_library(spark):
     for i, text in enumerate(texts):
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
         assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_every_code_point_is_split_as_by_tiktoken():
+    ranks = read_ranks(MULTI)
+    want = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    split = Encoder(ranks, public_tokenizers.PATTERN).split
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # a letter, number or other character joins the ones of its class before it
+    text = " ".join(f"b{c}1{c}!{c}" for c in chars)
+    at = 0
+    for match in split(text):
+        assert text.startswith(match, at)
+        at += len(match)
+    assert at == len(text)
+    for class_, around in ((r"\p{L}", "b{}b"), (r"\p{N}", "1{}1")):
+        own = {c for c in chars if len(split(around.format(c))) == 1}
+        theirs = tiktoken.Encoding("c", pat_str=class_, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+        assert own == set(bytes(theirs.encode_ordinary("".join(chars))).decode())
+    some = "".join(f"b{c}b {c}{c} 1{c}." for c in chars if 0x500 <= ord(c) < 0xD00 or ord(c) > 0x16E00 and ord(c) < 0x17000)
+    assert Encoder(ranks, public_tokenizers.PATTERN).encode([some])[0].tolist() == want.encode_ordinary(some)
+
+
+def test_bpe_of_odd_tables(spark):
+    rows = [(1, "a b", 7, "x"), (1, "a b", 7, "x"), (None, None, None, None), (2, "word  " * 20_000, 1, "y"), (3, "a" * 200_000, 1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string")
+    out = encode_bpe(df, MULTI, public_tokenizers.PATTERN, decoded_col="decoded").collect()
+    ranks = read_ranks(MULTI)
+    want = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert len(out) == 5 and all(r.ids == want.encode_ordinary(r.text or "") and bytes(r.decoded).decode() == (r.text or "") for r in out)
