@@ -14,8 +14,11 @@ fragments; every fragment counts on its own and the counts are summed per docume
 
 Large groups of near copies share frequent n-grams, under which nearly all of their pairs would be
 candidates. Three exact arguments keep that linear in practice. Only links between different
-components matter, so every document is first compared with one leader, and then only pairs whose
-components still differ are. Two documents that share a rare n-gram (one that at most ``RARE``
+components matter, so every document is first compared with one leader (those that don't link with
+theirs are so again, among themselves), and then only pairs whose components still differ are.
+Before these are listed, leaders are compared: two that link make their components one, and as the
+distance 1 - Jaccard obeys the triangle inequality, two that are far apart rule out all pairs of
+documents close to them. Two documents that share a rare n-gram (one that at most ``RARE``
 documents hold) meet under it; so under a frequent n-gram only pairs that share no rare one need
 to meet, and their overlap is at most the smaller number of frequent n-grams. And documents of one
 component with equal counts are compared as one when such bounds are tested.
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenloom.llm.common import salted_join, stored
@@ -37,10 +40,14 @@ from screenloom.llm.common import salted_join, stored
 FRAGMENT_NGRAMS = 4_000_000
 #: Fragments when the input is small.
 LEAST_FRAGMENTS = 32
-#: Texts whose n-grams are handled at once.
-BLOCK_TEXTS = 2048
+#: Fragments of the documents that have candidates.
+LEAST_SEGMENTS = 16
+#: N-grams of texts that are sorted and dealt over fragments at once: so many, or this times the number of fragments if more, at most the third number.
+BLOCK_NGRAMS, BLOCK_PART, BLOCK_MOST = 1 << 19, 32, 1 << 22
 #: N-grams held by at most so many documents are rare; their pairs are all looked at.
 RARE = 16
+#: How often documents that link with no leader get another one. Links that no leader shows are found afterwards.
+LEADER_TURNS = 2
 _LOW = np.uint64(32)
 _NOBODY = np.uint64(0xFFFFFFFF)
 
@@ -83,47 +90,59 @@ _BLOCKS = pa.schema(
 _BLOCKS_DDL = "fragment int, ids binary, counts binary, ngrams binary, several binary, sizes binary, digests binary"
 
 
-def _blocks(size: int, fragments: int):
-    """Batches of (id, text) → for each fragment, one block with the n-grams of all documents in the batch.
+def _block(ids: list[int], sets: list[np.ndarray], fragments: int) -> pa.RecordBatch:
+    """For each fragment that has any, one row with the n-grams of all these documents.
 
-    An n-gram that several documents of the batch hold is sent once, without a document: that it
-    is shared is all that counts. A document is its id and the start of its digest, which tells rows
-    of one id with different sets apart. Fragment 0 also carries the size and digest of each set.
+    An n-gram that several of them hold is sent once, without a document: that it is shared is all
+    that counts. A document is its id and the start of its digest, which tells rows of one id with
+    different sets apart. Sizes and digests ride with one fragment, which differs from block to block.
     """
+    ids, sizes = np.array(ids, np.int64), np.fromiter(map(len, sets), np.int64, len(sets))
+    digests = b"".join(xxhash.xxh128_digest(_binary(s)) for s in sets)
+    rows_of = np.stack([ids, np.frombuffer(digests, np.int64)[::2]])
+    ngrams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
+    order = np.argsort(ngrams)
+    equal = ngrams[order[1:]] == ngrams[order[:-1]]
+    shared = np.zeros(len(ngrams), bool)
+    shared[order[1:][equal]] = shared[order[:-1][equal]] = True
+    several = np.unique(ngrams[shared])
+    ngrams, doc = ngrams[~shared], doc[~shared]
+    part, several_part = _fragment_of(ngrams, fragments).astype(np.int64), _fragment_of(several, fragments).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    ngrams, doc, part = ngrams[order], doc[order], part[order]
+    home = int(np.frombuffer(digests, np.uint64)[0] % np.uint64(fragments))
+    # no row is empty, so there are never more rows than n-grams, however many fragments there are
+    used = np.union1d(np.union1d(part, several_part), [home])
+    begin, end = np.searchsorted(part, used), np.searchsorted(part, used, side="right")
+    several_begin, several_end = np.searchsorted(several_part, used), np.searchsorted(several_part, used, side="right")
+    rows = []
+    for f, a, b, c, d in zip(used.tolist(), begin, end, several_begin, several_end, strict=True):
+        held = doc[a:b]
+        first = np.flatnonzero(np.diff(held, prepend=-1))
+        rows.append(
+            (f, _binary(rows_of[:, held[first]]), _binary(np.diff(first, append=len(held)).astype(np.uint32)), _binary((ngrams[a:b] & _NOBODY).astype(np.uint32)))
+            + (_binary((several[c:d] & _NOBODY).astype(np.uint32)),)
+            + ((_binary(np.stack([ids, sizes])), digests) if f == home else (None, None))
+        )
+    return pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), _BLOCKS, strict=True)], schema=_BLOCKS)
+
+
+def _blocks(size: int, fragments: int):
+    """Batches of (id, text) → blocks of their n-grams by fragment."""
+    most = min(max(BLOCK_NGRAMS, BLOCK_PART * fragments), BLOCK_MOST)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, BLOCK_TEXTS) for b in batches for i in range(0, b.num_rows, BLOCK_TEXTS)):
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            sets = [ngram_set(t, size) for t in batch.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-            digests = b"".join(xxhash.xxh128_digest(_binary(s)) for s in sets)
-            rows_of = np.stack([ids, np.frombuffer(digests, np.int64)[::2]])
-            ngrams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
-            order = np.argsort(ngrams)
-            equal = ngrams[order[1:]] == ngrams[order[:-1]]
-            shared = np.zeros(len(ngrams), bool)
-            shared[order[1:][equal]] = shared[order[:-1][equal]] = True
-            several = np.unique(ngrams[shared])
-            ngrams, doc = ngrams[~shared], doc[~shared]
-            part = _fragment_of(ngrams, fragments).astype(np.uint32 if fragments > 65535 else np.uint16)
-            order = np.argsort(part, kind="stable")
-            ngrams, doc, part = ngrams[order], doc[order], part[order].astype(np.int64)
-            ends = np.searchsorted(part, np.arange(fragments + 1))
-            low = (ngrams & _NOBODY).astype(np.uint32)
-            several_ends = np.searchsorted(_fragment_of(several, fragments), np.arange(fragments + 1, dtype=np.uint64))
-            rows = []
-            for f in range(fragments):
-                a, b = ends[f], ends[f + 1]
-                c, d = several_ends[f], several_ends[f + 1]
-                if a == b and c == d and f:
-                    continue
-                held = doc[a:b]
-                first = np.flatnonzero(np.diff(held, prepend=-1))
-                rows.append(
-                    (f, _binary(rows_of[:, held[first]]), _binary(np.diff(first, append=len(held)).astype(np.uint32)), _binary(low[a:b]), _binary((several[c:d] & _NOBODY).astype(np.uint32)))
-                    + ((_binary(np.stack([ids, sizes])), digests) if f == 0 else (None, None))
-                )
-            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), _BLOCKS, strict=True)], schema=_BLOCKS)
+        ids, sets, held = [], [], 0
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids.append(i)
+                sets.append(ngram_set(text.as_py(), size))
+                held += len(sets[-1]) + 1
+                if held >= most:
+                    yield _block(ids, sets, fragments)
+                    ids, sets, held = [], [], 0
+        if ids:
+            yield _block(ids, sets, fragments)
 
     return work
 
@@ -171,19 +190,30 @@ def _count_singles(table: pa.Table) -> pa.Table:
 
 
 def ngram_counts(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per id: id, n (size of its set), digest (of the set), singles (n-grams nobody else holds).
-
-    Repeated rows of one id count as one document: the one with the largest set.
-    """
+    """One row per id and set: id, n (size of the set), digest, singles (its n-grams nobody else holds), copies (rows with it)."""
     # words, counted from above by the length of the text, give the number of fragments
     chars = docs.select(F.sum(F.length(text_col))).first()[0] or 0
     fragments = max(LEAST_FRAGMENTS, -(-chars // (6 * FRAGMENT_NGRAMS)))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     blocks = rows.mapInArrow(_blocks(size, fragments), _BLOCKS_DDL)
     singles = blocks.groupBy("fragment").applyInArrow(_count_singles, "id long, row long, singles long, n long, digest binary")
-    sets = singles.groupBy("id", "row").agg(F.max("n").alias("n"), F.max("digest").alias("digest"), F.sum("singles").alias("singles"))
+    return singles.groupBy("id", "row").agg(
+        F.max("n").alias("n"), F.max("digest").alias("digest"), F.sum("singles").alias("singles"), F.count("n").alias("copies")
+    ).drop("row")
+
+
+def _largest(sets: DataFrame) -> DataFrame:
+    """Of each id the largest set: id, n, digest, singles, and rows (how many the id has)."""
     largest = F.max(F.struct("n", "digest", "singles")).alias("largest")
-    return sets.groupBy("id").agg(largest).select("id", "largest.n", "largest.digest", "largest.singles")
+    return sets.groupBy("id").agg(largest, F.sum("copies").alias("rows")).select("id", "largest.n", "largest.digest", "largest.singles", "rows")
+
+
+def _sizes(size: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array((len(ngram_set(t.as_py(), size)) for t in batch.column(0)), pa.int64())], ["n_shingles"])
+
+    return work
 
 
 # --- 2. candidates -----------------------------------------------------------------------------
@@ -251,14 +281,22 @@ def _postings(segments: DataFrame, least: int, of: int) -> DataFrame:
 # --- 3. overlaps -------------------------------------------------------------------------------
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, least: int, of: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold: partial overlaps by fragment, summed per pair."""
+def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """(a, b, both, n_a, n_b) of pairs that share an n-gram: partial overlaps by fragment, summed per pair."""
     left = segments.select(F.col("id").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("ngrams").alias("x"))
     right = segments.select(F.col("id").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("ngrams").alias("y"))
     parts = pairs.join(left, "a").join(right, ["b", "fragment"])
     overlap = parts.withColumn("part", F.size(F.array_intersect("x", "y")))
-    total = overlap.groupBy("a", "b").agg(F.sum("part").alias("both"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-    return total.filter(F.col("both") * of >= least * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+    return overlap.groupBy("a", "b").agg(F.sum("part").alias("both"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+
+
+def _linked(overlaps: DataFrame, least: int, of: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold."""
+    return overlaps.filter(F.col("both") * of >= least * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+
+
+def _distance() -> Column:
+    return 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -290,13 +328,13 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, of: int, id_col: str, text_col: str) -> DataFrame:
     """(id, component) of the documents that link with a document whose set differs from theirs.
 
-    ``counts`` comes from :func:`ngram_counts`; of equal sets only the smallest id appears.
+    ``counts`` has one row per id; of equal sets only the smallest id appears.
     """
     n, m = F.col("n"), F.col("n_b")
     chosen = counts.filter((n - F.col("singles")) * of >= n * least).filter(n * of >= (n + 1) * least)
     chosen = stored(chosen.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n")), "chosen")
     total = chosen.agg(F.sum("n")).first()[0] or 0
-    fragments = max(4, -(-total // FRAGMENT_NGRAMS))
+    fragments = max(LEAST_SEGMENTS, -(-total // FRAGMENT_NGRAMS))
     # the ids chosen grow with the input: they are never broadcast
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen.hint("merge"), "id").select("id", "text", "n", "digest")
     segments = texts.mapInArrow(_segments(size, fragments), "id long, n long, fragment int, ngrams array<long>").dropDuplicates(["id", "fragment"])
@@ -304,28 +342,58 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
     postings = stored(_postings(segments, least, of), "postings")
     near = F.least(n, m) * of >= F.greatest(n, m) * least
 
-    # each document with one leader: among the leaders of its postings the one with the fewest rare n-grams
-    leaders = postings.groupBy("ngram").agg(F.min(F.struct("rare", "id", "n")).alias("leader"))
-    led = postings.join(leaders, "ngram").withColumn("n_b", F.col("leader.n")).filter((F.col("leader.id") != F.col("id")) & near)
-    led = led.groupBy("id").agg(F.min("leader").alias("leader")).select(F.col("id").alias("a"), F.col("leader.id").alias("b"))
-    edges = stored(_linked(led, segments, least, of), "led")
+    led, edges, todo = None, None, postings
+    for turn in range(LEADER_TURNS):
+        # each document with one leader: among the leaders of its postings the one with the fewest rare n-grams
+        leaders = todo.groupBy("ngram").agg(F.min(F.struct("rare", "id", "n")).alias("leader"))
+        pairs = todo.join(leaders, "ngram").withColumn("n_b", F.col("leader.n")).filter((F.col("leader.id") != F.col("id")) & near)
+        pairs = pairs.groupBy("id").agg(F.min("leader").alias("leader")).select(F.col("id").alias("a"), F.col("leader.id").alias("b"))
+        now = stored(_overlaps(pairs, segments), "led")
+        linked = _linked(now, least, of)
+        led, edges = (now, linked) if turn == 0 else (led.union(now), edges.union(linked))
+        if turn + 1 < LEADER_TURNS:
+            settled = linked.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            # the ids settled grow with the input: they are never broadcast
+            todo = stored(todo.join(settled.hint("merge"), "id", "left_anti"), "todo")
     known = components(edges)
 
     # what is left: pairs that meet under an n-gram, may reach the threshold and are in different components
-    group = F.coalesce("component", "id")
-    own = postings.join(known, "id", "left").select("ngram", "id", "n", (n - F.col("rare")).alias("frequent"), (F.col("often") <= RARE).alias("is_rare"), group.alias("component"))
+    group, leader = F.coalesce("component", "id"), F.coalesce("leader", "id")
+    # distances from the leader, rounded up to twentieths, so that few classes arise
+    far = F.coalesce(F.ceil("far"), F.lit(0)).cast("int")
+    nearest = led.groupBy(F.col("a").alias("id")).agg(F.min(F.struct((_distance() * 20).alias("far"), F.col("b").alias("leader"))).alias("x"))
+    near_leader = nearest.select("id", "x.leader", "x.far")
+    own = postings.join(known, "id", "left").join(near_leader, "id", "left")
+    own = own.select(
+        "ngram", "id", "n", (n - F.col("rare")).alias("frequent"), (F.col("often") <= RARE).alias("is_rare"), group.alias("component"), leader.alias("leader"), far.alias("far")
+    )
     own = stored(own.filter(F.col("is_rare") | (F.col("frequent") * of >= n * least)), "own")
     mixed = own.groupBy("ngram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("ngram")
-    alike = ["ngram", "component", "n", "frequent"]
-    groups = own.join(mixed, "ngram").select(*alike, "is_rare").distinct()
-    other = groups.select("ngram", F.col("component").alias("component_b"), F.col("n").alias("n_b"), F.col("frequent").alias("frequent_b"))
+    alike = ["component", "n", "frequent", "leader", "far"]
+    groups = own.join(mixed, "ngram").select("ngram", *alike, "is_rare").distinct()
+    other = groups.select("ngram", *[F.col(c).alias(f"{c}_b") for c in alike])
     most = F.least("frequent", "frequent_b")
     may = near & (F.col("is_rare") | (most * (of + least) >= (n + m) * least))
-    cross = groups.join(other, "ngram").filter((F.col("component") < F.col("component_b")) & may)
-    one = own.select(*alike, F.col("id").alias("a"))
-    two = own.select("ngram", F.col("component").alias("component_b"), F.col("n").alias("n_b"), F.col("frequent").alias("frequent_b"), F.col("id").alias("b"))
-    pairs = cross.join(one, alike).join(two, ["ngram", "component_b", "n_b", "frequent_b"]).select("a", "b").distinct()
-    rest = _linked(pairs, segments, least, of)
+    cross = groups.join(other, "ngram").filter((F.col("component") < F.col("component_b")) & may).drop("is_rare")
+    cross = stored(cross, "cross")
+    between = _overlaps(cross.filter("leader != leader_b").select(F.col("leader").alias("a"), F.col("leader_b").alias("b")).distinct(), segments)
+    between = stored(between, "between")
+    # leaders that link join their components, whose documents needn't be paired any more
+    edges = edges.union(_linked(between, least, of))
+    known = components(edges).select("id", F.col("component").alias("root"))
+    for c in ("component", "component_b"):
+        cross = cross.join(known.withColumnRenamed("id", c).withColumnRenamed("root", f"{c}_root"), c, "left")
+    cross = cross.filter(F.coalesce("component_root", "component") != F.coalesce("component_b_root", "component_b"))
+    # triangle inequality: leaders so far apart that no pair of their documents is near
+    apart = between.select(F.col("a").alias("leader"), F.col("b").alias("leader_b"), _distance().alias("apart"))
+    # leaders without a common n-gram have distance 1
+    least_apart = F.when(F.col("leader") == F.col("leader_b"), 0.0).otherwise(F.coalesce("apart", F.lit(1.0)))
+    may = least_apart - (F.col("far") + F.col("far_b")) / 20 <= 1 - least / of + 1e-9
+    cross = cross.join(apart, ["leader", "leader_b"], "left").filter(may).select("ngram", *alike, *[f"{c}_b" for c in alike])
+    one = own.select("ngram", *alike, F.col("id").alias("a"))
+    two = own.select("ngram", *[F.col(c).alias(f"{c}_b") for c in alike], F.col("id").alias("b"))
+    pairs = cross.join(one, ["ngram", *alike]).join(two, ["ngram", *[f"{c}_b" for c in alike]]).select("a", "b").distinct()
+    rest = _linked(_overlaps(pairs, segments), least, of)
     return stored(components(edges.union(rest)), "components")
 
 
@@ -334,18 +402,26 @@ def ngram_jaccard_components(
 ) -> DataFrame:
     """Group documents whose sets of word n-grams have a Jaccard similarity of ``least / of`` or more.
 
-    One row per id: id, n_shingles (size of the set), component_id (smallest id that links reach,
-    the document itself included). Texts that are null, empty or without words have an empty set
-    and link with nothing. Very long texts are taken whole. Repeated rows of one id count as one
-    document (the one with the largest set); rows without an id can't be named in a link and are
-    left out. Other columns of ``docs`` are not looked at. An empty table gives no rows.
+    One row per row of ``docs``: id, n_shingles (size of its set), component_id (smallest id that
+    links reach, the document itself included). Texts that are null, empty or without words have an
+    empty set and link with nothing. Very long texts are taken whole. Of repeated rows of one id the
+    one with the largest set links for that id, and all bear its component. Rows without an id can't
+    be named in a link: they link with nothing and have no component. Other columns of ``docs`` are
+    not looked at. An empty table gives no rows.
     """
-    counts = stored(ngram_counts(docs, size, id_col, text_col), "counts")
+    sets = stored(ngram_counts(docs, size, id_col, text_col), "sets")
+    counts = stored(_largest(sets), "counts")
     near = near_components(counts, docs, size, least, of, id_col, text_col).select(F.col("id").alias("first"), "component")
     # equal sets always link: those that occur more than once are looked up by their digest
     filled = counts.filter("n > 0")
     equal = filled.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
     out = counts.withColumn("digest", F.when(F.col("n") > 0, F.col("digest")))
     out = salted_join(out, equal, ["digest"], F.col("id")).withColumn("first", F.coalesce("first", "id"))
-    out = salted_join(out, near, ["first"], F.col("id"))
-    return out.select(F.col("id"), F.col("n").alias("n_shingles"), F.coalesce("component", "first").alias("component_id"))
+    out = salted_join(out, near, ["first"], F.col("id")).withColumn("component_id", F.coalesce("component", "first"))
+    one = out.filter("rows = 1").select("id", F.col("n").alias("n_shingles"), "component_id")
+    # repeated ids: every row has the size of its own set
+    many = sets.join(out.filter("rows > 1").select("id", "component_id"), "id")
+    many = many.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("id", F.col("n").alias("n_shingles"), "component_id")
+    nameless = docs.filter(F.col(id_col).cast("long").isNull()).select(text_col).mapInArrow(_sizes(size), "n_shingles long")
+    nameless = nameless.select(F.lit(None).cast("long").alias("id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return one.unionByName(many).unionByName(nameless)
