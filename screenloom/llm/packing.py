@@ -2,10 +2,14 @@
 
 Documents are cut only where they are longer than a sequence. The pieces are dealt over partitions
 by a hash, and each partition packs its own by best-fit decreasing. Dual-feasible functions then
-give a lower bound for the sequences that a partition needs. Where a partition uses more than its
-bound, or all partitions together use more than the bound of the whole corpus (which a histogram
-of lengths with one entry for each length gives), the sequences with most room are opened, their
-pieces exchanged between partitions by another hash, and best-fit decreasing runs again.
+give a lower bound for the sequences that a partition needs. A partition that uses no more is
+certified and closed for good. A partition with a gap keeps its fullest sequences and opens the
+others, the emptiest first, until what it keeps meets the bound of what it keeps and what it opens
+can gain a sequence; the opened pieces of all partitions with gaps are exchanged by another hash
+and packed by best-fit decreasing again, round after round, as long as that saves sequences. If
+all partitions then still use more than the bound of the whole corpus (a histogram with one entry
+for each length gives it), they exchange their emptiest sequences, one or a few each; all others
+stay as they are.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from functools import cache, partial
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
@@ -26,13 +31,6 @@ from screenloom.llm.common import stored
 
 #: About so many pieces are packed by one task.
 PARTITION_PIECES = 50_000
-#: Share of the sequences with room that a partition opens for an exchange, the emptiest first.
-OPENED = 0.02
-
-
-#: The splitting pattern of the byte-level pre-tokenizer (fixed by the vocabulary).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
 
 def byte_of_letter() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for: printable ones for themselves, the others from U+0100 on."""
@@ -53,23 +51,7 @@ def byte_level_encoding(path: str, special: bool = False) -> tiktoken.Encoding:
     added = {t["content"]: t["id"] for t in spec["added_tokens"]}
     letters = byte_of_letter()
     ranks = {bytes(map(letters.__getitem__, token)): i for token, i in spec["model"]["vocab"].items() if token not in added}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added if special else {})
-
-
-_PIECES = 50_000
-
-
-@cache
-def _chunk_encoder(path: str) -> ChunkEncoder:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def encode(texts: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return ChunkEncoder(encode)
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added if special else {})
 
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -154,7 +136,7 @@ def bins_needed(counts: np.ndarray) -> int:
     return best
 
 
-_PACKED = f"{_PIECES}, part long, bin long, offset long, fill long, bins long, bound long"
+_PACKED = f"{_PIECES}, part long, bin long, offset long, room long, room_before long, bins long, bound long"
 
 
 def _pack(capacity: int):
@@ -163,66 +145,80 @@ def _pack(capacity: int):
         lengths = pieces["length"].to_numpy(np.int64)
         bins, offsets, fill = best_fit_decreasing(lengths, capacity)
         bound = bins_needed(np.bincount(lengths, minlength=capacity + 1))
-        return pieces.assign(bin=bins, offset=offsets, fill=fill[bins], bins=len(fill), bound=bound)
+        emptiest = np.argsort(fill, kind="stable")
+        before = np.empty(len(fill), np.int64)
+        before[emptiest] = np.cumsum(capacity - fill[emptiest]) - (capacity - fill[emptiest])
+        return pieces.assign(bin=bins, offset=offsets, room=capacity - fill[bins], room_before=before[bins], bins=len(fill), bound=bound)
 
     return work
 
 
 def _dealt(pieces: DataFrame, turn: int, number: int, capacity: int) -> DataFrame:
-    """Deal ``number`` pieces over partitions by a hash of their own and pack each partition."""
+    """Deal ``number`` pieces over partitions by a hash of their own and pack each partition.
+
+    Each piece also gets its partition's sequences and bound, and how much room all emptier
+    sequences of the partition have together.
+    """
     parts = max(1, -(-number // PARTITION_PIECES))
     part = F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(parts))
     return pieces.withColumn("part", part).groupBy("part").applyInPandas(_pack(capacity), _PACKED)
 
 
-def pack_pieces(pieces: DataFrame, capacity: int, rounds: int = 6) -> tuple[DataFrame, dict]:
-    """``pieces`` with sequence_id and offset, and the certificate: sequences, lower bound, rounds.
+def pack_pieces(pieces: DataFrame, capacity: int, rounds: int = 8) -> tuple[DataFrame, dict]:
+    """``pieces`` with sequence_id, offset, partition_bins and partition_bound, and the certificate: sequences, lower bound, rounds, gaps.
 
-    A sequence_id names round, partition and bin. The order of equal pieces is by id, so that a
-    task that runs again packs the same way.
+    A sequence_id names round, partition and bin. partition_bins and partition_bound are those of the
+    partition that packed the sequence; where they are equal, it was certified. The order
+    of equal pieces is by id, so that a task that runs again packs the same way.
     """
     lengths = pieces.groupBy("length").count().collect()  # one row for each length up to the capacity
     counts = np.zeros(capacity + 1, np.int64)
     for row in lengths:
         counts[row["length"]] = row["count"]
-    bound, number, turn = bins_needed(counts), int(counts.sum()), 0
-    kept: list[DataFrame] = []
-    used = 0
-    packed = stored(_dealt(pieces, turn, number, capacity), "packed")
-    key = F.col("part") * (1 << 28) + F.col("bin")
+    bound, number = bins_needed(counts), int(counts.sum())
+    gap = F.col("bins") - F.col("bound")
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+    def closed(packed: DataFrame, turn: int) -> DataFrame:
+        key = F.col("part") * (1 << 28) + F.col("bin") + turn * (1 << 56)
+        return packed.select(*names, key.alias("sequence_id"), "offset", F.col("bins").alias("partition_bins"), F.col("bound").alias("partition_bound"))
+
+    packed, last, turn, wide, kept, used = stored(_dealt(pieces, 0, number, capacity), "packed"), 0, 0, 1, [], 0
+    corpus = False  # whether the gap of the corpus is looked at, once those of partitions are closed or can't be
     while True:
         parts = packed.groupBy("part").agg(F.first("bins").alias("bins"), F.first("bound").alias("bound"))
-        bins, gaps = parts.agg(F.coalesce(F.sum("bins"), F.lit(0)), F.coalesce(F.sum(F.col("bins") - F.col("bound")), F.lit(0))).first()
-        if used + bins <= bound or turn + 1 >= rounds:
-            break
-        # open the emptiest sequences of each partition: a small share of those with room, and all that are under three quarters full
-        rooms = packed.groupBy("part", "bin").agg(F.first("fill").alias("fill"), F.count(F.lit(1)).alias("n")).filter(F.col("fill") < capacity)
-        least = rooms.groupBy("part").agg(F.percentile_approx("fill", OPENED, 10_000).alias("least"))
-        wide = (F.col("fill") <= F.col("least")) | (F.col("fill") < capacity * 3 // 4)
-        opened = stored(rooms.join(least, "part").filter(wide).select("part", "bin", "fill", "n"), "opened")
-        open_bins, open_pieces, open_tokens = opened.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("fill"), F.lit(0))).first()
-        if open_bins < 2 or -(-open_tokens // capacity) >= open_bins:
+        bins, gaps = parts.agg(F.coalesce(F.sum("bins"), F.lit(0)), F.coalesce(F.sum(gap), F.lit(0))).first()
+        if not corpus and (gaps == 0 or wide > 2):
+            corpus, wide = True, 1
+        if used + bins <= bound or turn + 1 >= rounds or corpus and wide > 2:
             break
         turn += 1
-        inside = packed.join(opened.select("part", "bin"), ["part", "bin"], "left_semi").select("doc_id", "piece", "start", "length", "ids_crc32")
-        again = stored(_dealt(inside, turn, open_pieces, capacity), "packed")
+        if corpus:
+            opens = (F.col("room") > 0) & (F.col("room_before") <= capacity * (wide - 1))
+        else:
+            # what a partition opens has room for the sequences of its gap; twice as much after an exchange in vain
+            opens = (gap > 0) & (F.col("room_before") < gap * capacity * wide)
+        inside = packed.filter(opens)
+        open_bins, open_pieces = inside.agg(F.count_distinct("part", "bin"), F.count(F.lit(1))).first()
+        again = stored(_dealt(inside.select(*names), turn, open_pieces, capacity), "packed")
         fewer = again.select("part", "bin").distinct().count()
         if fewer >= open_bins:
-            break  # the exchange closed no gap: what was packed before stands
-        closed = packed.join(opened.select("part", "bin"), ["part", "bin"], "left_anti")
-        kept.append(closed.withColumn("sequence_id", key + (turn - 1) * (1 << 56)))
+            wide *= 2
+            continue
+        kept.append(closed(packed.filter(~opens), last))
         used += bins - open_bins
-        packed, last = again, turn
-    out = packed.withColumn("sequence_id", key + (0 if not kept else last) * (1 << 56))
+        packed, last, wide = again, turn, 1
+    out = closed(packed, last)
     for other in kept:
         out = out.unionByName(other)
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"), {"sequences": used + bins, "bound": bound, "rounds": turn + 1, "gaps": gaps}
+    return out, {"sequences": used + bins, "bound": bound, "rounds": turn + 1, "gaps": gaps}
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", special: bool = False) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
-    One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Null text
+    One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the certificate
+    partition_bins, partition_bound (see :func:`pack_pieces`). Null text
     counts as empty and is ``end_id`` alone. Very long texts are cut, others never. Repeated rows
     are packed as often as they occur; a null id is kept as null. Other columns of ``docs`` are not
     looked at. An empty table gives no rows. ``special`` as for :func:`token_pieces`.

@@ -268,3 +268,42 @@ def test_bpe_of_odd_tables(spark):
     ranks = read_ranks(MULTI)
     want = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert len(out) == 5 and all(r.ids == want.encode_ordinary(r.text or "") and bytes(r.decoded).decode() == (r.text or "") for r in out)
+
+
+def test_certified_partitions_stay_and_planted_gaps_close(spark, monkeypatch):
+    """Full sequences of partitions that meet their bound never move; those with a gap exchange pieces."""
+    monkeypatch.setattr(packing, "PARTITION_PIECES", 12)
+    number = 96
+    part = F.pmod(F.xxhash64("doc_id", F.lit(0).cast("int"), F.lit(0)), F.lit(number // 12))
+    dealt = collections.defaultdict(list)
+    for r in spark.range(number).withColumnRenamed("id", "doc_id").select("doc_id", part.alias("part")).collect():
+        dealt[r.part].append(r.doc_id)
+    # best fit decreasing needs three sequences of 2000 for this, two would do
+    gap = [800, 800, 600, 600, 600, 600]
+    rows, certified = [], set()
+    for p, ids in dealt.items():
+        lengths = gap + [2000] * (len(ids) - 6) if p % 2 and len(ids) >= 6 else [1000] * (len(ids) // 2 * 2) + [2000] * (len(ids) % 2)
+        certified |= {i for i, n in zip(ids, lengths, strict=True) if 1000 in lengths}
+        rows += [(i, 0, 0, n, 0) for i, n in zip(ids, lengths, strict=True)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out, proof = packing.pack_pieces(pieces, 2000)
+    placed = out.collect()
+    assert sorted(r.doc_id for r in placed) == list(range(number)) and proof["rounds"] > 1
+    by = {r.doc_id: r for r in placed}
+    for ids in dealt.values():
+        if set(ids) <= certified:
+            assert all(by[i].sequence_id < 1 << 56 and by[i].partition_bins == by[i].partition_bound == -(-len(ids) // 2) for i in ids)
+    moved = {r.doc_id for r in placed if r.sequence_id >= 1 << 56}
+    gaps = sum(p % 2 and len(ids) >= 6 for p, ids in dealt.items())
+    assert moved and not moved & certified and gaps >= 2
+    alone = sum(len(packing.best_fit_decreasing(np.array([n for i, _, _, n, _ in rows if i in ids]), 2000)[2]) for ids in dealt.values())
+    assert proof["bound"] <= len({r.sequence_id for r in placed}) == proof["sequences"] < alone
+
+
+def test_packing_of_odd_tables(spark):
+    rows = [(1, "a b", 5, "x"), (1, "a b", 6, "y"), (None, "c", 7, "z"), (None, None, None, None), (2, "word " * 9000, 1, "q")]
+    out = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string, piece int, sequence_id string"), JSON).collect()
+    count = collections.Counter(r.doc_id for r in out)
+    assert count[1] == 2 and count[None] == 2 and count[2] == 5
+    places = [(r.sequence_id, r.offset) for r in out]
+    assert len(set(places)) == len(places) and sum(r.length for r in out if r.doc_id == 2) == 9002
