@@ -2,38 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenloom.operators.iterate import new_folder, saved
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, which driver and executors share.
+    """The folder that driver and executors share."""
+    return new_folder(spark, "").split("/screenloom/")[0]
 
-    Only a local session may lack the setting (as in tests); it then gets a new temporary folder.
-    """
-    sc = spark.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if where is None:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        where = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(where)
-    return where.rstrip("/")
 
+#: Write a result as Parquet in the shared folder and read it back; this cuts the lineage.
+stored = saved
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage: what was computed survives the loss of executors. The files stay until the
-    owner of the shared folder clears it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/screenloom/{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def unused_prefix(df: DataFrame) -> str:
+    """Underscores with which no column of ``df`` begins, so that no name with them is taken."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in df.columns), default=0))
+
+
+def without(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` without the columns of these names, in any letter case."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
 
 
 def salted_join(
@@ -44,6 +35,7 @@ def salted_join(
     ``small`` has at most one row for a key; each of its rows is sent ``salts`` times.
     ``spread`` is an expression over ``large`` that varies within a key (an id).
     """
-    left = large.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    salt = unused_prefix(large) + unused_prefix(small) + "salt"
+    left = large.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, salt], how).drop(salt)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenloom.llm.common import salted_join
+from screenloom.llm.common import salted_join, unused_prefix, without
 
 #: ASCII white space, as a Java regular expression.
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -43,27 +43,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFrame:
-    """All columns of ``docs`` with _keep_id, _group_size, _kept and _text_sha256."""
-    text = normalised(F.col(text_col))
-    rows = docs.withColumns(
-        {"_text_sha256": F.sha2(text, 256), "_check": F.xxhash64(text), "_length": F.length(text)}
-    )
+def _labelled(docs: DataFrame, id_col: str, text_col: str, salts: int) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` with keep_id, group_size, kept and text_sha256, and the prefix that these names bear."""
+    m, text = unused_prefix(docs), normalised(F.col(text_col))
+    rows = docs.withColumns({f"{m}text_sha256": F.sha2(text, 256), f"{m}check": F.xxhash64(text), f"{m}length": F.length(text)})
     # only texts that occur more than once need to be looked up
     copies = exact_groups(docs, id_col, text_col, salts).filter("group_size > 1").select(
-        F.col("text_sha256").alias("_text_sha256"),
-        "_check",
-        "_length",
-        F.col("keep_id").alias("_keep_id"),
-        F.col("group_size").alias("_group_size"),
-    )
-    out = salted_join(rows, copies, ["_text_sha256", "_check", "_length"], F.col(id_col), "left", salts)
-    own = F.when(F.col("_group_size").isNull(), F.col(id_col)).otherwise(F.col("_keep_id"))
-    return (
-        out.withColumn("_keep_id", own)
-        .withColumn("_group_size", F.coalesce("_group_size", F.lit(1).cast("long")))
-        .withColumn("_kept", F.col(id_col).eqNullSafe(F.col("_keep_id")))
+        F.col("text_sha256").alias(f"{m}text_sha256"),
+        F.col("_check").alias(f"{m}check"),
+        F.col("_length").alias(f"{m}length"),
+        F.col("keep_id").alias(f"{m}keep_id"),
+        F.col("group_size").alias(f"{m}group_size"),
     )
+    out = salted_join(rows, copies, [f"{m}text_sha256", f"{m}check", f"{m}length"], F.col(id_col), "left", salts)
+    own = F.when(F.col(f"{m}group_size").isNull(), F.col(id_col)).otherwise(F.col(f"{m}keep_id"))
+    out = out.withColumn(f"{m}keep_id", own).withColumn(f"{m}group_size", F.coalesce(f"{m}group_size", F.lit(1).cast("long")))
+    return out.withColumn(f"{m}kept", F.col(id_col).eqNullSafe(F.col(f"{m}keep_id"))), m
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
@@ -72,15 +67,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of equal texts the row with the smallest id stays. Null text counts as empty; very long texts
     are compared whole. Repeated rows of the smallest id are all labelled kept, since no value
     tells them apart. Rows with a null id stay only where a group has no other id. Columns of
-    ``docs`` that bear the names of the four results are replaced. An empty table gives no rows.
+    ``docs`` that bear the names of the four results are replaced, all others pass through. An empty
+    table gives no rows. Groups are formed by full content; a row then finds its group by SHA-256,
+    a second hash of 64 bits and the length.
     """
     names = ["keep_id", "group_size", "kept", "text_sha256"]
-    out = _labelled(docs, id_col, text_col, salts)
-    return out.select(
-        *[c for c in docs.columns if c not in names], *[F.col(f"_{c}").alias(c) for c in names]
-    )
+    out, m = _labelled(docs, id_col, text_col, salts)
+    return out.select(*without(docs, names).columns, *[F.col(f"{m}{c}").alias(c) for c in names])
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` labels kept, with the columns of ``docs``."""
-    return _labelled(docs, id_col, text_col, salts).filter("_kept").select(*docs.columns)
+    out, m = _labelled(docs, id_col, text_col, salts)
+    return out.filter(f"{m}kept").select(*docs.columns)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from screenloom.llm.common import unused_prefix, without
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -162,13 +164,14 @@ def labelled_windows(docs: DataFrame, per_language: int = 400, per_text: int = 4
     fewer texts of each are taken, so that the sample stays under 64,000 windows.
     """
     rows = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
+    mark = unused_prefix(docs)
     counts = {r[lang_col]: r["count"] for r in docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()}
     if not counts:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
     each = max(1, min(per_language, 16_000 // len(counts)))
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, 1.5 * each / n))).otherwise(share)
+    # a small table, however many labels there are, instead of a case for each
+    shares = docs.sparkSession.createDataFrame([(lang, min(1.0, 1.5 * each / n)) for lang, n in counts.items()], f"`{mark}lang` string, `{mark}share` double")
+    rows = rows.join(shares, F.col(lang_col) == F.col(f"{mark}lang"))
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +181,7 @@ def labelled_windows(docs: DataFrame, per_language: int = 400, per_text: int = 4
             data = pa.array([p[i].tobytes() for p, i in zip(parts, picked, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], ["draw", "lang", "data"])
 
-    sample = rows.filter(draw < share).select(draw.alias("draw"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sample = rows.filter(draw < F.col(f"{mark}share")).select(draw.alias("draw"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     got = sorted((r["draw"], r["lang"], bytes(r["data"])) for r in sample.mapInArrow(cut, "draw double, lang string, data binary").collect())
     taken, languages = dict.fromkeys(sorted(counts), 0), sorted(counts)
     examples, targets = [], []
@@ -201,7 +204,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Dat
     of a text, the text is ``und`` with that score. Very long texts have more windows; all bytes are looked at. Existing columns named
     lang_pred and score are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = without(docs, ["lang_pred", "score"])
     if net is None:
         return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
     at = docs.columns.index(text_col)
@@ -209,7 +212,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Dat
     known = len(net.languages) - (net.languages[-1] == UNKNOWN)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     # no window of a text without letters is looked at
-    lettered = docs.withColumn("_lettered", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
+    lettered = docs.withColumn(unused_prefix(docs) + "lettered", F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,39 +4,59 @@ Detected entities (e-mail and IP addresses, phone, card, social security and acc
 secrets, names of persons) get replacements of the same type and format, derived from a secret key
 and the entity alone: one entity has the same surrogate wherever it occurs, in any letter case or
 grouping of digits. Surrogates of all entities of the corpus are checked against each other and
-against the entities; of those that collide all but one are derived anew until none does.
+against the entities; of those that collide all but one are derived anew until none does. Card and
+account numbers must bear their checksum to be taken as such, and so do their surrogates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm.common import salted_join, stored
+from screenloom.llm.common import salted_join, stored, unused_prefix, without
 
 # Forms of address and given names by gender and script, syllables for surnames.
 TITLES_MALE = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин"]
 TITLES_FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Señora", "Госпожа"]
 NAMES = {
-    ("male", "latin"): ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Hans", "Jürgen", "Pierre", "Jean", "Louis", "José", "Carlos", "Juan"],
-    ("female", "latin"): ["Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Susan", "Sarah", "Anna", "Ursula", "Petra", "Marie", "Claire", "Sophie", "María", "Carmen", "Lucía"],
+    ("male", "latin"): [
+        "James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles", "Daniel", "Matthew", "Anthony", "Mark", "Paul", "Steven", "Andrew",
+        "George", "Edward", "Kevin", "Brian", "Peter", "Hans", "Jürgen", "Klaus", "Wolfgang", "Stefan", "Uwe", "Pierre", "Jean", "Louis", "François", "Philippe", "José", "Carlos",
+        "Juan", "Luis", "Miguel", "Javier", "Pedro",
+    ],
+    ("female", "latin"): [
+        "Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Sarah", "Karen", "Nancy", "Lisa", "Margaret", "Alice", "Emily", "Emma", "Laura", "Julia",
+        "Anna", "Ursula", "Petra", "Monika", "Sabine", "Maria", "Marie", "Claire", "Sophie", "Camille", "Hélène", "Isabelle", "María", "Carmen", "Lucía", "Ana", "Elena", "Rosa",
+    ],
     ("male", "cyrillic"): ["Иван", "Пётр", "Сергей", "Алексей", "Дмитрий", "Николай", "Андрей", "Михаил"],
     ("female", "cyrillic"): ["Анна", "Мария", "Елена", "Ольга", "Наталья", "Ирина", "Татьяна", "Светлана"],
 }
+#: Accented letters that are often written without their accent.
+PLAIN = {"á": "a", "é": "e", "è": "e", "í": "i", "ü": "u", "ñ": "n", "ç": "c", "ё": "е"}
 SYLLABLES = {
     "latin": ["bar", "ben", "cal", "dor", "fel", "gan", "hol", "kem", "lin", "mar", "nor", "pel", "ros", "sten", "tal", "wen"],
     "cyrillic": ["бар", "вол", "гор", "дан", "зор", "кал", "лом", "мир", "нов", "пет", "род", "сав", "тим", "фед", "хар", "яр"],
 }
 
 _L, _R = "(?<![\\p{L}\\p{N}])", "(?![\\p{L}\\p{N}])"
-_TITLE = "(?:" + "|".join(TITLES_MALE + TITLES_FEMALE) + ")"
-_GIVEN = "(?:" + "|".join(n for names in NAMES.values() for n in names) + ")"
+
+
+
+def _any_of(names: list[str]) -> str:
+    """A pattern for any of these names, with or without their accents."""
+    return "(?:" + "|".join("".join(f"[{c}{PLAIN[c]}]" if c in PLAIN else c for c in n) for n in names) + ")"
+
+
+_TITLE = _any_of(["Dr", "Prof", *TITLES_MALE, *TITLES_FEMALE])
+_GIVEN = _any_of([n for names in NAMES.values() for n in names])
+_OCTET, _H = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])", "[0-9A-Fa-f]{1,4}"
 _WORD = "\\p{Lu}\\p{Ll}+"
 PATTERNS = {
     "email": "(?<![\\p{L}\\p{N}._%+-])[\\p{L}\\p{N}][\\p{L}\\p{N}._%+-]*+@[\\p{L}\\p{N}-]+(?:\\.[\\p{L}\\p{N}-]+)*\\.[A-Za-z]{2,}",
     "secret": _L + "(?:[0-9a-fA-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|xox[abp]-[A-Za-z0-9-]{10,})" + _R
     + "|(?<=(?i:token|secret|password|passwd|api_key|apikey)\\s?[=:]\\s?[\"'])[^\"'\\s]{8,}",
-    "ip": "(?<![\\p{L}\\p{N}.])(?:[0-9]{1,3}\\.){3}[0-9]{1,3}(?![0-9]|\\.[0-9])",
+    "ip": f"(?<![\\p{{L}}\\p{{N}}.])(?:{_OCTET}\\.){{3}}{_OCTET}(?![0-9]|\\.[0-9])",
+    "ipv6": f"(?<![\\p{{L}}\\p{{N}}:.])(?=[A-Fa-f:]*[0-9])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{1,6}}(?::{_H}){{1,6}}|(?:{_H}:){{2,6}}:)(?![\\p{{L}}\\p{{N}}:])",
     "iban": _L + "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _R,
     "ssn": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": "\\+[0-9]{1,3}[ .-]?\\(?[0-9]{2,4}\\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9.-])(?:\\([0-9]{3}\\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])",
@@ -61,21 +81,48 @@ def _kind(entity: Column) -> Column:
 
 
 def _gender(entity: Column) -> Column:
-    female = "|".join(TITLES_FEMALE + NAMES["female", "latin"] + NAMES["female", "cyrillic"])
-    return F.when(entity.rlike(f"^(?:{female})[. ]"), "female").otherwise("male")
+    female = _any_of([*TITLES_FEMALE, *NAMES["female", "latin"], *NAMES["female", "cyrillic"]])
+    return F.when(entity.rlike(f"^(?:(?:Dr|Prof)\\.? )?{female}[. ]"), "female").otherwise("male")
+
+
+def _chars(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def _luhn(digits: Column) -> Column:
+    """The Luhn sum of a string of digits, modulo 10: 0 for card numbers."""
+    twice = lambda c, i: F.when(i % 2 == 1, c * 2 - F.when(c > 4, 9).otherwise(0)).otherwise(c)
+    values = F.transform(F.transform(_chars(F.reverse(digits)), lambda c: c.cast("int")), twice)
+    return F.aggregate(values, F.lit(0), lambda x, y: x + y) % 10
+
+
+def _mod97(account: Column) -> Column:
+    """An account number with its first four characters moved to the end, modulo 97: 1 where its check digits hold."""
+    moved = F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))
+    step = lambda x, c: F.when(c.rlike("[0-9]"), x * 10 + c.cast("int")).otherwise(x * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(_chars(moved), F.lit(0), step)
+
+
+def _holds(kind: Column, entity: Column) -> Column:
+    """Whether an entity of a kind with a checksum bears it."""
+    digits = F.regexp_replace(entity, "[^0-9]", "")
+    return F.when(kind == "card", _luhn(digits) == 0).when(kind == "iban", _mod97(F.regexp_replace(entity, " ", "")) == 1).otherwise(F.lit(True))
 
 
 def _canonical(kind: Column, entity: Column) -> Column:
     """What all mentions of one entity share."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
+    # numbers of country 1 are often written without it
+    north = entity.rlike("^\\+1[^0-9]") & (F.length(digits) == 11)
     country = F.coalesce(F.nullif(F.length(F.regexp_extract(entity, "^\\+([0-9]{1,3})", 1)), F.lit(0)), F.lit(0))
     names = F.lower(F.regexp_replace(entity, f"^{_TITLE}\\.? ", ""))
     return (
         F.when(kind.isin("card", "ssn"), digits)
+        .when((kind == "phone") & north, F.concat(F.lit("0:"), F.substring(digits, 2, 10)))
         .when(kind == "phone", F.concat(country.cast("string"), F.lit(":"), digits))
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "person", F.concat(_gender(entity), F.lit(":"), names))
-        .when((kind == "email") | entity.rlike("^[0-9a-fA-F]{32,64}$"), F.lower(entity))
+        .when(kind.isin("email", "ipv6") | entity.rlike("^[0-9a-fA-F]{32,64}$"), F.lower(entity))
         .otherwise(entity)
     )
 
@@ -134,12 +181,17 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     longer = F.when(attempt > 3, F.substring(digest, F.lit(60), attempt)).otherwise("")
     # so do the letters and digits of a masked secret: later attempts replace its other characters, and the first one if there is nothing else
     wide = (attempt > 3) | ~canonical.rlike("[0-9\\p{L}]")
+    card = _same_shape(canonical, digest, F.lit(1))
+    card = F.substring(card, F.lit(1), F.length(card) - 1)
+    account = F.concat(F.substring(canonical, 1, 2), F.lit("00"), F.substring(_same_shape(canonical, digest, F.lit(2)), F.lit(5), F.length(canonical)))
+    address = F.array_join(F.transform(_chars(canonical), lambda c, i: F.when(c == ":", c).otherwise(F.substring(digest, i + 1, F.lit(1)))), "")
     return (
         F.when(kind == "email", F.concat(longer, _same_shape(body, digest, F.lit(0)), tld))
         .when(kind == "ip", F.concat_ws(".", octet(0), octet(1), octet(2), octet(3)))
         .when(kind == "phone", F.concat(F.substring_index(canonical, ":", 1), F.lit(":"), _same_shape(number, digest, F.substring_index(canonical, ":", 1).cast("int"))))
-        .when(kind == "card", _same_shape(canonical, digest, F.lit(1)))
-        .when(kind == "iban", _same_shape(canonical, digest, F.lit(2)))
+        .when(kind == "ipv6", address)
+        .when(kind == "card", F.concat(card, F.pmod(10 - _luhn(F.concat(card, F.lit("0"))), F.lit(10)).cast("string")))
+        .when(kind == "iban", F.concat(F.substring(account, 1, 2), F.lpad((98 - _mod97(account)).cast("string"), 2, "0"), F.substring(account, F.lit(5), F.length(account))))
         .when(kind == "person", F.concat(F.substring_index(canonical, ":", 1), F.lit(":"), person))
         .when((kind == "secret") & canonical.rlike("^[0-9a-f]{32,64}$"), hexadecimal)
         .otherwise(_same_shape(canonical, digest, F.lit(0), wide & (kind == "secret")))
@@ -149,6 +201,8 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
 def _written(kind: Column, entity: Column, surrogate: Column) -> Column:
     """The surrogate as this mention writes its entity: its case, its grouping, its form of address."""
     number = F.substring_index(surrogate, ":", -1)
+    digits = F.length(F.regexp_replace(entity, "[^0-9]", ""))
+    number = F.when((kind == "phone") & surrogate.startswith("0:") & (digits == 11), F.concat(F.lit("1"), number)).otherwise(number)
 
     def digit(c: Column, i: Column) -> Column:
         n = F.length(F.regexp_replace(F.substring(entity, F.lit(1), i + 1), "[^0-9]", ""))
@@ -165,7 +219,7 @@ def _written(kind: Column, entity: Column, surrogate: Column) -> Column:
         F.when(kind.isin("phone", "card", "ssn"), F.array_join(F.transform(chars, digit), ""))
         .when(kind == "iban", F.array_join(F.transform(chars, grouped), ""))
         .when(kind == "person", F.concat(title, number))
-        .when(kind.isin("email", "secret") & upper & entity.rlike("^[0-9a-fA-F]{32,64}$|@"), F.upper(surrogate))
+        .when(kind.isin("email", "ipv6", "secret") & upper & entity.rlike("^[0-9a-fA-F]{32,64}$|[@:]"), F.upper(surrogate))
         .otherwise(surrogate)
     )
 
@@ -191,7 +245,9 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 30) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {rounds} rounds; some type has more entities than replacements")
 
 
-_KEYS = ["_k1", "_k2", "_k3"]
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret key, from spark.screenloom.surrogateKey. Without it a known one is used: fit for tests only."""
+    return spark.conf.get("spark.screenloom.surrogateKey", "no secret")
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,20 +258,26 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     whole. A column named n_entities is replaced, others pass through. An empty table gives no rows.
     """
     text = F.col(text_col)
-    keyed = docs.drop("n_entities").withColumns({"_k1": F.xxhash64(text), "_k2": F.hash(text), "_k3": F.length(text)})
+    mark = unused_prefix(docs)
+    keys, new = [f"{mark}k{i}" for i in range(3)], f"{mark}new"
+    keyed = without(docs, ["n_entities"]).withColumns(dict(zip(keys, (F.xxhash64(text), F.hash(text), F.length(text)), strict=True)))
     # a text is looked at once, however many copies it has
-    found = keyed.select(*_KEYS, _matches(text).alias("found")).filter(F.size("found") > 0)
-    found = found.groupBy(*_KEYS).agg(F.first("found").alias("found"))
-    mentions = found.select(*_KEYS, F.posexplode("found").alias("place", "entity")).withColumn("kind", _kind(F.col("entity")))
-    mentions = stored(mentions.withColumn("canonical", _canonical(F.col("kind"), F.col("entity"))), "mentions")
-    chosen = surrogates(mentions, key)
-    written = salted_join(mentions, chosen, ["kind", "canonical"], F.col("_k1"), "inner")
-    written = written.select(*_KEYS, "place", _written(F.col("kind"), F.col("entity"), F.col("surrogate")).alias("new"))
-    written = written.groupBy(*_KEYS).agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"))
-    out = salted_join(keyed, written, _KEYS, F.col(id_col))
+    found = keyed.select(*keys, _matches(text).alias("found")).filter(F.size("found") > 0)
+    found = found.groupBy(*keys).agg(F.first("found").alias("found"))
+    mentions = found.select(*keys, F.posexplode("found").alias("place", "entity")).withColumn("kind", _kind(F.col("entity")))
+    mentions = mentions.withColumn("kind", F.when(_holds(F.col("kind"), F.col("entity")), F.col("kind")))
+    mentions = stored(mentions.withColumn("canonical", F.when(F.col("kind").isNotNull(), _canonical(F.col("kind"), F.col("entity")))), "mentions")
+    chosen = surrogates(mentions.filter("kind is not null"), key)
+    written = salted_join(mentions, chosen, ["kind", "canonical"], F.col(keys[0]))
+    # what only looks like an entity is put back as it is
+    again = F.coalesce(_written(F.col("kind"), F.col("entity"), F.col("surrogate")), F.col("entity"))
+    written = written.select(*keys, F.struct("place", again.alias("new"), F.col("kind").isNotNull().cast("long").alias("is_entity")).alias("mention"))
+    written = written.groupBy(*keys).agg(F.sort_array(F.collect_list("mention")).alias(new))
+    out = salted_join(keyed, written, keys, F.col(id_col))
     between = F.split(text, ENTITY, -1)
-    new = F.concat(F.transform("_new", lambda x: x["new"]), F.array(F.lit("")))
-    replaced = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, b)), "")
-    return out.withColumns(
-        {text_col: F.when(F.col("_new").isNull(), text).otherwise(replaced), "n_entities": F.coalesce(F.size("_new"), F.lit(0)).cast("long")}
-    ).select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
+    news = F.concat(F.transform(new, lambda x: x["new"]), F.array(F.lit("")))
+    replaced = F.array_join(F.zip_with(between, news, lambda a, b: F.concat(a, b)), "")
+    number = F.aggregate(new, F.lit(0).cast("long"), lambda n, x: n + x["is_entity"])
+    return out.withColumns({text_col: F.when(F.col(new).isNull(), text).otherwise(replaced), "n_entities": F.coalesce(number, F.lit(0).cast("long"))}).select(
+        *without(docs, ["n_entities"]).columns, "n_entities"
+    )

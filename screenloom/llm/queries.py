@@ -14,7 +14,7 @@ from screenloom.llm.licenses import TEMPLATES, scan_licenses
 from screenloom.llm.line_dedup import drop_boilerplate
 from screenloom.llm.ngram_join import ngram_jaccard_components
 from screenloom.llm.packing import pack_documents
-from screenloom.llm.pii import replace_entities
+from screenloom.llm.pii import replace_entities, surrogate_key
 from screenloom.llm.warc import page_table, read_archives, write_archives
 
 
@@ -69,7 +69,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return replace_entities(docs, key="screenloom").select("doc_id", "n_entities", "text")
+    return replace_entities(docs, key=surrogate_key(spark)).select("doc_id", "n_entities", "text")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -307,3 +307,47 @@ def test_packing_of_odd_tables(spark):
     assert count[1] == 2 and count[None] == 2 and count[2] == 5
     places = [(r.sequence_id, r.offset) for r in out]
     assert len(set(places)) == len(places) and sum(r.length for r in out if r.doc_id == 2) == 9002
+
+
+def luhn_holds(digits):
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def account_holds(text):
+    text = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def test_numbers_keep_their_checksums(spark):
+    cards = ["4785380592391139", "4737 0976 8429 9439", "378282246310005"]
+    accounts = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR1420041010050500013M02606"]
+    plain = ["2123465659789240", "DE88 3704 0044 0532 0130 00", "999.1.1.1", "1.2.3.4.5", "std::vector", "10:30:45", "at 12::"]
+    rows = [(i, f"see {t} here") for i, t in enumerate([*cards, *accounts, *plain])]
+    out = {r.doc_id: r for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, (_, before) in enumerate(rows):
+        after = out[i].text
+        if i < 6:
+            new = after[4:-5]
+            assert out[i].n_entities == 1 and new != before[4:-5] and [c == " " for c in new] == [c == " " for c in before[4:-5]]
+            assert luhn_holds(new.replace(" ", "")) if i < 3 else account_holds(new) and new[:2] == before[4:6]
+        else:
+            assert (out[i].n_entities, after) == (0, before)
+
+
+def test_addresses_names_and_phones(spark):
+    texts = [
+        "host 2001:db8::8a2e:370:7334 and 2001:DB8::8A2E:370:7334, fe80:0:0:0:1:2:3:4 there",
+        "Dr. Alice Walker, Alice Walker; Maria Keller and María Keller; Jose Pérez, José Pérez",
+        "call +1 (407) 555-7710 or (407) 555-7710 or 407-555-7710, not +44 20 7946 0958",
+    ]
+    out = {r.doc_id: r for r in replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()}
+    a, rest = out[0].text[5:].split(" and ")
+    b, c = rest.removesuffix(" there").split(", ")
+    assert out[0].n_entities == 3 and a.upper() == b and a != "2001:db8::8a2e:370:7334" and [x == ":" for x in a] == [x == ":" for x in "2001:db8::8a2e:370:7334"]
+    assert c.count(":") == 7 and c != "fe80:0:0:0:1:2:3:4"
+    assert out[1].n_entities == 6 and not any(n in out[1].text for n in ("Walker", "Keller", "Pérez"))
+    doctor, alice = out[1].text.split("; ")[0].split(", ")
+    assert doctor == f"Dr. {alice}"
+    one, two, three = out[2].text[5:].split(", not")[0].split(" or ")
+    digits = [[x for x in n if x.isdigit()] for n in (one, two, three)]
+    assert out[2].n_entities == 4 and digits[0] == ["1", *digits[1]] and digits[1] == digits[2] and one.startswith("+1 (") and "407" not in two[:6]
