@@ -15,7 +15,7 @@ from screenloom.llm.line_dedup import drop_boilerplate
 from screenloom.llm.ngram_join import ngram_jaccard_components
 from screenloom.llm.packing import pack_documents
 from screenloom.llm.pii import replace_entities, surrogate_key
-from screenloom.llm.warc import page_table, read_archives, write_archives
+from screenloom.llm.warc import archived_pages, write_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +75,7 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return page_table(read_archives(spark, write_archives(pages)))
+    return archived_pages(spark, write_archives(pages))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,13 @@ Writing. Each task rolls files of about ``fileBytes`` bytes. A file counts only
 committed, by a manifest that lists the files of the tasks that succeeded; files of tasks that ran
 twice are never read. Headers are plain; the payload is an HTTP entity with Content-Encoding gzip.
 
-Reading. Files become partitions. Predicates on record type and on header columns are pushed down
-and tested as soon as a record's headers are parsed; the payload of a record that fails, and all
-payloads with option payload=false, are skipped over without being decoded.
+Reading. Files (plain, or with one gzip member per record) become partitions, also those in
+subfolders. With option splitBytes a larger plain file becomes several, each reading the records
+that begin in its range; where they do is seen from an empty line and a record's headers, so leave
+it off (the default) if payloads may quote whole records uncompressed. Predicates on record type and on header columns are pushed down and tested as
+soon as a record's headers are parsed; the payload of a record that fails, and all payloads with
+option payload=false, are skipped over without being decoded. Bytes that aren't a whole record give
+a row with a status, and reading goes on at the next record.
 """
 
 from __future__ import annotations
@@ -49,8 +53,8 @@ HEADERS = {
     "payload_digest": "WARC-Payload-Digest",
     "refers_to": "WARC-Refers-To",
 }
-SCHEMA = ", ".join(f"{c} string" for c in HEADERS) + ", payload_length long, payload binary"
-ARROW = pa.schema([*((c, pa.string()) for c in HEADERS), ("payload_length", pa.int64()), ("payload", pa.binary())])
+SCHEMA = ", ".join(f"{c} string" for c in HEADERS) + ", payload_length long, payload binary, status string"
+ARROW = pa.schema([*((c, pa.string()) for c in HEADERS), ("payload_length", pa.int64()), ("payload", pa.binary()), ("status", pa.string())])
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _UNSAFE = re.compile("[\x00-\x20\x7f%]")
 
@@ -105,29 +109,152 @@ def _block(stream) -> list[bytes] | None:
             return lines
 
 
-def read_records(stream, wanted, with_payload: bool) -> Iterator[dict]:
-    """The records of one archive for which ``wanted(row)`` holds; ``row`` has the header columns."""
-    while (lines := _block(stream)) is not None:
+_BEGIN = b"WARC/1."
+
+
+def _row(head: dict[str, str]) -> dict:
+    return {c: _unescaped(head[h.lower()]) if h.lower() in head else None for c, h in HEADERS.items()}
+
+
+def read_records(stream, wanted, with_payload: bool, stop: int | None = None, strict: bool = True) -> Iterator[dict]:
+    """The records of one archive for which ``wanted(row)`` holds; ``row`` has the header columns.
+
+    Only records that begin before ``stop`` are read. ``status`` is null for a whole record, and else
+    says what is wrong: "length" (no valid Content-Length; the next line that begins a record is
+    looked for), "cut" (the file ends first) or "payload" (its coding is broken; an error if ``strict``).
+    """
+    while stop is None or stream.tell() < stop:
+        begin = stream.tell()
+        if (lines := _block(stream)) is None:
+            if stream.tell() - begin > 4:
+                yield dict.fromkeys(ARROW.names) | {"status": "cut"}
+            return
         head = _headers(lines[1:])
-        row = {c: _unescaped(head[h.lower()]) if h.lower() in head else None for c, h in HEADERS.items()}
-        length = int(head["content-length"])
+        row = dict.fromkeys(ARROW.names) | {c: _unescaped(head[h.lower()]) if h.lower() in head else None for c, h in HEADERS.items()}
+        length = _number(head.get("content-length"))
+        if length is None or not lines[0].startswith(_BEGIN):
+            if wanted(row):
+                yield row | {"status": "length"}
+            _next_record(stream)
+            continue
         if not wanted(row):
             stream.seek(length, 1)
             continue
-        end = stream.tell() + length
-        row |= {"payload_length": length, "payload": None}
+        row["payload_length"], first, coding = length, b"", None
         if head.get("content-type", "").startswith("application/http"):
-            http = _headers((_block(stream) or [b""])[1:])
-            row["payload_length"] = int(http.get("x-payload-length", http.get("content-length", 0)))
-            if with_payload and row["warc_type"] != "revisit":
-                data = stream.read(end - stream.tell())
-                row["payload"] = zlib.decompress(data, 31) if http.get("content-encoding") == "gzip" else data
-        elif with_payload:
-            row["payload"] = stream.read(length)
-        stream.seek(end)
+            first = stream.read(min(length, 1 << 16))
+            block, _, body = first.partition(b"\r\n\r\n")
+            http = _headers(block.split(b"\r\n")[1:])
+            length, first, coding = length - len(first) + len(body), body, http.get("content-encoding")
+            row["payload_length"] = _number(http.get("x-payload-length", http.get("content-length"))) or 0
+        if with_payload and row["warc_type"] != "revisit":
+            data = first + stream.read(length - len(first))
+            if len(data) < length:
+                row["status"] = "cut"
+            elif coding == "gzip":
+                row["payload"], row["status"] = _decoded(data, strict)
+            else:
+                row["payload"] = data
+        else:
+            stream.seek(length - len(first), 1)
         yield row
 
 
+def _number(value: str | None) -> int | None:
+    return int(value) if value is not None and value.isascii() and value.isdigit() else None
+
+
+def _decoded(data: bytes, strict: bool) -> tuple[bytes | None, str | None]:
+    """What was packed, and a status if the coding is broken."""
+    try:
+        return zlib.decompress(data, 31), None
+    except zlib.error:
+        if strict:
+            raise
+        return None, "payload"
+
+
+def _next_record(stream) -> None:
+    """Move to the next line that begins a record, or to the end."""
+    while True:
+        at = stream.tell()
+        line = stream.readline()
+        if not line:
+            return
+        if line.startswith(_BEGIN):
+            stream.seek(at)
+            return
+
+
+def read_members(stream, wanted, with_payload: bool) -> Iterator[dict]:
+    """Like :func:`read_records` for an archive in gzip, usually with a member for each record."""
+    plain = _Unpacked(stream)
+    yield from read_records(plain, wanted, with_payload, strict=False)
+    if plain.broken:
+        yield dict.fromkeys(ARROW.names) | {"status": "cut"}
+
+
+class _Unpacked:
+    """The plain bytes of a stream of gzip members, forward only; little is held at a time."""
+
+    def __init__(self, raw, step: int = 1 << 18) -> None:
+        self.raw, self.step, self.packer = raw, step, zlib.decompressobj(31)
+        self.fresh = self.packer  # a member of which nothing was read yet
+        self.begin, self.data, self.at, self.ended, self.broken = 0, b"", 0, False, False
+
+    def tell(self) -> int:
+        return self.begin + self.at
+
+    def _more(self) -> bool:
+        """Unpack another portion; whether there was one. Broken bytes end the stream."""
+        while not self.ended:
+            packed = self.packer.unconsumed_tail or (self.packer.unused_data if self.packer.eof else b"") or self.raw.read(self.step)
+            if self.packer.eof:
+                packed = packed.lstrip(b"\0")
+                self.packer = self.fresh = zlib.decompressobj(31)
+            if not packed:
+                self.ended, self.broken = True, not self.packer.eof and self.begin + len(self.data) > 0 and self.packer is not self.fresh
+                break
+            self.fresh = None
+            try:
+                out = self.packer.decompress(packed, 1 << 20)
+            except zlib.error:
+                self.ended = self.broken = True
+                break
+            if out:
+                self.begin += self.at
+                self.data, self.at = self.data[self.at :] + out, 0
+                return True
+        return False
+
+    def seek(self, offset: int, whence: int = 0) -> None:
+        left = offset - (0 if whence else self.tell())
+        while left > len(self.data) - self.at:
+            left -= len(self.data) - self.at
+            self.at = len(self.data)
+            if not self._more():
+                return
+        self.at += left
+
+    def read(self, n: int) -> bytes:
+        parts = [self.data[self.at : self.at + n]]
+        self.at += len(parts[0])
+        left = n - len(parts[0])
+        while left > 0 and self._more():
+            parts.append(self.data[self.at : self.at + left])
+            self.at += len(parts[-1])
+            left -= len(parts[-1])
+        return b"".join(parts)
+
+    def readline(self) -> bytes:
+        end = self.data.find(b"\n", self.at)
+        while end < 0 and self._more():
+            end = self.data.find(b"\n", self.at)
+        end = len(self.data) if end < 0 else end + 1
+        line, self.at = self.data[self.at : end], end
+        return line
+
+
 class _Committed(WriterCommitMessage):
     def __init__(self, files: list[str]) -> None:
         self.files = files
@@ -171,13 +298,16 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class _File(InputPartition):
-    def __init__(self, path: str) -> None:
+    """The records of a file that begin in [begin, stop); all of them where stop is None."""
+
+    def __init__(self, path: str, begin: int = 0, stop: int | None = None) -> None:
         super().__init__(path)
+        self.begin, self.stop = begin, stop
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, with_payload: bool) -> None:
-        self.path, self.with_payload, self.tests = path, with_payload, []
+    def __init__(self, path: str, with_payload: bool, split: int = 0) -> None:
+        self.path, self.with_payload, self.split, self.tests = path, with_payload, split, []
 
     def pushFilters(self, filters: list) -> Iterator:
         """Keep the predicates on header columns; Spark tests the others."""
@@ -210,23 +340,39 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[_File]:
         store, folder = _open(self.path)
-        names = [i.path for i in store.get_file_info(fs.FileSelector(folder))]
-        manifests = [n for n in names if n.rsplit("/", 1)[-1].startswith("_manifest-")]
-        if not manifests:  # archives of another writer
-            return [_File(n) for n in sorted(names) if n.endswith(".warc")]
+        found = {i.path: i.size for i in store.get_file_info(fs.FileSelector(folder, recursive=True)) if i.is_file}
+        manifests = sorted(n for n in found if n.rsplit("/", 1)[-1].startswith("_manifest-"))
+        names = sorted(n for n in found if n.endswith((".warc", ".warc.gz")))
+        if manifests:  # archives of this writer: only what was committed
+            names = []
+            for manifest in manifests:
+                with store.open_input_stream(manifest) as f:
+                    names += [f"{manifest.rsplit('/', 1)[0]}/{n}" for n in json.loads(f.read())]
         out = []
-        for name in sorted(manifests):
-            with store.open_input_stream(name) as f:
-                out += [_File(f"{folder}/{n}") for n in json.loads(f.read())]
+        for name in names:
+            if name.endswith(".gz") or not 0 < self.split < found[name]:
+                out.append(_File(name))
+            else:
+                out += [_File(name, at, at + self.split) for at in range(0, found[name], self.split)]
         return out
 
+    def _records(self, partition: _File, stream) -> Iterator[dict]:
+        if partition.value.endswith(".gz"):
+            return read_members(stream, self.wanted, self.with_payload)
+        lines = _Buffered(stream)
+        if partition.begin:
+            back = min(4, partition.begin)
+            lines.seek(partition.begin - back)
+            _next_after_gap(lines, lines.read(back).endswith((b"\n\n", b"\n\r\n")))
+        return read_records(lines, self.wanted, self.with_payload, partition.stop, strict=False)
+
     def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
         if partition is None:
             return
         store, _ = _open(self.path)
         rows, size = [], 0
         with store.open_input_file(partition.value) as stream:
-            for row in read_records(_Buffered(stream), self.wanted, self.with_payload):
+            for row in self._records(partition, stream):
                 rows.append(row)
                 size += len(row["payload"] or b"")
                 if len(rows) >= 1000 or size > 8 << 20:
@@ -236,6 +382,32 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
 
 
+def _is_record(lines: list[bytes]) -> bool:
+    """Whether header lines can be those of a record, and not of a payload that quotes one."""
+    head = _headers(lines[1:])
+    return lines[0].startswith(_BEGIN) and head.get("content-length", "").isdigit() and "warc-type" in head
+
+
+def _next_after_gap(stream, empty: bool) -> None:
+    """Move to the next record that follows an empty line and has a record's headers, or to the end.
+
+    ``empty`` says whether the line before is empty.
+    """
+    while True:
+        at = stream.tell()
+        line = stream.readline()
+        if not line:
+            return
+        if empty and line.startswith(_BEGIN):
+            stream.seek(at)
+            lines = _block(stream)
+            stream.seek(at)
+            if lines and _is_record(lines):
+                return
+            stream.readline()
+        empty = line in (b"\r\n", b"\n")
+
+
 class _Buffered:
     """Line reading and seeking over a file of any file system, a megabyte at a time."""
 
@@ -292,7 +464,7 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() == "true")
+        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() == "true", int(self.options.get("splitbytes", 0)))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], int(self.options.get("filebytes", 32 << 20)))
@@ -340,6 +512,11 @@ def write_archives(pages: DataFrame, path: str | None = None) -> str:
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """All records of a folder and its subfolders, in the schema of the data source; no files give no rows.
+
+    Repeated records give repeated rows. Without ``payload`` no payload is decoded. Records that
+    can't be read whole have a status.
+    """
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
@@ -348,6 +525,7 @@ def page_table(records: DataFrame) -> DataFrame:
     """Records read back, as page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Length and digest of a response come from its payload, those of a revisit from its headers.
+    Repeated records give repeated rows; a record without a page's name has a null page_id.
     """
     number = lambda c: F.regexp_extract(c, "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
     response = F.col("warc_type") == "response"
@@ -358,3 +536,14 @@ def page_table(records: DataFrame) -> DataFrame:
         F.col("warc_type").alias("record_type"),
         F.when(~response, number("refers_to")).alias("refers_to"),
     )
+
+
+def archived_pages(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`page_table` of all responses and revisits of a folder.
+
+    Each record type is a read of its own whose predicate the reader tests: responses are decoded,
+    of revisits only headers are parsed.
+    """
+    responses = read_archives(spark, path).filter("warc_type = 'response'")
+    revisits = read_archives(spark, path, payload=False).filter("warc_type = 'revisit'")
+    return page_table(responses).unionByName(page_table(revisits))

@@ -1,3 +1,5 @@
+import collections
+import gzip
 import hashlib
 import io
 import struct
@@ -7,7 +9,7 @@ import numpy as np
 import pytest
 
 from screenloom.llm.gif_media import GREY, _sub_blocks, gif_frames, gif_media, gif_payloads, lzw_decode, lzw_encode, padded, read_gif, write_gif
-from screenloom.llm.warc import page_table, read_archives, read_records, record_bytes, register, write_archives
+from screenloom.llm.warc import archived_pages, page_table, read_archives, read_records, record_bytes, register, write_archives
 
 
 def slow_decode(stream, least):
@@ -122,3 +124,47 @@ def test_unwanted_payloads_are_not_decoded():
     assert [r["payload"] for r in got] == [b"abc"]
     with pytest.raises(zlib.error):
         list(read_records(io.BytesIO(broken), lambda r: True, True))
+
+
+def test_predicates_reach_the_reader(spark, tmp_path):
+    """The payloads of records that a predicate rules out are broken, and nobody notices."""
+    rows = [(i, "u", f"page {i} " * 40) for i in range(20)] + [(20 + i, "u", f"page {i} " * 40) for i in range(5)]
+    path = tmp_path / "w"
+    write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(1), str(path))
+    (file,) = path.glob("*.warc")
+    data = file.read_bytes()
+    file.write_bytes(data.replace(b"\x1f\x8b", b"\0\0"))
+    records = read_archives(spark, str(path))
+    assert {r.status for r in records.filter("warc_type = 'response'").collect()} == {"payload"}
+    revisits = records.filter("warc_type = 'revisit'")
+    assert revisits.count() == 5 and {r.status for r in revisits.collect()} == {None}
+    assert {r.status for r in read_archives(spark, str(path), payload=False).collect()} == {None}
+    plan = revisits._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.split("BatchScan")[0]
+    assert "Filter" in records.filter("payload_length > 5")._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0]
+    assert archived_pages(spark, str(path)).filter("record_type = 'revisit'").count() == 5
+
+
+def test_compressed_split_and_broken_archives(spark, tmp_path):
+    base = {"warc_type": "response", "target_uri": "u", "warc_date": "d", "payload_digest": None, "refers_to": None, "payload_length": 3}
+    made = [record_bytes(base | {"record_id": f"<urn:page:{i}>", "payload": str(i).encode() * (i * 40)}) for i in range(60)]
+    (tmp_path / "sub" / "deep").mkdir(parents=True)
+    (tmp_path / "a.warc").write_bytes(b"".join(made[:20]))
+    (tmp_path / "sub" / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, made[20:40])))
+    (tmp_path / "sub" / "deep" / "c.warc.gz").write_bytes(gzip.compress(b"".join(made[40:])))
+    whole = read_archives(spark, str(tmp_path)).collect()
+    assert sorted(r.record_id for r in whole) == sorted(f"<urn:page:{i}>" for i in range(60)) and {r.status for r in whole} == {None}
+    assert all(bytes(r.payload) == (n := r.record_id[10:-1]).encode() * (int(n) * 40) for r in whole)
+    for split in (1, 7, 100, 333, 4096):
+        register(spark)
+        part = spark.read.format("warc").option("splitBytes", split).load(str(tmp_path))
+        assert sorted(part.collect(), key=str) == sorted(whole, key=str)
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    no_length = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\n\r\nabc\r\n\r\n"
+    (bad / "a.warc").write_bytes(made[3] + no_length + made[4] + made[5][:-30])
+    (bad / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, made[6:9]))[:-25])
+    (bad / "c.warc").write_bytes(b"")
+    got = collections.Counter((r.record_id, r.status) for r in read_archives(spark, str(bad)).collect())
+    assert got[("<urn:page:3>", None)] == got[("<urn:x>", "length")] == got[("<urn:page:4>", None)] == got[("<urn:page:5>", "cut")] == 1
+    assert got[("<urn:page:6>", None)] == got[("<urn:page:7>", None)] == 1 and sum(n for (_, status), n in got.items() if status == "cut") >= 2
