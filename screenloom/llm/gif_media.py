@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Samples in a row of a stored payload, and rows in a frame.
 WIDTH, ROWS = 64, 256
+#: A GIF with a larger canvas is not decoded.
+MOST_PIXELS = 1 << 26
 #: A grey palette: sample v has the colour (v, v, v).
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 #: First rows and steps of the four passes of an interlaced image (fixed by the format).
@@ -186,6 +188,8 @@ def read_gif(data: bytes) -> Iterator[Frame]:
     if flags & 0x80:
         size = 3 << (flags & 7) + 1
         shared, at = _palette(data[at : at + size]), at + size
+    if width * height > MOST_PIXELS:
+        raise ValueError("a canvas of too many pixels")
     canvas = np.zeros((height, width, 4), np.uint8)
     delay, disposal, transparent = 0, 0, None
 
@@ -237,6 +241,18 @@ def read_gif(data: bytes) -> Iterator[Frame]:
         elif disposal == 3:
             canvas = before
         delay, disposal, transparent = 0, 0, None
+    if at >= len(data):
+        raise ValueError("the file ends without its trailer")
+
+
+def frames_or_status(data: bytes | None) -> Iterator[Frame | str]:
+    """The frames of a GIF; where it is broken, the whole frames before that and then what is wrong."""
+    try:
+        yield from read_gif(data) if data is not None else ()
+    except (IndexError, struct.error):
+        yield "the file ends inside a block"
+    except ValueError as error:
+        yield str(error)
 
 
 def padded(text: str | None) -> bytes:
@@ -263,50 +279,66 @@ def gif_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(work, "doc_id long, n_bytes long, media binary")
 
 
-_FRAMES = "doc_id long, frame int, delay_ms int, left int, top int, width int, height int, disposal int, transparent int, rgba binary, histogram array<long>"
+_FRAMES = "doc_id long, frame int, delay_ms int, left int, top int, width int, height int, disposal int, transparent int, rgba binary, histogram array<long>, status string"
+
+
+def _table(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    names, kinds = zip(*(c.split(" ") for c in ddl.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], list(names))
 
 
 def gif_frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """One row per frame of each GIF: its time, place, rules, the composited RGBA canvas and a 64-bin colour histogram.
 
-    Null media have no frames; bytes that aren't a GIF raise an error.
+    Null media have no frames. A broken GIF has rows for its whole frames and then one row whose
+    status says what is wrong, with no other values but id and number; status is null elsewhere.
+    Repeated rows give repeated frames and a null id stays null; other columns are not looked at. An
+    empty table gives no rows.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = [
-                    (name, n, f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, f.transparent, f.canvas.tobytes(), f.histogram())
-                    for n, f in enumerate(read_gif(data) if data is not None else ())
-                ]
-                if rows:
-                    types = [pa.int64(), *[pa.int32()] * 8, pa.binary(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], _FRAMES.replace(",", "").split()[::2])
+                for n, f in enumerate(frames_or_status(data)):
+                    row = (*[None] * 9, f) if isinstance(f, str) else (f.delay_ms, f.left, f.top, f.width, f.height, f.disposal, f.transparent, f.canvas.tobytes(), f.histogram(), None)
+                    yield _table([(name, n, *row)], _FRAMES)
 
     return media.select(F.col(id_col).cast("long"), F.col(media_col)).mapInArrow(work, _FRAMES)
 
 
 def gif_payloads(media: DataFrame) -> DataFrame:
-    """What :func:`gif_media` stored, read back: doc_id, n_bytes, payload (binary), media digest columns and feature.
+    """What :func:`gif_media` stored, read back: digests of payload and media, feature, frames, duration and status.
 
-    ``feature`` is the colour histogram summed over frames, its 64 counts joined by commas.
+    ``feature`` is the colour histogram of the frames' own images summed, its 64 counts joined by
+    commas. n_frames and duration_ms are those of the whole frames. Null media have no payload and
+    zero frames; of a broken GIF the whole frames count, and status says what is wrong (else null).
+    Repeated rows give repeated rows and a null id stays null. An empty table gives no rows.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sizes, files = (c.to_pylist() for c in batch.columns)
             rows = []
-            for name, size, data in zip(names, sizes, files, strict=True):
-                frames, histogram = [], np.zeros(64, np.int64)
-                for frame in read_gif(data):
-                    frames.append(frame.own()[..., 0].tobytes())
-                    histogram += np.bincount((frame.own()[..., :3] >> 6).astype(np.int64).reshape(-1, 3) @ (16, 4, 1), minlength=64)
-                payload = b"".join(frames)
-                rows.append((name, size, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), ",".join(map(str, histogram.tolist()))))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types], _PAYLOADS.replace(",", "").split()[::2])
+            for name, size, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                parts, histogram, duration, status = [], np.zeros(64, np.int64), 0, None
+                for frame in frames_or_status(data):
+                    if isinstance(frame, str):
+                        status = frame
+                        break
+                    own = frame.own()
+                    parts.append(own[..., 0].tobytes())
+                    duration += frame.delay_ms
+                    histogram += np.bincount((own[..., :3] >> 6).astype(np.int64).reshape(-1, 3) @ (16, 4, 1), minlength=64)
+                payload, data = b"".join(parts), data or b""
+                digests = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest())
+                rows.append((name, size, *digests, ",".join(map(str, histogram.tolist())), len(parts), duration, status))
+            if rows:
+                yield _table(rows, _PAYLOADS)
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(work, _PAYLOADS)
 
 
-_PAYLOADS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_PAYLOADS = (
+    "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
+    "feature string, n_frames int, duration_ms long, status string"
+)

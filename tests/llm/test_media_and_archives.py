@@ -168,3 +168,23 @@ def test_compressed_split_and_broken_archives(spark, tmp_path):
     got = collections.Counter((r.record_id, r.status) for r in read_archives(spark, str(bad)).collect())
     assert got[("<urn:page:3>", None)] == got[("<urn:x>", "length")] == got[("<urn:page:4>", None)] == got[("<urn:page:5>", "cut")] == 1
     assert got[("<urn:page:6>", None)] == got[("<urn:page:7>", None)] == 1 and sum(n for (_, status), n in got.items() if status == "cut") >= 2
+
+
+def test_broken_gifs_have_a_status(spark):
+    data, big = animation(), b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0)
+    ends = list(read_gif(data))
+    assert len(ends) == 4
+    files = [data, *[data[:n] for n in range(0, len(data), 5)], data[:-1], big, b"no", None, data]
+    media = spark.createDataFrame([(i, 1, f and bytearray(f), "x", 2) for i, f in enumerate(files)], "doc_id long, n_bytes long, media binary, status string, frame int")
+    frames = collections.defaultdict(list)
+    for r in gif_frames(media).collect():
+        frames[r.doc_id].append(r)
+    out = {r.doc_id: r for r in gif_payloads(media).collect()}
+    assert len(out) == len(files)
+    for i, f in enumerate(files):
+        rows = sorted(frames[i], key=lambda r: r.frame)
+        whole = [r for r in rows if r.status is None]
+        assert [r.frame for r in rows] == list(range(len(rows))) and out[i].n_frames == len(whole)
+        assert all(r.rgba == ends[r.frame].canvas.tobytes() for r in whole)
+        assert out[i].status == (rows[-1].status if rows and f != data else None) and (out[i].status is None) == (f is None or f == data)
+    assert out[0].duration_ms == 150 and out[len(files) - 5].n_frames >= 0
