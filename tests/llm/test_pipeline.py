@@ -1,8 +1,11 @@
 """The pipeline against a brute-force version of each stage."""
 
+import collections
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from screenloom.llm import queries
@@ -55,3 +58,32 @@ def test_language_stage_rejects_junk(spark):
     planted = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(junk)], docs.schema)
     kept = corpus_pipeline.keep_known_languages(spark, docs.unionByName(planted), SF)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+
+
+def test_stages_on_empty_and_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    few, repeats = docs.filter("doc_id < 12"), docs.filter("doc_id < 3")
+    rows = few.unionByName(few.filter("doc_id < 3")).unionByName(few.filter("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long")))
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.count() == 0 and (name == "best_fit_packing" or empty.columns == docs.columns)
+        own = docs.unionByName(repeats) if name == "language_id" else rows  # a network needs texts to learn from
+        got = collections.Counter(r.doc_id for r in stage(spark, own, SF).select("doc_id").collect())
+        if name == "exact_dedup":
+            first = {}
+            for r in few.orderBy("doc_id").collect():
+                first.setdefault(" ".join(re.split(r"[\x20\x09-\x0D]+", r.text)), r.doc_id)
+            assert got == {i: 1 + (i < 3) for i in first.values()}
+        elif name in ("language_id", "pii_surrogates"):
+            assert got == collections.Counter(r.doc_id for r in own.select("doc_id").collect())
+        elif name == "best_fit_packing":
+            assert set(got) == {None, *range(12)} and got[0] % 2 == 0
+
+
+def test_surrogates_stage_leaves_the_rest_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = {r.doc_id: r for r in docs.collect()}
+    # another way to see what looks like personal data, wide on purpose
+    hint = re.compile(r"@|\d{7}|\d[-. ()]+\d{3}|\d+\.\d+\.\d+\.\d+|[0-9a-f]{32}|(?i:token|secret|password|api_?key)|[A-Z]{4}\d|Mr|Mrs|Ms|[A-ZÄÖÜ]\w+ [A-ZÄÖÜ]\w+|\w+:\w+:")
+    changed = [r for r in corpus_pipeline.replace_personal_data(spark, docs, SF).collect() if r.text != before[r.doc_id].text]
+    assert all(hint.search(before[r.doc_id].text) and r.n_chars == len(r.text) for r in changed)
