@@ -164,14 +164,12 @@ def labelled_windows(docs: DataFrame, per_language: int = 400, per_text: int = 4
     fewer texts of each are taken, so that the sample stays under 64,000 windows.
     """
     rows = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
-    mark = unused_prefix(docs)
     counts = {r[lang_col]: r["count"] for r in docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()}
     if not counts:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
     each = max(1, min(per_language, 16_000 // len(counts)))
-    # a small table, however many labels there are, instead of a case for each
-    shares = docs.sparkSession.createDataFrame([(lang, min(1.0, 1.5 * each / n)) for lang, n in counts.items()], f"`{mark}lang` string, `{mark}share` double")
-    rows = rows.join(shares, F.col(lang_col) == F.col(f"{mark}lang"))
+    # one flat map, however many labels there are, instead of a case inside a case
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * each / n))])
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +179,7 @@ def labelled_windows(docs: DataFrame, per_language: int = 400, per_text: int = 4
             data = pa.array([p[i].tobytes() for p, i in zip(parts, picked, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], ["draw", "lang", "data"])
 
-    sample = rows.filter(draw < F.col(f"{mark}share")).select(draw.alias("draw"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sample = rows.filter(draw < shares[F.col(lang_col)]).select(draw.alias("draw"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     got = sorted((r["draw"], r["lang"], bytes(r["data"])) for r in sample.mapInArrow(cut, "draw double, lang string, data binary").collect())
     taken, languages = dict.fromkeys(sorted(counts), 0), sorted(counts)
     examples, targets = [], []

@@ -40,8 +40,8 @@ from screenloom.llm.common import salted_join, stored
 FRAGMENT_NGRAMS = 4_000_000
 #: Fragments when the input is small.
 LEAST_FRAGMENTS = 32
-#: Fragments of the documents that have candidates.
-LEAST_SEGMENTS = 16
+#: Fragments of the documents that have candidates: at least one for each core, up to so many. A pair costs a row in each.
+MOST_SMALL = 64
 #: N-grams of texts that are sorted and dealt over fragments at once: so many, or this times the number of fragments if more, at most the third number.
 BLOCK_NGRAMS, BLOCK_PART, BLOCK_MOST = 1 << 19, 32, 1 << 22
 #: N-grams held by at most so many documents are rare; their pairs are all looked at.
@@ -334,7 +334,7 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
     chosen = counts.filter((n - F.col("singles")) * of >= n * least).filter(n * of >= (n + 1) * least)
     chosen = stored(chosen.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n")), "chosen")
     total = chosen.agg(F.sum("n")).first()[0] or 0
-    fragments = max(LEAST_SEGMENTS, -(-total // FRAGMENT_NGRAMS))
+    fragments = max(min(MOST_SMALL, docs.sparkSession.sparkContext.defaultParallelism), -(-total // FRAGMENT_NGRAMS))
     # the ids chosen grow with the input: they are never broadcast
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen.hint("merge"), "id").select("id", "text", "n", "digest")
     segments = texts.mapInArrow(_segments(size, fragments), "id long, n long, fragment int, ngrams array<long>").dropDuplicates(["id", "fragment"])
@@ -355,7 +355,7 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
             settled = linked.select(F.explode(F.array("a", "b")).alias("id")).distinct()
             # the ids settled grow with the input: they are never broadcast
             todo = stored(todo.join(settled.hint("merge"), "id", "left_anti"), "todo")
-    known = components(edges)
+    known = stored(components(edges), "known")
 
     # what is left: pairs that meet under an n-gram, may reach the threshold and are in different components
     group, leader = F.coalesce("component", "id"), F.coalesce("leader", "id")
@@ -378,12 +378,15 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
     cross = stored(cross, "cross")
     between = _overlaps(cross.filter("leader != leader_b").select(F.col("leader").alias("a"), F.col("leader_b").alias("b")).distinct(), segments)
     between = stored(between, "between")
-    # leaders that link join their components, whose documents needn't be paired any more
-    edges = edges.union(_linked(between, least, of))
-    known = components(edges).select("id", F.col("component").alias("root"))
-    for c in ("component", "component_b"):
-        cross = cross.join(known.withColumnRenamed("id", c).withColumnRenamed("root", f"{c}_root"), c, "left")
-    cross = cross.filter(F.coalesce("component_root", "component") != F.coalesce("component_b_root", "component_b"))
+    joined = _linked(between, least, of)
+    if not joined.isEmpty():
+        # leaders that link join their components, whose documents needn't be paired any more
+        edges = edges.union(joined)
+        known = stored(components(edges), "known")
+        roots = known.select("id", F.col("component").alias("root"))
+        for c in ("component", "component_b"):
+            cross = cross.join(roots.withColumnsRenamed({"id": c, "root": f"{c}_root"}), c, "left")
+        cross = cross.filter(F.coalesce("component_root", "component") != F.coalesce("component_b_root", "component_b"))
     # triangle inequality: leaders so far apart that no pair of their documents is near
     apart = between.select(F.col("a").alias("leader"), F.col("b").alias("leader_b"), _distance().alias("apart"))
     # leaders without a common n-gram have distance 1
@@ -393,8 +396,8 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
     one = own.select("ngram", *alike, F.col("id").alias("a"))
     two = own.select("ngram", *[F.col(c).alias(f"{c}_b") for c in alike], F.col("id").alias("b"))
     pairs = cross.join(one, ["ngram", *alike]).join(two, ["ngram", *[f"{c}_b" for c in alike]]).select("a", "b").distinct()
-    rest = _linked(_overlaps(pairs, segments), least, of)
-    return stored(components(edges.union(rest)), "components")
+    rest = stored(_linked(_overlaps(pairs, segments), least, of), "rest")
+    return known if rest.isEmpty() else stored(components(edges.union(rest)), "known")
 
 
 def ngram_jaccard_components(
