@@ -94,21 +94,24 @@ def assignment_summary(assigned: DataFrame) -> DataFrame:
 def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
     """Library rows that agree with every letter of a read (K: G or T, M: A or C, N: any): reads with sgrna, sgrna_seq, mismatch.
 
-    Reads with more than ``most`` letters other than A, C, G, T are left out first. For each
-    pattern that such letters can form the library gets a key of the other letters, which turns
-    the wildcard match into an equi-join.
+    Reads with more than ``most`` letters other than A, C, G, T are left out first. Distinct
+    barcodes are matched, however many reads have them. For each pattern that such letters form in
+    some barcode the library gets a key of the other letters, which turns the wildcard match into an
+    equi-join. There are at most as many patterns as ways to hide ``most`` of ``cycles`` places.
     """
     kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
-    kept = kept.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.regexp_replace("barcode", "[KMN]", "-"))
-    # every library row under every pattern with at most ``most`` hidden places
+    coded = kept.select("barcode").distinct()
+    coded = coded.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.regexp_replace("barcode", "[KMN]", "-"))
     hidden_places = (set(c) for n in range(most + 1) for c in combinations(range(cycles), n))
     masks = ["".join("0" if i in c else "1" for i in range(cycles)) for c in hidden_places]
+    occurring = F.broadcast(coded.select("mask").filter(F.col("mask").isin(masks)).distinct())
     short = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq"))
-    keyed = short.withColumn("mask", F.explode(F.split(F.lit(",".join(masks)), ",")))
+    keyed = short.withColumn("mask", F.explode(F.split(F.lit(",".join(masks)), ","))).join(occurring, "mask", "left_semi")
     hidden = F.zip_with(F.split("sgrna_seq", ""), F.split("mask", ""), lambda b, m: F.when(m == "1", b).otherwise("-"))
     keyed = keyed.withColumn("key", F.array_join(hidden, ""))
     fits = F.zip_with(F.split("barcode", ""), F.split("sgrna_seq", ""), lambda r, b: ((r != "K") | b.isin("G", "T")) & ((r != "M") | b.isin("A", "C")))
-    return kept.join(keyed, ["mask", "key"]).filter(F.forall(fits, lambda x: x)).drop("mask", "key")
+    found = coded.join(keyed, ["mask", "key"]).filter(F.forall(fits, lambda x: x)).drop("mask", "key")
+    return kept.join(found, "barcode")
 
 
 def popular_guide(matched: DataFrame) -> DataFrame:

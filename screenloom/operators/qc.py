@@ -30,15 +30,17 @@ def top_and_others(counted: DataFrame, name: str, number: int) -> DataFrame:
 def tile_and_well_summary(cells: DataFrame, failures: DataFrame) -> DataFrame:
     """Cells, reads, guides and tiles by tile, by well and in all (nulls in the keys); ``failures`` has one row per failed tile."""
     failed = failures.groupBy(*TILE).agg(F.count(F.lit(1)).alias("failures"))
-    per_tile = cells.groupBy(*TILE).agg(F.count(F.lit(1)).alias("cells"), F.sum("reads").alias("reads"), F.collect_set("sgrna").alias("guides"))
-    joined = per_tile.join(failed, TILE, "left")
-    return joined.rollup(*TILE).agg(
+    per_tile = cells.groupBy(*TILE).agg(F.count(F.lit(1)).alias("cells"), F.sum("reads").alias("reads"))
+    totals = per_tile.join(failed, TILE, "left").rollup(*TILE).agg(
+        F.grouping_id().alias("level"),
         F.sum("cells").alias("cells"),
         F.sum("reads").alias("reads"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("guides")))).cast("long").alias("unique_guides"),
         F.count(F.lit(1)).alias("tiles"),
         F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"),
     )
+    guides = cells.select(*TILE, "sgrna").distinct().rollup(*TILE).agg(F.grouping_id().alias("level"), F.countDistinct("sgrna").alias("unique_guides"))
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"g.{c}")) for c in (*TILE, "level")]
+    return totals.alias("t").join(guides.alias("g"), same).select("t.well", "t.tile", "cells", "reads", "unique_guides", "tiles", "failures")
 
 
 def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int = 12) -> DataFrame:
