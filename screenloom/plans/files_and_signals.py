@@ -83,6 +83,19 @@ def tile_tables(genotypes):
     return rows.select(part(1).alias("well"), part(2).alias("tile"), "cell", "sgrna", "reads")
 
 
+@query(
+    "q1_8_metadata_files",
+    "SELECT well::INT AS well, tile::INT AS tile, '10X' AS magnification, nucleus::INT AS label, avg(i) AS y, avg(j) AS x FROM {pixels} WHERE nucleus > 0 GROUP BY ALL",
+)
+def metadata_files(pixels):
+    """The nuclei of each tile written as a metadata file, and all files read back as one table."""
+    path = new_folder(pixels.sparkSession, "metadata")
+    nuclei = pixels.filter("nucleus > 0").groupBy("well", "tile", F.col("nucleus").alias("label")).agg(F.avg("i").alias("y"), F.avg("j").alias("x"))
+    tiles = nuclei.groupBy("well", "tile").agg(F.lit("10X").alias("magnification"), F.sort_array(F.collect_list(F.struct("label", "y", "x"))).alias("nuclei"))
+    tiles.write.option("maxRecordsPerFile", 1).json(path)
+    return sf.read_metadata(pixels.sparkSession, path)
+
+
 _SAMPLES = "samples AS (SELECT trace, channel, k - 1 AS k, embedding[k]::DOUBLE AS v FROM (SELECT trace, channel, embedding, unnest(range(1, len(embedding) + 1)) AS k FROM {traces}))"
 _LEVEL = f"""{_SAMPLES}, lifted AS (
   SELECT trace, channel, k, v - min(v) OVER (PARTITION BY trace, channel ORDER BY k ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS u FROM samples
