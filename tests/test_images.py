@@ -155,3 +155,20 @@ def test_modes(spark):
 def test_thumbnail_is_centred(spark):
     image = np.array(thumbnails(squares(spark), "v", 16).filter("cell = 1").first()["image"]).reshape(16, 16)
     assert np.allclose(image, image.T) and np.allclose(image, image[::-1]) and image[8, 8] == 200 and image[0, 0] == 0
+
+
+def test_iterative_matching_finds_the_transform(spark):
+    """Shift (100, 150), rotation 0.05, scale 4 and noise of 2: all points find their partners."""
+    rng = np.random.default_rng(11)
+    grid = np.stack(np.meshgrid(np.arange(10), np.arange(10)), axis=-1).reshape(-1, 2) * 100.0
+    points = grid + rng.uniform(-20, 20, grid.shape)
+    c, s = np.cos(0.05), np.sin(0.05)
+    others = 4 * (points + (100, 150)) @ np.array([[c, s], [-s, c]]) + rng.normal(0, 2, grid.shape)
+    here = spark.createDataFrame([(i, 1, float(x), float(y)) for i, (x, y) in enumerate(points)], "point long, well long, x double, y double")
+    there = spark.createDataFrame([(1000 + i, 1, float(x), float(y)) for i, (x, y) in enumerate(others)], "point long, well long, x double, y double")
+    found = om.match_iteratively(here, there, 150.0)
+    moved = {r.point: (r.x, r.y) for r in om.apply_scaled_rotation(here, found).collect()}
+    off = np.array([np.hypot(moved[i][0] - others[i, 0], moved[i][1] - others[i, 1]) for i in range(100)])
+    assert np.sqrt((off**2).mean()) < 4 and off.max() < 10
+    fit = found.first()
+    assert abs(fit.scale_x - 4) < 0.02 and abs(fit.scale_y - 4) < 0.02 and abs(abs(fit.theta) - 0.05) < 0.002
