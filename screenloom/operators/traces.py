@@ -27,8 +27,15 @@ PEAKS = "trace long, channel long, k long, height double, width double"
 
 
 def find_peaks(signal: np.ndarray, height: float = 0.2, apart: int = 3, narrow: float = 2, wide: float = 10) -> list[tuple[int, float, float]]:
-    """Strict local maxima of at least ``height``; the tallest wins within ``apart``; the width at half prominence lies within bounds."""
-    at = [k for k in range(1, len(signal) - 1) if signal[k - 1] < signal[k] > signal[k + 1] and signal[k] >= height]
+    """Maxima of at least ``height``, flat tops at their middle; the tallest wins within ``apart``; the width at half prominence lies within bounds."""
+    if len(signal) < 3:
+        return []
+    # runs of equal values; those at either end are no peaks
+    last = np.append(np.flatnonzero(np.diff(signal)), len(signal) - 1)
+    first = np.append(0, last[:-1] + 1)
+    value = signal[first]
+    top = np.flatnonzero((value[1:-1] > value[:-2]) & (value[1:-1] > value[2:]) & (value[1:-1] >= height)) + 1
+    at = ((first[top] + last[top]) // 2).tolist()
     kept: list[int] = []
     for k in sorted(at, key=lambda k: (-signal[k], k)):
         if all(abs(k - o) >= apart for o in kept):

@@ -143,6 +143,12 @@ def test_peaks_of_a_trace():
     assert find_peaks(signal)[0][2] == pytest.approx(2.0)
 
 
+def test_flat_tops_are_peaks():
+    signal = np.array([0, 0.5, 1, 1, 1, 0.5, 0, 0, 0, 0, 0.4, 0.9, 0.9, 0.4, 0, 0, 1, 1], float)
+    assert [p[0] for p in find_peaks(signal)] == [3, 11]  # the middle of each top; the run at the end is none
+    assert find_peaks(np.ones(5)) == [] and find_peaks(np.ones(2)) == []
+
+
 def test_modes(spark):
     z = np.linspace(0, 10, 51)
     n = 1000 * np.exp(-((z - 2) ** 2) / 0.5) + 600 * np.exp(-((z - 7) ** 2) / 0.5)
