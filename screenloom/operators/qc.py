@@ -43,8 +43,8 @@ def tile_and_well_summary(cells: DataFrame, failures: DataFrame) -> DataFrame:
     return totals.alias("t").join(guides.alias("g"), same).select("t.well", "t.tile", "cells", "reads", "unique_guides", "tiles", "failures")
 
 
-def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int = 12) -> DataFrame:
-    """One row per tile: reads, reads outside cells, cells and nuclei in the mask, cells with reads, guides, letters, mean quality per cycle."""
+def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int = 12, top: int = 3) -> DataFrame:
+    """One row per tile: reads, reads outside cells, cells and nuclei in the mask, cells with reads, guides, letters, mean quality per cycle, the ``top`` guides."""
     letters = {f"n_{b.lower()}": F.sum(F.length(F.regexp_replace("barcode", f"[^{b}]", ""))).cast("long") for b in "ACGTKMN"}
     quality = {f"q_{k + 1}": F.round(F.avg(F.col("q")[k]), 3) for k in range(cycles)}
     own = reads.groupBy(*TILE).agg(
@@ -55,7 +55,21 @@ def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int
     )
     seen = mask.groupBy(*TILE).agg(F.countDistinct(F.when(F.col("cell") > 0, F.col("cell"))).alias("cells"), F.countDistinct(F.when(F.col("nucleus") > 0, F.col("nucleus"))).alias("nuclei"))
     guides = genotypes.groupBy(*TILE).agg(F.countDistinct("sgrna").alias("unique_guides"), F.count(F.lit(1)).alias("assigned_cells"))
-    return own.join(seen, TILE, "left").join(guides, TILE, "left")
+    at = lambda k, c: F.max(F.when(F.col("rank") == k, F.col(c)))
+    named = [f for k in range(1, top + 1) for f in (at(k, "sgrna").alias(f"top_{k}"), at(k, "n").alias(f"top_{k}_n"))]
+    first = top_guides(genotypes, top).groupBy(*TILE).agg(*named)
+    return own.join(seen, TILE, "left").join(guides, TILE, "left").join(first, TILE, "left")
+
+
+def long_report(genotypes: DataFrame, library: DataFrame, tiles: DataFrame) -> DataFrame:
+    """The report as section, name, value: what the library holds, what was found, percents, and totals over the rows of ``tile_qc``."""
+    found = recovery(genotypes, library)
+    totals = tiles.agg(*[F.sum(c).alias(f"total_{c}") for c in ("peaks", "peaks_outside", "cells", "nuclei", "cells_with_reads", "assigned_cells")])
+    parts = []
+    for row in (found, totals):
+        pairs = [F.struct(F.lit(n.split("_", 1)[0]).alias("section"), F.lit(n.split("_", 1)[1]).alias("name"), F.col(n).cast("double").alias("value")) for n in row.columns]
+        parts.append(row.select(F.inline(F.array(*pairs))))
+    return parts[0].unionByName(parts[1])
 
 
 def top_guides(genotypes: DataFrame, number: int = 3) -> DataFrame:
@@ -111,15 +125,25 @@ def mapped_fraction(reads: DataFrame, drop_zero: bool = False) -> DataFrame:
     return out.filter("fraction > 0") if drop_zero else out
 
 
-def mapping_by_threshold(reads: DataFrame, step: float) -> DataFrame:
-    """For each threshold (multiples of ``step``): reads whose peak is above it, those mapped, and their rate.
+def threshold_step(reads: DataFrame) -> float:
+    """0.001 for peaks that stay under 100, else 10."""
+    top = reads.agg(F.max("peak")).first()[0]
+    return 0.001 if top is not None and top < 100 else 10.0
+
+
+def mapping_by_threshold(reads: DataFrame, step: float | None = None) -> DataFrame:
+    """For each threshold (multiples of ``step``) under the 99th percentile: reads whose peak is above it, those mapped, and their rate.
 
-    Reads are counted once per step; a running sum over the few steps does the rest.
+    Without ``step`` it follows from the largest peak. Reads are counted once per step; a running sum
+    over the few steps does the rest. A threshold lies under the percentile as long as more than one
+    read of a hundred is above it.
     """
+    step = step or threshold_step(reads)
     # a peak is above step * s for every s under peak / step
     counted = reads.groupBy((F.ceil(F.col("peak") / step) - 1).cast("long").alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("mapped").cast("long")).alias("m"))
     above = W.orderBy(F.desc("s"))
-    out = counted.select("s", F.sum("n").over(above).alias("spots"), F.sum("m").over(above).alias("mapped"))
+    out = counted.select("s", F.sum("n").over(above).alias("spots"), F.sum("m").over(above).alias("mapped"), F.sum("n").over(W.partitionBy()).alias("all"))
+    out = out.filter(F.col("spots") * 100 > F.col("all"))
     return out.select((F.col("s") * step).alias("threshold"), "spots", "mapped", (F.col("mapped") / F.col("spots")).alias("rate"))
 
 

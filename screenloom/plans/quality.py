@@ -48,8 +48,7 @@ def top_and_others(genotypes):
     return qc.top_and_others(genotypes.groupBy("sgrna").agg(F.count(F.lit(1)).alias("n")), "sgrna", 10)
 
 
-@query(
-    "q4_9_tile_qc",
+_TILE_QC = (
     """WITH r AS (
   SELECT well, tile, count(*) AS peaks, count(*) FILTER (cell = 0) AS peaks_outside, count(DISTINCT cell) FILTER (cell > 0) AS cells_with_reads, """
     + ", ".join(f"sum(length(regexp_replace(barcode, '[^{b}]', '', 'g')))::BIGINT AS n_{b.lower()}" for b in "ACGTKMN")
@@ -60,9 +59,20 @@ def top_and_others(genotypes):
   SELECT well, tile, count(DISTINCT cell) FILTER (cell > 0) AS cells, count(DISTINCT nucleus) FILTER (nucleus > 0) AS nuclei FROM {pixels} GROUP BY ALL
 ), g AS (
   SELECT well, tile, count(DISTINCT sgrna) AS unique_guides, count(*) AS assigned_cells FROM {genotypes} GROUP BY ALL
+), o AS (
+  SELECT well, tile, sgrna, n, row_number() OVER (PARTITION BY well, tile ORDER BY n DESC, sgrna) AS rank
+  FROM (SELECT well, tile, sgrna, count(*) AS n FROM {genotypes} GROUP BY ALL)
+), p AS (
+  SELECT well, tile, """
+    + ", ".join(f"max(sgrna) FILTER (rank = {k}) AS top_{k}, max(n) FILTER (rank = {k}) AS top_{k}_n" for k in (1, 2, 3))
+    + """ FROM o GROUP BY ALL
+), tiles AS (
+  SELECT * FROM r LEFT JOIN m USING (well, tile) LEFT JOIN g USING (well, tile) LEFT JOIN p USING (well, tile)
+)"""
 )
-SELECT * FROM r LEFT JOIN m USING (well, tile) LEFT JOIN g USING (well, tile)""",
-)
+
+
+@query("q4_9_tile_qc", f"{_TILE_QC} SELECT * FROM tiles")
 def tile_qc(reads, genotypes, pixels):
     return qc.tile_qc(reads, genotypes, pixels)
 
@@ -72,15 +82,31 @@ def _recovery(prefix: str, source: str) -> str:
   count(DISTINCT sgrna) AS {prefix}_guides, count(DISTINCT sgrna) FILTER ({_TARGETING}) AS {prefix}_targeting, count(DISTINCT sgrna) FILTER (NOT ({_TARGETING})) AS {prefix}_controls FROM {source}"""
 
 
-@query(
-    "q4_10_recovery",
+_RECOVERY = (
     f"SELECT *, {', '.join(f'round(100 * found_{n}::DOUBLE / library_{n}, 1) AS percent_{n}' for n in ('genes', 'introns', 'guides', 'targeting', 'controls'))}"
-    f" FROM ({_recovery('library', '{library}')}), ({_recovery('found', '{genotypes}')})",
+    f" FROM ({_recovery('library', '{library}')}), ({_recovery('found', '{genotypes}')})"
 )
+
+
+@query("q4_10_recovery", _RECOVERY)
 def recovery(genotypes, library):
     return qc.recovery(genotypes, library)
 
 
+_SECTIONS = [f"{s}_{n}" for s in ("library", "found", "percent") for n in ("genes", "introns", "guides", "targeting", "controls")]
+_TOTALS = ("peaks", "peaks_outside", "cells", "nuclei", "cells_with_reads", "assigned_cells")
+
+
+@query(
+    "q4_10_long_report",
+    f"{_TILE_QC}, found AS ({_RECOVERY}) "
+    + " UNION ALL ".join(f"SELECT '{n.split('_', 1)[0]}' AS section, '{n.split('_', 1)[1]}' AS name, {n}::DOUBLE AS value FROM found" for n in _SECTIONS)
+    + "".join(f" UNION ALL SELECT 'total', '{n}', sum({n})::DOUBLE FROM tiles" for n in _TOTALS),
+)
+def long_report(reads, genotypes, pixels, library):
+    return qc.long_report(genotypes, library, qc.tile_qc(reads, genotypes, pixels))
+
+
 @query(
     "q4_11_read_quality",
     "SELECT read, round(list_min(q), 6) AS q_min, round(list_max(q), 6) AS q_max, round(list_avg(q), 6) AS q_mean, round(list_stddev_pop(q), 6) AS q_std FROM {reads}",
@@ -129,10 +155,11 @@ def mapped_fraction(reads, library):
 @query(
     "q4_16_mapping_by_threshold",
     """WITH r AS (SELECT peak, barcode IN (SELECT sgrna_seq FROM {library}) AS m FROM {reads}), s AS (SELECT DISTINCT (ceil(peak / 10) - 1) * 10 AS threshold FROM r)
-SELECT threshold, count(*) AS spots, count(*) FILTER (m) AS mapped, count(*) FILTER (m) / count(*) AS rate FROM s JOIN r ON peak > threshold GROUP BY threshold""",
+SELECT threshold, count(*) AS spots, count(*) FILTER (m) AS mapped, count(*) FILTER (m) / count(*) AS rate FROM s JOIN r ON peak > threshold
+WHERE threshold < (SELECT min(peak) FROM (SELECT peak, cume_dist() OVER (ORDER BY peak) AS share FROM r) WHERE share >= 0.99) GROUP BY threshold""",
 )
 def mapping_by_threshold(reads, library):
-    return qc.mapping_by_threshold(in_library(reads, library), 10.0)
+    return qc.mapping_by_threshold(in_library(reads, library))
 
 
 @query(
