@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,9 +82,31 @@ def tile_tables(genotypes):
     path = new_folder(genotypes.sparkSession, "csv")
     named = genotypes.withColumn("file", F.format_string("Well%d_Tile%d", "well", "tile")).select("file", "cell", "sgrna", "reads")
     named.repartition("file").write.partitionBy("file").option("header", True).csv(path)
-    rows = genotypes.sparkSession.read.schema("cell long, sgrna string, reads long").option("header", True).option("recursiveFileLookup", True).csv(path)
-    part = lambda n: F.regexp_extract("_metadata.file_path", r"Well(\d+)_Tile(\d+)", n).cast("long")
-    return rows.select(part(1).alias("well"), part(2).alias("tile"), "cell", "sgrna", "reads")
+    return sf.read_tile_tables(genotypes.sparkSession, path, "cell long, sgrna string, reads long").select("well", "tile", "cell", "sgrna", "reads")
+
+
+@query("q1_1_library_file", "SELECT sgrna, sgrna_seq, grp::INT AS grp FROM {library}")
+def library_file(library):
+    """The library written as CSV and read back."""
+    path = new_folder(library.sparkSession, "library")
+    library.select("sgrna", "sgrna_seq", "grp").write.option("header", True).csv(path)
+    return sf.read_library(library.sparkSession, path).drop("lib_idx")
+
+
+@query("q1_5_mask_arrays", "SELECT well, tile, i::INT AS i, j::INT AS j, cell::DOUBLE AS value FROM {pixels} WHERE cell > 0")
+def mask_arrays(pixels):
+    """The mask of each tile as the content of a .npy file, and all of them as rows."""
+
+    def content(pdf: pd.DataFrame) -> pd.DataFrame:
+        mask = np.zeros((int(pdf["i"].max()) + 1, int(pdf["j"].max()) + 1), np.int32)
+        mask[pdf["i"], pdf["j"]] = pdf["cell"]
+        out = io.BytesIO()
+        np.save(out, mask)
+        return pd.DataFrame({"path": [f"Well{pdf['well'].iloc[0]}_Tile{pdf['tile'].iloc[0]}.npy"], "content": [out.getvalue()]})
+
+    files = pixels.select("well", "tile", "i", "j", "cell").groupBy("well", "tile").applyInPandas(content, "path string, content binary")
+    part = lambda n: F.regexp_extract("path", r"Well(\d+)_Tile(\d+)", n).cast("long")
+    return sf.arrays_of(files).filter("value > 0").select(part(1).alias("well"), part(2).alias("tile"), "i", "j", "value")
 
 
 @query(
@@ -146,6 +172,16 @@ def well_counters(arrivals):
     return inc.well_counters(_merged(arrivals))
 
 
+@query("q8_3_progress_log", "SELECT event_id, well, tile, status FROM {arrivals}")
+def progress_log(arrivals):
+    """Arrivals as a stream, logged tile by tile, and the log read back."""
+    spark = arrivals.sparkSession
+    source, log, state = (new_folder(spark, n) for n in ("arrivals", "log", "log-state"))
+    arrivals.write.parquet(source)
+    inc.stream_log(spark.readStream.schema(arrivals.schema).parquet(source), log, state).awaitTermination()
+    return spark.read.parquet(log).select("event_id", "well", "tile", "status")
+
+
 def _tiles(values: DataFrame, cycles: int = 3) -> DataFrame:
     """Image stacks of 32 × 32 from the pixel table; cycle k is shifted by (k, 2 k)."""
     names = F.element_at(F.array(*[F.lit(n) for n in ("DAPI", "G", "T")]), F.col("channel").cast("int") + 1)

@@ -44,8 +44,13 @@ def cycles_in_order(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def read_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """All .npy files under ``path`` as long rows: path, i, j, value. Two-dimensional masks and N × 2 centroids alike."""
+    """All .npy files under ``path`` as long rows: path, i, j, value."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").option("recursiveFileLookup", True).load(path)
+    return arrays_of(files)
+
+
+def arrays_of(files: DataFrame) -> DataFrame:
+    """.npy contents (path, content) as long rows: path, i, j, value. Two-dimensional masks and N × 2 centroids alike."""
 
     def rows(batches):
         for pdf in batches:
@@ -58,9 +63,9 @@ def read_arrays(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tile_tables(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The CSV files of all tiles, with the well and tile that their names give."""
-    rows = spark.read.schema(schema).option("header", True).csv(path).withColumn("_file", F.col("_metadata.file_name"))
-    part = lambda n: F.regexp_extract("_file", r"Well(\d+)_(?:Tile|Point1_)(\d+)", n).try_cast("long")
+    """The CSV files of all tiles under ``path``, with the well and tile that the last matching part of each file's path gives."""
+    rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(path).withColumn("_file", F.col("_metadata.file_path"))
+    part = lambda n: F.regexp_extract("_file", r".*Well(\d+)_(?:Tile|Point1_)(\d+)", n).try_cast("long")
     return rows.withColumns({"well": part(1), "tile": part(2)}).drop("_file")
 
 
