@@ -185,7 +185,9 @@ def outline_measures(pixels):
 
 @query(
     "q9_8_texture",
-    """WITH p AS (SELECT well, tile, cell, i, j, ch0 AS v FROM {pixels} WHERE cell > 0 AND ch0 > 0),
+    """WITH p AS (
+  SELECT well, tile, cell, i, j, floor(ch0 * 255 / max(ch0) OVER (PARTITION BY well, tile, cell))::BIGINT AS v FROM {pixels} WHERE cell > 0 AND ch0 > 0 QUALIFY v > 0
+),
 s AS (SELECT d, w, a * d AS di, b * d AS dj FROM (SELECT unnest([1, 2, 4]) AS d), (VALUES (0, 0, 1), (1, 1, 0), (2, 1, 1), (3, 1, -1)) AS t(w, a, b)),
 pair AS (SELECT x.well, x.tile, x.cell, d, w, x.v AS a, y.v AS b FROM p AS x, s JOIN p AS y ON x.well = y.well AND x.tile = y.tile AND x.cell = y.cell AND y.i = x.i + di AND y.j = x.j + dj),
 c AS (SELECT well, tile, cell, d, w, a, b, count(*) AS n FROM (SELECT * FROM pair UNION ALL SELECT well, tile, cell, d, w, b, a FROM pair) GROUP BY ALL),

@@ -39,6 +39,16 @@ def test_texture_of_constant_region(spark):
     assert (got.contrast, got.asm, got.idm, got.entropy, got.correlation) == (0, 1, 1, 0, None)
 
 
+def test_texture_of_stripes_in_8_bit(spark):
+    # 16-bit columns of 1000, 2000 and 1 become 127, 255 and 0; zeros don't take part
+    rows = [(1, 1, i, j, 1, 1, (1000, 2000, 1)[j % 3]) for i in range(6) for j in range(6)]
+    px = spark.createDataFrame(rows, "well long, tile long, i long, j long, cell long, nucleus long, v long")
+    got = of.texture(px, "v", (1,)).first()
+    # along a row and on both diagonals neighbours are 127 and 255, down a column they are equal
+    assert got.contrast == pytest.approx(3 / 4 * (255 - 127) ** 2)
+    assert got.asm == pytest.approx(1 / 2) and got.entropy == pytest.approx(1)
+
+
 def test_clean_mask_drops_edges_and_double_nuclei(spark):
     def block(label, top, left, nuclei):
         return [(1, 1, i, j, label, next((n for n, (a, b) in nuclei.items() if (i, j) == (a, b)), 0)) for i in range(top, top + 5) for j in range(left, left + 5)]
