@@ -128,7 +128,7 @@ def truncate_library(library):
 )
 def library_by_well(reads, library):
     wells = reads.select("well").distinct().withColumn("grp", fb.library_group(F.col("well")))
-    return wells.join(F.broadcast(library), "grp").select("well", "sgrna")
+    return wells.join(library, "grp").select("well", "sgrna")
 
 
 @query("q2_10_hamming", "SELECT read, hamming(barcode, sgrna_seq) AS distance FROM {reads} AS r JOIN {spots} AS s USING (read) JOIN {library} AS l ON s.guide = l.lib_idx")
