@@ -14,7 +14,9 @@ from screenloom.llm.licenses import TEMPLATES, scan_licenses
 from screenloom.llm.line_dedup import drop_boilerplate
 from screenloom.llm.ngram_join import ngram_jaccard_components
 from screenloom.llm.packing import pack_documents
+from screenloom.llm.periodic import periodic_runs, with_planted_runs
 from screenloom.llm.pii import replace_entities, surrogate_key
+from screenloom.llm.simhash import simhash_components
 from screenloom.llm.warc import archived_pages, write_archives
 
 
@@ -89,6 +91,33 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 64-bit SimHash fingerprints differ in at most two bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash_components(docs, size=3, radius=2, seed=42)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of periodic words of every document, about a tenth of them made periodic beforehand."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = periodic_runs(docs, least=12)
+    # the longest; on ties the one that starts first, then of the shortest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return out.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.less")).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 OP6_SQL = r"""
 WITH rows AS (
   SELECT page_id,
@@ -178,6 +207,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
