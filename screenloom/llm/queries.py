@@ -16,6 +16,7 @@ from screenloom.llm.ngram_join import ngram_jaccard_components
 from screenloom.llm.packing import pack_documents
 from screenloom.llm.periodic import periodic_runs, with_planted_runs
 from screenloom.llm.pii import replace_entities, surrogate_key
+from screenloom.llm.prefix_trie import prefix_trie
 from screenloom.llm.simhash import simhash_components
 from screenloom.llm.warc import archived_pages, write_archives
 
@@ -91,6 +92,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with the head of another of their group of five."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = F.col("conv_id")
+    return prefix_trie(turns, base=conv - conv % 5, head=F.crc32(conv.cast("string").cast("binary")) % 9, most_head=8)
+
+
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 64-bit SimHash fingerprints differ in at most two bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -196,6 +204,35 @@ SELECT doc_id,
 FROM t
 """
 
+# CRC-32, bit by bit, of the decimal number c
+_CRC32 = """xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda crc, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)), 4294967295), 4294967295)"""
+OP11_SQL = f"""
+WITH own AS (
+  SELECT conv_id AS c, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), planned AS (
+  SELECT c, turns, {_CRC32} % 9 AS h FROM own
+), rebuilt AS (
+  SELECT p.c, list_concat(coalesce(b.turns[1:p.h], p.turns[1:0]), p.turns[p.h + 1:]) AS turns FROM planned AS p LEFT JOIN own AS b ON b.c = p.c - p.c % 5
+), member AS (
+  SELECT c, depth, turns[1:depth] AS prefix, depth = len(turns) AS is_end FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), node AS (
+  SELECT depth, prefix, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * CASE WHEN depth > 0 THEN strlen(prefix[depth].text) ELSE 0 END AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256
+  FROM member GROUP BY depth, prefix
+), child AS (
+  SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL
+), full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (depth, prefix)
+), subtree AS (
+  SELECT up AS depth, prefix[1:up] AS prefix, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM full_node) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_node AS n JOIN subtree AS s USING (depth, prefix) LEFT JOIN node AS p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+"""
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_language_id": op2_language_id,
@@ -207,6 +244,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_simhash_near_dedup": op12_simhash_near_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -216,4 +254,5 @@ ORACLE_SQL = {
     "op8_warc": OP8_SQL,
     "op9_license_scan": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }
