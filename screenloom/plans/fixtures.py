@@ -14,10 +14,15 @@ from screenloom.tables import table
 
 CYCLES = 12
 _LETTERS = ", ".join(f"substr('ACGT', cast(1 + floor(h / {4**k}) % 4 as int), 1)" for k in range(CYCLES))
-_Q = ", ".join(f"cast((l_orderkey * 31 + {k} * 17 + l_linenumber * 7) % 100 as double) / 100" for k in range(CYCLES))
+# every fifth read is good: its qualities start at 0.4
+_Q_RAW = [f"(l_orderkey * 31 + {k} * 17 + l_linenumber * 7) % 100" for k in range(CYCLES)]
+_Q = ", ".join(f"cast(CASE WHEN l_quantity > 40 THEN 40 + floor({x} * 6 / 10) ELSE {x} END as double) / 100" for x in _Q_RAW)
+#: Orders whose spots lie on one tile number; the tiles grow with lineitem, each has about 500 spots.
+ORDERS_A_TILE = 750
 _KEY = "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey, '-', cast(round(l_extendedprice * 100) as bigint))"
-_SPOT = """l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity,
-  1 + l_suppkey % 6 AS well, 1 + l_partkey % 8 AS tile, l_orderkey % 41 AS cell,
+_TILE = f"cast(1 + floor(l_orderkey / {ORDERS_A_TILE}) as bigint)"
+_SPOT = f"""l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity,
+  1 + l_suppkey % 6 AS well, {_TILE} AS tile, l_orderkey % 41 AS cell,
   (l_partkey * 7 + l_linenumber * 13) % 32 AS i, (l_orderkey * 11 + l_suppkey) % 32 AS j"""
 
 FIXTURES = {
@@ -25,7 +30,7 @@ FIXTURES = {
 SELECT p_partkey AS lib_idx,
   CASE WHEN p_partkey % 20 = 0 THEN concat(p_partkey, '') ELSE concat('G', p_partkey % 40, '_', p_partkey % 3, '_', p_partkey) END AS sgrna,
   concat({_LETTERS}) AS sgrna_seq, 1 + p_partkey % 3 AS grp
-FROM (SELECT p_partkey, (p_partkey * 2654435761) % 4294967296 AS h FROM {{part}} WHERE p_partkey < 400) AS t""",
+FROM (SELECT p_partkey, (p_partkey * 2654435761) % 4294967296 AS h FROM {{part}}) AS t""",
     "spots": f"""
 SELECT {_KEY} AS read, well, tile, cell, i, j, cast(100 + floor(l_extendedprice) % 900 as double) AS peak,
   l_partkey, l_orderkey, l_linenumber, l_quantity, l_extendedprice,
@@ -47,10 +52,8 @@ FROM (SELECT read, well, tile, cell, l_orderkey, l_partkey, {cycles} AS cycle FR
 SELECT well, tile, i, j,
   CASE WHEN i % 8 = 0 OR j % 8 = 0 THEN 0 ELSE cast(floor(i / 8) * 8 + floor(j / 8) as bigint) END AS cell,
   CASE WHEN i % 8 BETWEEN 3 AND 5 AND j % 8 BETWEEN 3 AND 5 THEN cast(floor(i / 8) * 8 + floor(j / 8) as bigint) ELSE 0 END AS nucleus,
-  l_partkey % 256 AS ch0, l_suppkey * 3 % 256 AS ch1, (l_orderkey + l_partkey) % 256 AS ch2
-FROM (SELECT *, row_number() OVER (PARTITION BY well, tile, i, j ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn
-      FROM (SELECT {_SPOT} FROM {{lineitem}}) AS t) AS u
-WHERE rn = 1""",
+  cast(sum(l_partkey) % 256 as bigint) AS ch0, cast(sum(l_suppkey * 3) % 256 as bigint) AS ch1, cast(sum(l_orderkey + l_partkey) % 256 as bigint) AS ch2
+FROM (SELECT {_SPOT} FROM {{lineitem}}) AS t GROUP BY well, tile, i, j""",
     "values": """
 SELECT well, tile, i, j, cell, nucleus, channel,
   CASE channel WHEN 0 THEN ch0 WHEN 1 THEN ch1 ELSE ch2 END AS value
@@ -59,9 +62,9 @@ FROM (SELECT *, {channels} AS channel FROM {pixels}) AS t""",
 SELECT o_orderkey AS point, 1 + o_custkey % 6 AS well, cast(o_orderkey % 2003 as double) AS x, cast((o_orderkey * 37) % 1999 as double) AS y FROM {orders}""",
     "points40": """
 SELECT point, well, 4 * x + 100 + (point % 5) - 2 AS x, 4 * y + 150 - (point % 5) + 2 AS y FROM {points10} AS p WHERE point % 11 <> 0""",
-    "tile_meta": """
+    "tile_meta": f"""
 SELECT well, tile, (tile % 4) * 0.65e0 * 32 AS x, floor(tile / 4) * 0.65e0 * 32 AS y, 0.65e0 AS mpp, 32 AS w, 32 AS h, tile * 10 + well AS t
-FROM (SELECT DISTINCT 1 + l_suppkey % 6 AS well, 1 + l_partkey % 8 AS tile FROM {lineitem}) AS s""",
+FROM (SELECT DISTINCT 1 + l_suppkey % 6 AS well, {_TILE} AS tile FROM {{lineitem}}) AS s""",
     "layout": """
 SELECT well, tile, cast(floor(tile / 4) as bigint) AS tile_row, tile % 4 AS tile_col FROM {tile_meta} AS m""",
     "phenotypes": """

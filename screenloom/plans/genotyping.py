@@ -15,9 +15,12 @@ _HAMMING = "hamming(barcode, sgrna_seq)"
 #: Reads inside cells, without N, with their guide candidates at a distance of at most one.
 CANDIDATES = """counted AS (
   SELECT well, tile, cell, barcode, count(*) AS read_count FROM {reads} WHERE cell > 0 AND NOT contains(barcode, 'N') GROUP BY ALL
+), one AS (SELECT DISTINCT barcode FROM counted
 ), found AS (
   SELECT c.barcode, l.lib_idx, l.sgrna, l.sgrna_seq, hamming(c.barcode, l.sgrna_seq) AS hamming_distance
-  FROM (SELECT DISTINCT barcode FROM counted) AS c JOIN {library} AS l ON hamming(c.barcode, l.sgrna_seq) <= 1
+  FROM one AS c JOIN {library} AS l ON substr(c.barcode, 1, 6) = substr(l.sgrna_seq, 1, 6) AND hamming(c.barcode, l.sgrna_seq) <= 1
+  UNION SELECT c.barcode, l.lib_idx, l.sgrna, l.sgrna_seq, hamming(c.barcode, l.sgrna_seq)
+  FROM one AS c JOIN {library} AS l ON substr(c.barcode, 7, 6) = substr(l.sgrna_seq, 7, 6) AND hamming(c.barcode, l.sgrna_seq) <= 1
 )"""
 BEST = f"""{CANDIDATES}, best AS (
   SELECT well, tile, cell, barcode, sgrna, sgrna_seq, hamming_distance, read_count
@@ -33,9 +36,13 @@ CODED = """coded AS (
 ), patterned AS (
   SELECT *, length(regexp_replace(barcode, '[ACGT]', '', 'g')) AS mismatch,
          replace(replace(replace(barcode, 'N', '[ACGT]'), 'K', '[GT]'), 'M', '[AC]') AS pattern FROM coded
+), usable AS (
+  SELECT DISTINCT pattern, translate(barcode, 'ACGTKMN', '1111000') AS mask, translate(barcode, 'KMN', '---') AS certain FROM patterned WHERE mismatch <= 3
+), masked AS (
+  SELECT l.*, mask, list_aggregate(list_transform(range(1, 13), lambda k: CASE WHEN substr(mask, k, 1) = '1' THEN substr(sgrna_seq, k, 1) ELSE '-' END), 'string_agg', '') AS certain
+  FROM {library} AS l, (SELECT DISTINCT mask FROM usable)
 ), hit AS (
-  SELECT p.pattern, l.sgrna, l.sgrna_seq, l.lib_idx FROM (SELECT DISTINCT pattern FROM patterned WHERE mismatch <= 3) AS p
-  JOIN {library} AS l ON regexp_full_match(l.sgrna_seq, p.pattern)
+  SELECT p.pattern, l.sgrna, l.sgrna_seq, l.lib_idx FROM usable AS p JOIN masked AS l USING (mask, certain) WHERE regexp_full_match(l.sgrna_seq, p.pattern)
 ), matched AS (
   SELECT read, well, tile, cell, barcode, peak, mismatch, sgrna, sgrna_seq FROM patterned JOIN hit USING (pattern) WHERE mismatch <= 3
 )"""
@@ -167,9 +174,12 @@ def best_guide_per_cell(reads, library):
 
 _ASSIGNED = """latest AS (
   SELECT sgrna_seq, max(lib_idx) AS lib_idx, arg_max(sgrna, lib_idx) AS sgrna FROM {library} GROUP BY sgrna_seq
+), one AS (SELECT DISTINCT barcode FROM {reads}
+), close AS (
+  SELECT r.barcode, l.lib_idx, l.sgrna, hamming(r.barcode, l.sgrna_seq) AS d FROM one AS r JOIN latest AS l ON substr(r.barcode, 1, 6) = substr(l.sgrna_seq, 1, 6) AND hamming(r.barcode, l.sgrna_seq) <= 1
+  UNION SELECT r.barcode, l.lib_idx, l.sgrna, hamming(r.barcode, l.sgrna_seq) FROM one AS r JOIN latest AS l ON substr(r.barcode, 7, 6) = substr(l.sgrna_seq, 7, 6) AND hamming(r.barcode, l.sgrna_seq) <= 1
 ), verdict AS (
-  SELECT r.barcode, count(*) AS matches, min(hamming(r.barcode, l.sgrna_seq)) AS distance, arg_min(l.sgrna, (hamming(r.barcode, l.sgrna_seq), l.lib_idx)) AS sgrna
-  FROM (SELECT DISTINCT barcode FROM {reads}) AS r JOIN latest AS l ON hamming(r.barcode, l.sgrna_seq) <= 1 GROUP BY r.barcode
+  SELECT barcode, count(*) AS matches, min(d) AS distance, arg_min(sgrna, (d, lib_idx)) AS sgrna FROM close GROUP BY barcode
 ), judged AS (
   SELECT r.*, v.sgrna AS best, v.distance,
     CASE WHEN list_max(q) < 0.99 OR matches IS NULL THEN 'unassigned' WHEN matches > 1 THEN 'ambiguous' ELSE 'assigned' END AS status
