@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenloom.operators.barcodes import CELL
 from screenloom.operators.qc import TILE
+from screenloom.operators.quantiles import exact_quantiles
 
 
 def mapped_cells(cells: DataFrame, calls: DataFrame) -> DataFrame:
@@ -102,7 +103,7 @@ def heat_table(trials: DataFrame, columns: list[float]) -> DataFrame:
 
 def success_rates(trials: DataFrame) -> DataFrame:
     """For each optimizer the share of trials with an error up to each overall quartile, and its coefficient of variation."""
-    quartiles = trials.agg(F.percentile("rmsd", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).withColumn("k", F.lit(1))
+    quartiles = exact_quantiles(trials, [], "rmsd", [0.25, 0.5, 0.75]).select(F.col("quantiles").alias("q"), F.lit(1).alias("k"))
     both = trials.withColumn("k", F.lit(1)).join(F.broadcast(quartiles), "k")  # one row
     shares = [F.round(F.avg((F.col("rmsd") <= F.col("q")[i]).cast("double")), 6).alias(f"success_q{i + 1}") for i in range(3)]
     return both.groupBy("optimization").agg(*shares, F.round(F.stddev_samp("rmsd") / F.avg("rmsd"), 6).alias("variation"))

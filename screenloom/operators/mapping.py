@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from screenloom.functions.geometry import affine, distance, scaled_rotation, to_global
+from screenloom.operators.quantiles import exact_quantiles
 
 
 def arrange_tiles(meta: DataFrame) -> DataFrame:
@@ -98,15 +99,14 @@ def nearest_within(points: DataFrame, others: DataFrame, most: float) -> DataFra
 
 
 def transform_error(pairs: DataFrame, *by: str) -> DataFrame:
-    """Mean, median, largest and root mean square of ``dist``."""
+    """Mean, median, largest and root mean square of ``dist``; the median by counting, so a well may have any number of pairs."""
     d = F.col("dist")
-    return pairs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(d), 6).alias("mean_error"),
-        F.round(F.percentile(d, F.lit(0.5)), 6).alias("median_error"),
-        F.round(F.max(d), 6).alias("max_error"),
-        F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse"),
+    stats = pairs.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(d), 6).alias("mean_error"), F.round(F.max(d), 6).alias("max_error"), F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse")
     )
+    medians = exact_quantiles(pairs, list(by), "dist", [0.5]).select(*[F.col(c).alias(f"_{c}") for c in by], F.round(F.col("quantiles")[0], 6).alias("median_error"))
+    same = [stats[c].eqNullSafe(medians[f"_{c}"]) for c in by] or [F.lit(True)]
+    return stats.join(medians, same, "left").select(*by, "n", "mean_error", "median_error", "max_error", "rmse")
 
 
 def _moments(pairs: DataFrame) -> DataFrame:
