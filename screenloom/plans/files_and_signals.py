@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import io
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +11,7 @@ from screenloom.operators import tiles as ot
 from screenloom.operators import traces as tr
 from screenloom.plans.registry import query
 from screenloom.sources import files as sf
+from screenloom.sources import npy
 from screenloom.streaming import incremental as inc
 
 
@@ -85,28 +82,24 @@ def tile_tables(genotypes):
     return sf.read_tile_tables(genotypes.sparkSession, path, "cell long, sgrna string, reads long").select("well", "tile", "cell", "sgrna", "reads")
 
 
-@query("q1_1_library_file", "SELECT sgrna, sgrna_seq, grp::INT AS grp FROM {library}")
+@query("q1_1_library_file", "SELECT row_number() OVER (ORDER BY lib_idx) - 1 AS lib_idx, sgrna, sgrna_seq, grp::INT AS grp FROM {library}")
 def library_file(library):
-    """The library written as CSV and read back."""
+    """The library written as three CSV files, one after another, and read back with the place of each row in all of them."""
     path = new_folder(library.sparkSession, "library")
-    library.select("sgrna", "sgrna_seq", "grp").write.option("header", True).csv(path)
-    return sf.read_library(library.sparkSession, path).drop("lib_idx")
+    in_order = library.repartitionByRange(3, "lib_idx").sortWithinPartitions("lib_idx")
+    in_order.select("sgrna", "sgrna_seq", "grp").write.option("header", True).csv(path)
+    return sf.read_library(library.sparkSession, path)
 
 
-@query("q1_5_mask_arrays", "SELECT well, tile, i::INT AS i, j::INT AS j, cell::DOUBLE AS value FROM {pixels} WHERE cell > 0")
+@query("q1_5_mask_arrays", "SELECT well, tile, i::BIGINT AS i, j::BIGINT AS j, cell::DOUBLE AS value FROM {pixels} WHERE cell > 0")
 def mask_arrays(pixels):
-    """The mask of each tile as the content of a .npy file, and all of them as rows."""
-
-    def content(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.zeros((int(pdf["i"].max()) + 1, int(pdf["j"].max()) + 1), np.int32)
-        mask[pdf["i"], pdf["j"]] = pdf["cell"]
-        out = io.BytesIO()
-        np.save(out, mask)
-        return pd.DataFrame({"path": [f"Well{pdf['well'].iloc[0]}_Tile{pdf['tile'].iloc[0]}.npy"], "content": [out.getvalue()]})
-
-    files = pixels.select("well", "tile", "i", "j", "cell").groupBy("well", "tile").applyInPandas(content, "path string, content binary")
-    part = lambda n: F.regexp_extract("path", r"Well(\d+)_Tile(\d+)", n).cast("long")
-    return sf.arrays_of(files).filter("value > 0").select(part(1).alias("well"), part(2).alias("tile"), "i", "j", "value")
+    """The mask of each tile written as a .npy file, and all of them read back as rows."""
+    spark = pixels.sparkSession
+    path = new_folder(spark, "masks")
+    named = pixels.select(F.format_string("Well%d_Tile%d.npy", "well", "tile").alias("path"), "i", "j", F.col("cell").alias("value"))
+    npy.write_arrays(named, path, "int32")
+    part = lambda n: F.regexp_extract("path", r"Well(\d+)_Tile(\d+)\.npy$", n).cast("long")
+    return npy.read_arrays(spark, path).filter("value > 0").select(part(1).alias("well"), part(2).alias("tile"), "i", "j", "value")
 
 
 @query(
@@ -172,6 +165,35 @@ def well_counters(arrivals):
     return inc.well_counters(_merged(arrivals))
 
 
+def _stream_of(arrivals: DataFrame, batches: int = 3) -> DataFrame:
+    """Arrivals as a stream of ``batches`` batches, in the order of their ids."""
+    spark, source = arrivals.sparkSession, new_folder(arrivals.sparkSession, "arrivals")
+    for k in range(batches):
+        arrivals.filter(F.col("event_id") % batches == k).coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+@query("q8_1_stream_upsert", f"{_LATEST % 'true'}")
+def stream_upsert(arrivals):
+    """Arrivals as a stream, of which the latest of each tile is kept, and the table read back."""
+    spark = arrivals.sparkSession
+    table, state = (new_folder(spark, n) for n in ("tiles", "tiles-state"))
+    inc.stream_upserts(_stream_of(arrivals), table, state).awaitTermination()
+    return inc.read_current(spark, table)
+
+
+@query(
+    "q8_2_stream_counters",
+    f"""SELECT well, count(*) AS tiles, count(*) FILTER (status = 'success') AS successful, count(*) FILTER (status = 'error') AS failed, string_agg(tile, ',' ORDER BY tile) AS tile_list FROM ({_LATEST % 'true'}) GROUP BY well""",
+)
+def stream_counters(arrivals):
+    """Arrivals as a stream, of which wells are counted, a tile once however often it came, and the counters read back."""
+    spark = arrivals.sparkSession
+    table, state = (new_folder(spark, n) for n in ("counters", "counters-state"))
+    inc.stream_counters(_stream_of(arrivals), table, state).awaitTermination()
+    return inc.read_counters(spark, table)
+
+
 @query("q8_3_progress_log", "SELECT event_id, well, tile, status FROM {arrivals}")
 def progress_log(arrivals):
     """Arrivals as a stream, logged tile by tile, and the log read back."""
@@ -214,8 +236,10 @@ def apply_segmenter(values):
 
 @query("q9_18_segment_summary")
 def segment_summary(values):
-    cells = apply_segmenter(values).groupBy("well", "tile", "status", "cell").agg(F.count("i").alias("area"))
-    return cells.groupBy("well", "tile", "status").agg(F.count("cell").alias("cells"), F.sum("area").alias("area"))
+    """Cells grown from nuclei, counted with their areas by tile."""
+    pixels = ot.segment_tiles(_tiles(values, 1), "DAPI", "G", 4, 8)
+    cells = pixels.groupBy("well", "tile", "status", "cell").agg(F.count("i").alias("area"), F.count(F.when(F.col("nucleus") > 0, 1)).alias("nucleus_area"))
+    return cells.groupBy("well", "tile", "status").agg(F.count("cell").alias("cells"), F.sum("area").alias("area"), F.sum("nucleus_area").alias("nucleus_area"))
 
 
 @query("q4_19_median_unmixing")

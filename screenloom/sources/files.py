@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import re
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -15,10 +12,25 @@ LIBRARY = "sgrna string, sgrna_seq string, grp int"
 METADATA = "well int, tile int, magnification string, nuclei array<struct<label:int,y:double,x:double>>"
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows just read from text files with their place, from 0, in all files one after another, in the order of their paths.
+
+    Two passes: rows are counted by file and block, and a row's place is what lies before its block and its place in
+    it. No row is moved for that. Blocks are ordered within their file; only the totals of files, of which the
+    driver has a list anyway, are summed in one window.
+    """
+    tagged = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    blocks = tagged.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    within = F.coalesce(F.sum("_rows").over(W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    files = blocks.groupBy("_file").agg(F.sum("_rows").alias("_all"))
+    files = files.select("_file", F.coalesce(F.sum("_all").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
+    offsets = blocks.withColumn("_within", within).join(files, "_file").select("_file", "_block", (F.col("_earlier") + F.col("_within") - F.col("_first")).alias("_offset"))
+    return tagged.join(offsets, ["_file", "_block"]).withColumn(name, F.col("_id") + F.col("_offset")).drop("_file", "_block", "_id", "_offset")
+
+
 def read_library(spark: SparkSession, path: str) -> DataFrame:
-    """A barcode library CSV with a header; lib_idx follows the order within the file."""
-    rows = spark.read.schema(LIBRARY).option("header", True).csv(path)
-    return rows.withColumn("lib_idx", F.monotonically_increasing_id())
+    """Barcode library CSV files with headers; lib_idx is the place of a row in all of them, in the order of their paths."""
+    return numbered(spark.read.schema(LIBRARY).option("header", True).csv(path), "lib_idx")
 
 
 def parse_names(files: DataFrame, path: str = "path") -> DataFrame:
@@ -43,25 +55,6 @@ def cycles_in_order(files: DataFrame, path: str = "path") -> DataFrame:
     return out.withColumn("place", F.dense_rank().over(W.partitionBy("well", "tile").orderBy("cycle")).cast("long"))
 
 
-def read_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """All .npy files under ``path`` as long rows: path, i, j, value."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").option("recursiveFileLookup", True).load(path)
-    return arrays_of(files)
-
-
-def arrays_of(files: DataFrame) -> DataFrame:
-    """.npy contents (path, content) as long rows: path, i, j, value. Two-dimensional masks and N × 2 centroids alike."""
-
-    def rows(batches):
-        for pdf in batches:
-            for name, data in zip(pdf["path"], pdf["content"], strict=True):
-                a = np.atleast_2d(np.load(io.BytesIO(data), allow_pickle=False))
-                i, j = np.indices(a.shape)
-                yield pd.DataFrame({"path": name, "i": i.ravel(), "j": j.ravel(), "value": a.astype(float).ravel()})
-
-    return files.select("path", "content").mapInPandas(rows, "path string, i int, j int, value double")
-
-
 def read_tile_tables(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The CSV files of all tiles under ``path``, with the well and tile that the last matching part of each file's path gives."""
     rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(path).withColumn("_file", F.col("_metadata.file_path"))

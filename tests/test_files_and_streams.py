@@ -1,7 +1,6 @@
 import json
+import random
 
-import numpy as np
-from pyspark.sql import functions as F
 
 from screenloom.operators import compare as oc
 from screenloom.sources import files as sf
@@ -19,10 +18,21 @@ def test_library_and_tile_csv(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [(1, 5, 2, 7), (4, 6, 3, 11)]
 
 
-def test_arrays_and_metadata(spark, tmp_path):
-    np.save(tmp_path / "a.npy", np.arange(6).reshape(2, 3))
-    got = sf.read_arrays(spark, str(tmp_path)).filter("value = 5").first()
-    assert (got.i, got.j) == (1, 2)
+def test_library_of_several_files_is_their_concatenation(spark, tmp_path):
+    rows = [(f"G{k}", "ACGT"[k % 4] * 5, k % 3) for k in range(5000)]
+    ends = [0, 1700, 1700, 1705, 4990, 5000]
+    for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):  # one file without rows
+        (tmp_path / f"lib-{k}.csv").write_text("sgrna,sgrna_seq,grp\n" + "".join(f"{n},{s},{g}\n" for n, s, g in rows[a:b]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # files of many blocks, in any number of tasks
+    try:
+        got = sf.read_library(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(r[c] for c in ("sgrna", "sgrna_seq", "grp")) for r in sorted(got, key=lambda r: r.lib_idx)] == rows
+    assert sorted(r.lib_idx for r in got) == list(range(5000))
+
+
+def test_metadata(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps({"well": 1, "tile": 2, "magnification": "10X", "nuclei": [{"label": 3, "y": 1.5, "x": 2.5}]}, indent=1))
     assert tuple(sf.read_metadata(spark, str(tmp_path / "m.json")).first()) == (1, 2, "10X", 3, 1.5, 2.5)
 
@@ -48,22 +58,58 @@ def test_upsert_twice_changes_nothing(spark):
     assert tuple(inc.well_counters(twice).first()) == (1, 2, 2, 0, "1,2")
 
 
+ARRIVAL = "ts string, event_id long, well long, tile long, status string, value double"
+
+
+def plain(df):
+    return sorted(map(tuple, df.collect()))
+
+
 def test_streams_equal_batches(spark, tmp_path):
-    rows = [(f"2024-01-{d:02d}", d, 1 + d % 2, 1 + d % 3, "error" if d % 4 == 0 else "success", float(d)) for d in range(1, 21)]
-    df = spark.createDataFrame(rows, "ts string, event_id long, well long, tile long, status string, value double")
-    source = str(tmp_path / "in")
-    for part in (df.filter("event_id <= 10"), df.filter("event_id > 10")):
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = lambda: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    for _ in range(2):  # a second run finds nothing new
-        inc.stream_upserts(stream(), str(tmp_path / "table"), str(tmp_path / "c1")).awaitTermination()
-        got = inc.read_current(spark, str(tmp_path / "table"))
-        assert {(r.well, r.tile) for r in got.collect()} == {(r.well, r.tile) for r in df.select("well", "tile").distinct().collect()}
-    inc.stream_counters(stream(), "counted").awaitTermination()
-    want = {tuple(r) for r in df.groupBy("well", "status").agg(F.count(F.lit(1))).collect()}
-    assert {tuple(r) for r in spark.table("counted").collect()} == want
-    inc.stream_log(stream(), str(tmp_path / "log"), str(tmp_path / "c2")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 20
+    rng = random.Random(4)
+    source, seen = tmp_path / "in", []
+    source.mkdir()
+    rows = [(f"2024-01-01 00:{rng.randrange(60):02d}", d, 1 + d % 2, 1 + d % 3, rng.choice(["error", "success", "success"]), float(d)) for d in range(60)]
+    rows += [("2024-01-02", 70, 1, 1, "success", 1.0), ("2024-01-02", 71, 1, 1, "error", 1.0), ("2024-01-02", 71, 1, 1, "error", 1.0)]  # a tile that runs twice at one time
+    rows += [(None, 90, 2, 2, None, None), ("2023", 91, 1, 1, "success", 0.0), ("2025", 92, 9, 9, None, None)]  # what comes late, or without a time
+    stream = lambda: spark.readStream.schema(ARRIVAL).option("maxFilesPerTrigger", 1).parquet(str(source))
+    for k, batch in enumerate([rows[:20], rows[20:60], rows[60:62], rows[62:63], rows[63:] + rows[:5]]):
+        spark.createDataFrame(batch, ARRIVAL).coalesce(1).write.mode("append").parquet(str(source))
+        seen += batch
+        want = inc.latest(spark.createDataFrame(seen, ARRIVAL))
+        for _ in range(2 if k == 1 else 1):  # a second run finds nothing new
+            inc.stream_upserts(stream(), str(tmp_path / "table"), str(tmp_path / "c1"), buckets=2).awaitTermination()
+            inc.stream_counters(stream(), str(tmp_path / "counters"), str(tmp_path / "c2"), buckets=2).awaitTermination()
+        assert plain(inc.read_current(spark, str(tmp_path / "table")).select(*want.columns)) == plain(want)
+        assert plain(inc.read_counters(spark, str(tmp_path / "counters"))) == plain(inc.well_counters(want))
+    inc.stream_log(stream(), str(tmp_path / "log"), str(tmp_path / "c3")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "log")).count() == len(seen)
+
+
+def test_a_batch_writes_no_more_than_itself(spark, tmp_path):
+    log = inc.tile_log(spark, str(tmp_path / "log"), buckets=4, most=6)
+    assert log.read() is None
+    tiles = [("2024", k, k % 7, k, "success", float(k)) for k in range(4000)]
+    log.append(spark.createDataFrame(tiles, ARRIVAL), 0)
+    kept = {k: r for k, r in enumerate(tiles)}
+    size = lambda p: sum(f.stat().st_size for f in p.rglob("*.parquet"))
+    folders = lambda kind: sorted(int(p.name) for p in (tmp_path / "log" / kind).iterdir())
+    assert folders("base") == [0]
+    whole, compacted = size(tmp_path / "log" / "base" / "0"), 0
+    for k in range(1, 15):
+        row = (f"2025-{k:02d}", 5000 + k, (k % 3) % 7, k % 3, "error", 0.0)
+        kept[k % 3] = row
+        log.append(spark.createDataFrame([row], ARRIVAL), k)
+        if k % 5 == 0:  # a replay
+            log.append(spark.createDataFrame([row], ARRIVAL), k)
+        assert size(tmp_path / "log" / "changes" / str(k)) < whole / 5
+        compacted += k in folders("base")
+        assert plain(log.read().select("ts", "event_id", "well", "tile", "status", "value")) == sorted(kept.values())
+    # a new base after every six changes; the one before it stays, with its changes
+    assert compacted == 2 and folders("base") == [6, 12] and folders("changes") == list(range(7, 15))
+    # a folder that was never completed isn't read
+    (tmp_path / "log" / "base" / "13").mkdir()
+    assert log.read().count() == 4000
 
 
 def test_run_difference_with_zero_column(spark):
