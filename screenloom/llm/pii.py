@@ -4,8 +4,12 @@ Detected entities (e-mail and IP addresses, phone, card, social security and acc
 secrets, names of persons) get replacements of the same type and format, derived from a secret key
 and the entity alone: one entity has the same surrogate wherever it occurs, in any letter case or
 grouping of digits. Surrogates of all entities of the corpus are checked against each other and
-against the entities; of those that collide all but one are derived anew until none does. Card and
+against the entities; of those that collide all but one are derived anew until none does. Later
+attempts draw from more: longer names, local parts and addresses, and where a format has no free value left
+(more entities than it has values) a bracketed word with the kind and a digest. Card and
 account numbers must bear their checksum to be taken as such, and so do their surrogates.
+
+A surname with a form of address is the person of that surname whom the text names in full, if there is one only.
 """
 
 from __future__ import annotations
@@ -33,11 +37,15 @@ NAMES = {
 }
 #: Accented letters that are often written without their accent.
 PLAIN = {"á": "a", "é": "e", "è": "e", "í": "i", "ü": "u", "ñ": "n", "ç": "c", "ё": "е"}
+PLAIN |= {c.upper(): p.upper() for c, p in PLAIN.items()}
 SYLLABLES = {
     "latin": ["bar", "ben", "cal", "dor", "fel", "gan", "hol", "kem", "lin", "mar", "nor", "pel", "ros", "sten", "tal", "wen"],
     "cyrillic": ["бар", "вол", "гор", "дан", "зор", "кал", "лом", "мир", "нов", "пет", "род", "сав", "тим", "фед", "хар", "яр"],
 }
 
+#: Attempts at a surrogate of the entity's own format.
+LAST = 12
+
 _L, _R = "(?<![\\p{L}\\p{N}])", "(?![\\p{L}\\p{N}])"
 
 
@@ -49,6 +57,9 @@ def _any_of(names: list[str]) -> str:
 
 _TITLE = _any_of(["Dr", "Prof", *TITLES_MALE, *TITLES_FEMALE])
 _GIVEN = _any_of([n for names in NAMES.values() for n in names])
+_CAPITALS = _any_of([n.upper() for names in NAMES.values() for n in names])
+#: Country codes of telephone numbers; the others have three digits.
+_COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 _OCTET, _H = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])", "[0-9A-Fa-f]{1,4}"
 _WORD = "\\p{Lu}\\p{Ll}+"
 PATTERNS = {
@@ -61,11 +72,11 @@ PATTERNS = {
     "ssn": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": "\\+[0-9]{1,3}[ .-]?\\(?[0-9]{2,4}\\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9.-])(?:\\([0-9]{3}\\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])",
     "card": "(?<![0-9.])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])",
-    "person": f"(?<!\\p{{L}})(?:{_TITLE}\\.? {_WORD}(?:[ -]{_WORD})?|{_GIVEN} {_WORD}(?:-{_WORD})?)(?!\\p{{L}})",
+    "person": f"(?<!\\p{{L}})(?:{_TITLE}\\.? {_WORD}(?: \\p{{Lu}}\\.)?(?:[ -]{_WORD})?|{_GIVEN}(?: \\p{{Lu}}\\.)? {_WORD}(?:-{_WORD})?|{_CAPITALS} \\p{{Lu}}{{2,}}(?:-\\p{{Lu}}{{2,}})?)(?!\\p{{L}})",
 }
 ENTITY = "|".join(PATTERNS.values())
 #: Whatever has an entity matches this, which is quicker to rule out.
-HINT = f"[0-9@]|(?i:token|secret|passw|api_?key)|AKIA|gh[pousr]_|sk-|xox[abp]-|[a-fA-F]{{32}}|(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN})\\.? \\p{{Lu}}"
+HINT = f"[0-9@]|(?i:token|secret|passw|api_?key)|AKIA|gh[pousr]_|sk-|xox[abp]-|[a-fA-F]{{32}}|(?<!\\p{{L}})(?:{_TITLE}|{_GIVEN}|{_CAPITALS})\\.? \\p{{Lu}}"
 
 
 def _matches(text: Column) -> Column:
@@ -81,8 +92,10 @@ def _kind(entity: Column) -> Column:
 
 
 def _gender(entity: Column) -> Column:
-    female = _any_of([*TITLES_FEMALE, *NAMES["female", "latin"], *NAMES["female", "cyrillic"]])
-    return F.when(entity.rlike(f"^(?:(?:Dr|Prof)\\.? )?{female}[. ]"), "female").otherwise("male")
+    """As the given name or the form of address says; ``any`` where neither does."""
+    of = lambda g, titles: _any_of([*titles, *(n for (gender, _), names in NAMES.items() if gender == g for n in (*names, *map(str.upper, names)))])
+    says = lambda g, titles: entity.rlike(f"^(?:(?:Dr|Prof)\\.? )?{of(g, titles)}[. ]")
+    return F.when(says("female", TITLES_FEMALE), "female").when(says("male", TITLES_MALE), "male").otherwise("any")
 
 
 def _chars(text: Column) -> Column:
@@ -114,7 +127,7 @@ def _canonical(kind: Column, entity: Column) -> Column:
     digits = F.regexp_replace(entity, "[^0-9]", "")
     # numbers of country 1 are often written without it
     north = entity.rlike("^\\+1[^0-9]") & (F.length(digits) == 11)
-    country = F.coalesce(F.nullif(F.length(F.regexp_extract(entity, "^\\+([0-9]{1,3})", 1)), F.lit(0)), F.lit(0))
+    country = F.length(F.regexp_extract(entity, f"^\\+({_COUNTRY})", 1))
     names = F.lower(F.regexp_replace(entity, f"^{_TITLE}\\.? ", ""))
     return (
         F.when(kind.isin("card", "ssn"), digits)
@@ -166,7 +179,8 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     cyrillic = number.rlike("\\p{IsCyrillic}")
     given = F.lit(None).cast("string")
     surname = F.lit(None).cast("string")
-    for (gender, script), values in NAMES.items():
+    both = {("any", script): [n for (_, own), names in NAMES.items() if own == script for n in names] for script in ("latin", "cyrillic")}
+    for (gender, script), values in (NAMES | both).items():
         this = canonical.startswith(f"{gender}:") & (cyrillic if script == "cyrillic" else ~cyrillic)
         given = F.when(this, _from(values, digest, 0)).otherwise(given)
     for script, values in SYLLABLES.items():
@@ -184,12 +198,16 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     card = _same_shape(canonical, digest, F.lit(1))
     card = F.substring(card, F.lit(1), F.length(card) - 1)
     account = F.concat(F.substring(canonical, 1, 2), F.lit("00"), F.substring(_same_shape(canonical, digest, F.lit(2)), F.lit(5), F.length(canonical)))
+    whole = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(digest, 4 * i + 40, F.lit(4))), ":")
     address = F.array_join(F.transform(_chars(canonical), lambda c, i: F.when(c == ":", c).otherwise(F.substring(digest, i + 1, F.lit(1)))), "")
+    # no free value of this format was found: a word that says what was here
+    word = F.concat(F.lit("["), kind, F.lit("-"), F.substring(digest, 1, 24), F.lit("]"))
     return (
-        F.when(kind == "email", F.concat(longer, _same_shape(body, digest, F.lit(0)), tld))
+        F.when(attempt >= LAST, word)
+        .when(kind == "email", F.concat(longer, _same_shape(body, digest, F.lit(0)), tld))
         .when(kind == "ip", F.concat_ws(".", octet(0), octet(1), octet(2), octet(3)))
         .when(kind == "phone", F.concat(F.substring_index(canonical, ":", 1), F.lit(":"), _same_shape(number, digest, F.substring_index(canonical, ":", 1).cast("int"))))
-        .when(kind == "ipv6", address)
+        .when(kind == "ipv6", F.when(attempt > 5, whole).otherwise(address))
         .when(kind == "card", F.concat(card, F.pmod(10 - _luhn(F.concat(card, F.lit("0"))), F.lit(10)).cast("string")))
         .when(kind == "iban", F.concat(F.substring(account, 1, 2), F.lpad((98 - _mod97(account)).cast("string"), 2, "0"), F.substring(account, F.lit(5), F.length(account))))
         .when(kind == "person", F.concat(F.substring_index(canonical, ":", 1), F.lit(":"), person))
@@ -213,23 +231,31 @@ def _written(kind: Column, entity: Column, surrogate: Column) -> Column:
         return F.when(c == " ", c).otherwise(F.substring(surrogate, n, F.lit(1)))
 
     title = F.regexp_extract(entity, f"^({_TITLE}\\.? )", 1)
+    name = F.substring(entity, F.length(title) + 1, F.length(entity))
+    # a mention by surname alone gets the surname alone
+    named = F.when(name.rlike(" "), number).otherwise(F.substring_index(number, " ", -1))
+    named = F.when((F.upper(name) == name) & name.rlike("\\p{L}{2}"), F.upper(named)).otherwise(named)
     upper = (F.upper(entity) == entity) & (F.lower(entity) != entity)
     chars = F.split(entity, "")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), F.array_join(F.transform(chars, digit), ""))
+        F.when(surrogate.startswith("["), surrogate)
+        .when(kind.isin("phone", "card", "ssn"), F.array_join(F.transform(chars, digit), ""))
         .when(kind == "iban", F.array_join(F.transform(chars, grouped), ""))
-        .when(kind == "person", F.concat(title, number))
+        .when(kind == "person", F.concat(title, named))
         .when(kind.isin("email", "ipv6", "secret") & upper & entity.rlike("^[0-9a-fA-F]{32,64}$|[@:]"), F.upper(surrogate))
         .otherwise(surrogate)
     )
 
 
-def surrogates(entities: DataFrame, key: str, rounds: int = 30) -> DataFrame:
-    """One row per distinct (kind, canonical) with a surrogate that no other entity has and that is none itself."""
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """One row per distinct (kind, canonical) with a surrogate that no other entity has and that is none itself.
+
+    After ``LAST`` attempts surrogates are words that can't be entities and differ as their digests do.
+    """
     real = stored(entities.select("kind", "canonical").distinct(), "entities")
     todo = real.withColumn("attempt", F.lit(0))
     done = None
-    for _ in range(rounds):
+    while True:
         tried = todo.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canonical"), F.col("attempt")))
         taken = tried.select("kind", "surrogate").join(real.select("kind", F.col("canonical").alias("surrogate")), ["kind", "surrogate"], "left_semi")
         if done is not None:
@@ -242,7 +268,18 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 30) -> DataFrame:
         todo = tried.filter(~F.col("winner").eqNullSafe(F.col("canonical"))).select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
         if todo.isEmpty():
             return done
-    raise RuntimeError(f"surrogates still collide after {rounds} rounds; some type has more entities than replacements")
+
+
+def _linked_surnames(mentions: DataFrame, keys: list[str]) -> DataFrame:
+    """``mentions`` in which a surname alone has the canonical form of the one full name with it in the same text."""
+    name = F.substring_index("canonical", ":", -1)
+    person = F.when(F.col("kind") == "person", F.substring_index(name, " ", -1))
+    named = mentions.withColumns({"surname": person, "full": name.contains(" ")})
+    full = named.filter("surname is not null and full").groupBy(*keys, "surname").agg(F.min("canonical").alias("one"), F.max("canonical").alias("other"))
+    full = full.filter("one = other").drop("other")
+    out = named.join(full, [*keys, "surname"], "left")
+    linked = F.when(F.col("surname").isNotNull() & ~F.col("full") & F.col("one").isNotNull(), F.col("one")).otherwise(F.col("canonical"))
+    return stored(out.withColumn("canonical", linked).select(*mentions.columns), "mentions")
 
 
 def surrogate_key(spark: SparkSession) -> str:
@@ -266,7 +303,8 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     found = found.groupBy(*keys).agg(F.first("found").alias("found"))
     mentions = found.select(*keys, F.posexplode("found").alias("place", "entity")).withColumn("kind", _kind(F.col("entity")))
     mentions = mentions.withColumn("kind", F.when(_holds(F.col("kind"), F.col("entity")), F.col("kind")))
-    mentions = stored(mentions.withColumn("canonical", F.when(F.col("kind").isNotNull(), _canonical(F.col("kind"), F.col("entity")))), "mentions")
+    mentions = mentions.withColumn("canonical", F.when(F.col("kind").isNotNull(), _canonical(F.col("kind"), F.col("entity"))))
+    mentions = _linked_surnames(stored(mentions, "found"), keys)
     chosen = surrogates(mentions.filter("kind is not null"), key)
     written = salted_join(mentions, chosen, ["kind", "canonical"], F.col(keys[0]))
     # what only looks like an entity is put back as it is

@@ -1,5 +1,7 @@
 import collections
+import ipaddress
 import random
+import re
 import textwrap
 import zlib
 
@@ -14,7 +16,7 @@ from screenloom.llm import packing
 from screenloom.llm.bpe import Encoder, StreamDecoder, _tokens, decode_bpe, decode_bpe_stream, encode_bpe, merge_bytes, read_ranks
 from screenloom.llm.langid import held_out, identify_languages
 from screenloom.llm.licenses import TEMPLATES, WHOLE, bigrams, scan_licenses, words_of
-from screenloom.llm.pii import replace_entities
+from screenloom.llm.pii import NAMES, replace_entities
 
 SF = "/root/testdata/sf0.001"
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -351,3 +353,58 @@ def test_addresses_names_and_phones(spark):
     one, two, three = out[2].text[5:].split(", not")[0].split(" or ")
     digits = [[x for x in n if x.isdigit()] for n in (one, two, three)]
     assert out[2].n_entities == 4 and digits[0] == ["1", *digits[1]] and digits[1] == digits[2] and one.startswith("+1 (") and "407" not in two[:6]
+
+
+def replaced(spark, texts):
+    out = replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()
+    return [r.text for r in sorted(out, key=lambda r: r.doc_id)]
+
+
+def test_one_person_and_one_number_in_several_forms(spark):
+    texts = [
+        "Alice Walker came. Ms. Walker spoke to Dr. Walker and ALICE WALKER left.",
+        "call +49 30 1234567 or +49301234567 or +49 (30) 123 4567",
+        "Alice Walker and Emma Walker; Ms. Walker",
+        "Dr. Priya Patel wrote. Later Dr. Patel and Alice M. Walker wrote.",
+        "+1 212 555 0123, 212-555-0123, +7 495 1234567, +74951234567, +351 21 1234567",
+    ]
+    new = replaced(spark, texts)
+    given, surname = re.match(r"(\w+) (\w+) came", new[0]).groups()
+    assert new[0] == f"{given} {surname} came. Ms. {surname} spoke to Dr. {surname} and {given.upper()} {surname.upper()} left."
+    assert "Alice" not in new[0] and surname != "Walker" and given in NAMES["female", "latin"]
+    digits = [re.sub("[^0-9]", "", x) for x in new[1].removeprefix("call ").split(" or ")]
+    assert len(set(digits)) == 1 and digits[0].startswith("49") and digits[0] != "49301234567"
+    a, b, c = re.match(r"(\w+ \w+) and (\w+ \w+); Ms\. (\w+)", new[2]).groups()
+    assert a != b and a == f"{given} {surname}" and c not in ("Walker",)
+    assert re.fullmatch(r"Dr\. \w+ (\w+) wrote\. Later Dr\. \1 and \w+ \w+ wrote\.", new[3]) and not re.search("Priya|Patel|Alice|Walker", new[3])
+    one, two, seven, again, three = new[4].split(", ")
+    assert re.sub("[^0-9]", "", one)[1:] == re.sub("[^0-9]", "", two) and re.sub("[^0-9]", "", seven) == re.sub("[^0-9]", "", again)
+    assert seven.startswith("+7 ") and three.startswith("+351 ")
+
+
+def test_crowded_formats_run_out_of_values_but_not_of_surrogates(spark):
+    """More entities than half of the values of their format, in several formats."""
+    hexes = [f"{a}::{b}" for a in "0123456789abcdef" for b in "0123456789abcdef" if (a + b).strip("abcdef")]
+    codes = [f"password = '{c * 7}{d}'" for c in "*-" for d in "0123456789"]
+    emails = [f"{c}@{d}.com" for c in "abcdefghijklmnopqrstuvwxyz" for d in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    texts = [f"at {h} now" for h in hexes] + codes + emails
+    new = replaced(spark, texts)
+    assert len(set(new)) == len(texts) and not set(new) & set(texts)
+    seen = [t.split()[1] for t in new[: len(hexes)]]
+    assert all(ipaddress.ip_address(x).version == 6 for x in seen) and not set(seen) & set(hexes)
+
+
+def test_a_format_without_free_values(spark):
+    from screenloom.llm.pii import surrogates
+
+    every = [(f"{n:03d}-00-0000", "ssn") for n in range(10)] + [(f"password {n}", "secret") for n in range(3)]
+    entities = spark.createDataFrame([(k, re.sub("[^0-9]", "", c) if k == "ssn" else c) for c, k in every], "kind string, canonical string")
+    got = surrogates(entities, "key").collect()
+    assert len(got) == len(every) == len({r.surrogate for r in got})
+    from screenloom.llm import pii
+
+    last = [pii._surrogate("key", pii.F.lit(k), pii.F.lit(c), pii.F.lit(pii.LAST)).alias("s") for c, k in (("1::2", "ipv6"), ("10.0.0.1", "ip"), ("000000001", "ssn"))]
+    words = spark.range(1).select(*[w.alias(f"w{i}") for i, w in enumerate(last)]).first()
+    assert [w[: w.index("-")] for w in words] == ["[ipv6", "[ip", "[ssn"] and len(set(words)) == 3
+    text = spark.createDataFrame([("+49 30 123", "phone", words[0])], "e string, k string, s string").select(pii._written(pii.F.col("k"), pii.F.col("e"), pii.F.col("s"))).first()[0]
+    assert text == words[0]
