@@ -15,6 +15,7 @@ a row with a status, and reading goes on at the next record.
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import uuid
@@ -43,6 +44,7 @@ from pyspark.sql.datasource import (
 )
 
 from screenloom.llm.common import salted_join, shared_dir
+from screenloom.sources.npy import qualified
 
 #: Columns from headers, in schema order, with the header that holds each (fixed by the format).
 HEADERS = {
@@ -60,7 +62,7 @@ _UNSAFE = re.compile("[\x00-\x20\x7f%]")
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder given as a path or a URI."""
+    """File system and path of a folder given as a URI; a path without a scheme is local (the functions below give it that of Hadoop's default first)."""
     if re.match(r"file:/(?!/)", path):
         path = path[5:]
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
@@ -121,7 +123,8 @@ def read_records(stream, wanted, with_payload: bool, stop: int | None = None, st
 
     Only records that begin before ``stop`` are read. ``status`` is null for a whole record, and else
     says what is wrong: "length" (no valid Content-Length; the next line that begins a record is
-    looked for), "cut" (the file ends first) or "payload" (its coding is broken; an error if ``strict``).
+    looked for), "cut" (the file ends first), "payload" (its coding is broken; an error if ``strict``) or "coding" (one
+    that isn't known: the payload is as it was sent). Bodies in gzip, deflate and chunks are decoded.
     """
     while stop is None or stream.tell() < stop:
         begin = stream.tell()
@@ -140,38 +143,88 @@ def read_records(stream, wanted, with_payload: bool, stop: int | None = None, st
         if not wanted(row):
             stream.seek(length, 1)
             continue
-        row["payload_length"], first, coding = length, b"", None
+        row["payload_length"], first, codings = length, b"", []
         if head.get("content-type", "").startswith("application/http"):
-            first = stream.read(min(length, 1 << 16))
+            first, rest = _http_head(stream, length)
             block, _, body = first.partition(b"\r\n\r\n")
             http = _headers(block.split(b"\r\n")[1:])
-            length, first, coding = length - len(first) + len(body), body, http.get("content-encoding")
-            row["payload_length"] = _number(http.get("x-payload-length", http.get("content-length"))) or 0
+            first, length = body, len(body) + rest
+            codings = [c.strip().lower() for h in ("content-encoding", "transfer-encoding") for c in http.get(h, "").split(",") if c.strip().lower() not in ("", "identity")]
+            said = _number(http.get("x-payload-length"))
+            row["payload_length"] = said if said is not None else length if not codings and row["warc_type"] != "revisit" else _number(http.get("content-length")) or 0
         if with_payload and row["warc_type"] != "revisit":
             data = first + stream.read(length - len(first))
             if len(data) < length:
                 row["status"] = "cut"
-            elif coding == "gzip":
-                row["payload"], row["status"] = _decoded(data, strict)
             else:
-                row["payload"] = data
-        else:
-            stream.seek(length - len(first), 1)
+                row["payload"], row["status"] = _decoded(data, codings, strict)
+                if codings and row["status"] is None:
+                    row["payload_length"] = len(row["payload"])
+        elif not _skipped(stream, length - len(first)):
+            row["status"] = "cut"
         yield row
 
 
+def _http_head(stream, length: int) -> tuple[bytes, int]:
+    """The first of ``length`` bytes up to the empty line after HTTP headers, or a little further, and how many follow. However long the headers are."""
+    read, step = b"", 1 << 16
+    while b"\r\n\r\n" not in read and len(read) < length:
+        more = stream.read(min(step, length - len(read)))
+        if not more:
+            break
+        read, step = read + more, step * 2
+    return read, length - len(read)
+
+
+def _skipped(stream, n: int) -> bool:
+    """Move ``n`` bytes on; whether the stream has so many."""
+    to = stream.tell() + n
+    stream.seek(n, 1)
+    size = stream.getbuffer().nbytes if isinstance(stream, io.BytesIO) else getattr(stream, "size", None)
+    return stream.tell() == to and (size is None or to <= size)
+
+
 def _number(value: str | None) -> int | None:
     return int(value) if value is not None and value.isascii() and value.isdigit() else None
 
 
-def _decoded(data: bytes, strict: bool) -> tuple[bytes | None, str | None]:
-    """What was packed, and a status if the coding is broken."""
+def _unchunked(data: bytes) -> bytes:
+    """The body that was sent in chunks, each after its size in hexadecimal."""
+    out, at = [], 0
+    while True:
+        end = data.index(b"\r\n", at)
+        size = int(data[at:end].split(b";")[0].strip(), 16)
+        if size < 0 or end + 2 + size > len(data):
+            raise ValueError("chunk")
+        if size == 0:
+            return b"".join(out)
+        out.append(data[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
+def _inflated(data: bytes) -> bytes:
+    """What deflate packed, with the zlib header that the format asks for or without."""
     try:
-        return zlib.decompress(data, 31), None
+        return zlib.decompress(data)
     except zlib.error:
+        return zlib.decompress(data, -15)
+
+
+_CODINGS = {"gzip": lambda d: zlib.decompress(d, 31), "x-gzip": lambda d: zlib.decompress(d, 31), "deflate": _inflated, "chunked": _unchunked}
+
+
+def _decoded(data: bytes, codings: list[str], strict: bool) -> tuple[bytes | None, str | None]:
+    """A body without its codings, the last of which was applied last, and a status: of one that isn't known the bytes as they are."""
+    if not all(c in _CODINGS for c in codings):
+        return data, "coding"
+    try:
+        for coding in reversed(codings):
+            data = _CODINGS[coding](data)
+    except (zlib.error, ValueError):
         if strict:
             raise
         return None, "payload"
+    return data, None
 
 
 def _next_record(stream) -> None:
@@ -305,6 +358,10 @@ class _File(InputPartition):
         self.begin, self.stop = begin, stop
 
 
+def _counts(committed: set[str] | None, name: str) -> bool:
+    return committed is None or name in committed or not re.fullmatch("[0-9a-f]{32}\\.warc", name)
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, path: str, with_payload: bool, split: int = 0) -> None:
         self.path, self.with_payload, self.split, self.tests = path, with_payload, split, []
@@ -341,13 +398,13 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list[_File]:
         store, folder = _open(self.path)
         found = {i.path: i.size for i in store.get_file_info(fs.FileSelector(folder, recursive=True)) if i.is_file}
-        manifests = sorted(n for n in found if n.rsplit("/", 1)[-1].startswith("_manifest-"))
         names = sorted(n for n in found if n.endswith((".warc", ".warc.gz")))
-        if manifests:  # archives of this writer: only what was committed
-            names = []
-            for manifest in manifests:
-                with store.open_input_stream(manifest) as f:
-                    names += [f"{manifest.rsplit('/', 1)[0]}/{n}" for n in json.loads(f.read())]
+        committed: dict[str, set[str]] = {}  # by folder, what this writer's jobs have committed there
+        for manifest in sorted(n for n in found if n.rsplit("/", 1)[-1].startswith("_manifest-")):
+            with store.open_input_stream(manifest) as f:
+                committed.setdefault(manifest.rsplit("/", 1)[0], set()).update(json.loads(f.read()))
+        # archives named as this writer names them count in such a folder only if committed; all others are read
+        names = [n for n in names if _counts(committed.get(n.rsplit("/", 1)[0]), n.rsplit("/", 1)[-1])]
         out = []
         for name in names:
             if name.endswith(".gz") or not 0 < self.split < found[name]:
@@ -506,7 +563,7 @@ def write_archives(pages: DataFrame, path: str | None = None) -> str:
     """Write :func:`page_records` and return the folder (a new one in the shared folder by default)."""
     spark = pages.sparkSession
     register(spark)
-    path = path or f"{shared_dir(spark)}/screenloom/{uuid.uuid4().hex}-warc"
+    path = qualified(spark, path or f"{shared_dir(spark)}/screenloom/{uuid.uuid4().hex}-warc")
     page_records(pages).write.format("warc").mode("append").save(path)
     return path
 
@@ -518,7 +575,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     can't be read whole have a status.
     """
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path))
 
 
 def page_table(records: DataFrame) -> DataFrame:

@@ -188,3 +188,57 @@ def test_broken_gifs_have_a_status(spark):
         assert all(r.rgba == ends[r.frame].canvas.tobytes() for r in whole)
         assert out[i].status == (rows[-1].status if rows and f != data else None) and (out[i].status is None) == (f is None or f == data)
     assert out[0].duration_ms == 150 and out[len(files) - 5].n_frames >= 0
+
+
+def http_record(body, head="", name="<urn:page:1>", length=None):
+    block = b"HTTP/1.1 200 OK\r\n" + head.encode() + b"\r\n" + body
+    lines = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: {name}\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n"
+    return lines.encode() + block + b"\r\n\r\n"
+
+
+def test_foreign_bodies():
+    text = b"<p>some text</p>" * 20
+    chunks = b"".join(b"%x;ext=1\r\n%s\r\n" % (len(c), c) for c in (text[:7], text[7:])) + b"0\r\n\r\n"
+    raw = zlib.compressobj(wbits=-15)
+    cases = [
+        (text, "", text, None),
+        (chunks, "Transfer-Encoding: chunked\r\n", text, None),
+        (zlib.compress(text), "Content-Encoding: deflate\r\n", text, None),
+        (raw.compress(text) + raw.flush(), "Content-Encoding: deflate\r\n", text, None),
+        (gzip.compress(text), "Content-Encoding: x-gzip\r\n", text, None),
+        (text, "Content-Encoding: identity\r\n", text, None),
+        (text, "X-Long: " + "y" * 200_000 + "\r\n", text, None),
+        (b"\x0b\x02brotli", "Content-Encoding: br\r\n", b"\x0b\x02brotli", "coding"),
+        (chunks[:-20], "Transfer-Encoding: chunked\r\n", None, "payload"),
+        (b"zz\r\n", "Transfer-Encoding: chunked\r\n", None, "payload"),
+        (text[:50], "Content-Encoding: gzip\r\n", None, "payload"),
+    ]
+    inner = gzip.compress(text)
+    cases.append((b"%x\r\n%s\r\n0\r\n\r\n" % (len(inner), inner), "Content-Encoding: gzip\r\nTransfer-Encoding: chunked\r\n", text, None))
+    data = b"".join(http_record(b, h) for b, h, _, _ in cases)
+    got = list(read_records(io.BytesIO(data), lambda r: True, True, strict=False))
+    assert [(r["payload"], r["status"]) for r in got] == [(p, s) for _, _, p, s in cases]
+    assert [r["payload_length"] for r in got if r["status"] is None] == [len(text)] * 8
+
+
+def test_cut_records_are_told_without_their_payload(spark, tmp_path):
+    whole = http_record(b"a" * 500) + http_record(b"b" * 500, name="<urn:page:2>")
+    (tmp_path / "a.warc").write_bytes(whole[:-300])
+    with gzip.open(tmp_path / "b.warc.gz", "wb") as f:
+        f.write(whole[:-300])
+    for payload in (True, False):
+        got = {(r.record_id, r.status) for r in read_archives(spark, str(tmp_path), payload).collect()}
+        assert got == {("<urn:page:1>", None), ("<urn:page:2>", "cut")}
+
+
+def test_manifests_hold_for_their_folder_and_writer(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 200), (2, "http://b/", "y" * 200)], "page_id long, url string, html string")
+    write_archives(pages, str(tmp_path / "own"))
+    (tmp_path / "own" / f"{'0' * 32}.warc").write_bytes(http_record(b"never committed", name="<urn:page:9>"))
+    (tmp_path / "own" / "foreign.warc").write_bytes(http_record(b"c", name="<urn:page:3>"))
+    (tmp_path / "more").mkdir()
+    with gzip.open(tmp_path / "more" / "foreign.warc.gz", "wb") as f:
+        f.write(http_record(b"d", name="<urn:page:4>"))
+    (tmp_path / "more" / f"{'1' * 32}.warc").write_bytes(http_record(b"e", name="<urn:page:5>"))
+    got = sorted(r.page_id for r in page_table(read_archives(spark, str(tmp_path))).collect())
+    assert got == [1, 2, 3, 4, 5]
