@@ -157,8 +157,37 @@ def cycle_variation(stack: DataFrame) -> DataFrame:
     return per.groupBy(*TILE, "i", "j").agg(F.round(F.avg("s"), 6).alias("variation"))
 
 
-def outline_measures(mask: DataFrame) -> DataFrame:
-    """Perimeter (steps between boundary pixels, diagonal ones √2) and solidity (area by convex hull of pixel corners) of each cell."""
+# What a border pixel adds to the perimeter, by the code of its 3 x 3 surroundings (1 for
+# itself, 2 for each border pixel beside it, 10 for each over a corner). Other codes add nothing.
+PERIMETER = {5: 1.0, 7: 1.0, 15: 1.0, 17: 1.0, 25: 1.0, 27: 1.0, 21: math.sqrt(2), 33: math.sqrt(2), 13: (1 + math.sqrt(2)) / 2, 23: (1 + math.sqrt(2)) / 2}
+
+
+def perimeters(mask: DataFrame, label: str = "cell") -> DataFrame:
+    """Perimeter of each label: its border pixels (those without all four neighbours), weighted by the border pixels around them.
+
+    Pixels are spread to their neighbours and counted by place. Tiles are brought together once; all counts after that
+    are within tasks, and no region is gathered.
+    """
+    key = [*TILE, label]
+    pixels = mask.filter(F.col(label) > 0).select(*key, "i", "j").repartition(*key).distinct()
+
+    def around(df: DataFrame, weights: dict[tuple[int, int], int]) -> DataFrame:
+        """For each place near a pixel the sum of what the pixels around add to it, and whether a pixel is there."""
+        moves = F.explode(F.array(*[F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj"), F.lit(w).alias("w")) for (di, dj), w in weights.items()])).alias("m")
+        sent = df.select(*key, "i", "j", moves).select(*key, (F.col("i") + F.col("m.di")).alias("i"), (F.col("j") + F.col("m.dj")).alias("j"), "m.w", ((F.col("m.di") == 0) & (F.col("m.dj") == 0)).alias("own"))
+        return sent.groupBy(*key, "i", "j").agg(F.sum("w").alias("code"), F.max("own").alias("own")).filter("own")
+
+    straight, corner = [(0, 1), (0, -1), (1, 0), (-1, 0)], [(1, 1), (1, -1), (-1, 1), (-1, -1)]
+    border = around(pixels, {(0, 0): 0} | dict.fromkeys(straight, 1)).filter("code < 4")
+    coded = around(border, {(0, 0): 1} | dict.fromkeys(straight, 2) | dict.fromkeys(corner, 10))
+    weight = F.lit(0.0)
+    for value in sorted(set(PERIMETER.values())):
+        weight = F.when(F.col("code").isin([c for c, v in PERIMETER.items() if v == value]), value).otherwise(weight)
+    return coded.groupBy(*key).agg(F.sum(weight).alias("perimeter"))
+
+
+def solidities(mask: DataFrame) -> DataFrame:
+    """Area by convex hull of pixel corners of each cell. Only the first and last pixel of each row of a cell are gathered."""
 
     def hull_area(points: np.ndarray) -> float:
         points = np.unique(points, axis=0)
@@ -175,22 +204,24 @@ def outline_measures(mask: DataFrame) -> DataFrame:
         x, y = ring[:, 0], ring[:, 1]
         return 0.5 * abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))))
 
-    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].to_numpy() - pdf["i"].min() + 1, pdf["j"].to_numpy() - pdf["j"].min() + 1
-        grid = np.zeros((i.max() + 2, j.max() + 2), bool)
-        grid[i, j] = True
-        inner = grid[1:-1, 1:-1] & grid[:-2, 1:-1] & grid[2:, 1:-1] & grid[1:-1, :-2] & grid[1:-1, 2:]
-        edge = grid.copy()
-        edge[1:-1, 1:-1] &= ~inner
-        straight = np.sum(edge[:-1] & edge[1:]) + np.sum(edge[:, :-1] & edge[:, 1:])
-        # a diagonal step counts where no straight way joins the two pixels
-        falling = edge[:-1, :-1] & edge[1:, 1:] & ~edge[:-1, 1:] & ~edge[1:, :-1]
-        rising = edge[:-1, 1:] & edge[1:, :-1] & ~edge[:-1, :-1] & ~edge[1:, 1:]
-        corners = np.concatenate([np.stack([i + a, j + b], 1) for a in (0, 1) for b in (0, 1)])
-        key = pdf.iloc[0]
-        return pd.DataFrame([(key["well"], key["tile"], key["cell"], float(straight + math.sqrt(2) * (falling.sum() + rising.sum())), len(pdf) / np_area if (np_area := hull_area(corners)) else 0.0)], columns=[*CELL, "perimeter", "solidity"])
-
-    return mask.filter("cell > 0").select(*CELL, "i", "j").groupBy(*CELL).applyInPandas(measure, "well long, tile long, cell long, perimeter double, solidity double")
+    def measure(batches):
+        for pdf in batches:
+            shares = []
+            for ends, area in zip(pdf["ends"], pdf["area"], strict=True):
+                i, low, high = (np.array([e[c] for e in ends]) for c in ("i", "low", "high"))
+                corners = np.concatenate([np.stack([i + a, j], 1) for a in (0, 1) for j in (low, high + 1)])
+                shares.append(area / hull_area(corners))
+            yield pdf.assign(solidity=shares)[[*CELL, "solidity"]]
+
+    pixels = mask.filter("cell > 0").select(*CELL, "i", "j").repartition(*CELL).distinct()
+    rows = pixels.groupBy(*CELL, "i").agg(F.min("j").alias("low"), F.max("j").alias("high"), F.count(F.lit(1)).alias("n"))
+    cells = rows.groupBy(*CELL).agg(F.collect_list(F.struct("i", "low", "high")).alias("ends"), F.sum("n").cast("double").alias("area"))
+    return cells.mapInPandas(measure, "well long, tile long, cell long, solidity double")
+
+
+def outline_measures(mask: DataFrame) -> DataFrame:
+    """Perimeter and solidity of each cell."""
+    return perimeters(mask).join(solidities(mask), CELL)
 
 
 def texture(pixels: DataFrame, channel: str, distances: tuple[int, ...] = (1, 2, 4)) -> DataFrame:

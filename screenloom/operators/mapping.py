@@ -83,21 +83,61 @@ def map_cells(points: DataFrame, layout: DataFrame, transforms: DataFrame, targe
     return global_to_local(moved, target, target_size, target_size)
 
 
-def nearest_within(points: DataFrame, others: DataFrame, most: float) -> DataFrame:
+#: Points of one square that are compared one by one; squares with more are split.
+CROWD = 32
+#: How often squares are halved at most: to a millionth of their side.
+HALVINGS = 20
+
+
+def nearest_within(points: DataFrame, others: DataFrame, most: float, crowd: int | None = None) -> DataFrame:
     """Each point with its nearest other point of the well at a distance of at most ``most``: well, point, other, dist.
 
-    Both sides are cut into squares of side ``most``; a point is sent to the nine squares around
-    it, so only near pairs meet. One other point may serve several. Ties go to the smaller id.
+    Others lie in squares of side ``most``; a point meets the nine squares around it, so only near ones
+    are compared. A square with more than ``crowd`` others is split in four, and again, and of these a point goes
+    on only with those that can be nearer than some other in a square it has met. So in a clump, too, a point is
+    compared with few. One other point may serve several. Ties go to the smaller id; others at one
+    place are compared once.
     """
-    square = lambda c: F.floor(F.col(c) / most)
-    around = lambda c: F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: square(c) + i))
-    near = points.select("well", "point", "x", "y", around("x").alias("bx")).select("*", around("y").alias("by"))
-    far = others.select("well", F.col("point").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), square("x").alias("bx"), square("y").alias("by"))
-    pairs = near.join(far, ["well", "bx", "by"]).withColumn("dist", distance(F.col("x"), F.col("y"), F.col("ox"), F.col("oy"))).filter(F.col("dist") <= most)
-    best = pairs.groupBy("well", "point").agg(F.min(F.struct("dist", "other", "x", "y", "ox", "oy")).alias("m"))
+    from screenloom.operators.iterate import saved
+
+    crowd = CROWD if crowd is None else crowd
+    at = ["well", "bx", "by"]
+    left = others.groupBy("well", F.col("x").alias("ox"), F.col("y").alias("oy")).agg(F.min("point").alias("other"))
+    around = lambda c: F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.floor(F.col(c) / most) + i))
+    met = points.select("well", "point", "x", "y", F.lit(float("inf")).alias("bound"), around("x").alias("bx")).select("*", around("y").alias("by"))
+    side, best = float(most), None
+    for halvings in range(HALVINGS + 1):
+        placed = left.withColumns({"bx": F.floor(F.col("ox") / side), "by": F.floor(F.col("oy") / side)})
+        squares = placed.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("other", "ox", "oy")).alias("one"))
+        crowded = squares.filter(F.col("n") > crowd).select(*at)
+        last = halvings == HALVINGS or crowded.isEmpty()
+        if not last or halvings:
+            met = saved(_nearer(met.join(squares, at), side, most), "squares")
+        alone = met if last else met.filter(F.col("n") <= crowd)
+        pairs = alone.join(placed, at).withColumn("dist", distance(F.col("x"), F.col("y"), F.col("ox"), F.col("oy"))).filter(F.col("dist") <= most)
+        found = pairs.groupBy("well", "point").agg(F.min(F.struct("dist", "other", "x", "y", "ox", "oy")).alias("m"))
+        best = found if best is None else best.unionByName(found)
+        if last:
+            break
+        # the crowded squares in four, and who still looks there
+        half = lambda c: F.explode(F.array(2 * F.col(c), 2 * F.col(c) + 1)).alias(c)
+        met = met.filter(F.col("n") > crowd).select("well", "point", "x", "y", "bound", half("bx"), "by").select("well", "point", "x", "y", "bound", "bx", half("by"))
+        left = saved(placed.join(crowded, at, "left_semi").select("well", "ox", "oy", "other"), "crowded")
+        side /= 2
+    best = best.groupBy("well", "point").agg(F.min("m").alias("m"))
     return best.select("well", "point", F.col("m.other").alias("other"), F.col("m.dist").alias("dist"), "m.x", "m.y", "m.ox", "m.oy")
 
 
+def _nearer(met: DataFrame, side: float, most: float) -> DataFrame:
+    """The squares that points have met, without those that are farther from them than some other point they have met."""
+    gap = lambda c, b: F.greatest(F.col(b) * side - F.col(c), F.col(c) - (F.col(b) + 1) * side, F.lit(0.0))
+    near = F.sqrt(gap("x", "bx") ** 2 + gap("y", "by") ** 2) * (1 - 1e-12) - side * 1e-9  # what rounding may add
+    one = distance(F.col("x"), F.col("y"), F.col("one.ox"), F.col("one.oy"))
+    mine = W.partitionBy("well", "point")
+    out = met.withColumns({"near": near, "bound": F.least("bound", F.min(one).over(mine))})
+    return out.filter((F.col("near") <= F.col("bound")) & (F.col("near") <= most)).select("well", "point", "x", "y", "bound", "bx", "by", "n")
+
+
 def transform_error(pairs: DataFrame, *by: str) -> DataFrame:
     """Mean, median, largest and root mean square of ``dist``; the median by counting, so a well may have any number of pairs."""
     d = F.col("dist")

@@ -61,6 +61,38 @@ def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int
     return own.join(seen, TILE, "left").join(guides, TILE, "left").join(first, TILE, "left")
 
 
+def cells_by_reads(reads: DataFrame, top: int = 5) -> DataFrame:
+    """For each tile the cells with 1 to ``top`` - 1 reads, and with ``top`` or more; the same of their distinct barcodes."""
+    per = reads.filter("cell > 0").groupBy(*CELL, "barcode").agg(F.count(F.lit(1)).alias("n"))
+    per = per.groupBy(*CELL).agg(F.sum("n").alias("reads"), F.count(F.lit(1)).alias("barcodes"))
+    number = lambda c, k: F.count_if(F.col(c) == k if k < top else F.col(c) >= k)
+    return per.groupBy(*TILE).agg(
+        *[number("reads", k).alias(f"cells_with_{k}_reads") for k in range(1, top + 1)], *[number("barcodes", k).alias(f"cells_with_{k}_barcodes") for k in range(1, top + 1)]
+    )
+
+
+def tile_qc_in_full(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cleaned: DataFrame, report: DataFrame, cycles: int = 12, top: int = 5) -> DataFrame:
+    """The whole quality row of each tile that has reads.
+
+    Besides :func:`tile_qc`: nuclei and cells before (``mask``) and after cleaning (``cleaned``), letters in all; from the cell
+    report the cells for which a match was tried, those matched, those with reads without a match and those with reads too
+    uncertain; and how many cells have so many reads and barcodes. What a tile lacks counts 0, guides it lacks are null.
+    """
+    before = tile_qc(reads, genotypes, mask, cycles, top).withColumnsRenamed({"cells": "cells_before", "nuclei": "nuclei_before"})
+    after = cleaned.groupBy(*TILE).agg(
+        F.countDistinct(F.when(F.col("cell") > 0, F.col("cell"))).alias("cells"), F.countDistinct(F.when(F.col("nucleus") > 0, F.col("nucleus"))).alias("nuclei")
+    )
+    tried = report.groupBy(*TILE).agg(
+        F.count(F.lit(1)).alias("cells_tried"), F.count_if("assigned").alias("cells_matched"), F.count_if(F.col("unmatched") > 0).alias("cells_unmatched"), F.count_if(F.col("too_uncertain") > 0).alias("cells_uncertain")
+    )
+    letters = F.lit(0).cast("long")
+    for b in "acgtkmn":
+        letters += F.col(f"n_{b}")
+    out = before.withColumn("nucleotides", letters).join(after, TILE, "left").join(tried, TILE, "left").join(cells_by_reads(reads, top), TILE, "left")
+    counts = [c for c, kind in out.dtypes if kind == "bigint" and c not in TILE]
+    return out.na.fill(0, counts)
+
+
 def long_report(genotypes: DataFrame, library: DataFrame, tiles: DataFrame) -> DataFrame:
     """The report as section, name, value: what the library holds, what was found, percents, and totals over the rows of ``tile_qc``."""
     found = recovery(genotypes, library)

@@ -26,8 +26,24 @@ def without_baseline(samples: DataFrame, size: int = 20) -> DataFrame:
 PEAKS = "trace long, channel long, k long, height double, width double"
 
 
+def _reach(signal: list[float]) -> tuple[list[int], list[float]]:
+    """For each sample where the stretch left of it without a higher one begins, and the lowest value in it. Each sample is stacked once."""
+    begins, lowest, stack = [], [], []
+    for k, v in enumerate(signal):
+        low = v
+        while stack and signal[stack[-1]] <= v:
+            low = min(low, lowest[stack.pop()])
+        begins.append(stack[-1] + 1 if stack else 0)
+        lowest.append(low)
+        stack.append(k)
+    return begins, lowest
+
+
 def find_peaks(signal: np.ndarray, height: float = 0.2, apart: int = 3, narrow: float = 2, wide: float = 10) -> list[tuple[int, float, float]]:
-    """Maxima of at least ``height``, flat tops at their middle; the tallest wins within ``apart``; the width at half prominence lies within bounds."""
+    """Maxima of at least ``height``, flat tops at their middle; the tallest wins within ``apart``; the width at half prominence lies within bounds.
+
+    The work is in proportion to the samples, besides sorting the maxima.
+    """
     if len(signal) < 3:
         return []
     # runs of equal values; those at either end are no peaks
@@ -35,42 +51,49 @@ def find_peaks(signal: np.ndarray, height: float = 0.2, apart: int = 3, narrow:
     first = np.append(0, last[:-1] + 1)
     value = signal[first]
     top = np.flatnonzero((value[1:-1] > value[:-2]) & (value[1:-1] > value[2:]) & (value[1:-1] >= height)) + 1
-    at = ((first[top] + last[top]) // 2).tolist()
-    kept: list[int] = []
-    for k in sorted(at, key=lambda k: (-signal[k], k)):
-        if all(abs(k - o) >= apart for o in kept):
+    at = (first[top] + last[top]) // 2
+    near, kept = np.zeros(len(signal) + 2 * apart, bool), []
+    for k in at[np.lexsort((at, -signal[at]))].tolist():
+        if not near[k + apart]:
             kept.append(k)
+            near[k + 1 : k + 2 * apart] = True
+    if not kept:
+        return []
+    v = signal.tolist()
+    n = len(v)
+    lefts, left_low = _reach(v)
+    rights, right_low = _reach(v[::-1])
     out = []
     for k in sorted(kept):
-        left = right = k
-        while left > 0 and signal[left - 1] <= signal[k]:
-            left -= 1
-        while right < len(signal) - 1 and signal[right + 1] <= signal[k]:
-            right += 1
-        base = max(signal[left : k + 1].min(), signal[k : right + 1].min())
-        level = signal[k] - (signal[k] - base) / 2
+        left, right = lefts[k], n - 1 - rights[n - 1 - k]
+        base = max(left_low[k], right_low[n - 1 - k])
+        level = v[k] - (v[k] - base) / 2
+        # a peak that is too wide needn't be followed to its ends
         a = k
-        while a > left and signal[a - 1] > level:
+        while a > left and v[a - 1] > level and k - a <= wide:
             a -= 1
         b = k
-        while b < right and signal[b + 1] > level:
+        while b < right and v[b + 1] > level and b - k <= wide:
             b += 1
-        start = a - (signal[a] - level) / (signal[a] - signal[a - 1]) if a > left else float(a)
-        end = b + (signal[b] - level) / (signal[b] - signal[b + 1]) if b < right else float(b)
+        if k - a > wide or b - k > wide:
+            continue
+        start = a - (v[a] - level) / (v[a] - v[a - 1]) if a > left else float(a)
+        end = b + (v[b] - level) / (v[b] - v[b + 1]) if b < right else float(b)
         if narrow <= end - start <= wide:
-            out.append((k, float(signal[k]), float(end - start)))
+            out.append((k, v[k], end - start))
     return out
 
 
 def trace_peaks(samples: DataFrame) -> DataFrame:
-    """Peaks of every trace and channel."""
+    """Peaks of every trace and channel. A trace travels as one array, and many traces in a batch."""
+    arrays = samples.groupBy("trace", "channel").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("v"))
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        found = find_peaks(pdf["v"].to_numpy())
-        return pd.DataFrame([(pdf["trace"].iloc[0], pdf["channel"].iloc[0], *p) for p in found], columns=["trace", "channel", "k", "height", "width"])
+    def work(batches):
+        for pdf in batches:
+            rows = [(trace, channel, *p) for trace, channel, v in zip(pdf["trace"], pdf["channel"], pdf["v"], strict=True) for p in find_peaks(np.asarray(v, float))]
+            yield pd.DataFrame(rows, columns=["trace", "channel", "k", "height", "width"])
 
-    return samples.groupBy("trace", "channel").applyInPandas(work, PEAKS)
+    return arrays.mapInPandas(work, PEAKS)
 
 
 def peak_quality(peaks: DataFrame, least: float = 0.8) -> DataFrame:

@@ -128,17 +128,63 @@ def trace_baseline(traces):
     return tr.without_baseline(tr.long_traces(traces)).withColumn("v", F.round("v", 6))
 
 
-@query("q5_11_trace_peaks")
+# Flat tops at their middle; of those within two samples the tallest, by going through them from the tallest down; bounds where
+# a higher sample stands; the width where the signal falls below half the prominence.
+_PEAKS = f"""{_LEVEL}, steps AS (
+  SELECT *, CASE WHEN v = lag(v) OVER w THEN 0 ELSE 1 END AS step FROM level WINDOW w AS (PARTITION BY trace, channel ORDER BY k)
+), flat AS (
+  SELECT trace, channel, part, min(k) AS a, max(k) AS b, any_value(v) AS v FROM (SELECT *, sum(step) OVER (PARTITION BY trace, channel ORDER BY k) AS part FROM steps) GROUP BY ALL
+), tops AS (
+  SELECT trace, channel, (a + b) // 2 AS k, v FROM flat
+  QUALIFY v > lag(v) OVER (PARTITION BY trace, channel ORDER BY part) AND v > lead(v) OVER (PARTITION BY trace, channel ORDER BY part) AND v >= 0.2
+), kept AS (
+  SELECT trace, channel, unnest(list_reduce(ks, lambda acc, x: CASE WHEN len(list_filter(acc, lambda o: abs(o - x[1]) < 3)) > 0 THEN acc ELSE list_concat(acc, x) END)) AS k
+  FROM (SELECT trace, channel, list([k] ORDER BY v DESC, k) AS ks FROM tops GROUP BY trace, channel)
+), bounded AS (
+  SELECT p.trace, p.channel, p.k, s.v, max(CASE WHEN o.k < p.k AND o.v > s.v THEN o.k + 1 ELSE 0 END) AS l, min(CASE WHEN o.k > p.k AND o.v > s.v THEN o.k - 1 ELSE 63 END) AS r
+  FROM kept AS p JOIN level AS s USING (trace, channel, k) JOIN level AS o ON o.trace = p.trace AND o.channel = p.channel GROUP BY ALL
+), lowest AS (
+  SELECT b.trace, b.channel, b.k, b.v, l, r, min(o.v) FILTER (o.k BETWEEN l AND b.k) AS left_low, min(o.v) FILTER (o.k BETWEEN b.k AND r) AS right_low
+  FROM bounded AS b JOIN level AS o ON o.trace = b.trace AND o.channel = b.channel GROUP BY b.trace, b.channel, b.k, b.v, l, r
+), levelled AS (
+  SELECT *, v - (v - greatest(left_low, right_low)) / 2 AS h FROM lowest
+), reached AS (
+  SELECT e.trace, e.channel, e.k, e.v, l, r, h, max(o.k + 1) FILTER (o.k >= l AND o.k < e.k AND o.v <= h) AS low_end, min(o.k - 1) FILTER (o.k <= r AND o.k > e.k AND o.v <= h) AS high_end
+  FROM levelled AS e JOIN level AS o ON o.trace = e.trace AND o.channel = e.channel GROUP BY e.trace, e.channel, e.k, e.v, l, r, h
+), ends AS (
+  SELECT *, coalesce(low_end, l) AS a, coalesce(high_end, r) AS b FROM reached
+), measured AS (
+  SELECT e.trace, e.channel, e.k, e.v AS height,
+    CASE WHEN b < r THEN b + (vb.v - h) / (vb.v - wb.v) ELSE b END - CASE WHEN a > l THEN a - (va.v - h) / (va.v - wa.v) ELSE a END AS width
+  FROM ends AS e JOIN level AS va ON va.trace = e.trace AND va.channel = e.channel AND va.k = a JOIN level AS vb ON vb.trace = e.trace AND vb.channel = e.channel AND vb.k = b
+  LEFT JOIN level AS wa ON wa.trace = e.trace AND wa.channel = e.channel AND wa.k = a - 1 LEFT JOIN level AS wb ON wb.trace = e.trace AND wb.channel = e.channel AND wb.k = b + 1
+), peaks AS (SELECT trace, channel, k, height, width FROM measured WHERE width BETWEEN 2 AND 10)"""
+
+
+def _rounded(peaks: DataFrame) -> DataFrame:
+    return peaks.withColumns({c: F.round(c, 6) for c in ("height", "width")})
+
+
+@query("q5_11_trace_peaks", f"WITH {_PEAKS} SELECT trace, channel, k, round(height, 6) AS height, round(width, 6) AS width FROM peaks")
 def trace_peaks(traces):
-    return tr.trace_peaks(tr.without_baseline(tr.long_traces(traces)))
+    return _rounded(tr.trace_peaks(tr.without_baseline(tr.long_traces(traces))))
 
 
-@query("q5_12_peak_quality")
+@query(
+    "q5_12_peak_quality",
+    f"""WITH {_PEAKS}, rated AS (SELECT *, 0.7 * height / max(height) OVER (PARTITION BY trace) + 0.3 * (1 - (width - 2) / 8) AS quality FROM peaks)
+SELECT trace, channel, k, round(height, 6) AS height, round(width, 6) AS width, round(quality, 6) AS quality FROM rated WHERE quality >= 0.8""",
+)
 def peak_quality(traces):
-    return tr.peak_quality(trace_peaks(traces))
+    rated = tr.peak_quality(tr.trace_peaks(tr.without_baseline(tr.long_traces(traces))))
+    return _rounded(rated).withColumn("quality", F.round("quality", 6))
 
 
-@query("q5_13_calls_at_peaks")
+@query(
+    "q5_13_calls_at_peaks",
+    f"""WITH {_PEAKS} SELECT trace, k, substr('ACGT', 1 + arg_min(channel, (-v, channel))::INT, 1) AS base, round(max(v), 6) AS height
+FROM level JOIN (SELECT DISTINCT trace, k FROM peaks) USING (trace, k) GROUP BY trace, k""",
+)
 def calls_at_peaks(traces):
     samples = tr.without_baseline(tr.long_traces(traces))
     return tr.call_at_peaks(samples, tr.trace_peaks(samples))
@@ -242,6 +288,30 @@ def segment_summary(values):
     return cells.groupBy("well", "tile", "status").agg(F.count("cell").alias("cells"), F.sum("area").alias("area"), F.sum("nucleus_area").alias("nucleus_area"))
 
 
-@query("q4_19_median_unmixing")
+def _minor(rows: list[int], columns: list[int]) -> str:
+    """The determinant of these rows and columns of the matrix of columns m00 .. m33."""
+    if len(rows) == 1:
+        return f"m{rows[0]}{columns[0]}"
+    parts = (f"{'-' if k % 2 else '+'} m{rows[0]}{c} * ({_minor(rows[1:], [x for x in columns if x != c])})" for k, c in enumerate(columns))
+    return " ".join(parts)
+
+
+def _inverse(row: int, column: int) -> str:
+    keep = lambda k: [x for x in range(4) if x != k]
+    return f"{'-' if (row + column) % 2 else ''}({_minor(keep(column), keep(row))}) / det"
+
+
+@query(
+    "q4_19_median_unmixing",
+    f"""WITH m AS (
+  SELECT CASE WHEN g >= t AND g >= a AND g >= c THEN 0 WHEN t >= a AND t >= c THEN 1 WHEN a >= c THEN 2 ELSE 3 END AS top, {", ".join(f"quantile_cont({n}, 0.5) AS v{r}" for r, n in enumerate("gtac"))}
+  FROM {{intensities}} WHERE cell > 0 GROUP BY 1
+), matrix AS (
+  SELECT {", ".join(f"max(v{r} / (v0 + v1 + v2 + v3)) FILTER (top = {k}) AS m{r}{k}" for r in range(4) for k in range(4))} FROM m
+), inverse AS (
+  SELECT {", ".join(f"{_inverse(r, k)} AS w{r}{k}" for r in range(4) for k in range(4))} FROM (SELECT *, {_minor([0, 1, 2, 3], [0, 1, 2, 3])} AS det FROM matrix)
+)
+SELECT read, cycle, {", ".join(f"trunc(round({' + '.join(f'w{r}{k} * {n}' for k, n in enumerate('gtac'))}, 6))::BIGINT AS {o}_corrected" for r, o in enumerate("gtac"))} FROM {{intensities}}, inverse""",
+)
 def median_unmixing(intensities):
-    return ot.median_unmixing(intensities)
+    return ot.median_unmixing(intensities).select("read", "cycle", *[f"{n}_corrected" for n in "gtac"])

@@ -254,17 +254,17 @@ def choose_guide_by_mismatch(reads, library):
     return ob.choose_guide(ob.ambiguity_matches(coded(reads), library), "mismatch")
 
 
-@query(
-    "q4_4_cell_report",
-    f"""WITH {CODED}, {_BY_NUMBER}, raw AS (
+CELL_REPORT = f"""WITH {CODED}, {_BY_NUMBER}, raw AS (
   SELECT well, tile, cell, count(*) AS raw_reads, count(DISTINCT barcode) AS raw_unique, count(*) FILTER (mismatch > 3) AS too_uncertain FROM patterned GROUP BY ALL
 ), used AS (
   SELECT well, tile, cell, count(DISTINCT barcode) AS processed_unique, count(DISTINCT read) AS matched_reads FROM matched GROUP BY ALL
 )
 SELECT well, tile, cell, sgrna IS NOT NULL AS assigned, raw_reads, raw_unique, coalesce(processed_unique, 0) AS processed_unique, too_uncertain,
   raw_reads - too_uncertain - coalesce(matched_reads, 0) AS unmatched
-FROM raw LEFT JOIN used USING (well, tile, cell) LEFT JOIN chosen USING (well, tile, cell)""",
-)
+FROM raw LEFT JOIN used USING (well, tile, cell) LEFT JOIN chosen USING (well, tile, cell)"""
+
+
+@query("q4_4_cell_report", CELL_REPORT)
 def cell_report(reads, library):
     raw = coded(reads)
     matched = ob.ambiguity_matches(raw, library)

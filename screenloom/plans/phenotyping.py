@@ -105,16 +105,33 @@ def cell_features(pixels, values, genotypes):
     return out.withColumn("nucleus_ratio", F.round("nucleus_ratio", 6))
 
 
+_PERIMETER = f"""inside AS (SELECT DISTINCT well, tile, cell, i, j FROM {{pixels}} WHERE cell > 0),
+border AS (
+  SELECT p.well, p.tile, p.cell, p.i, p.j FROM inside AS p JOIN inside AS o ON p.well = o.well AND p.tile = o.tile AND p.cell = o.cell
+  GROUP BY ALL HAVING count(*) FILTER (abs(p.i - o.i) + abs(p.j - o.j) = 1) < 4
+), coded AS (
+  SELECT p.well, p.tile, p.cell, p.i, p.j, 1 + 2 * count(*) FILTER (abs(p.i - o.i) + abs(p.j - o.j) = 1) + 10 * count(*) FILTER (abs(p.i - o.i) = 1 AND abs(p.j - o.j) = 1) AS code
+  FROM border AS p JOIN border AS o ON p.well = o.well AND p.tile = o.tile AND p.cell = o.cell GROUP BY ALL
+), outline AS (
+  SELECT well, tile, cell, sum(CASE {' '.join(f'WHEN code = {c} THEN {v!r}::DOUBLE' for c, v in of.PERIMETER.items())} ELSE 0 END) AS perimeter FROM coded GROUP BY ALL
+)"""
+
+
+@query("q9_7_perimeter", f"WITH {_PERIMETER} SELECT well, tile, cell, round(perimeter, 6) AS perimeter FROM outline")
+def perimeter(pixels):
+    return of.perimeters(pixels).withColumn("perimeter", F.round("perimeter", 6))
+
+
 @query(
     "q2_27_ratios",
-    """SELECT well, tile, cell, round(CASE WHEN p = 0 THEN 0 ELSE 4 * pi() * area / (p * p) END, 6) AS circularity, round(coalesce(nucleus_area, 0)::DOUBLE / area, 6) AS nucleus_ratio
-FROM (SELECT well, tile, cell, count(*) AS area, 2 * (max(i) - min(i) + max(j) - min(j)) AS p, count(*) FILTER (nucleus > 0) AS nucleus_area FROM {pixels} WHERE cell > 0 GROUP BY ALL)""",
+    f"""WITH {_PERIMETER}
+SELECT well, tile, cell, round(CASE WHEN perimeter = 0 THEN 0 ELSE 4 * pi() * area / (perimeter * perimeter) END, 6) AS circularity, round(coalesce(nucleus_area, 0)::DOUBLE / area, 6) AS nucleus_ratio
+FROM (SELECT well, tile, cell, count(*) AS area, count(*) FILTER (nucleus > 0) AS nucleus_area FROM {{pixels}} WHERE cell > 0 GROUP BY ALL) JOIN outline USING (well, tile, cell)""",
 )
 def ratios(pixels):
-    box = pixels.filter("cell > 0").groupBy("well", "tile", "cell").agg(
-        F.count(F.lit(1)).alias("area"), (2 * (F.max("i") - F.min("i") + F.max("j") - F.min("j"))).alias("p"), F.sum((F.col("nucleus") > 0).cast("long")).alias("n")
-    )
-    return box.select("well", "tile", "cell", F.round(circularity(F.col("area"), F.col("p")), 6).alias("circularity"), F.round(ratio(F.col("n"), F.col("area")), 6).alias("nucleus_ratio"))
+    areas = pixels.filter("cell > 0").groupBy("well", "tile", "cell").agg(F.count(F.lit(1)).alias("area"), F.sum((F.col("nucleus") > 0).cast("long")).alias("n"))
+    both = areas.join(of.perimeters(pixels), ["well", "tile", "cell"])
+    return both.select("well", "tile", "cell", F.round(circularity(F.col("area"), F.col("perimeter")), 6).alias("circularity"), F.round(ratio(F.col("n"), F.col("area")), 6).alias("nucleus_ratio"))
 
 
 @query("q2_18_size_filters", f"SELECT well, tile, cell, area FROM ({_SHAPES.format(label='cell').replace('{{', '{').replace('}}', '}')}) WHERE i_max - i_min + 1 < 7 AND j_max - j_min + 1 < 8 AND area BETWEEN 10 AND 40")
@@ -138,14 +155,14 @@ def relabel(pixels):
     return of.relabelled(pixels.filter("cell > 0").select("well", "tile", "cell").distinct())
 
 
-@query(
-    "q5_5_clean_mask",
-    f"""WITH {_NUCLEI}, box AS (
+CLEAN_MASK = f"""WITH {_NUCLEI}, box AS (
   SELECT well, tile, cell FROM {{pixels}} WHERE cell > 0 GROUP BY ALL HAVING min(i) >= 3 AND min(j) >= 3 AND max(i) < 29 AND max(j) < 29
 ), one AS (SELECT well, tile, cell, nucleus FROM nuclei QUALIFY count(*) OVER (PARTITION BY well, tile, cell) = 1),
 kept AS (SELECT well, tile, cell, nucleus AS own, dense_rank() OVER (PARTITION BY well, tile ORDER BY cell) AS new_label FROM one JOIN box USING (well, tile, cell))
-SELECT p.well, p.tile, p.i, p.j, new_label AS cell, CASE WHEN p.nucleus = own THEN new_label ELSE 0 END AS nucleus FROM {{pixels}} AS p JOIN kept USING (well, tile, cell)""",
-)
+SELECT p.well, p.tile, p.i, p.j, new_label AS cell, CASE WHEN p.nucleus = own THEN new_label ELSE 0 END AS nucleus FROM {{pixels}} AS p JOIN kept USING (well, tile, cell)"""
+
+
+@query("q5_5_clean_mask", CLEAN_MASK)
 def clean_mask(pixels):
     return of.clean_mask(pixels, 32, 32)
 

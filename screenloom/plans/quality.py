@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from screenloom.functions.bases import gene, intron
 from screenloom.operators import qc
-from screenloom.operators.barcodes import ambiguity_matches, in_library
-from screenloom.plans.genotyping import CODED, coded
+from screenloom.operators.barcodes import ambiguity_matches, cell_report, choose_guide, in_library
+from screenloom.operators.features import clean_mask
+from screenloom.plans.genotyping import CELL_REPORT, CODED, coded
+from screenloom.plans.phenotyping import CLEAN_MASK
 from screenloom.plans.registry import query
 
 _GENE = "split_part(sgrna, '_', 1)"
@@ -77,6 +79,29 @@ def tile_qc(reads, genotypes, pixels):
     return qc.tile_qc(reads, genotypes, pixels)
 
 
+_LETTERS_LEFT = ("n_a", "n_c", "n_g", "n_t", "n_k", "n_m", "n_n")
+_FULL = f"""{_TILE_QC}, clean AS (
+  SELECT well, tile, count(DISTINCT cell) AS cells, count(DISTINCT nucleus) FILTER (nucleus > 0) AS nuclei FROM ({CLEAN_MASK}) GROUP BY ALL
+), tried AS (
+  SELECT well, tile, count(*) AS cells_tried, count(*) FILTER (assigned) AS cells_matched, count(*) FILTER (unmatched > 0) AS cells_unmatched, count(*) FILTER (too_uncertain > 0) AS cells_uncertain
+  FROM ({CELL_REPORT}) GROUP BY ALL
+), per AS (SELECT well, tile, count(*) AS reads, count(DISTINCT barcode) AS barcodes FROM {{reads}} WHERE cell > 0 GROUP BY well, tile, cell
+), numbers AS (
+  SELECT well, tile, {", ".join(f"count(*) FILTER ({w} {'=' if k < 3 else '>='} {k}) AS cells_with_{k}_{w}" for w in ("reads", "barcodes") for k in (1, 2, 3))} FROM per GROUP BY ALL
+)
+SELECT t.* EXCLUDE (cells, nuclei, unique_guides, assigned_cells, top_1_n, top_2_n, top_3_n), coalesce(t.cells, 0) AS cells_before, coalesce(t.nuclei, 0) AS nuclei_before, coalesce(unique_guides, 0) AS unique_guides,
+  coalesce(assigned_cells, 0) AS assigned_cells, {", ".join(f"coalesce(top_{k}_n, 0) AS top_{k}_n" for k in (1, 2, 3))}, {" + ".join(_LETTERS_LEFT)} AS nucleotides, coalesce(clean.cells, 0) AS cells, coalesce(clean.nuclei, 0) AS nuclei,
+  {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("cells_tried", "cells_matched", "cells_unmatched", "cells_uncertain", *(f"cells_with_{k}_{w}" for w in ("reads", "barcodes") for k in (1, 2, 3))))}
+FROM tiles AS t LEFT JOIN clean USING (well, tile) LEFT JOIN tried USING (well, tile) LEFT JOIN numbers USING (well, tile)"""
+
+
+@query("q4_9_tile_qc_in_full", _FULL)
+def tile_qc_in_full(reads, genotypes, pixels, library):
+    raw = coded(reads)
+    matched = ambiguity_matches(raw, library)
+    return qc.tile_qc_in_full(reads, genotypes, pixels, clean_mask(pixels, 32, 32), cell_report(raw, matched, choose_guide(matched)), top=3)
+
+
 def _recovery(prefix: str, source: str) -> str:
     return f"""SELECT count(DISTINCT {_GENE}) FILTER ({_TARGETING}) AS {prefix}_genes, count(DISTINCT {_INTRON}) FILTER ({_TARGETING}) AS {prefix}_introns,
   count(DISTINCT sgrna) AS {prefix}_guides, count(DISTINCT sgrna) FILTER ({_TARGETING}) AS {prefix}_targeting, count(DISTINCT sgrna) FILTER (NOT ({_TARGETING})) AS {prefix}_controls FROM {source}"""
