@@ -6,8 +6,6 @@ Cells are unique only within a tile, so every key is (well, tile, cell).
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -97,16 +95,15 @@ def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycle
     Reads with more than ``most`` letters other than A, C, G, T are left out first. Distinct
     barcodes are matched, however many reads have them. For each pattern that such letters form in
     some barcode the library gets a key of the other letters, which turns the wildcard match into an
-    equi-join. There are at most as many patterns as ways to hide ``most`` of ``cycles`` places.
+    equi-join. There are at most as many patterns as ways to hide ``most`` of ``cycles`` places (299 for 3
+    of 12); those that occur are looked up first, so that the library is made ready for no others.
     """
     kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
     coded = kept.select("barcode").distinct()
     coded = coded.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.regexp_replace("barcode", "[KMN]", "-"))
-    hidden_places = (set(c) for n in range(most + 1) for c in combinations(range(cycles), n))
-    masks = ["".join("0" if i in c else "1" for i in range(cycles)) for c in hidden_places]
-    occurring = F.broadcast(coded.select("mask").filter(F.col("mask").isin(masks)).distinct())
+    occurring = [r["mask"] for r in coded.filter(F.length("mask") == cycles).select("mask").distinct().collect()]
     short = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq"))
-    keyed = short.withColumn("mask", F.explode(F.split(F.lit(",".join(masks)), ","))).join(occurring, "mask", "left_semi")
+    keyed = short.withColumn("mask", F.explode(F.split(F.lit(",".join(sorted(occurring))), ",")))
     hidden = F.zip_with(F.split("sgrna_seq", ""), F.split("mask", ""), lambda b, m: F.when(m == "1", b).otherwise("-"))
     keyed = keyed.withColumn("key", F.array_join(hidden, ""))
     fits = F.zip_with(F.split("barcode", ""), F.split("sgrna_seq", ""), lambda r, b: ((r != "K") | b.isin("G", "T")) & ((r != "M") | b.isin("A", "C")))

@@ -232,7 +232,7 @@ def texture(pixels: DataFrame, channel: str, distances: tuple[int, ...] = (1, 2,
     """
     raw = pixels.filter((F.col("cell") > 0) & (F.col(channel) > 0)).select(*CELL, "i", "j", F.col(channel).alias("v"))
     scaled = F.floor(F.col("v") * 255 / F.col("top")).alias("v")
-    p = raw.join(raw.groupBy(*CELL).agg(F.max("v").alias("top")), CELL).select(*CELL, "i", "j", scaled).filter("v > 0")
+    p = raw.withColumn("top", F.max("v").over(W.partitionBy(*CELL))).select(*CELL, "i", "j", scaled).filter("v > 0")
     shifts = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(n).alias("way"), F.lit(a * d).alias("di"), F.lit(b * d).alias("dj")) for d in distances for n, (a, b) in enumerate(((0, 1), (1, 0), (1, 1), (1, -1)))]))
     moved = p.select(*CELL, "i", "j", "v", shifts.alias("s")).select(*CELL, (F.col("i") + F.col("s.di")).alias("i"), (F.col("j") + F.col("s.dj")).alias("j"), "s.d", "s.way", F.col("v").alias("a"))
     pairs = moved.join(p.withColumnRenamed("v", "b"), [*CELL, "i", "j"])

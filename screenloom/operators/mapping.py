@@ -231,9 +231,10 @@ def affine_errors(pairs: DataFrame, fits: DataFrame) -> DataFrame:
 def ransac_inliers(pairs: DataFrame, most: float, samples: int = 200, size: int = 4, least: float = 0.1, seed: int = 1) -> DataFrame:
     """The pairs within ``most`` of the best of ``samples`` transforms, each fitted to ``size`` pairs of a well.
 
-    Pairs are drawn by a hash of seed, sample and point, so a run can be repeated. Every pair is
-    scored under every sample of its well, but only counts are kept. A well whose best sample has
-    a share of inliers under ``least`` has no rows. Null distances never occur.
+    Pairs are drawn by a hash of seed, sample and point, so a run can be repeated. Each task keeps only the
+    ``samples`` smallest hashes of a well before any are brought together. Every pair is scored under every
+    sample of its well, and each task sums the scores before it hands them on: a row for each well and sample, however many
+    pairs it has. A well whose best sample has a share of inliers under ``least`` has no rows. Null distances never occur.
     """
     from screenloom.operators.iterate import saved
 
@@ -255,13 +256,16 @@ def ransac_inliers(pairs: DataFrame, most: float, samples: int = 200, size: int
 
     names = ["dx", "dy", "theta", "scale_x", "scale_y"]
     fits = saved(drawn.groupBy("well").applyInPandas(fit, "well long, sample int, " + ", ".join(f"{n} double" for n in names)), "fits")
-    each = fits.groupBy("well").agg(F.collect_list(F.struct("sample", *names)).alias("fits"))
+    # what a transform does to x and y is linear in them: six numbers for each sample
+    cos, sin = F.cos("theta"), F.sin("theta")
+    parts = [F.col("scale_x") * cos, -F.col("scale_x") * sin, F.col("scale_x") * F.col("dx"), F.col("scale_y") * sin, F.col("scale_y") * cos, F.col("scale_y") * F.col("dy")]
+    each = fits.groupBy("well").agg(F.collect_list(F.struct("sample", *[p.alias(f"p{i}") for i, p in enumerate(parts)])).alias("fits"))
 
-    def error(t: Column) -> Column:
-        x, y = scaled_rotation(F.col("x"), F.col("y"), {n: t[n] for n in names})
-        return distance(x, y, F.col("ox"), F.col("oy"))
+    def inside(t: Column) -> Column:
+        x, y = affine(F.col("x"), F.col("y"), *[t[f"p{i}"] for i in range(6)])
+        return F.struct(t["sample"].alias("sample"), (distance(x, y, F.col("ox"), F.col("oy")) <= most).cast("long").alias("inside"))
 
-    scored = pairs.join(each, "well").select("well", F.explode(F.transform("fits", lambda t: F.struct(t["sample"].alias("sample"), (error(t) <= most).cast("long").alias("inside")))).alias("s"))
+    scored = pairs.join(each, "well").select("well", F.explode(F.transform("fits", inside)).alias("s"))
     counts = scored.groupBy("well", "s.sample").agg(F.sum("s.inside").alias("inliers"), F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("well").agg(F.max(F.struct("inliers", (-F.col("sample")).alias("order"), "n")).alias("b")).filter(F.col("b.inliers") >= least * F.col("b.n"))
     best = best.select("well", (-F.col("b.order")).cast("int").alias("sample")).join(fits, ["well", "sample"])

@@ -166,15 +166,18 @@ def threshold_step(reads: DataFrame) -> float:
 def mapping_by_threshold(reads: DataFrame, step: float | None = None) -> DataFrame:
     """For each threshold (multiples of ``step``) under the 99th percentile: reads whose peak is above it, those mapped, and their rate.
 
-    Without ``step`` it follows from the largest peak. Reads are counted once per step; a running sum
-    over the few steps does the rest. A threshold lies under the percentile as long as more than one
+    Without ``step`` it follows from the largest peak. Every multiple from the smallest to the largest peak is listed,
+    also where no peak lies between two. Reads are counted once per step; a running sum in one window over
+    the steps does the rest. A threshold lies under the percentile as long as more than one
     read of a hundred is above it.
     """
     step = step or threshold_step(reads)
     # a peak is above step * s for every s under peak / step
     counted = reads.groupBy((F.ceil(F.col("peak") / step) - 1).cast("long").alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("mapped").cast("long")).alias("m"))
     above = W.orderBy(F.desc("s"))
-    out = counted.select("s", F.sum("n").over(above).alias("spots"), F.sum("m").over(above).alias("mapped"), F.sum("n").over(W.partitionBy()).alias("all"))
+    out = counted.select("s", F.sum("n").over(above).alias("spots"), F.sum("m").over(above).alias("mapped"), F.sum("n").over(W.partitionBy()).alias("all"), F.lead("s").over(above).alias("lower"))
+    # steps without a peak have the reads of the next step above them
+    out = out.withColumn("s", F.explode(F.sequence(F.coalesce(F.col("lower") + 1, F.col("s")), F.col("s"))))
     out = out.filter(F.col("spots") * 100 > F.col("all"))
     return out.select((F.col("s") * step).alias("threshold"), "spots", "mapped", (F.col("mapped") / F.col("spots")).alias("rate"))
 

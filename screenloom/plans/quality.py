@@ -179,7 +179,7 @@ def mapped_fraction(reads, library):
 
 @query(
     "q4_16_mapping_by_threshold",
-    """WITH r AS (SELECT peak, barcode IN (SELECT sgrna_seq FROM {library}) AS m FROM {reads}), s AS (SELECT DISTINCT (ceil(peak / 10) - 1) * 10 AS threshold FROM r)
+    """WITH r AS (SELECT peak, barcode IN (SELECT sgrna_seq FROM {library}) AS m FROM {reads}), s AS (SELECT unnest(range(min(ceil(peak / 10) - 1)::BIGINT, max(ceil(peak / 10))::BIGINT)) * 10.0::DOUBLE AS threshold FROM r)
 SELECT threshold, count(*) AS spots, count(*) FILTER (m) AS mapped, count(*) FILTER (m) / count(*) AS rate FROM s JOIN r ON peak > threshold
 WHERE threshold < (SELECT min(peak) FROM (SELECT peak, cume_dist() OVER (ORDER BY peak) AS share FROM r) WHERE share >= 0.99) GROUP BY threshold""",
 )

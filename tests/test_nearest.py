@@ -57,3 +57,17 @@ def test_a_clump_is_not_all_pairs(spark, monkeypatch):
 def test_empty_sides(spark):
     some, none = spark.createDataFrame([(1, 1, 0.0, 0.0)], POINT), spark.createDataFrame([], POINT)
     assert om.nearest_within(some, none, 5.0).count() == om.nearest_within(none, some, 5.0).count() == 0
+
+
+def test_ransac_hands_on_no_more_than_its_samples(spark):
+    """Pools are cut, and scores summed, within tasks before anything is shuffled."""
+    rng = random.Random(3)
+    rows = [(1 + k % 2, k, rng.uniform(0, 500), rng.uniform(0, 500)) for k in range(400)]
+    pairs = [(w, k, x, y, 4 * x + 10 + (900 if k % 5 == 0 else 0), 4 * y - 20) for w, k, x, y in rows]
+    df = spark.createDataFrame(pairs, "well long, point long, x double, y double, ox double, oy double")
+    got = om.ransac_inliers(df, 2.0, samples=40)
+    assert {(r.well, r.point) for r in got.collect()} == {(w, k) for w, k, *_ in pairs if k % 5}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    few = df.withColumn("rn", om.F.row_number().over(om.W.partitionBy("well").orderBy(om.F.xxhash64(om.F.lit(1), "point")))).filter("rn <= 40")
+    assert "WindowGroupLimit" in few._jdf.queryExecution().executedPlan().toString()
