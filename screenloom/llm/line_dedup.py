@@ -45,7 +45,8 @@ def drop_boilerplate(
     known = rows.filter("host != ''")
     totals = known.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counts = known.select("host", F.explode(F.array_distinct(F.transform("lines", mark))).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.filter(F.col("n") >= least_pages).join(totals, "host").filter(F.col("n") * 100 > F.col("pages") * percent)
+    # a large host has many lines that occur often enough: they are spread by line
+    frequent = salted_join(counts.filter(F.col("n") >= least_pages), totals, ["host"], F.col("line.h"), "inner").filter(F.col("n") * 100 > F.col("pages") * percent)
     dropped = frequent.groupBy("host").agg(F.collect_list("line").alias("dropped"))
     out = salted_join(rows, dropped, ["host"], F.col("page_id"))
     kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains("dropped", mark(x))))
