@@ -14,6 +14,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,36 +91,48 @@ class Passages:
             self.made.append((name, pairs, set(words), -(-percent * len(pairs) // (200 - percent)), len(pairs) * (200 - percent) // percent))
         self.vocabulary = set().union(*(w for _, _, w, _, _ in self.made))
 
-    def windows(self, words: list[str], name: str, pairs: set, need: int, most: int) -> Iterator[tuple]:
-        """For each word where a window can begin the best one: (weight, first word, last word, name, overlap, size, template size)."""
-        own = list(zip(words, words[1:], strict=False))
-        hits = [i for i, b in enumerate(own) if b in pairs]
-        for x in range(len(hits) - need + 1):
-            begin = hits[x]
-            if hits[x + need - 1] - begin >= most:
-                continue
-            best, seen, both, at = None, set(), 0, begin
-            for end in hits[x : bisect_left(hits, begin + most)]:
-                both += own[end] not in seen
-                seen.update(own[at : end + 1])
-                at = end + 1
-                if 200 * both >= self.percent * (len(seen) + len(pairs)):
-                    score = both / (len(seen) + len(pairs))
-                    if best is None or score > best[0]:
-                        best = (score, end + 1, both, len(seen))
-            if best:
-                score, last, both, size = best
-                yield both * score, begin, last, name, both, size, len(pairs)
+    def windows(self, inside: np.ndarray, before: np.ndarray, name: str, size: int, need: int, most: int) -> Iterator[tuple]:
+        """For each word where a window can begin the best one: (weight, first word, last word, name, overlap, size, template size).
+
+        ``inside`` says of each bigram whether the template has it, ``before`` where it occurred last. All windows
+        grow together, a bigram at a time; one counts in a window if it last occurred before the window.
+        """
+        hits = np.flatnonzero(inside)
+        if len(hits) < need:
+            return
+        begins = hits[: len(hits) - need + 1]
+        begins = begins[hits[need - 1 :] - begins < most]
+        seen, both = np.zeros(len(begins), np.int64), np.zeros(len(begins), np.int64)
+        best, last, best_both, best_seen = np.zeros(len(begins)), *(np.zeros(len(begins), np.int64) for _ in range(3))
+        for step in range(most):
+            n = int(np.searchsorted(begins, len(inside) - step))
+            if not n:
+                break
+            at, own = begins[:n] + step, inside[begins[:n] + step]
+            new = before[at] < begins[:n]
+            seen[:n] += new
+            both[:n] += new & own
+            score = both[:n] / (seen[:n] + size)
+            better = np.flatnonzero(own & (200 * both[:n] >= self.percent * (seen[:n] + size)) & (score > best[:n]))
+            best[better], last[better], best_both[better], best_seen[better] = score[better], at[better] + 1, both[better], seen[better]
+        for k in np.flatnonzero(last).tolist():
+            yield float(best_both[k] * best[k]), int(begins[k]), int(last[k]), name, int(best_both[k]), int(best_seen[k]), size
 
     def find(self, words: list[str]) -> list[tuple]:
         """Windows that don't overlap, in the order of the text: of those that do, the one with the largest overlap times coefficient stays."""
         present = self.vocabulary.intersection(words)
-        found = []
+        found, own, before = [], None, None
         for name, pairs, vocabulary, need, most in self.made:
             # each bigram misses at most two words, so every two missing words cost a bigram
             if len(vocabulary) - len(vocabulary & present) > 2 * (len(pairs) - need) or sum(a in present and b in present for a, b in pairs) < need:
                 continue
-            found += self.windows(words, name, pairs, need, most)
+            if own is None:
+                own, at = list(zip(words, words[1:], strict=False)), {}
+                before = np.empty(len(own), np.int64)
+                for i, b in enumerate(own):
+                    before[i] = at.get(b, -1)
+                    at[b] = i
+            found += self.windows(np.fromiter((b in pairs for b in own), bool, len(own)), before, name, len(pairs), need, most)
         found.sort(key=lambda x: (-x[0], x[1], x[3]))
         kept: list[tuple] = []
         for x in found:
