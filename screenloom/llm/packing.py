@@ -228,7 +228,14 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
 
 
 def fill_sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
-    """The token ids of each sequence: sequence_id, ids. ``pieces`` from :func:`token_pieces` with its ids."""
-    joined = placed.join(pieces.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
+    """The token ids of each sequence: sequence_id, ids. ``pieces`` from :func:`token_pieces` with its ids, ``placed`` from :func:`pack_pieces`.
+
+    A piece is known by its document, number, start, length and CRC-32, nulls included, so rows of one id with
+    different texts stay apart, and repeated rows, whose pieces are equal, fill each of their places. Other columns are not
+    looked at. Empty tables give no rows.
+    """
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    known = pieces.groupBy(*key).agg(F.first("ids").alias("ids")).withColumnsRenamed({c: f"_{c}" for c in key})
+    joined = placed.join(known, [placed[c].eqNullSafe(known[f"_{c}"]) for c in key])
     rows = joined.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("rows"))
     return rows.select("sequence_id", F.flatten(F.transform("rows", lambda r: r["ids"])).alias("ids"))
