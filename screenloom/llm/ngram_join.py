@@ -325,6 +325,28 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select(F.col("b"), F.col("b")).distinct())
 
 
+def _document_pairs(cross: DataFrame, own: DataFrame, alike: list[str]) -> DataFrame:
+    """(a, b): the documents of pairs of classes that meet under n-grams (``cross``), a superset of those that meet themselves.
+
+    For each pair of classes the shorter of two lists is made: that of documents under each common n-gram, in
+    which two that share many stand as often, or that of all their documents, once.
+    """
+    other = [f"{c}_b" for c in alike]
+    renamed = lambda df, **more: df.withColumnsRenamed({c: f"{c}_b" for c in alike} | more)
+    members = own.select(*alike, "id").distinct()
+    sizes = members.groupBy(*alike).agg(F.count(F.lit(1)).alias("size"))
+    held = own.groupBy("ngram", *alike).agg(F.count(F.lit(1)).alias("held"))
+    both = cross.join(held, ["ngram", *alike]).join(renamed(held, held="held_b"), ["ngram", *other])
+    both = both.groupBy(*alike, *other).agg(F.sum(F.col("held") * F.col("held_b")).alias("listed"))
+    both = both.join(sizes, alike).join(renamed(sizes, size="size_b"), other).withColumn("whole", F.col("size") * F.col("size_b") <= F.col("listed"))
+    both = stored(both.select(*alike, *other, "whole"), "class pairs")
+    whole = both.filter("whole").join(members.withColumnRenamed("id", "a"), alike).join(renamed(members, id="b"), other)
+    listed = cross.join(both.filter("not whole"), [*alike, *other])
+    docs = own.select("ngram", *alike, "id")
+    listed = listed.join(docs.withColumnRenamed("id", "a"), ["ngram", *alike]).join(renamed(docs, id="b"), ["ngram", *other])
+    return whole.select("a", "b").union(listed.select("a", "b")).distinct()
+
+
 def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, of: int, id_col: str, text_col: str) -> DataFrame:
     """(id, component) of the documents that link with a document whose set differs from theirs.
 
@@ -393,9 +415,7 @@ def near_components(counts: DataFrame, docs: DataFrame, size: int, least: int, o
     least_apart = F.when(F.col("leader") == F.col("leader_b"), 0.0).otherwise(F.coalesce("apart", F.lit(1.0)))
     may = least_apart - (F.col("far") + F.col("far_b")) / 20 <= 1 - least / of + 1e-9
     cross = cross.join(apart, ["leader", "leader_b"], "left").filter(may).select("ngram", *alike, *[f"{c}_b" for c in alike])
-    one = own.select("ngram", *alike, F.col("id").alias("a"))
-    two = own.select("ngram", *[F.col(c).alias(f"{c}_b") for c in alike], F.col("id").alias("b"))
-    pairs = cross.join(one, ["ngram", *alike]).join(two, ["ngram", *[f"{c}_b" for c in alike]]).select("a", "b").distinct()
+    pairs = _document_pairs(stored(cross, "pairs"), own, alike)
     rest = stored(_linked(_overlaps(pairs, segments), least, of), "rest")
     return known if rest.isEmpty() else stored(components(edges.union(rest)), "known")
 
