@@ -6,11 +6,14 @@ Cells are unique only within a tile, so every key is (well, tile, cell).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from screenloom.functions.bases import hamming, uncertain
+from screenloom.operators.iterate import saved
 
 CELL = ["well", "tile", "cell"]
 
@@ -96,16 +99,18 @@ def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycle
     barcodes are matched, however many reads have them. For each pattern that such letters form in
     some barcode the library gets a key of the other letters, which turns the wildcard match into an
     equi-join. There are at most as many patterns as ways to hide ``most`` of ``cycles`` places (299 for 3
-    of 12); those that occur are looked up first, so that the library is made ready for no others.
+    of 12); those that occur are looked up first, so that the library is made ready for no others. The distinct barcodes are
+    written once for that.
     """
     kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
-    coded = kept.select("barcode").distinct()
+    coded = saved(kept.select("barcode").distinct(), "barcodes")
     coded = coded.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.regexp_replace("barcode", "[KMN]", "-"))
     occurring = [r["mask"] for r in coded.filter(F.length("mask") == cycles).select("mask").distinct().collect()]
     short = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq"))
-    keyed = short.withColumn("mask", F.explode(F.split(F.lit(",".join(sorted(occurring))), ",")))
-    hidden = F.zip_with(F.split("sgrna_seq", ""), F.split("mask", ""), lambda b, m: F.when(m == "1", b).otherwise("-"))
-    keyed = keyed.withColumn("key", F.array_join(hidden, ""))
+    # the letters that a mask leaves, cut out in a few pieces
+    cut = lambda m: F.concat(*[F.substring("sgrna_seq", x.start() + 1, len(x[0])) if x[0][0] == "1" else F.lit("-" * len(x[0])) for x in re.finditer("1+|0+", m)])
+    keys = F.array(*[F.struct(F.lit(m).alias("mask"), cut(m).alias("key")) for m in sorted(occurring)]) if occurring else F.array().cast("array<struct<mask:string,key:string>>")
+    keyed = short.filter(F.length("sgrna_seq") == cycles).select("*", F.explode(keys).alias("k")).select("lib_idx", "sgrna", "sgrna_seq", "k.mask", "k.key")
     fits = F.zip_with(F.split("barcode", ""), F.split("sgrna_seq", ""), lambda r, b: ((r != "K") | b.isin("G", "T")) & ((r != "M") | b.isin("A", "C")))
     found = coded.join(keyed, ["mask", "key"]).filter(F.forall(fits, lambda x: x)).drop("mask", "key")
     return kept.join(found, "barcode")

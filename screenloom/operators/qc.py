@@ -20,7 +20,10 @@ def counts_of_counts(reads: DataFrame) -> DataFrame:
 
 
 def top_and_others(counted: DataFrame, name: str, number: int) -> DataFrame:
-    """The ``number - 1`` most frequent values of ``name`` by ``n``, and Others for all further ranks."""
+    """The ``number - 1`` most frequent values of ``name`` by ``n``, and Others for all further ranks.
+
+    The ranking is one window over the table, which has a row per value (guide), not per cell.
+    """
     order = W.orderBy(F.desc("n"), name)
     ranked = counted.withColumn("rn", F.row_number().over(order))
     label = F.when(F.col("rn") < number, F.col(name)).otherwise("Others")
@@ -191,7 +194,7 @@ def parameter_sweep(matched: DataFrame, limits: list[int], thresholds: list[floa
 
 
 def rank_curve(genotypes: DataFrame) -> DataFrame:
-    """Guides by number of cells with the cumulative share; counts have one row per guide."""
+    """Guides by number of cells with the cumulative share. The ranking is one window over a row per guide."""
     counted = genotypes.groupBy("sgrna").agg(F.count(F.lit(1)).alias("cells"))
     order = W.orderBy(F.desc("cells"), "sgrna")
     total = F.sum("cells").over(W.partitionBy())
@@ -211,6 +214,6 @@ def plate_grid(metric: DataFrame, value: str, rows: int, columns: int, snake: bo
 
 
 def in_situ_counts(counts: DataFrame, library: DataFrame) -> DataFrame:
-    """Cells per library guide with their percent and log10."""
+    """Cells per library guide with their percent and log10; the total is one window over a row per guide."""
     known = counts.join(library.select("sgrna").distinct(), "sgrna", "left_semi")
     return known.select("sgrna", "n", F.round(100 * F.col("n") / F.sum("n").over(W.partitionBy()), 6).alias("percent"), F.round(F.log10("n"), 6).alias("log10_n"))
