@@ -43,7 +43,7 @@ def test_stages(stages):
 
 def test_queries_have_their_columns(spark):
     q = queries.QUERIES
-    assert len(q) == 10 and set(queries.ORACLE_SQL) <= set(q)
+    assert len(q) == 13 and set(queries.ORACLE_SQL) <= set(q)
     assert q["op1_ngram_jaccard_join"](spark, SF).columns[:3] == ["doc_id", "n_shingles", "component_id"]
     assert q["op2_language_id"](spark, SF).columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
 
