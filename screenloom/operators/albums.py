@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from screenloom.operators.barcodes import CELL
+from screenloom.operators.iterate import saved
 
 
 def phenotyped(cells: DataFrame) -> DataFrame:
@@ -69,72 +70,116 @@ def cell_names(cells: DataFrame) -> DataFrame:
     return cells.select(*CELL, cell_name(F.col("sgrna"), F.col("well"), F.col("tile"), F.col("cell")).alias("name"))
 
 
-def _mode_range(z: np.ndarray, n: np.ndarray, peak: float = 0.2) -> tuple[float, float]:
-    """Mean and deviation of the brightest peak of a histogram (centres ``z``, counts ``n``).
+def _mode_ranges(z: np.ndarray, n: np.ndarray, peak: float = 0.2) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of the brightest peak of each of many histograms (a row of centres ``z`` and counts ``n`` each).
 
     The counts are smoothed; with more than one peak of at least ``peak`` of the highest, a mixture
-    of normal densities, its size chosen by BIC, splits them and the brightest part counts.
+    of normal densities, its size chosen by BIC, splits them and the brightest part counts. Mixtures of one size
+    are fitted together, over the bins that hold something.
     """
     grid = np.arange(-3, 4)
     kernel = np.exp(-(grid**2) / 2)
-    smooth = np.convolve(n, kernel / kernel.sum(), mode="same")
-    padded = np.concatenate([[-1.0], smooth, [-1.0]])
-    tops = np.flatnonzero((padded[1:-1] > padded[:-2]) & (padded[1:-1] >= padded[2:]) & (smooth >= peak * smooth.max()))
-    total = n.sum()
-    whole = float((z * n).sum() / total)
-    share, mean, std = n, whole, 0.0
-    if len(tops) > 1:
-        best = None
-        for k in range(1, min(4, len(tops)) + 1):
-            mu = np.quantile(np.repeat(z, np.maximum(1, np.round(n / total * 1000)).astype(int)), (np.arange(k) + 0.5) / k)
-            sd, w = np.full(k, max(z.std() / k, 1e-6)), np.full(k, 1 / k)
-            for _ in range(100):
-                d = w * np.exp(-0.5 * ((z[:, None] - mu) / sd) ** 2) / (sd * np.sqrt(2 * np.pi)) + 1e-300
-                r = d / d.sum(1, keepdims=True) * n[:, None]
-                mass = r.sum(0) + 1e-12
-                mu, w = (r * z[:, None]).sum(0) / mass, mass / total
-                sd = np.sqrt((r * (z[:, None] - mu) ** 2).sum(0) / mass + 1e-8)
-            bic = (3 * k - 1) * np.log(total) - 2 * float((n * np.log(d.sum(1))).sum())
-            if best is None or bic < best[0]:
-                best = (bic, mu, r)
-        share = best[2][:, int(np.argmax(best[1]))]
-        mean = float((z * share).sum() / share.sum())
-    std = float(np.sqrt((share * (z - mean) ** 2).sum() / share.sum()))
-    return mean, std * max(0.0, (total - 1) / total) ** 0.5
+    kernel /= kernel.sum()
+    smooth = np.array([np.convolve(row, kernel, mode="same") for row in n])
+    padded = np.pad(smooth, ((0, 0), (1, 1)), constant_values=-1.0)
+    tops = ((padded[:, 1:-1] > padded[:, :-2]) & (padded[:, 1:-1] >= padded[:, 2:]) & (smooth >= peak * smooth.max(1, keepdims=True))).sum(1)
+    total = n.sum(1)
+    share, mean = n.astype(float), (z * n).sum(1) / total
+    # bins that hold something come first; groups with about as many of them go together
+    held = (n > 0).sum(1)
+    many = np.flatnonzero(tops > 1)
+    many = many[np.argsort(held[many], kind="stable")]
+    for at in np.array_split(many, max(1, -(-len(many) // 256))):
+        if not len(at):
+            continue
+        order = np.argsort(n[at] == 0, axis=1, kind="stable")[:, : held[at].max()]
+        own, best = np.take_along_axis(share[at], order, 1), np.full(len(at), np.inf)
+        own_z, kept, top = np.take_along_axis(z[at], order, 1), own.copy(), mean[at].copy()
+        for k in range(1, 5):
+            use = np.flatnonzero(tops[at] >= k)
+            if not len(use):
+                break
+            mu, r, likelihood = _mixture(own_z[use], own[use], z[at[use]], n[at[use]], k)
+            bic = (3 * k - 1) * np.log(total[at[use]]) - 2 * likelihood
+            better = bic < best[use]
+            use, mu, r = use[better], mu[better], r[better]
+            best[use] = bic[better]
+            kept[use] = np.take_along_axis(r, mu.argmax(1)[:, None, None], 2)[:, :, 0]
+            top[use] = (own_z[use] * kept[use]).sum(1) / kept[use].sum(1)
+        share[at] = 0
+        spread = share[at]
+        np.put_along_axis(spread, order, kept, 1)
+        share[at], mean[at] = spread, top
+    std = np.sqrt((share * (z - mean[:, None]) ** 2).sum(1) / share.sum(1))
+    return mean, std * np.maximum(0.0, (total - 1) / total) ** 0.5
+
+
+def _mode_range(z: np.ndarray, n: np.ndarray, peak: float = 0.2) -> tuple[float, float]:
+    """The same of one histogram."""
+    mean, std = _mode_ranges(z[None], n[None], peak)
+    return float(mean[0]), float(std[0])
+
+
+def _mixture(z: np.ndarray, n: np.ndarray, every_z: np.ndarray, every_n: np.ndarray, k: int, steps: int = 100) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mixtures of ``k`` normal densities fitted to many histograms: means, counts by bin and part, log likelihood.
+
+    ``z`` and ``n`` have the bins that hold something, ``every_z`` and ``every_n`` all of them, from which the parts start.
+    """
+    total = every_n.sum(1)
+    # quantiles of all centres, each as often as its bin has thousandths, once at least
+    ends = np.cumsum(np.maximum(1, np.round(every_n / total[:, None] * 1000)).astype(int), axis=1)
+    place = (ends[:, -1:] - 1) * ((np.arange(k) + 0.5) / k)
+    low = np.floor(place)
+    value = lambda x: np.take_along_axis(every_z, np.minimum((ends[:, None, :] <= x[:, :, None]).sum(2), every_z.shape[1] - 1), 1)
+    mu = value(low) + (value(low + 1) - value(low)) * (place - low)
+    sd = np.repeat(np.maximum(every_z.std(1) / k, 1e-6)[:, None], k, 1)
+    w = np.full(mu.shape, 1 / k)
+    for _ in range(steps if k > 1 else 3):  # a single part stands still after one step
+        d = w[:, None] * np.exp(-0.5 * ((z[:, :, None] - mu[:, None]) / sd[:, None]) ** 2) / (sd[:, None] * np.sqrt(2 * np.pi)) + 1e-300
+        r = d / d.sum(2, keepdims=True) * n[:, :, None]
+        mass = r.sum(1) + 1e-12
+        mu, w = (r * z[:, :, None]).sum(1) / mass, mass / total[:, None]
+        sd = np.sqrt((r * (z[:, :, None] - mu[:, None]) ** 2).sum(1) / mass + 1e-8)
+    return mu, r, (n * np.log(d.sum(2))).sum(1)
 
 
 def intensity_modes(cells: DataFrame, group: str, column: str, bins: int = 50) -> DataFrame:
     """``low`` and ``high`` of each group: the modal log10 intensity minus and plus a deviation.
 
     Groups are first brought down to histograms of ``bins`` counts, so an abundant guide costs no
-    more than a rare one.
+    more than a rare one. A task fits many of them at a time.
     """
     z = F.log10(F.col(column).cast("double"))
-    positive = cells.filter(F.col(column) > 0).select(group, z.alias("z"))
+    positive = saved(cells.filter(F.col(column) > 0).select(group, z.alias("z")), "intensities")
     ends = positive.groupBy(group).agg(F.min("z").alias("a"), F.max("z").alias("b"))
     both = positive.join(ends, group)
     bin_ = F.when(F.col("b") > F.col("a"), F.least(F.floor((F.col("z") - F.col("a")) / (F.col("b") - F.col("a")) * bins), F.lit(bins - 1))).otherwise(0)
     counts = both.groupBy(group, "a", "b", bin_.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    histograms = counts.groupBy(group, "a", "b").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"))
+    histograms = histograms.select(group, "a", "b", F.map_keys("m").alias("bin"), F.map_values("m").alias("n"))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = float(pdf["a"].iloc[0]), float(pdf["b"].iloc[0])
-        n = np.zeros(bins)
-        n[pdf["bin"].to_numpy()] = pdf["n"].to_numpy()
-        centres = a + (np.arange(bins) + 0.5) * (b - a) / bins if b > a else np.full(bins, a)
-        mean, std = _mode_range(centres, n)
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "low": [mean - std], "high": [mean + std], "cells": [int(n.sum())]})
+    def fit(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            a, b = (pdf[c].to_numpy()[:, None] for c in "ab")
+            n = np.zeros((len(pdf), bins))
+            n[np.repeat(np.arange(len(pdf)), pdf["bin"].map(len)), np.concatenate(pdf["bin"].to_list())] = np.concatenate(pdf["n"].to_list())
+            mean, std = _mode_ranges(a + (np.arange(bins) + 0.5) * (b - a) / bins, n)
+            yield pd.DataFrame({group: pdf[group], "low": mean - std, "high": mean + std, "cells": n.sum(1).astype(int)})
 
-    return counts.groupBy(group).applyInPandas(fit, f"{group} string, low double, high double, cells long")
+    return histograms.mapInPandas(fit, f"{group} string, low double, high double, cells long")
 
 
 def representative_cells(cells: DataFrame, number: int, seed: int = 0) -> DataFrame:
     """``number`` cells of each guide within its modal range; all of a guide whose range has fewer, its full set where the range is empty."""
+    cells = saved(cells.select(*CELL, "sgrna", "ints_avg"), "cells")
     modes = intensity_modes(cells, "sgrna", "ints_avg")
     both = cells.join(modes.select("sgrna", "low", "high"), "sgrna")
     inside = F.log10(F.col("ints_avg").cast("double")).between(F.col("low"), F.col("high"))
     flagged = both.withColumn("inside", F.coalesce(inside, F.lit(False)))
-    some = flagged.groupBy("sgrna").agg(F.max("inside").alias("some"))
-    kept = flagged.join(some, "sgrna").filter(F.col("inside") | ~F.col("some")).drop("low", "high", "inside", "some")
+    flagged = flagged.withColumn("some", F.max("inside").over(W.partitionBy("sgrna")))
+    kept = flagged.filter(F.col("inside") | ~F.col("some")).drop("low", "high", "inside", "some")
     return draw(kept, "sgrna", number, seed, F.concat_ws("-", *CELL))
 
 
