@@ -7,6 +7,7 @@ Cells are unique only within a tile, so every key is (well, tile, cell).
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,31 +29,49 @@ def barcode_counts(reads: DataFrame) -> DataFrame:
     return reads.groupBy(*CELL, "barcode").agg(F.count(F.lit(1)).alias("read_count"))
 
 
-def _segments(sequence: Column, number: int, cycles: int) -> Column:
-    """``number`` pieces of a sequence, each with its place, as an array of structs."""
-    cuts = [round(i * cycles / number) for i in range(number + 1)]
-    return F.array(*[F.struct(F.lit(i).alias("place"), F.substring(sequence, a + 1, b - a).alias("part")) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])
+def _hidden(sequence: Column, masks: list[tuple[int, ...]]) -> Column:
+    """The sequence without the places of each mask, with the number of the mask, as an array of structs."""
+
+    def key(mask: tuple[int, ...]) -> Column:
+        cuts = [-1, *mask, None]
+        parts = [F.substring(sequence, a + 2, 2**30 if b is None else b - a - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return F.concat_ws("-", *parts)
+
+    return F.array(*[F.struct(F.lit(k).alias("mask"), key(m).alias("key")) for k, m in enumerate(masks)])
 
 
 def hamming_candidates(barcodes: DataFrame, library: DataFrame, most: int, cycles: int = 12) -> DataFrame:
     """Distinct ``barcode`` joined to library rows at a distance of at most ``most``: barcode, lib_idx, sgrna, sgrna_seq, hamming_distance.
 
-    Two sequences that differ in d places agree on one of d + 1 pieces, so pieces are joined
-    instead of all pairs.
+    Two sequences that differ in at most d places agree when some d places are hidden. So each is joined under every way to hide ``most``
+    places: what meets there is near in fact, however large the library is, while of pieces of a sequence there are only so many. Of the ways
+    that bring a pair together one counts: that whose places either differ or are the first ones.
     """
-    left = barcodes.select("barcode").distinct().withColumn("s", F.explode(_segments(F.col("barcode"), most + 1, cycles)))
-    right = library.withColumn("sgrna_seq", F.substring("sgrna_seq", 1, cycles)).withColumn("s", F.explode(_segments(F.col("sgrna_seq"), most + 1, cycles)))
-    pairs = left.join(right.select("s", "lib_idx", "sgrna", "sgrna_seq"), "s").drop("s").distinct()
-    return pairs.withColumn("hamming_distance", hamming(F.col("barcode"), F.col("sgrna_seq"))).filter(F.col("hamming_distance") <= most)
+    masks = list(combinations(range(cycles), min(most, cycles)))
+    left = barcodes.select("barcode").distinct().select("barcode", F.explode(_hidden(F.col("barcode"), masks)).alias("s"))
+    right = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq")).distinct()
+    right = right.select("*", F.explode(_hidden(F.col("sgrna_seq"), masks)).alias("s"))
+    # a library small enough to be sent to all tasks is no longer so under all masks
+    pairs = left.join(right.hint("merge"), "s")
+    places = F.element_at(F.array(*[F.array(*[F.lit(x) for x in m]).cast("array<int>") for m in masks]), F.col("s.mask") + 1)
+    differ = lambda x: F.substring("barcode", x + 1, F.lit(1)) != F.substring("sgrna_seq", x + 1, F.lit(1))
+    pairs = pairs.withColumn("places", places).filter(F.length("barcode") == F.length("sgrna_seq"))
+    pairs = pairs.filter(F.forall(F.transform("places", lambda x, r: (x == r) | differ(x)), lambda x: x))
+    distance = F.size(F.filter("places", differ)).cast("long")
+    return pairs.select("barcode", "lib_idx", "sgrna", "sgrna_seq", distance.alias("hamming_distance"))
 
 
 def best_guide_per_cell(reads: DataFrame, library: DataFrame, most: int = 1, cycles: int = 12) -> DataFrame:
-    """The guide of each cell: smallest distance, then most reads, then barcode, then library order."""
+    """The guide of each cell: smallest distance, then most reads, then barcode, then library order.
+
+    Of a barcode's candidates only the best can be that, so cells meet one row for each barcode.
+    """
     counted = barcode_counts(usable_reads(reads))
-    matched = counted.join(hamming_candidates(counted, library, most, cycles), "barcode")
-    order = W.partitionBy(*CELL).orderBy("hamming_distance", F.desc("read_count"), "barcode", "lib_idx")
-    best = matched.withColumn("rn", F.row_number().over(order)).filter("rn = 1")
-    return best.select(*CELL, "barcode", "sgrna", "sgrna_seq", "hamming_distance", "read_count")
+    found = hamming_candidates(counted, library, most, cycles)
+    first = found.groupBy("barcode").agg(F.min(F.struct("hamming_distance", "lib_idx", "sgrna", "sgrna_seq")).alias("m"))
+    order = ["m.hamming_distance", (-F.col("read_count")).alias("fewer"), "barcode", "m.lib_idx", "m.sgrna", "m.sgrna_seq"]
+    best = counted.join(first, "barcode").groupBy(*CELL).agg(F.min(F.struct(*order)).alias("b"))
+    return best.select(*CELL, "b.barcode", "b.sgrna", "b.sgrna_seq", "b.hamming_distance", (-F.col("b.fewer")).alias("read_count"))
 
 
 def assign_reads(reads: DataFrame, library: DataFrame, most: int = 1, least_quality: float = 0.3, cycles: int = 12) -> DataFrame:
@@ -104,15 +123,16 @@ def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycle
     """
     kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
     coded = saved(kept.select("barcode").distinct(), "barcodes")
-    coded = coded.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.regexp_replace("barcode", "[KMN]", "-"))
+    coded = coded.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.translate("barcode", "KMN", "---"))
     occurring = [r["mask"] for r in coded.filter(F.length("mask") == cycles).select("mask").distinct().collect()]
     short = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq"))
     # the letters that a mask leaves, cut out in a few pieces
     cut = lambda m: F.concat(*[F.substring("sgrna_seq", x.start() + 1, len(x[0])) if x[0][0] == "1" else F.lit("-" * len(x[0])) for x in re.finditer("1+|0+", m)])
-    keys = F.array(*[F.struct(F.lit(m).alias("mask"), cut(m).alias("key")) for m in sorted(occurring)]) if occurring else F.array().cast("array<struct<mask:string,key:string>>")
-    keyed = short.filter(F.length("sgrna_seq") == cycles).select("*", F.explode(keys).alias("k")).select("lib_idx", "sgrna", "sgrna_seq", "k.mask", "k.key")
+    keys = F.array(*[cut(m) for m in sorted(occurring)]) if occurring else F.array().cast("array<string>")
+    # a key shows its pattern; under all patterns a small library is too large to be sent to all tasks
+    keyed = short.filter(F.length("sgrna_seq") == cycles).select("*", F.explode(keys).alias("key")).hint("merge")
     fits = F.zip_with(F.split("barcode", ""), F.split("sgrna_seq", ""), lambda r, b: ((r != "K") | b.isin("G", "T")) & ((r != "M") | b.isin("A", "C")))
-    found = coded.join(keyed, ["mask", "key"]).filter(F.forall(fits, lambda x: x)).drop("mask", "key")
+    found = coded.join(keyed, "key").filter(F.forall(fits, lambda x: x)).drop("mask", "key")
     return kept.join(found, "barcode")
 
 

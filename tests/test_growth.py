@@ -17,3 +17,20 @@ def test_modes_of_many_guides_are_fitted_together():
     assert time.perf_counter() - start < 25  # one after another they took over a minute
     for k in range(0, 3000, 500):
         assert oa._mode_range(z[k], n[k]) == pytest.approx((mean[k], std[k]), abs=1e-9)
+
+
+def test_library_under_all_masks_is_never_broadcast(spark):
+    from screenloom.operators import barcodes as ob
+
+    lib = spark.createDataFrame([(0, "a", "ACGT"), (1, "b", "ACGA"), (2, "c", "TTTT")], "lib_idx long, sgrna string, sgrna_seq string")
+    reads = spark.createDataFrame([(1, 1, 1, "r", "ACGN"), (1, 1, 1, "s", "ACGT"), (1, 1, 1, "t", "TTTT")], "well long, tile long, cell long, read string, barcode string")
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    near = ob.hamming_candidates(reads, lib, 1, 4)
+    assert "SortMergeJoin" in plan(near) and "BroadcastHashJoin" not in plan(near)
+    # sequences that only agree in a piece never meet: a pair comes from the join once
+    assert sorted((r.barcode, r.sgrna, r.hamming_distance) for r in near.collect()) == [
+        ("ACGN", "a", 1), ("ACGN", "b", 1), ("ACGT", "a", 0), ("ACGT", "b", 1), ("TTTT", "c", 0)
+    ]
+    found = ob.ambiguity_matches(reads, lib, 1, 4)
+    assert "SortMergeJoin [key" in plan(found)
+    assert sorted((r.read, r.sgrna) for r in found.collect()) == [("r", "a"), ("r", "b"), ("s", "a"), ("t", "c")]
