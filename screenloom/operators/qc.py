@@ -188,9 +188,16 @@ def mapping_by_threshold(reads: DataFrame, step: float | None = None) -> DataFra
 def parameter_sweep(matched: DataFrame, limits: list[int], thresholds: list[float]) -> DataFrame:
     """Cells and guides that remain for each limit of mismatches and each threshold of peak."""
     passes = F.explode(F.array(*[F.lit(n) for n in limits])).alias("limit")
-    rows = matched.select(*CELL, "sgrna", "mismatch", "peak", passes).filter("mismatch <= limit")
-    rows = rows.select("*", F.explode(F.array(*[F.lit(t) for t in thresholds])).alias("threshold")).filter("peak > threshold")
-    return rows.groupBy("limit", "threshold").agg(F.countDistinct(*CELL).alias("cells"), F.countDistinct("sgrna").alias("guides"))
+    each = F.explode(F.array(*[F.lit(t) for t in thresholds])).alias("threshold")
+
+    def remaining(names: list[str], called: str) -> DataFrame:
+        # what has a row that passes has one with the highest peak of its mismatches
+        tops = matched.dropna(subset=names).groupBy(*names, "mismatch").agg(F.max("peak").alias("peak"))
+        tops = tops.select(*names, "mismatch", "peak", passes).filter("mismatch <= limit").groupBy(*names, "limit").agg(F.max("peak").alias("peak"))
+        return tops.select("limit", "peak", each).filter("peak > threshold").groupBy("limit", "threshold").agg(F.count(F.lit(1)).alias(called))
+
+    both = remaining(CELL, "cells").join(remaining(["sgrna"], "guides"), ["limit", "threshold"], "full")
+    return both.na.fill(0, ["cells", "guides"])
 
 
 def rank_curve(genotypes: DataFrame) -> DataFrame:
