@@ -186,8 +186,7 @@ def representative_cells(cells: DataFrame, number: int, seed: int = 0) -> DataFr
 def thumbnails(pixels: DataFrame, channel: str, size: int = 16, pad: int = 5) -> DataFrame:
     """A square image of each cell: its box with a border, centred, resized linearly to ``size`` × ``size``, as an array of rows."""
 
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j, v = (pdf[c].to_numpy() for c in ("i", "j", "v"))
+    def cut(i: np.ndarray, j: np.ndarray, v: np.ndarray) -> np.ndarray:
         side = max(i.max() - i.min(), j.max() - j.min()) + 1 + 2 * pad
         top, left = (i.min() + i.max() + 1 - side) // 2, (j.min() + j.max() + 1 - side) // 2
         image = np.zeros((side, side), np.float32)
@@ -196,20 +195,28 @@ def thumbnails(pixels: DataFrame, channel: str, size: int = 16, pad: int = 5) ->
         low = np.minimum(at.astype(int), side - 2)
         f = (at - low).astype(np.float32)
         rows = image[low] * (1 - f)[:, None] + image[low + 1] * f[:, None]
-        out = rows[:, low] * (1 - f) + rows[:, low + 1] * f
-        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in CELL}, "image": [out.ravel()]})
+        return (rows[:, low] * (1 - f) + rows[:, low + 1] * f).ravel()
 
-    return pixels.filter("cell > 0").select(*CELL, "i", "j", F.col(channel).alias("v")).groupBy(*CELL).applyInPandas(cut, "well long, tile long, cell long, image array<float>")
+    def work(batches):
+        for pdf in batches:
+            yield pdf[CELL].assign(image=[cut(*r) for r in zip(pdf["i"], pdf["j"], pdf["v"], strict=True)])
+
+    cells = pixels.filter("cell > 0").groupBy(*CELL).agg(F.collect_list(F.struct("i", "j", F.col(channel).alias("v"))).alias("p"))
+    return cells.select(*CELL, "p.i", "p.j", "p.v").mapInPandas(work, "well long, tile long, cell long, image array<float>")
 
 
 def assemble_albums(slots: DataFrame, images: DataFrame, rows: int, columns: int, size: int) -> DataFrame:
     """One array per guide with its thumbnails in their places (at most rows × columns of them)."""
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        album = np.zeros((rows * size, columns * size), np.float32)
-        for r, c, image in zip(pdf["album_row"], pdf["album_col"], pdf["image"], strict=True):
-            album[int(r) * size : (int(r) + 1) * size, int(c) * size : (int(c) + 1) * size] = np.reshape(image, (size, size))
-        return pd.DataFrame({"sgrna": [pdf["sgrna"].iloc[0]], "cells": [len(pdf)], "album": [album.ravel()]})
+    def place(batches):
+        for pdf in batches:
+            albums = []
+            for r, c, images in zip(pdf["album_row"], pdf["album_col"], pdf["image"], strict=True):
+                album = np.zeros((rows, size, columns, size), np.float32)
+                album[r, :, c] = np.stack(images).reshape(-1, size, size)
+                albums.append(album.ravel())
+            yield pdf[["sgrna"]].assign(cells=pdf["image"].map(len), album=albums)
 
     both = layout(slots, columns).select(*CELL, "sgrna", "album_row", "album_col").join(images, CELL)
-    return both.groupBy("sgrna").applyInPandas(place, "sgrna string, cells long, album array<float>")
+    guides = both.groupBy("sgrna").agg(F.collect_list(F.struct("album_row", "album_col", "image")).alias("p"))
+    return guides.select("sgrna", "p.album_row", "p.album_col", "p.image").mapInPandas(place, "sgrna string, cells long, album array<float>")

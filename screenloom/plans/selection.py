@@ -93,7 +93,8 @@ def thumbnails(pixels):
 @query("q9_16_albums")
 def albums(pixels, phenotypes, genotypes):
     slots = oa.brightest(_cells(phenotypes, genotypes), "sgrna", "ints_avg", 6)
-    return oa.assemble_albums(slots, oa.thumbnails(pixels, "ch0"), 2, 3, 16)
+    shown = pixels.join(slots.select("well", "tile", "cell"), ["well", "tile", "cell"], "left_semi")
+    return oa.assemble_albums(slots, oa.thumbnails(shown, "ch0"), 2, 3, 16)
 
 
 @query(
