@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -250,41 +252,51 @@ def progress_log(arrivals):
     return spark.read.parquet(log).select("event_id", "well", "tile", "status")
 
 
-def _tiles(values: DataFrame, cycles: int = 3) -> DataFrame:
-    """Image stacks of 32 × 32 from the pixel table; cycle k is shifted by (k, 2 k)."""
-    names = F.element_at(F.array(*[F.lit(n) for n in ("DAPI", "G", "T")]), F.col("channel").cast("int") + 1)
-    rows = values.withColumn("cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1))))
-    at = F.pmod(F.col("i") + F.col("cycle"), F.lit(32)) * 32 + F.pmod(F.col("j") + 2 * F.col("cycle"), F.lit(32))
-    maps = rows.groupBy("well", "tile", "cycle", names.alias("channel")).agg(F.map_from_entries(F.collect_list(F.struct(at.alias("at"), F.col("value").cast("float").alias("v")))).alias("m"))
-    data = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(1023).cast("long")), lambda k: F.coalesce(F.element_at("m", k), F.lit(0.0).cast("float")))
-    return maps.select("well", "tile", "cycle", "channel", F.lit(32).alias("h"), F.lit(32).alias("w"), data.alias("data"))
+def _tiles(pixels: DataFrame, cycles: int = 3, names: tuple[str, ...] = ("DAPI", "G", "T")) -> DataFrame:
+    """Image stacks of 32 × 32 from the pixel table; cycle k is shifted by (k, 2 k). The pixels of a tile travel once, for all its images."""
+    at = (F.col("i") * 32 + F.col("j")).cast("int").alias("at")
+    values = [F.col(f"ch{k}").cast("float").alias(n) for k, n in enumerate(names)]
+    stacks = pixels.groupBy("well", "tile").agg(F.collect_list(F.struct(at, *values)).alias("p"))
+    stacks = stacks.select("well", "tile", "p.at", *[f"p.{n}" for n in names])
+
+    def images(batches):
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                out = []
+                for n in names:
+                    image = np.zeros(1024, np.float32)
+                    image[row["at"]] = row[n]
+                    out += [(k, n, np.roll(image.reshape(32, 32), (k, 2 * k), (0, 1)).ravel()) for k in range(cycles)]
+                yield pd.DataFrame(out, columns=["cycle", "channel", "data"]).assign(well=row["well"], tile=row["tile"], h=32, w=32)
+
+    return stacks.mapInPandas(images, "well long, tile long, cycle int, channel string, h int, w int, data array<float>")
 
 
 @query("q9_1_cycle_shifts", "SELECT DISTINCT well, tile, k AS cycle, -k AS dy, -2 * k AS dx FROM (SELECT well, tile, unnest(range(0, 3)) AS k FROM (SELECT DISTINCT well, tile FROM {pixels}))")
-def cycle_shifts(values):
-    return ot.cycle_shifts(_tiles(values)).drop("score")
+def cycle_shifts(pixels):
+    return ot.cycle_shifts(_tiles(pixels)).drop("score")
 
 
 @query("q9_2_laplacian")
-def laplacian(values):
-    return ot.spots_enhanced(_tiles(values, 1))
+def laplacian(pixels):
+    return ot.spots_enhanced(_tiles(pixels, 1))
 
 
 @query("q9_6_reads_from_stack")
-def reads_from_stack(values):
-    return ot.reads_from_stack(_tiles(values))
+def reads_from_stack(pixels):
+    return ot.reads_from_stack(_tiles(pixels))
 
 
 @query("q9_17_apply_segmenter")
-def apply_segmenter(values):
-    return ot.apply_segmenter(_tiles(values, 1).filter("channel = 'DAPI'"))
+def apply_segmenter(pixels):
+    return ot.apply_segmenter(_tiles(pixels, 1).filter("channel = 'DAPI'"))
 
 
 @query("q9_18_segment_summary")
-def segment_summary(values):
+def segment_summary(pixels):
     """Cells grown from nuclei, counted with their areas by tile."""
-    pixels = ot.segment_tiles(_tiles(values, 1), "DAPI", "G", 4, 8)
-    cells = pixels.groupBy("well", "tile", "status", "cell").agg(F.count("i").alias("area"), F.count(F.when(F.col("nucleus") > 0, 1)).alias("nucleus_area"))
+    segmented = ot.segment_tiles(_tiles(pixels, 1), "DAPI", "G", 4, 8)
+    cells = segmented.groupBy("well", "tile", "status", "cell").agg(F.count("i").alias("area"), F.count(F.when(F.col("nucleus") > 0, 1)).alias("nucleus_area"))
     return cells.groupBy("well", "tile", "status").agg(F.count("cell").alias("cells"), F.sum("area").alias("area"), F.sum("nucleus_area").alias("nucleus_area"))
 
 

@@ -34,3 +34,29 @@ def test_library_under_all_masks_is_never_broadcast(spark):
     found = ob.ambiguity_matches(reads, lib, 1, 4)
     assert "SortMergeJoin [key" in plan(found)
     assert sorted((r.read, r.sgrna) for r in found.collect()) == [("r", "a"), ("r", "b"), ("s", "a"), ("t", "c")]
+
+
+def test_images_are_filled_and_read_without_a_row_per_pixel(spark):
+    from screenloom.plans import files_and_signals as fs
+
+    rows = [(1, 2, i, j, 5 * i + j, i, j) for i in range(0, 32, 3) for j in range(1, 32, 2)]
+    pixels = spark.createDataFrame(rows, "well long, tile long, i long, j long, ch0 long, ch1 long, ch2 long")
+    tiles = fs._tiles(pixels, 3)
+    got = {(r.cycle, r.channel): np.reshape(r.data, (32, 32)) for r in tiles.collect()}
+    want = np.zeros((32, 32), np.float32)
+    for _, _, i, j, _, _, v in rows:
+        want[(i + 2) % 32, (j + 4) % 32] = v
+    assert len(got) == 9 and (got[2, "T"] == want).all()
+    plan = fs.reads_from_stack.__wrapped__(pixels) if hasattr(fs.reads_from_stack, "__wrapped__") else fs.reads_from_stack(pixels)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in text and "Join" not in text
+
+
+def test_thumbnails_and_albums_are_made_many_at_a_time(spark):
+    rows = [(1, 1, c, i, j, c + i * j) for c in (1, 2) for i in range(3) for j in range(4)]
+    images = oa.thumbnails(spark.createDataFrame(rows, "well long, tile long, cell long, i long, j long, v long"), "v", 8, 2)
+    slots = spark.createDataFrame([(1, 1, 1, "g", 0), (1, 1, 2, "g", 1)], "well long, tile long, cell long, sgrna string, slot long")
+    albums = oa.assemble_albums(slots, images, 2, 3, 8)
+    assert "FlatMapGroupsInPandas" not in albums._jdf.queryExecution().optimizedPlan().toString()
+    one, got = {r.cell: np.reshape(r.image, (8, 8)) for r in images.collect()}, np.reshape(albums.first().album, (16, 24))
+    assert (got[:8, :8] == one[1]).all() and (got[:8, 8:16] == one[2]).all() and not got[8:].any()
