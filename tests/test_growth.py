@@ -60,3 +60,25 @@ def test_thumbnails_and_albums_are_made_many_at_a_time(spark):
     assert "FlatMapGroupsInPandas" not in albums._jdf.queryExecution().optimizedPlan().toString()
     one, got = {r.cell: np.reshape(r.image, (8, 8)) for r in images.collect()}, np.reshape(albums.first().album, (16, 24))
     assert (got[:8, :8] == one[1]).all() and (got[:8, 8:16] == one[2]).all() and not got[8:].any()
+
+
+def test_reads_travel_as_one_row_each(spark):
+    from pyspark.sql import functions as F
+
+    from screenloom.functions import bases as fb
+    from screenloom.plans import genotyping as g
+
+    rows = [(f"r{r}", k, (r * 7 + k * 3) % 50, (r + k) % 40, (r * k) % 60, (k * 11) % 30) for r in range(20) for k in range(12)]
+    df = spark.createDataFrame(rows, "read string, cycle int, g long, t long, a long, c long")
+    for query in (g.call_bases, g.ambiguity_codes):
+        assert "collect_list" not in query(df)._jdf.queryExecution().optimizedPlan().toString()
+    twice = spark.createDataFrame([(0, "T"), (1, "A"), (0, "C"), (0, "T")], "cycle int, b string")
+    assert twice.agg(fb.text_of_letters(fb.letters_by_cycle(F.col("cycle"), F.col("b"), "ACGT", 3), "ACGT").alias("x")).first()["x"] == "CTTA"
+
+
+def test_parts_grow_with_the_rows(spark):
+    from screenloom.operators.iterate import spread_out
+
+    df = spark.range(10_000).withColumnRenamed("id", "k")
+    assert spread_out(df, "k", rows=100).rdd.getNumPartitions() == 100
+    assert spread_out(df, "k").rdd.getNumPartitions() == 4
