@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from screenloom.operators.barcodes import CELL
+from screenloom.operators.iterate import spread_out
 
 TILE = ["well", "tile"]
 
@@ -125,10 +126,11 @@ def _neighbourhood(values: DataFrame, width: int) -> DataFrame:
     """``values`` with the largest and least value within ``width`` rows and columns, over the pixels that exist.
 
     Values are spread along columns and then along rows, each followed by a grouped aggregate, so
-    missing pixels need no grid.
+    missing pixels need no grid. Tiles are brought together once; all after that is within tasks.
     """
     half = width // 2
     key = [*TILE, "channel", "i", "j"]
+    values = spread_out(values, *TILE)
 
     def spread(df: DataFrame, axis: str) -> DataFrame:
         reach = F.explode(F.sequence(F.col(axis) - half, F.col(axis) + half)).alias(axis)
@@ -169,7 +171,7 @@ def perimeters(mask: DataFrame, label: str = "cell") -> DataFrame:
     are within tasks, and no region is gathered.
     """
     key = [*TILE, label]
-    pixels = mask.filter(F.col(label) > 0).select(*key, "i", "j").repartition(*key).distinct()
+    pixels = spread_out(mask.filter(F.col(label) > 0).select(*key, "i", "j"), *key).distinct()
 
     def around(df: DataFrame, weights: dict[tuple[int, int], int]) -> DataFrame:
         """For each place near a pixel the sum of what the pixels around add to it, and whether a pixel is there."""
@@ -213,7 +215,7 @@ def solidities(mask: DataFrame) -> DataFrame:
                 shares.append(area / hull_area(corners))
             yield pdf.assign(solidity=shares)[[*CELL, "solidity"]]
 
-    pixels = mask.filter("cell > 0").select(*CELL, "i", "j").repartition(*CELL).distinct()
+    pixels = spread_out(mask.filter("cell > 0").select(*CELL, "i", "j"), *CELL).distinct()
     rows = pixels.groupBy(*CELL, "i").agg(F.min("j").alias("low"), F.max("j").alias("high"), F.count(F.lit(1)).alias("n"))
     cells = rows.groupBy(*CELL).agg(F.collect_list(F.struct("i", "low", "high")).alias("ends"), F.sum("n").cast("double").alias("area"))
     return cells.mapInPandas(measure, "well long, tile long, cell long, solidity double")

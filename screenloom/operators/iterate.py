@@ -29,3 +29,9 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_out(df: DataFrame, *by: str, rows: int = 200_000) -> DataFrame:
+    """``df`` written and brought together by columns ``by`` in as many parts as its rows need, so that what a task holds doesn't grow with the table."""
+    kept = saved(df, "spread")
+    return kept.repartition(max(1, -(-kept.count() // rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *by)

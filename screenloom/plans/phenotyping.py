@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from screenloom.functions.geometry import circularity, ratio
 from screenloom.operators import features as of
+from screenloom.operators.iterate import spread_out
 from screenloom.plans.registry import query
 
 _SHAPES = """SELECT well, tile, {label}, area, i_min, i_max, j_min, j_max, y, x, area::DOUBLE / ((i_max - i_min + 1) * (j_max - j_min + 1)) AS extent,
@@ -181,6 +182,7 @@ def max_filter(values):
   SELECT well, tile, i, j, channel, stddev_pop((value * (1 + k) + k * 17) % 256) AS s FROM {values}, (SELECT unnest(range(0, 4)) AS k) GROUP BY well, tile, i, j, channel) GROUP BY ALL""",
 )
 def cycle_variation(values):
+    values = spread_out(values.select("well", "tile", "i", "j", "channel", "value"), "well", "tile", "i", "j")
     stack = values.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
     return of.cycle_variation(stack.withColumn("value", (F.col("value") * (1 + F.col("k")) + F.col("k") * 17) % 256))
 
