@@ -233,8 +233,7 @@ def ransac_inliers(pairs: DataFrame, most: float, samples: int = 200, size: int
 
     Pairs are drawn by a hash of seed, sample and point, so a run can be repeated. Each task keeps only the
     ``samples`` smallest hashes of a well before any are brought together. Every pair is scored under every
-    sample of its well, and each task sums the scores before it hands them on: a row for each well and sample, however many
-    pairs it has. A well whose best sample has a share of inliers under ``least`` has no rows. Null distances never occur.
+    sample of its well, a batch of pairs under all samples at once; a batch hands on a row for each well and sample. A well whose best sample has a share of inliers under ``least`` has no rows. Null distances never occur.
     """
     from screenloom.operators.iterate import saved
 
@@ -259,14 +258,20 @@ def ransac_inliers(pairs: DataFrame, most: float, samples: int = 200, size: int
     # what a transform does to x and y is linear in them: six numbers for each sample
     cos, sin = F.cos("theta"), F.sin("theta")
     parts = [F.col("scale_x") * cos, -F.col("scale_x") * sin, F.col("scale_x") * F.col("dx"), F.col("scale_y") * sin, F.col("scale_y") * cos, F.col("scale_y") * F.col("dy")]
-    each = fits.groupBy("well").agg(F.collect_list(F.struct("sample", *[p.alias(f"p{i}") for i, p in enumerate(parts)])).alias("fits"))
+    each = fits.select("well", "sample", *[p.alias(f"p{i}") for i, p in enumerate(parts)]).toPandas()  # ``samples`` rows for a well
+    models = {well: own.sort_values("sample") for well, own in each.groupby("well")}
 
-    def inside(t: Column) -> Column:
-        x, y = affine(F.col("x"), F.col("y"), *[t[f"p{i}"] for i in range(6)])
-        return F.struct(t["sample"].alias("sample"), (distance(x, y, F.col("ox"), F.col("oy")) <= most).cast("long").alias("inside"))
-
-    scored = pairs.join(each, "well").select("well", F.explode(F.transform("fits", inside)).alias("s"))
-    counts = scored.groupBy("well", "s.sample").agg(F.sum("s.inside").alias("inliers"), F.count(F.lit(1)).alias("n"))
+    def score(batches):
+        for pdf in batches:
+            for well, own in pdf.groupby("well"):
+                model = models[well]
+                p = [model[f"p{i}"].to_numpy()[:, None] for i in range(6)]
+                x, y, ox, oy = (own[c].to_numpy() for c in ("x", "y", "ox", "oy"))
+                dx, dy = p[0] * x + p[1] * y + p[2] - ox, p[3] * x + p[4] * y + p[5] - oy
+                yield pd.DataFrame({"well": well, "sample": model["sample"], "inside": (np.sqrt(dx * dx + dy * dy) <= most).sum(1), "n": len(own)})
+
+    scored = pairs.select("well", "x", "y", "ox", "oy").mapInPandas(score, "well long, sample int, inside long, n long")
+    counts = scored.groupBy("well", "sample").agg(F.sum("inside").alias("inliers"), F.sum("n").alias("n"))
     best = counts.groupBy("well").agg(F.max(F.struct("inliers", (-F.col("sample")).alias("order"), "n")).alias("b")).filter(F.col("b.inliers") >= least * F.col("b.n"))
     best = best.select("well", (-F.col("b.order")).cast("int").alias("sample")).join(fits, ["well", "sample"])
     kept = pairs.join(best, "well")

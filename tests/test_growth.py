@@ -82,3 +82,13 @@ def test_parts_grow_with_the_rows(spark):
     df = spark.range(10_000).withColumnRenamed("id", "k")
     assert spread_out(df, "k", rows=100).rdd.getNumPartitions() == 100
     assert spread_out(df, "k").rdd.getNumPartitions() == 4
+
+
+def test_pairs_are_scored_without_a_row_for_each_sample(spark):
+    from screenloom.operators import mapping as om
+
+    points = [(w, k, float(k % 13), float(k % 17), 4.0 * (k % 13) + 9 + (50 if k % 6 == 0 else 0), 4.0 * (k % 17) - 3) for w in (1, 2) for k in range(120)]
+    df = spark.createDataFrame(points, "well long, point long, x double, y double, ox double, oy double")
+    got = om.ransac_inliers(df, 1.0, samples=40)
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.well, r.point) for r in got.collect()) == [(w, k) for w in (1, 2) for k in range(120) if k % 6]
