@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -87,22 +89,127 @@ def map_cells(points: DataFrame, layout: DataFrame, transforms: DataFrame, targe
 CROWD = 32
 #: How often squares are halved at most: to a millionth of their side.
 HALVINGS = 20
+#: Side of a block in multiples of the largest distance, and the points that one task looks up in it at once.
+BLOCK, PART = 16, 100_000
+#: Into how many columns and rows a square is cut at most within a block, as a power of two.
+FINEST = 4
 
 
 def nearest_within(points: DataFrame, others: DataFrame, most: float, crowd: int | None = None) -> DataFrame:
     """Each point with its nearest other point of the well at a distance of at most ``most``: well, point, other, dist.
 
+    Blocks of 16 by 16 squares of side ``most`` are worked on in one task each: a point goes to its block only, an other point also
+    to those blocks that it is near to. Blocks with many points are dealt to several tasks. So rows move once, whatever the
+    number of neighbours. Near squares with a clump (over ``crowd`` others on a 16th of the side) points look in squares that
+    are halved (:func:`_nearest_in_squares`), so no task holds a clump. One other point may serve several. Ties go to
+    the smaller id; others at one place are compared once. What isn't a finite place has no neighbour.
+    """
+    from screenloom.operators.iterate import saved
+
+    crowd, most = CROWD if crowd is None else crowd, float(most)
+    finite = (F.abs("x") < float("inf")) & (F.abs("y") < float("inf"))
+    points = points.filter(finite).select("well", "point", "x", "y")
+    left = saved(others.filter(finite).groupBy("well", F.col("x").alias("ox"), F.col("y").alias("oy")).agg(F.min("point").alias("other")), "places")
+    at = ["well", "bx", "by"]
+    square = lambda x, y, side: {"bx": F.floor(F.col(x) / side), "by": F.floor(F.col(y) / side)}
+    fine = left.groupBy("well", *[c.alias(k) for k, c in square("ox", "oy", most / 2**FINEST).items()]).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
+    clumps = saved(fine.select("well", F.floor(F.col("bx") / 2**FINEST).alias("bx"), F.floor(F.col("by") / 2**FINEST).alias("by")).distinct(), "clumps")
+    if clumps.isEmpty():
+        best = _nearest_in_blocks(points, left, most)
+    else:
+        ring = lambda c: F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.col(c) + i)).alias(c)
+        wider = lambda df: df.select("well", ring("bx"), "by").select("well", "bx", ring("by")).distinct()
+        near = saved(wider(clumps), "clumps")
+        inside = lambda df, x, y, which, how: df.withColumns(square(x, y, most)).join(which, at, how).drop("bx", "by")
+        free = _nearest_in_blocks(inside(points, "x", "y", near, "left_anti"), inside(left, "ox", "oy", clumps, "left_anti"), most)
+        best = free.unionByName(_nearest_in_squares(inside(points, "x", "y", near, "left_semi"), inside(left, "ox", "oy", wider(near), "left_semi"), most, crowd))
+    best = best.groupBy("well", "point").agg(F.min("m").alias("m"))
+    return best.select("well", "point", F.col("m.other").alias("other"), F.col("m.dist").alias("dist"), "m.x", "m.y", "m.ox", "m.oy")
+
+
+def _nearest_in_blocks(points: DataFrame, left: DataFrame, most: float) -> DataFrame:
+    """Well, point and ``m`` (the nearest of ``left`` with its distance and place) for points without a clump near them."""
+    side, key = most * BLOCK, ["well", "bx", "by", "part"]
+    own = points.withColumns({"bx": F.floor(F.col("x") / side), "by": F.floor(F.col("y") / side)})
+    # only blocks with many points are listed: one row for each ``PART`` points at most
+    busy = own.groupBy("well", "bx", "by").agg(F.ceil(F.count(F.lit(1)) / PART).cast("long").alias("parts")).filter("parts > 1")
+    with_parts = lambda df: df.filter(F.col("well").isNotNull()).join(F.broadcast(busy), ["well", "bx", "by"], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    dealt = with_parts(own).select("well", "point", "x", "y", "bx", "by", F.pmod(F.xxhash64("point", "x", "y"), F.col("parts")).alias("part"))
+    reach = most * (1 + 1e-9)
+    among = lambda c: F.explode(F.sequence(F.floor((F.col(c) - reach) / side), F.floor((F.col(c) + reach) / side)))
+    around = with_parts(left.select("well", "ox", "oy", "other", among("ox").alias("bx")).select("*", among("oy").alias("by")))
+    around = around.select("well", "ox", "oy", "other", "bx", "by", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    types_of_points, types_of_others = ({f.name: f.dataType.simpleString() for f in df.schema} for df in (points, left))
+    types = types_of_others | types_of_points
+    names = ["well", "point", "dist", "other", "x", "y", "ox", "oy"]
+    schema = ", ".join(f"{c} {types.get(c, 'double')}" for c in names)
+
+    def work(mine: pa.Table, near: pa.Table) -> pa.Table:
+        near = near.take(pc.sort_indices(near, sort_keys=[("other", "ascending")]))
+        found, dist = _nearest_in_grid(*(t[c].to_numpy().astype(float) for t, c in ((mine, "x"), (mine, "y"), (near, "ox"), (near, "oy"))), most)
+        has = found >= 0
+        mine, near = mine.filter(pa.array(has)), near.take(pa.array(found[has]))
+        return pa.table([pa.array(dist[has]) if c == "dist" else (mine if c in types_of_points else near)[c] for c in names], names)
+
+    out = dealt.groupBy(*key).cogroup(around.groupBy(*key)).applyInArrow(work, schema)
+    return out.select("well", "point", F.struct("dist", "other", "x", "y", "ox", "oy").alias("m"))
+
+
+def _nearest_in_grid(x: np.ndarray, y: np.ndarray, ox: np.ndarray, oy: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each point's nearest other, the first of several (-1: none within ``most``), and its distance.
+
+    Others lie in cells, as small as keeps few in one; a point goes from its cell outwards, ring by ring, until what it has
+    met is nearer than the next ring can be.
+    """
+    dist, found = np.full(len(x), np.inf), np.full(len(x), -1)
+    if not len(x) or not len(ox):
+        return found, dist
+    for halvings in range(FINEST + 1):
+        side = most / 2**halvings
+        ci, cj = np.floor(ox / side).astype(np.int64), np.floor(oy / side).astype(np.int64)
+        low_i, low_j = ci.min(), cj.min()
+        height, width = int(ci.max() - low_i) + 1, int(cj.max() - low_j) + 1
+        cell = (ci - low_i) * width + cj - low_j
+        count = np.bincount(cell, minlength=height * width)
+        if count.max() <= 4:
+            break
+    order = np.argsort(cell, kind="stable")  # the smaller number first within a cell
+    ox, oy, start = ox[order], oy[order], np.cumsum(count) - count
+    pi, pj = np.floor(x / side).astype(np.int64) - low_i, np.floor(y / side).astype(np.int64) - low_j
+    looking = np.arange(len(x))
+    for ring in range(2**halvings + 1):
+        for di in range(-ring, ring + 1):
+            for dj in range(-ring, ring + 1) if abs(di) == ring else {-ring, ring}:
+                i, j = pi[looking] + di, pj[looking] + dj
+                inside = (i >= 0) & (i < height) & (j >= 0) & (j < width)
+                who, where = looking[inside], i[inside] * width + j[inside]
+                nth, more = 0, count[where] > 0
+                while more.any():
+                    who, where = who[more], where[more]
+                    other = start[where] + nth
+                    dx, dy = x[who] - ox[other], y[who] - oy[other]
+                    d, number = np.sqrt(dx * dx + dy * dy), order[other]
+                    better = (d <= most) & ((d < dist[who]) | ((d == dist[who]) & (number < found[who])))
+                    dist[who[better]], found[who[better]] = d[better], number[better]
+                    nth += 1
+                    more = count[where] > nth
+        looking = looking[dist[looking] >= ring * side * (1 - 1e-9)]
+        if not len(looking):
+            break
+    return found, dist
+
+
+def _nearest_in_squares(points: DataFrame, left: DataFrame, most: float, crowd: int) -> DataFrame:
+    """Well, point and ``m``, as :func:`_nearest_in_blocks`, for points near clumps.
+
     Others lie in squares of side ``most``; a point meets the nine squares around it, so only near ones
     are compared. A square with more than ``crowd`` others is split in four, and again, and of these a point goes
     on only with those that can be nearer than some other in a square it has met. So in a clump, too, a point is
-    compared with few. One other point may serve several. Ties go to the smaller id; others at one
-    place are compared once.
+    compared with few.
     """
     from screenloom.operators.iterate import saved
 
-    crowd = CROWD if crowd is None else crowd
     at = ["well", "bx", "by"]
-    left = others.groupBy("well", F.col("x").alias("ox"), F.col("y").alias("oy")).agg(F.min("point").alias("other"))
     around = lambda c: F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.floor(F.col(c) / most) + i))
     met = points.select("well", "point", "x", "y", F.lit(float("inf")).alias("bound"), around("x").alias("bx")).select("*", around("y").alias("by"))
     side, best = float(most), None
@@ -124,8 +231,7 @@ def nearest_within(points: DataFrame, others: DataFrame, most: float, crowd: int
         met = met.filter(F.col("n") > crowd).select("well", "point", "x", "y", "bound", half("bx"), "by").select("well", "point", "x", "y", "bound", "bx", half("by"))
         left = saved(placed.join(crowded, at, "left_semi").select("well", "ox", "oy", "other"), "crowded")
         side /= 2
-    best = best.groupBy("well", "point").agg(F.min("m").alias("m"))
-    return best.select("well", "point", F.col("m.other").alias("other"), F.col("m.dist").alias("dist"), "m.x", "m.y", "m.ox", "m.oy")
+    return best
 
 
 def _nearer(met: DataFrame, side: float, most: float) -> DataFrame:

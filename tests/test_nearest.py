@@ -71,3 +71,31 @@ def test_ransac_hands_on_no_more_than_its_samples(spark):
     assert "partial_sum" in plan
     few = df.withColumn("rn", om.F.row_number().over(om.W.partitionBy("well").orderBy(om.F.xxhash64(om.F.lit(1), "point")))).filter("rn <= 40")
     assert "WindowGroupLimit" in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_dense_field_moves_once(spark, monkeypatch):
+    """Hundreds of others in a square, but no clump: points go to their block only, and squares are never halved."""
+    rng = random.Random(11)
+    others = [(1 + k % 2, k, 4.0 * rng.randrange(50) + k % 5 - 2, 4.0 * rng.randrange(50) - k % 5 + 2) for k in range(4000)]
+    points = [(1 + k % 2, k, 4.0 * rng.randrange(-8, 58), 4.0 * rng.randrange(-8, 58)) for k in range(1500)]
+    points += [(1, 9000 + k, 700.0 * k, 100.0) for k in range(4)] + [(2, 9100, float("nan"), 1.0), (2, 9101, None, 1.0), (2, 1, 12.0, 13.0), (None, 9102, 4.0, 4.0)]
+    monkeypatch.setattr(om, "_nearer", None)
+    monkeypatch.setattr(om, "PART", 200)  # several tasks for a block
+    got = om.nearest_within(spark.createDataFrame(points, POINT), spark.createDataFrame(others, POINT), 40.0)
+    found = got.collect()
+    want = brute([p for p in points if p[1] < 9100 and p[:2] != (2, 1)], others, 40.0)
+    twice = [brute([p], others, 40.0).get(p[:2]) for p in points if p[:2] == (2, 1)]  # a point of two places has the nearest of both
+    want[2, 1] = min((d, o) for o, d in filter(None, twice))[::-1]
+    assert {(r.well, r.point): (r.other, r.dist) for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_grid_of_a_block(seed):
+    rng = random.Random(seed)
+    place = lambda: (rng.randrange(60) * 2.5, rng.randrange(60) * 2.5)
+    others = [place() for _ in range(10 ** (seed + 1) // 2)] + [(7.5, 10.0)] * 40
+    points = [place() for _ in range(200)] + [(-32.5, 10.0), (-33.0, 10.0)]
+    found, dist = om._nearest_in_grid(*om.np.array(points).T, *om.np.array(others).T, 40.0)
+    for (x, y), f, d in zip(points, found, dist, strict=True):
+        want = min(((math.hypot(x - a, y - b), k) for k, (a, b) in enumerate(others) if math.hypot(x - a, y - b) <= 40), default=(math.inf, -1))
+        assert (d, f) == pytest.approx(want)
