@@ -246,7 +246,9 @@ def _nearer(met: DataFrame, side: float, most: float) -> DataFrame:
 
 def transform_error(pairs: DataFrame, *by: str) -> DataFrame:
     """Mean, median, largest and root mean square of ``dist``; the median by counting, so a well may have any number of pairs."""
-    d = F.col("dist")
+    from screenloom.operators.iterate import saved
+
+    pairs, d = saved(pairs.select(*by, "dist"), "errors"), F.col("dist")  # read once for each range of the median
     stats = pairs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(d), 6).alias("mean_error"), F.round(F.max(d), 6).alias("max_error"), F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse")
     )
