@@ -9,6 +9,7 @@ from screenloom.functions import bases as fb
 from screenloom.functions import geometry as fg
 from screenloom.operators import mapping as om
 from screenloom.operators import qc
+from screenloom.operators.iterate import saved
 from screenloom.plans.registry import query
 
 
@@ -173,7 +174,7 @@ def transform_error(points10, points40):
     f"{_NEAREST} SELECT least(floor((dist - low) / ((high - low) / 10)), 9)::BIGINT AS bin, count(*) AS n FROM (SELECT round(dist, 9) AS dist FROM best), (SELECT min(round(dist, 9)) AS low, max(round(dist, 9)) AS high FROM best) GROUP BY 1",
 )
 def error_histogram(points10, points40):
-    return qc.histogram(_nearest(points10, points40).withColumn("dist", F.round("dist", 9)), "dist", 10)
+    return qc.histogram(saved(_nearest(points10, points40).select(F.round("dist", 9).alias("dist")), "errors"), "dist", 10)
 
 
 def _pairs(points10, points40):
