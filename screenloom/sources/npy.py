@@ -1,11 +1,12 @@
 """NumPy array files as a Spark data source: ``spark.read.format("npy")`` and ``df.write.format("npy")``.
 
-Reading plans from headers: a file's dtype, shape and order stand in its first bytes, so it is cut into ranges
-of rows without being read, and a task seeks to its range. Comparisons of the row number with constants
-leave out ranges (and files) that can't fit. Columns that the ``columns`` option doesn't name are never made.
+Reading plans large files from headers: a file's dtype, shape and order stand in its first bytes, so it is cut into ranges
+of rows without being read, and a task seeks to its range. Small files are only listed; a task opens many of them. Comparisons
+of the row number with constants leave out ranges (and rows of small files) that can't fit, lower bounds of the value
+elements. Columns that the ``columns`` option doesn't name are never made.
 
 Writing takes one row per element; the rows of a file must come together (:func:`write_arrays` sees to that).
-Files appear under their names only when the whole job commits.
+Files appear under their names only when the whole job commits, which moves many at a time.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ import io
 import struct
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ from pyspark.sql.datasource import (
 COLUMNS = {"path": (pa.string(), "string"), "i": (pa.int64(), "long"), "j": (pa.int64(), "long"), "value": (pa.float64(), "double")}
 #: Bytes of a file that one task reads, and elements that it hands on at once.
 RANGE_BYTES, BATCH = 64 << 20, 1 << 18
+#: Small files that one task opens, and files that are moved at once.
+FILES, MOVES = 256, 16
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -96,11 +99,26 @@ class Range(InputPartition):
     count: int
 
 
+@dataclass
+class Files(InputPartition):
+    """Whole small files, with their sizes; their headers are read by the task."""
+
+    files: list[tuple[str, int]]
+
+
+def checked_header(fs: pafs.FileSystem, path: str, size: int) -> Header:
+    with fs.open_input_file(path) as file:
+        head = read_header(file)
+    if head.offset + head.rows * head.columns * head.dtype.itemsize > size:
+        raise ValueError(f"{path} is cut short")
+    return head
+
+
 class NpyReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.path, self.columns = options["path"], options.get("columns", ",".join(COLUMNS)).split(",")
         self.range_bytes = int(options.get("rangeBytes", RANGE_BYTES))
-        self.low, self.high, self.paths = 0, None, None
+        self.low, self.high, self.paths, self.least = 0, None, None, None
 
     def pushFilters(self, filters: list[Filter]):  # noqa: N802
         for f in filters:
@@ -114,30 +132,55 @@ class NpyReader(DataSourceReader):
             elif name == ("path",) and isinstance(f, EqualTo | In):
                 own = {v} if isinstance(f, EqualTo) else set(v)
                 self.paths = own if self.paths is None else self.paths & own
+            elif name == ("value",) and isinstance(f, GreaterThan | GreaterThanOrEqual):
+                self.least = v if self.least is None else max(self.least, v)
             yield f  # ranges hold other rows as well, so Spark filters again
 
-    def partitions(self) -> list[Range]:
+    def partitions(self) -> list[Range | Files]:
         fs, root = opened(self.path)
         info = fs.get_file_info(root)
         found = [info] if info.type == pafs.FileType.File else fs.get_file_info(pafs.FileSelector(root, recursive=True))
         hidden = lambda p: any(x.startswith(("_", ".")) for x in p.removeprefix(root).split("/"))
-        out = []
+        out, small, held = [], None, 0
         for f in sorted((f for f in found if f.type == pafs.FileType.File and f.path.endswith(".npy") and not hidden(f.path)), key=lambda f: f.path):
             if self.paths is not None and f.path not in self.paths:
                 continue
-            with fs.open_input_file(f.path) as file:
-                head = read_header(file)
-            if head.offset + head.rows * head.columns * head.dtype.itemsize > f.size:
-                raise ValueError(f"{f.path} is cut short")
-            low, high = self.low, head.rows - 1 if self.high is None else min(self.high, head.rows - 1)
-            step = max(1, self.range_bytes // max(1, head.columns * head.dtype.itemsize))
-            out += [Range(f.path, head, a, min(step, high + 1 - a)) for a in range(low, high + 1, step)]
+            if f.size > self.range_bytes:
+                out += self._ranges(f.path, checked_header(fs, f.path, f.size))
+                continue
+            if small is None or len(small.files) == FILES or held + f.size > self.range_bytes:
+                out.append(small := Files([]))
+                held = 0
+            small.files.append((f.path, f.size))
+            held += f.size
         return out
 
-    def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
+    def _ranges(self, path: str, head: Header) -> list[Range]:
+        low, high = self.low, head.rows - 1 if self.high is None else min(self.high, head.rows - 1)
+        step = max(1, self.range_bytes // max(1, head.columns * head.dtype.itemsize))
+        return [Range(path, head, a, min(step, high + 1 - a)) for a in range(low, high + 1, step)]
+
+    def read(self, partition: Range | Files | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no range is left
             return
-        head, (fs, _) = partition.header, opened(self.path)
+        fs, _ = opened(self.path)
+        if isinstance(partition, Range):
+            yield from self._elements(fs, partition)
+            return
+        held, rows = [], 0
+        for path, size in partition.files:
+            for part in self._ranges(path, checked_header(fs, path, size)):
+                for batch in self._elements(fs, part):
+                    held.append(batch)
+                    rows += batch.num_rows
+                    if rows >= BATCH // 4:
+                        yield pa.concat_batches(held)
+                        held, rows = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
+    def _elements(self, fs: pafs.FileSystem, partition: Range) -> Iterator[pa.RecordBatch]:
+        head = partition.header
         width, size = head.columns, head.dtype.itemsize
         step = max(1, BATCH // max(1, width))
         with fs.open_input_file(partition.path) as file:
@@ -152,11 +195,14 @@ class NpyReader(DataSourceReader):
                 else:
                     file.seek(head.offset + first * width * size)
                     block = np.frombuffer(file.read(n * width * size), head.dtype).reshape(n, width)
+                value = block.astype(np.float64).ravel()
+                # what isn't a number is above every number in Spark
+                at = np.arange(len(value)) if self.least is None else np.flatnonzero(~(value < self.least))
                 make = {
-                    "path": lambda: pa.DictionaryArray.from_arrays(pa.array(np.zeros(n * width, np.int32)), pa.array([partition.path])).cast(pa.string()),  # noqa: B023
-                    "i": lambda: pa.array(np.repeat(np.arange(first, first + n), width)),  # noqa: B023
-                    "j": lambda: pa.array(np.tile(np.arange(width), n)),  # noqa: B023
-                    "value": lambda: pa.array(block.astype(np.float64).ravel()),  # noqa: B023
+                    "path": lambda: pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(at), np.int32)), pa.array([partition.path])).cast(pa.string()),  # noqa: B023
+                    "i": lambda: pa.array(first + at // max(1, width)),  # noqa: B023
+                    "j": lambda: pa.array(at % max(1, width)),  # noqa: B023
+                    "value": lambda: pa.array(value[at]),  # noqa: B023
                 }
                 yield pa.RecordBatch.from_arrays([make[c]() for c in self.columns], self.columns)
 
@@ -174,13 +220,17 @@ class NpyWriter(DataSourceArrowWriter):
         fs, root = opened(self.path)
         held: dict[str, list[pa.RecordBatch]] = {}
         written = []
+        fs.create_dir(f"{root}/_temporary-{self.job}", recursive=True)
         for batch in iterator:
-            names = batch.column("path")
-            for name in names.unique().to_pylist():
+            names, elements = batch.column("path").dictionary_encode(), batch.select(["i", "j", "value"])
+            codes = names.indices.to_numpy()
+            ends = [*(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)] if len(codes) else []
+            for first, end in zip([0, *ends], ends, strict=False):
+                name = names.dictionary[int(codes[first])].as_py()
                 if name not in held:
                     for other in list(held):  # the rows of a file come together
                         written.append(self._save(fs, root, other, held.pop(other)))
-                held.setdefault(name, []).append(batch.filter(pc.equal(names, name)).select(["i", "j", "value"]))
+                held.setdefault(name, []).append(elements.slice(first, end - first))
         written += [self._save(fs, root, name, parts) for name, parts in held.items()]
         return Written(written)
 
@@ -192,18 +242,18 @@ class NpyWriter(DataSourceArrowWriter):
         np.save(out, array)
         folder = f"{root}/_temporary-{self.job}"
         hidden = f"{folder}/{uuid.uuid4().hex}.npy"  # another for each attempt of a task
-        fs.create_dir(folder, recursive=True)
         with fs.open_output_stream(hidden) as file:
             file.write(out.getbuffer())
         return hidden, f"{root}/{name}"
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, root = opened(self.path)
-        fs.create_dir(root, recursive=True)
-        for m in messages:
-            for hidden, final in m.files if m else []:
-                fs.create_dir(final.rpartition("/")[0], recursive=True)
-                fs.move(hidden, final)
+        moves = [move for m in messages if m for move in m.files]
+        for folder in sorted({root} | {final.rpartition("/")[0] for _, final in moves}):
+            fs.create_dir(folder, recursive=True)
+        with ThreadPoolExecutor(MOVES) as pool:
+            for _ in pool.map(lambda move: fs.move(*move), moves, chunksize=64):
+                pass
         self._clear()
 
     def abort(self, messages: list[Written | None]) -> None:

@@ -101,3 +101,18 @@ def test_broken_files_fail(spark, tmp_path):
     (tmp_path / "a.npy").write_bytes(b"something else")
     with pytest.raises(Exception, match="not an array file"):
         npy.read_arrays(spark, str(tmp_path)).count()
+
+
+def test_small_files_share_a_task(spark, tmp_path, monkeypatch):
+    """Many small files are planned without being opened, and read by few tasks."""
+    for k in range(600):
+        np.save(tmp_path / f"m{k}.npy", np.full((2, 3), k))
+    np.save(tmp_path / "nan.npy", np.array([[math.nan, -1.0, 0.0, 2.0]]))
+    whole = npy.read_arrays(spark, str(tmp_path))
+    assert whole.rdd.getNumPartitions() == 3
+    total = whole.filter("path NOT LIKE '%nan.npy'").agg(F.count(F.lit(1)), F.sum("value"), F.countDistinct("path")).first()
+    assert tuple(total) == (3600, 6 * sum(range(600)), 600)
+    assert whole.filter("value > 597").count() == 2 * 6 + 1 and whole.filter("value >= 597 AND i = 1 AND j = 2").count() == 3
+    assert sorted(r.j for r in whole.filter("path LIKE '%nan.npy' AND value >= 0").collect()) == [0, 2, 3]
+    monkeypatch.setattr(npy, "read_header", None)  # nothing is opened
+    assert len(npy.NpyReader({"path": f"file:{tmp_path}"}).partitions()) == 3
