@@ -72,7 +72,7 @@ def written_by_tile(genotypes):
     path = new_folder(genotypes.sparkSession, "by-tile")
     sf.write_by_tile(genotypes, path)
     schema = "cell long, sgrna string, reads long, well long, tile long"
-    return genotypes.sparkSession.read.schema(schema).parquet(path).select("well", "tile", "cell", "sgrna", "reads")
+    return sf.read_by_tile(genotypes.sparkSession, path, schema).select("well", "tile", "cell", "sgrna", "reads")
 
 
 @query("q1_6_tile_tables", "SELECT well, tile, cell, sgrna, reads FROM {genotypes}")

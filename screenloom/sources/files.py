@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from screenloom.sources import by_tile
+
 LIBRARY = "sgrna string, sgrna_seq string, grp int"
 METADATA = "well int, tile int, magnification string, nuclei array<struct<label:int,y:double,x:double>>"
 
@@ -78,10 +80,18 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_by_tile(df: DataFrame, path: str, file_format: str = "parquet") -> None:
-    """One folder per well and tile; the rows of a tile are written by few tasks."""
+    """One folder per well and tile; the rows of a tile are written by one task. Parquet by a writer that is made for many small files."""
+    if file_format == "parquet":
+        by_tile.write(df, path)
+        return
     df.repartition("well", "tile").write.mode("overwrite").partitionBy("well", "tile").format(file_format).option("header", True).save(path)
 
 
+def read_by_tile(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet files that :func:`write_by_tile` wrote; ``schema`` names well and tile too."""
+    return by_tile.read(spark, path, schema)
+
+
 def mapping_json(transforms: DataFrame, errors: DataFrame) -> DataFrame:
     """One JSON text per well: its transform, its error metrics and the number of matched points."""
     both = transforms.join(errors, "well")

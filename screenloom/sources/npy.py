@@ -106,6 +106,18 @@ class Files(InputPartition):
     files: list[tuple[str, int]]
 
 
+def small_files(files: list[tuple[str, int]], most: int) -> list[Files]:
+    """Files (path, size) in their order, as many to a task as come to ``most`` bytes."""
+    out, held = [], 0
+    for path, size in files:
+        if not out or len(out[-1].files) == FILES or held + size > most:
+            out.append(Files([]))
+            held = 0
+        out[-1].files.append((path, size))
+        held += size
+    return out
+
+
 def checked_header(fs: pafs.FileSystem, path: str, size: int) -> Header:
     with fs.open_input_file(path) as file:
         head = read_header(file)
@@ -141,19 +153,15 @@ class NpyReader(DataSourceReader):
         info = fs.get_file_info(root)
         found = [info] if info.type == pafs.FileType.File else fs.get_file_info(pafs.FileSelector(root, recursive=True))
         hidden = lambda p: any(x.startswith(("_", ".")) for x in p.removeprefix(root).split("/"))
-        out, small, held = [], None, 0
+        out, small = [], []
         for f in sorted((f for f in found if f.type == pafs.FileType.File and f.path.endswith(".npy") and not hidden(f.path)), key=lambda f: f.path):
             if self.paths is not None and f.path not in self.paths:
                 continue
             if f.size > self.range_bytes:
                 out += self._ranges(f.path, checked_header(fs, f.path, f.size))
                 continue
-            if small is None or len(small.files) == FILES or held + f.size > self.range_bytes:
-                out.append(small := Files([]))
-                held = 0
-            small.files.append((f.path, f.size))
-            held += f.size
-        return out
+            small.append((f.path, f.size))
+        return out + small_files(small, self.range_bytes)
 
     def _ranges(self, path: str, head: Header) -> list[Range]:
         low, high = self.low, head.rows - 1 if self.high is None else min(self.high, head.rows - 1)
@@ -212,6 +220,16 @@ class Written(WriterCommitMessage):
     files: list[tuple[str, str]]
 
 
+def move_all(fs: pafs.FileSystem, root: str, messages: list[Written | None]) -> None:
+    """What all tasks have written, to its places below ``root``; many files are moved at once."""
+    moves = [move for m in messages if m for move in m.files]
+    folders = sorted({root} | {final.rpartition("/")[0] for _, final in moves})
+    with ThreadPoolExecutor(MOVES) as pool:
+        for step in (lambda: pool.map(fs.create_dir, folders), lambda: pool.map(lambda move: fs.move(*move), moves)):
+            for _ in step():
+                pass
+
+
 class NpyWriter(DataSourceArrowWriter):
     def __init__(self, options) -> None:
         self.path, self.dtype, self.job = options["path"], np.dtype(options.get("dtype", "float64")), uuid.uuid4().hex
@@ -248,12 +266,7 @@ class NpyWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, root = opened(self.path)
-        moves = [move for m in messages if m for move in m.files]
-        for folder in sorted({root} | {final.rpartition("/")[0] for _, final in moves}):
-            fs.create_dir(folder, recursive=True)
-        with ThreadPoolExecutor(MOVES) as pool:
-            for _ in pool.map(lambda move: fs.move(*move), moves, chunksize=64):
-                pass
+        move_all(fs, root, messages)
         self._clear()
 
     def abort(self, messages: list[Written | None]) -> None:

@@ -118,3 +118,22 @@ def test_run_difference_with_zero_column(spark):
     two = spark.createDataFrame([(1, 1, 1, "x", 11, 0), (1, 1, 2, "w", 10, 0), (1, 1, 4, "z", 1, 0)], schema)
     r = oc.run_difference(one, two, ["a", "z"]).first()
     assert (r.common, r.missing, r.extra, r.percent_other_guide, r.a_relative, r.a_within, r.z_relative, r.z_within) == (2, 1, 1, 50.0, 0.05, True, None, None)
+
+
+def test_many_tiles_share_tasks(spark, tmp_path):
+    """A folder for each tile in the layout of partitionBy, written and read by few tasks, not one or two listings for each."""
+    rows = [(1 + k % 2, k // 4 if k % 4 else None, k, None if k % 7 == 0 else f"g{k}") for k in range(2800)]
+    df = spark.createDataFrame(rows, "well long, tile long, n long, g string").repartition(3)
+    plain = lambda d: sorted(map(tuple, d.select("well", "tile", "n", "g").collect()), key=lambda r: r[2])
+    for _ in range(2):  # a second time what is there is replaced
+        sf.write_by_tile(df, str(tmp_path / "out"))
+        got = sf.read_by_tile(spark, str(tmp_path / "out"), "n long, g string, well long, tile long")
+        assert plain(got) == rows
+    assert plain(spark.read.parquet(str(tmp_path / "out"))) == rows
+    folders = [p for p in (tmp_path / "out").iterdir()]
+    assert sorted(p.name for p in folders) == ["well=1", "well=2"] and len(list((tmp_path / "out").rglob("*.parquet"))) == len({r[:2] for r in rows})
+    assert got.rdd.getNumPartitions() == -(-len({r[:2] for r in rows}) // 256)
+    assert plain(got.filter("tile = 5 AND well = 2")) == [r for r in rows if r[:2] == (2, 5)]
+    assert plain(got.filter("well = 2 AND tile IS NULL")) == [r for r in rows if r[:2] == (2, None)]
+    sf.write_by_tile(df.limit(0), str(tmp_path / "none"))
+    assert sf.read_by_tile(spark, str(tmp_path / "none"), "n long, well long, tile long").count() == 0
