@@ -92,3 +92,21 @@ def test_pairs_are_scored_without_a_row_for_each_sample(spark):
     got = om.ransac_inliers(df, 1.0, samples=40)
     assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.well, r.point) for r in got.collect()) == [(w, k) for w in (1, 2) for k in range(120) if k % 6]
+
+
+def test_neighbours_are_found_once_for_errors_and_histogram(spark):
+    from screenloom.operators import mapping as om
+    from screenloom.plans import mapping as pm
+
+    points = [(k, 1 + k % 2, float(k % 13), float(k % 17)) for k in range(300)]
+    points10 = spark.createDataFrame(points, "point long, well long, x double, y double")
+    points40 = spark.createDataFrame([(p, w, 4 * x + 100 + p % 5, 4 * y + 150.0) for p, w, x, y in points if p % 3], points10.schema)
+    for query in (pm.transform_error, pm.error_histogram):
+        plan = query(points10, points40)._jdf.queryExecution().optimizedPlan().toString()
+        assert "CoGroup" not in plan and "LogicalRDD" not in plan  # kept distances only
+    found = pm._nearest(points10, points40).collect()
+    assert sum(r.n for r in pm.error_histogram(points10, points40).collect()) == len(found)
+    errors = {r.well: r for r in om.transform_error(pm._nearest(points10, points40), "well").collect()}
+    for w, r in errors.items():
+        own = sorted(f.dist for f in found if f.well == w)
+        assert (r.n, r.max_error) == (len(own), pytest.approx(own[-1], abs=1e-6)) and r.median_error == pytest.approx(np.median(own), abs=1e-6)
