@@ -111,19 +111,13 @@ def assignment_summary(assigned: DataFrame) -> DataFrame:
     )
 
 
-def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
-    """Library rows that agree with every letter of a read (K: G or T, M: A or C, N: any): reads with sgrna, sgrna_seq, mismatch.
+def _library_rows(barcodes: DataFrame, library: DataFrame, cycles: int) -> DataFrame:
+    """Distinct ``barcode`` with each library row that agrees with all its letters: barcode, lib_idx, sgrna, sgrna_seq.
 
-    Reads with more than ``most`` letters other than A, C, G, T are left out first. Distinct
-    barcodes are matched, however many reads have them. For each pattern that such letters form in
-    some barcode the library gets a key of the other letters, which turns the wildcard match into an
-    equi-join. There are at most as many patterns as ways to hide ``most`` of ``cycles`` places (299 for 3
-    of 12); those that occur are looked up first, so that the library is made ready for no others. The distinct barcodes are
-    written once for that.
+    For each pattern that letters other than A, C, G, T form in some barcode the library gets a key of the other letters, which
+    turns the wildcard match into an equi-join. The patterns that occur are looked up first, so that the library is made ready for no others.
     """
-    kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
-    coded = saved(kept.select("barcode").distinct(), "barcodes")
-    coded = coded.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.translate("barcode", "KMN", "---"))
+    coded = barcodes.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.translate("barcode", "KMN", "---"))
     occurring = [r["mask"] for r in coded.filter(F.length("mask") == cycles).select("mask").distinct().collect()]
     short = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq"))
     # the letters that a mask leaves, cut out in a few pieces
@@ -132,8 +126,18 @@ def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycle
     # a key shows its pattern; under all patterns a small library is too large to be sent to all tasks
     keyed = short.filter(F.length("sgrna_seq") == cycles).select("*", F.explode(keys).alias("key")).hint("merge")
     fits = F.zip_with(F.split("barcode", ""), F.split("sgrna_seq", ""), lambda r, b: ((r != "K") | b.isin("G", "T")) & ((r != "M") | b.isin("A", "C")))
-    found = coded.join(keyed, "key").filter(F.forall(fits, lambda x: x)).drop("mask", "key")
-    return kept.join(found, "barcode")
+    return coded.join(keyed, "key").filter(F.forall(fits, lambda x: x)).drop("mask", "key")
+
+
+def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
+    """Library rows that agree with every letter of a read (K: G or T, M: A or C, N: any): reads with sgrna, sgrna_seq, mismatch.
+
+    Reads with more than ``most`` letters other than A, C, G, T are left out first. Distinct
+    barcodes are matched, however many reads have them; there are at most as many patterns of such letters as ways
+    to hide ``most`` of ``cycles`` places (299 for 3 of 12). The distinct barcodes are written once.
+    """
+    kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
+    return kept.join(_library_rows(saved(kept.select("barcode").distinct(), "barcodes"), library, cycles), "barcode")
 
 
 def popular_guide(matched: DataFrame) -> DataFrame:
@@ -160,22 +164,64 @@ def choose_guide(matched: DataFrame, mode: str = "popular") -> DataFrame:
     return ranked.withColumn("tied", F.count(F.lit(1)).over(cell)).filter("tied = 1").select(*CELL, "sgrna", "barcodes", "mismatch", "top_reads")
 
 
-def cell_report(reads: DataFrame, matched: DataFrame, chosen: DataFrame, most: int = 3) -> DataFrame:
-    """Per cell: whether it was assigned, raw reads, distinct raw barcodes, distinct matched barcodes, reads too uncertain, reads without a match."""
-    raw = reads.groupBy(*CELL).agg(
-        F.count(F.lit(1)).alias("raw_reads"), F.countDistinct("barcode").alias("raw_unique"), F.sum((uncertain(F.col("barcode")) > most).cast("long")).alias("too_uncertain")
+def cell_barcodes(reads: DataFrame) -> DataFrame:
+    """The barcodes of each cell with their ``rows``, their distinct ``reads``, and as ``shared`` those of these reads that have other barcodes in the cell too.
+
+    Reads are brought together by cell once; all after that is within tasks. With ``shared`` the distinct reads of any
+    choice of a cell's barcodes can be counted without the reads.
+    """
+    placed = reads.select(*CELL, "read", "barcode").repartition(*CELL)
+    per = placed.groupBy(*CELL, "read", "barcode").agg(F.count(F.lit(1)).alias("n"))
+    others = F.count(F.lit(1)).over(W.partitionBy(*CELL, "read")) > 1
+    per = per.withColumn("shared", F.when(others, F.col("read")))
+    return per.groupBy(*CELL, "barcode").agg(F.sum("n").alias("rows"), F.count("read").alias("reads"), F.collect_list("shared").alias("shared"))
+
+
+def cell_report(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
+    """Per cell: whether it was assigned (as :func:`choose_guide` of :func:`ambiguity_matches` does), raw reads, distinct raw barcodes, distinct matched barcodes, reads too uncertain, reads without a match.
+
+    Reads are read once: they are brought down to a row for each barcode of a cell, which is written. These rows meet the guides of
+    their barcode as one array and go back to their cell, where guides are chosen and reads counted within one task.
+    """
+    cells = saved(cell_barcodes(reads), "cells").withColumn("mismatch", uncertain(F.col("barcode")))
+    found = _library_rows(saved(cells.filter(F.col("mismatch") <= most).select("barcode").distinct(), "barcodes"), library, cycles)
+    guides = found.groupBy("barcode").agg(F.collect_set(F.struct("sgrna")).alias("guides"))
+    return _report(cells.join(guides, "barcode", "left"), most)
+
+
+def _report(cells: DataFrame, most: int) -> DataFrame:
+    """The report from the barcodes of each cell with ``mismatch`` and ``guides``."""
+    placed = cells.select(*CELL, "rows", "reads", "shared", F.col("barcode").isNotNull().alias("known"), "mismatch", "guides").repartition(*CELL)
+    each = placed.select("*", F.posexplode_outer("guides").alias("pos", "guide")).drop("guides")
+    # a barcode with many guides has many rows, of which one counts for itself
+    first, matched = F.coalesce("pos", F.lit(0)) == 0, F.col("pos").isNotNull()
+    per = each.groupBy(*CELL, matched.alias("matched"), F.col("guide.sgrna").alias("sgrna")).agg(
+        F.count(F.lit(1)).alias("barcodes"),
+        F.min("mismatch").alias("mismatch"),
+        F.sum(F.when(first, F.col("rows")).otherwise(0)).alias("raw_reads"),
+        F.count_if(first & F.col("known")).alias("raw_unique"),
+        F.sum(F.when(first & (F.col("mismatch") > most), F.col("rows")).otherwise(0)).alias("too_uncertain"),
+        F.count_if(first & matched).alias("processed_unique"),
+        F.sum(F.when(first & matched, F.col("reads") - F.size("shared")).otherwise(0)).alias("alone"),
+        F.flatten(F.collect_list(F.when(first & matched & (F.size("shared") > 0), F.col("shared")))).alias("shared"),
+    )
+    rank = F.rank().over(W.partitionBy(*CELL).orderBy(F.desc("matched"), F.desc("barcodes"), "mismatch"))
+    top = F.col("matched") & (rank == 1)
+    sums = ("raw_reads", "raw_unique", "processed_unique", "too_uncertain", "alone")
+    out = per.withColumn("top", top).groupBy(*CELL).agg(
+        (F.count_if("top") == 1).alias("single"),
+        F.count_if(F.col("top") & F.col("sgrna").isNotNull()).alias("named"),
+        *[F.sum(c).alias(c) for c in sums],
+        F.size(F.array_distinct(F.flatten(F.collect_list("shared")))).alias("together"),
     )
-    used = matched.groupBy(*CELL).agg(F.countDistinct("barcode").alias("processed_unique"), F.countDistinct("read").alias("matched_reads"))
-    out = raw.join(used, CELL, "left").join(chosen.select(*CELL, "sgrna"), CELL, "left")
-    used_reads = F.coalesce("matched_reads", F.lit(0))
     return out.select(
         *CELL,
-        F.col("sgrna").isNotNull().alias("assigned"),
+        (F.col("single") & (F.col("named") == 1)).alias("assigned"),
         "raw_reads",
         "raw_unique",
-        F.coalesce("processed_unique", F.lit(0)).alias("processed_unique"),
+        "processed_unique",
         "too_uncertain",
-        (F.col("raw_reads") - F.col("too_uncertain") - used_reads).alias("unmatched"),
+        (F.col("raw_reads") - F.col("too_uncertain") - F.col("alone") - F.col("together")).alias("unmatched"),
     )
 
 

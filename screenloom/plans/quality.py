@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from screenloom.functions.bases import gene, intron
 from screenloom.operators import qc
-from screenloom.operators.barcodes import ambiguity_matches, cell_report, choose_guide, in_library
+from screenloom.operators.barcodes import ambiguity_matches, cell_report, in_library
 from screenloom.operators.features import clean_mask
 from screenloom.plans.genotyping import CELL_REPORT, CODED, coded
 from screenloom.plans.phenotyping import CLEAN_MASK
@@ -97,9 +97,7 @@ FROM tiles AS t LEFT JOIN clean USING (well, tile) LEFT JOIN tried USING (well,
 
 @query("q4_9_tile_qc_in_full", _FULL)
 def tile_qc_in_full(reads, genotypes, pixels, library):
-    raw = coded(reads)
-    matched = ambiguity_matches(raw, library)
-    return qc.tile_qc_in_full(reads, genotypes, pixels, clean_mask(pixels, 32, 32), cell_report(raw, matched, choose_guide(matched)), top=3)
+    return qc.tile_qc_in_full(reads, genotypes, pixels, clean_mask(pixels, 32, 32), cell_report(coded(reads), library), top=3)
 
 
 def _recovery(prefix: str, source: str) -> str:
