@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -226,32 +227,95 @@ def outline_measures(mask: DataFrame) -> DataFrame:
     return perimeters(mask).join(solidities(mask), CELL)
 
 
+def _cooccurrence(cell: np.ndarray, i: np.ndarray, j: np.ndarray, v: np.ndarray, distances: tuple[int, ...]) -> pd.DataFrame:
+    """Texture of whole cells, numbered by ``cell``: a row for each cell and distance at which it has a pair of pixels."""
+    top = np.zeros(cell.max() + 1, v.dtype)
+    np.maximum.at(top, cell, v)
+    v = np.floor(v * 255.0 / top[cell])
+    cell, i, j, v = (x[(v > 0) & ~(np.isnan(i) | np.isnan(j))].astype(np.int64) for x in (cell, i, j, v))
+    if not len(cell):
+        return pd.DataFrame()
+    # one number for each place of each cell; a border keeps what is shifted over an edge from the next row
+    far = max(distances)
+    for x in (i, j):
+        low = np.full(len(top), x.max())
+        np.minimum.at(low, cell, x)
+        x += far - low[cell]
+    height, width = int(i.max()) + far + 1, int(j.max()) + far + 1
+    at = (cell * height + i) * width + j
+    order = np.argsort(at, kind="stable")
+    cell, at, v = cell[order], at[order], v[order]
+    out = []
+    for d in distances:
+        ways = []
+        for step in (d, d * width, d * width + d, d * width - d):
+            # a place with several pixels meets all of them
+            low, high = np.searchsorted(at, at + step), np.searchsorted(at, at + step, side="right")
+            n = high - low
+            one = np.repeat(np.arange(len(at)), n)
+            two = np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            if len(one):
+                ways.append(_measures(cell[one], v[one], v[two]))
+        if ways:
+            out.append(pd.concat(ways).groupby("n", as_index=False).mean().assign(d=d))
+    return pd.concat(out) if out else pd.DataFrame()
+
+
+def _measures(cell: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """Measures of the symmetric co-occurrence of values 1 to 255 in pairs of pixels, by cell ``n``; the correlation of equal values is NaN."""
+    keys, count = np.unique(np.concatenate([(cell * 256 + a) * 256 + b, (cell * 256 + b) * 256 + a]), return_counts=True)
+    a, b = (keys >> 8) & 255, keys & 255
+    n, own = np.unique(keys >> 16, return_inverse=True)
+    total = lambda x: np.bincount(own, weights=x, minlength=len(n))
+    every = total(count)
+    p, mean = count / every[own], total(count * a) / every
+    gap, da, db = a - b, a - mean[own], b - mean[own]
+    spread = total(p * da * da)
+    with np.errstate(invalid="ignore"):
+        correlation = total(p * da * db) / np.where(spread > 0, spread, np.nan)
+    measures = {"contrast": total(p * gap * gap), "correlation": correlation, "asm": total(p * p), "idm": total(p / (1 + gap * gap)), "entropy": -total(p * np.log2(p))}
+    return pd.DataFrame({"n": n, **measures})
+
+
 def texture(pixels: DataFrame, channel: str, distances: tuple[int, ...] = (1, 2, 4)) -> DataFrame:
     """Co-occurrence texture of each cell for each distance, averaged over four directions: contrast, correlation, asm, idm, entropy.
 
     Values are scaled to 8 bit first, the brightest pixel of a cell to 255; those that become zero
-    don't take part. Pairs of pixels come from a join on shifted places, so a cell is never gathered in one place.
+    don't take part. Pixels are brought together by cell once and sorted there; a task reads its part in batches and holds
+    the cells of one batch, so pairs of pixels are never rows.
     """
-    raw = pixels.filter((F.col("cell") > 0) & (F.col(channel) > 0)).select(*CELL, "i", "j", F.col(channel).alias("v"))
-    scaled = F.floor(F.col("v") * 255 / F.col("top")).alias("v")
-    p = raw.withColumn("top", F.max("v").over(W.partitionBy(*CELL))).select(*CELL, "i", "j", scaled).filter("v > 0")
-    shifts = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(n).alias("way"), F.lit(a * d).alias("di"), F.lit(b * d).alias("dj")) for d in distances for n, (a, b) in enumerate(((0, 1), (1, 0), (1, 1), (1, -1)))]))
-    moved = p.select(*CELL, "i", "j", "v", shifts.alias("s")).select(*CELL, (F.col("i") + F.col("s.di")).alias("i"), (F.col("j") + F.col("s.dj")).alias("j"), "s.d", "s.way", F.col("v").alias("a"))
-    pairs = moved.join(p.withColumnRenamed("v", "b"), [*CELL, "i", "j"])
-    key = [*CELL, "d", "way"]
-    both = pairs.select(*key, F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")).select(*key, "x.a", "x.b")
-    cells = both.groupBy(*key, "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    total = cells.groupBy(*key).agg(F.sum("n").alias("all"), (F.sum(F.col("n") * F.col("a")) / F.sum("n")).alias("mean"))
-    share = cells.join(total, key).withColumn("p", F.col("n") / F.col("all"))
-    gap, da, db = F.col("a") - F.col("b"), F.col("a") - F.col("mean"), F.col("b") - F.col("mean")
-    way = share.groupBy(*key).agg(
-        F.sum(F.col("p") * gap * gap).alias("contrast"),
-        (F.sum(F.col("p") * da * db) / F.nullif(F.sum(F.col("p") * da * da), F.lit(0.0))).alias("correlation"),
-        F.sum(F.col("p") * F.col("p")).alias("asm"),
-        F.sum(F.col("p") / (1 + gap * gap)).alias("idm"),
-        (-F.sum(F.col("p") * F.log2("p"))).alias("entropy"),
-    )
-    return way.groupBy(*CELL, "d").agg(*[F.round(F.avg(c), 6).alias(c) for c in ("contrast", "correlation", "asm", "idm", "entropy")])
+    measures = ("contrast", "correlation", "asm", "idm", "entropy")
+
+    def whole_cells(batches):
+        """The batches cut between cells; a cell may go on over many of them."""
+        held: list = []
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            last = pdf[CELL].iloc[-1]
+            start = len(pdf) - int((pdf[CELL] == last).all(axis=1).sum())
+            if held and (start or not (held[-1][CELL].iloc[-1] == last).all()):
+                yield pd.concat([*held, pdf[:start]])
+                held = []
+            elif start:
+                yield pdf[:start]
+            held.append(pdf[start:])
+        if held:
+            yield pd.concat(held)
+
+    def work(batches):
+        for pdf in whole_cells(batches):
+            new = (pdf[CELL].to_numpy()[1:] != pdf[CELL].to_numpy()[:-1]).any(axis=1)
+            cell = np.concatenate([[0], np.cumsum(new)])
+            out = _cooccurrence(cell, *[pdf[c].to_numpy() for c in "ijv"], distances)
+            if len(out):
+                yield pdf[CELL].iloc[np.searchsorted(cell, out["n"])].assign(**{c: out[c].to_numpy() for c in ("d", *measures)})
+
+    raw = pixels.filter((F.col("cell") > 0) & (F.col(channel) > 0)).select(*CELL, "i", "j", F.col(channel).alias("v")).dropna(subset=TILE)
+    placed = raw.repartition(*CELL).sortWithinPartitions(*CELL)
+    kinds = ", ".join([f"{c} {raw.schema[c].dataType.simpleString()}" for c in CELL] + ["d int"] + [f"{c} double" for c in measures])
+    found = placed.mapInPandas(work, kinds)
+    return found.select(*CELL, "d", *[F.round(F.nanvl(c, F.lit(None)), 6).alias(c) for c in measures])
 
 
 def normalized(values: DataFrame, high: float = 0.995, low: float | None = None, scale: float = 1.0) -> DataFrame:

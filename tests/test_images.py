@@ -188,3 +188,45 @@ def test_iterative_matching_finds_the_transform(spark):
     assert np.sqrt((off**2).mean()) < 4 and off.max() < 10
     fit = found.first()
     assert abs(fit.scale_x - 4) < 0.02 and abs(fit.scale_y - 4) < 0.02 and abs(abs(fit.theta) - 0.05) < 0.002
+
+
+def test_texture_holds_many_cells_of_any_size_without_a_row_for_each_pair(spark):
+    rng = np.random.default_rng(2)
+    # cells over one another's border and of very different size, two pixels in one place, one cell over many batches
+    rows = [(w, 1, int(i), int(j), 1 + int(i) // 7 % 3, int(v)) for w in (1, 2) for i, j, v in zip(*np.nonzero(rng.random((40, 41)) < 0.7), rng.integers(0, 256, 2000), strict=False)]
+    rows += [(3, 1, i, j, 5, int(v)) for (i, j), v in zip(np.ndindex(60, 60), rng.integers(1, 4, 3600), strict=True)] + [(3, 2, 0, 0, 1, 9), (3, 2, 0, 1, 1, 9), (3, 2, 0, 1, 1, 4)]
+    px = spark.createDataFrame([(*r[:5], 0, r[5]) for r in rows], "well long, tile long, i long, j long, cell long, nucleus long, v long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        plan = of.texture(px, "v")
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r.well, r.tile, r.cell, r.d): (r.contrast, r.correlation, r.asm, r.idm, r.entropy) for r in plan.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "Generate" not in text and "Join" not in text
+
+    cells, want = {}, {}
+    for w, t, i, j, c, v in rows:
+        cells.setdefault((w, t, c), []).append((i, j, v))
+    for key, own in cells.items():
+        top, places = max(v for *_, v in own), {}
+        for i, j, v in own:
+            if v and v * 255 // top:
+                places.setdefault((i, j), []).append(v * 255 // top)
+        for d in (1, 2, 4):
+            ways = []
+            for di, dj in ((0, d), (d, 0), (d, d), (d, -d)):
+                pairs = [(a, b) for (i, j), vs in places.items() for a in vs for b in places.get((i + di, j + dj), [])]
+                if not pairs:
+                    continue
+                both, n = np.unique(np.array(pairs + [(b, a) for a, b in pairs], float), axis=0, return_counts=True)
+                (a, b), p = both.T, n / n.sum()
+                m = (p * a).sum()
+                spread = (p * (a - m) ** 2).sum()
+                ways.append([(p * (a - b) ** 2).sum(), (p * (a - m) * (b - m)).sum() / spread if spread else np.nan, (p * p).sum(), (p / (1 + (a - b) ** 2)).sum(), -(p * np.log2(p)).sum()])
+            if ways:
+                want[*key, d] = [None if np.isnan(x).all() else np.nanmean(x) for x in np.array(ways).T]
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1.01e-6)
