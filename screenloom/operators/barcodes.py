@@ -111,14 +111,18 @@ def assignment_summary(assigned: DataFrame) -> DataFrame:
     )
 
 
-def _library_rows(barcodes: DataFrame, library: DataFrame, cycles: int) -> DataFrame:
-    """Distinct ``barcode`` with each library row that agrees with all its letters: barcode, lib_idx, sgrna, sgrna_seq.
+#: The certain letters of a barcode, with its pattern of others.
+_KEY = ("barcode", "KMN", "---")
+
+
+def _under_patterns(barcodes: DataFrame, library: DataFrame, cycles: int) -> tuple[DataFrame, Column]:
+    """The library with ``key`` under each pattern that occurs in ``barcodes``, and whether rows of one key agree in all letters.
 
     For each pattern that letters other than A, C, G, T form in some barcode the library gets a key of the other letters, which
     turns the wildcard match into an equi-join. The patterns that occur are looked up first, so that the library is made ready for no others.
     """
-    coded = barcodes.withColumn("mask", F.translate("barcode", "ACGTKMN", "1111000")).withColumn("key", F.translate("barcode", "KMN", "---"))
-    occurring = [r["mask"] for r in coded.filter(F.length("mask") == cycles).select("mask").distinct().collect()]
+    mask = F.translate("barcode", "ACGTKMN", "1111000")
+    occurring = [r["mask"] for r in barcodes.select(mask.alias("mask")).filter(F.length("mask") == cycles).distinct().collect()]
     short = library.select("lib_idx", "sgrna", F.substring("sgrna_seq", 1, cycles).alias("sgrna_seq"))
     # the letters that a mask leaves, cut out in a few pieces
     cut = lambda m: F.concat(*[F.substring("sgrna_seq", x.start() + 1, len(x[0])) if x[0][0] == "1" else F.lit("-" * len(x[0])) for x in re.finditer("1+|0+", m)])
@@ -126,7 +130,7 @@ def _library_rows(barcodes: DataFrame, library: DataFrame, cycles: int) -> DataF
     # a key shows its pattern; under all patterns a small library is too large to be sent to all tasks
     keyed = short.filter(F.length("sgrna_seq") == cycles).select("*", F.explode(keys).alias("key")).hint("merge")
     fits = F.zip_with(F.split("barcode", ""), F.split("sgrna_seq", ""), lambda r, b: ((r != "K") | b.isin("G", "T")) & ((r != "M") | b.isin("A", "C")))
-    return coded.join(keyed, "key").filter(F.forall(fits, lambda x: x)).drop("mask", "key")
+    return keyed, F.forall(fits, lambda x: x)
 
 
 def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
@@ -137,7 +141,9 @@ def ambiguity_matches(reads: DataFrame, library: DataFrame, most: int = 3, cycle
     to hide ``most`` of ``cycles`` places (299 for 3 of 12). The distinct barcodes are written once.
     """
     kept = reads.withColumn("mismatch", uncertain(F.col("barcode"))).filter(F.col("mismatch") <= most)
-    return kept.join(_library_rows(saved(kept.select("barcode").distinct(), "barcodes"), library, cycles), "barcode")
+    distinct = saved(kept.select("barcode").distinct(), "barcodes")
+    keyed, fits = _under_patterns(distinct, library, cycles)
+    return kept.join(distinct.withColumn("key", F.translate(*_KEY)).join(keyed, "key").filter(fits).drop("key"), "barcode")
 
 
 def popular_guide(matched: DataFrame) -> DataFrame:
@@ -164,65 +170,76 @@ def choose_guide(matched: DataFrame, mode: str = "popular") -> DataFrame:
     return ranked.withColumn("tied", F.count(F.lit(1)).over(cell)).filter("tied = 1").select(*CELL, "sgrna", "barcodes", "mismatch", "top_reads")
 
 
-def cell_barcodes(reads: DataFrame) -> DataFrame:
-    """The barcodes of each cell with their ``rows``, their distinct ``reads``, and as ``shared`` those of these reads that have other barcodes in the cell too.
+def cell_barcodes(reads: DataFrame, made: dict[str, Column] | None = None, further: list[str] | None = None, sums: dict[str, Column] | None = None) -> DataFrame:
+    """The barcodes of each cell (and values of ``further``) with their ``rows``, their distinct ``reads`` and the ``sums`` over their rows.
 
-    Reads are brought together by cell once; all after that is within tasks. With ``shared`` the distinct reads of any
-    choice of a cell's barcodes can be counted without the reads.
+    A read that has several barcodes in the cell is named as ``sharer`` and has rows of its own, so the distinct reads of
+    any choice of barcodes can be counted without the others. Reads are brought together by cell once; all after that is within
+    tasks, where the columns ``made`` are worked out first.
     """
-    placed = reads.select(*CELL, "read", "barcode").repartition(*CELL)
-    per = placed.groupBy(*CELL, "read", "barcode").agg(F.count(F.lit(1)).alias("n"))
-    others = F.count(F.lit(1)).over(W.partitionBy(*CELL, "read")) > 1
-    per = per.withColumn("shared", F.when(others, F.col("read")))
-    return per.groupBy(*CELL, "barcode").agg(F.sum("n").alias("rows"), F.count("read").alias("reads"), F.collect_list("shared").alias("shared"))
+    read = [*CELL, "read"]
+    single = F.min("barcode").over(W.partitionBy(*read)).eqNullSafe(F.max("barcode").over(W.partitionBy(*read)))
+    again = F.row_number().over(W.partitionBy(*read, "barcode").orderBy("barcode")) > 1
+    placed = reads.repartition(*CELL).withColumns(made or {})
+    marked = placed.withColumn("again", again).withColumn("sharer", F.when(~single, F.col("read")))
+    return marked.groupBy(*CELL, "barcode", *(further or []), "sharer").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("read").isNotNull() & ~F.col("again")).alias("reads"), *[c.alias(n) for n, c in (sums or {}).items()]
+    )
 
 
 def cell_report(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
     """Per cell: whether it was assigned (as :func:`choose_guide` of :func:`ambiguity_matches` does), raw reads, distinct raw barcodes, distinct matched barcodes, reads too uncertain, reads without a match.
 
-    Reads are read once: they are brought down to a row for each barcode of a cell, which is written. These rows meet the guides of
-    their barcode as one array and go back to their cell, where guides are chosen and reads counted within one task.
+    Reads are read once: they are brought down to the barcodes of each cell, which are written.
     """
-    cells = saved(cell_barcodes(reads), "cells").withColumn("mismatch", uncertain(F.col("barcode")))
-    found = _library_rows(saved(cells.filter(F.col("mismatch") <= most).select("barcode").distinct(), "barcodes"), library, cycles)
-    guides = found.groupBy("barcode").agg(F.collect_set(F.struct("sgrna")).alias("guides"))
-    return _report(cells.join(guides, "barcode", "left"), most)
+    return report_of_barcodes(saved(cell_barcodes(reads.select(*CELL, "read", "barcode")), "cells"), library, most, cycles)
+
 
+def report_of_barcodes(cells: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
+    """The report from stored :func:`cell_barcodes`.
+
+    These meet the library under the patterns of uncertain letters. All that agrees with a barcode is made one array there, so
+    that a barcode goes back to its cell as one row, and guides are chosen and reads counted within one task.
+    """
+    cells = cells.select(*CELL, "barcode", "rows", "reads", "sharer").withColumn("mismatch", uncertain(F.col("barcode")))
+    clear = F.coalesce(F.col("mismatch") <= most, F.lit(False))
+    keyed, fits = _under_patterns(cells.filter(clear), library, cycles)
+    # the rows of a barcode have one key, so from here to the next exchange they are in one task
+    own = cells.filter(clear).drop("mismatch").repartition(F.translate(*_KEY)).withColumn("key", F.translate(*_KEY))
+    own = own.groupBy("key", *CELL, "barcode", "sharer").agg(F.sum("rows").alias("rows"), F.sum("reads").alias("reads"))
+    found = own.join(keyed.select(F.col("key").alias("k"), "sgrna", "sgrna_seq"), (F.col("key") == F.col("k")) & fits, "left")
+    each = found.groupBy("key", *CELL, "barcode").agg(
+        F.collect_set(F.struct("sharer", "rows", "reads")).alias("parts"), F.collect_set(F.when(F.col("k").isNotNull(), F.struct("sgrna"))).alias("guides")
+    )
+    total = lambda of: F.aggregate("parts", F.lit(0).cast("long"), lambda n, x: n + of(x))
+    sharers = F.filter(F.transform("parts", lambda x: x["sharer"]), lambda x: x.isNotNull())
+    rows = total(lambda x: x["rows"]).alias("rows"), total(lambda x: F.when(x["sharer"].isNull(), x["reads"]).otherwise(0)).alias("alone")
+    each = each.select(*CELL, uncertain(F.col("barcode")).alias("mismatch"), *rows, F.when(F.size(sharers) > 0, sharers).alias("sharers"), F.col("guides.sgrna").alias("guides"))
+    unclear = cells.filter(~clear).groupBy(*CELL, "barcode", "mismatch").agg(F.sum("rows").alias("rows"))
+    unclear = unclear.select(*CELL, "mismatch", "rows", F.lit(0).cast("long").alias("alone"))
+    placed = each.unionByName(unclear, allowMissingColumns=True).repartition(*CELL)
 
-def _report(cells: DataFrame, most: int) -> DataFrame:
-    """The report from the barcodes of each cell with ``mismatch`` and ``guides``."""
-    placed = cells.select(*CELL, "rows", "reads", "shared", F.col("barcode").isNotNull().alias("known"), "mismatch", "guides").repartition(*CELL)
-    each = placed.select("*", F.posexplode_outer("guides").alias("pos", "guide")).drop("guides")
     # a barcode with many guides has many rows, of which one counts for itself
+    placed = placed.select("*", F.posexplode_outer("guides").alias("pos", "sgrna"))
     first, matched = F.coalesce("pos", F.lit(0)) == 0, F.col("pos").isNotNull()
-    per = each.groupBy(*CELL, matched.alias("matched"), F.col("guide.sgrna").alias("sgrna")).agg(
+    votes = placed.groupBy(*CELL, matched.alias("matched"), "sgrna").agg(
         F.count(F.lit(1)).alias("barcodes"),
         F.min("mismatch").alias("mismatch"),
         F.sum(F.when(first, F.col("rows")).otherwise(0)).alias("raw_reads"),
-        F.count_if(first & F.col("known")).alias("raw_unique"),
+        F.count_if(first & F.col("mismatch").isNotNull()).alias("raw_unique"),
         F.sum(F.when(first & (F.col("mismatch") > most), F.col("rows")).otherwise(0)).alias("too_uncertain"),
         F.count_if(first & matched).alias("processed_unique"),
-        F.sum(F.when(first & matched, F.col("reads") - F.size("shared")).otherwise(0)).alias("alone"),
-        F.flatten(F.collect_list(F.when(first & matched & (F.size("shared") > 0), F.col("shared")))).alias("shared"),
+        F.sum(F.when(first & matched, F.col("alone")).otherwise(0)).alias("alone"),
+        F.flatten(F.collect_list(F.when(first & matched, F.col("sharers")))).alias("sharers"),
     )
     rank = F.rank().over(W.partitionBy(*CELL).orderBy(F.desc("matched"), F.desc("barcodes"), "mismatch"))
-    top = F.col("matched") & (rank == 1)
-    sums = ("raw_reads", "raw_unique", "processed_unique", "too_uncertain", "alone")
-    out = per.withColumn("top", top).groupBy(*CELL).agg(
-        (F.count_if("top") == 1).alias("single"),
-        F.count_if(F.col("top") & F.col("sgrna").isNotNull()).alias("named"),
-        *[F.sum(c).alias(c) for c in sums],
-        F.size(F.array_distinct(F.flatten(F.collect_list("shared")))).alias("together"),
-    )
-    return out.select(
-        *CELL,
-        (F.col("single") & (F.col("named") == 1)).alias("assigned"),
-        "raw_reads",
-        "raw_unique",
-        "processed_unique",
-        "too_uncertain",
-        (F.col("raw_reads") - F.col("too_uncertain") - F.col("alone") - F.col("together")).alias("unmatched"),
+    out = votes.withColumn("top", F.col("matched") & (rank == 1)).groupBy(*CELL).agg(
+        ((F.count_if("top") == 1) & (F.count_if(F.col("top") & F.col("sgrna").isNotNull()) == 1)).alias("assigned"),
+        *[F.sum(c).alias(c) for c in ("raw_reads", "raw_unique", "processed_unique", "too_uncertain", "alone")],
+        F.size(F.array_distinct(F.flatten(F.collect_list("sharers")))).alias("together"),
     )
+    unmatched = F.col("raw_reads") - F.col("too_uncertain") - F.col("alone") - F.col("together")
+    return out.select(*CELL, "assigned", "raw_reads", "raw_unique", "processed_unique", "too_uncertain", unmatched.alias("unmatched"))
 
 
 def in_library(reads: DataFrame, library: DataFrame) -> DataFrame:

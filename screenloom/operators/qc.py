@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from screenloom.functions.bases import gene, intron, quality_stats, targeting
-from screenloom.operators.barcodes import CELL
+from screenloom.operators.barcodes import CELL, cell_barcodes, report_of_barcodes
+from screenloom.operators.iterate import saved
 
 TILE = ["well", "tile"]
 
@@ -56,6 +57,11 @@ def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int
         F.countDistinct(F.when(F.col("cell") > 0, F.col("cell"))).alias("cells_with_reads"),
         *[c.alias(n) for n, c in {**letters, **quality}.items()],
     )
+    return _with_mask_and_guides(own, genotypes, mask, top)
+
+
+def _with_mask_and_guides(own: DataFrame, genotypes: DataFrame, mask: DataFrame, top: int) -> DataFrame:
+    """Rows of tiles with cells and nuclei in the mask, and with the number of guides, of cells with a guide and the ``top`` guides."""
     seen = mask.groupBy(*TILE).agg(F.countDistinct(F.when(F.col("cell") > 0, F.col("cell"))).alias("cells"), F.countDistinct(F.when(F.col("nucleus") > 0, F.col("nucleus"))).alias("nuclei"))
     guides = genotypes.groupBy(*TILE).agg(F.countDistinct("sgrna").alias("unique_guides"), F.count(F.lit(1)).alias("assigned_cells"))
     at = lambda k, c: F.max(F.when(F.col("rank") == k, F.col(c)))
@@ -64,34 +70,48 @@ def tile_qc(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cycles: int
     return own.join(seen, TILE, "left").join(guides, TILE, "left").join(first, TILE, "left")
 
 
-def cells_by_reads(reads: DataFrame, top: int = 5) -> DataFrame:
-    """For each tile the cells with 1 to ``top`` - 1 reads, and with ``top`` or more; the same of their distinct barcodes."""
-    per = reads.filter("cell > 0").groupBy(*CELL, "barcode").agg(F.count(F.lit(1)).alias("n"))
-    per = per.groupBy(*CELL).agg(F.sum("n").alias("reads"), F.count(F.lit(1)).alias("barcodes"))
-    number = lambda c, k: F.count_if(F.col(c) == k if k < top else F.col(c) >= k)
-    return per.groupBy(*TILE).agg(
-        *[number("reads", k).alias(f"cells_with_{k}_reads") for k in range(1, top + 1)], *[number("barcodes", k).alias(f"cells_with_{k}_barcodes") for k in range(1, top + 1)]
-    )
-
-
-def tile_qc_in_full(reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cleaned: DataFrame, report: DataFrame, cycles: int = 12, top: int = 5) -> DataFrame:
+def tile_qc_in_full(
+    reads: DataFrame, genotypes: DataFrame, mask: DataFrame, cleaned: DataFrame, library: DataFrame, code: Column, cycles: int = 12, top: int = 5, most: int = 3
+) -> DataFrame:
     """The whole quality row of each tile that has reads.
 
-    Besides :func:`tile_qc`: nuclei and cells before (``mask``) and after cleaning (``cleaned``), letters in all; from the cell
-    report the cells for which a match was tried, those matched, those with reads without a match and those with reads too
-    uncertain; and how many cells have so many reads and barcodes. What a tile lacks counts 0, guides it lacks are null.
+    Besides :func:`tile_qc`: nuclei and cells before (``mask``) and after cleaning (``cleaned``), letters in all; the
+    cells for which a match of their barcodes under ``code`` was tried, those matched, those with reads without a match and those with reads too
+    uncertain; and the cells with 1 to ``top`` - 1 reads, and with ``top`` or more; the same of their distinct barcodes. What a tile lacks counts 0, guides it lacks are null.
+
+    Reads are read once and brought down to the barcodes of each cell with the sums of their qualities, which are written.
     """
-    before = tile_qc(reads, genotypes, mask, cycles, top).withColumnsRenamed({"cells": "cells_before", "nuclei": "nuclei_before"})
+    quality = {f"{of}_{k + 1}": f(F.col("q")[k]) for of, f in (("q", F.sum), ("held", F.count)) for k in range(cycles)}
+    made = {"raw": F.col("barcode"), "barcode": F.when(F.col("cell") > 0, code)}
+    # a barcode that is read as several codes counts where it comes first
+    new = F.row_number().over(W.partitionBy(*CELL, "raw").orderBy("barcode", "sharer")) == 1
+    barcodes = cell_barcodes(reads.select(*CELL, "read", "barcode", "q"), made, ["raw"], quality)
+    barcodes = saved(barcodes.withColumn("new", new & F.col("raw").isNotNull()), "cells")
+    letters = {f"n_{b.lower()}": F.sum(F.length(F.regexp_replace("raw", f"[^{b}]", "")) * F.col("rows")) for b in "ACGTKMN"}
+    cells = barcodes.groupBy(*CELL).agg(
+        F.sum("rows").alias("reads"), F.count_if("new").alias("barcodes"), *[c.alias(n) for n, c in letters.items()], *[F.sum(c).alias(c) for c in quality]
+    )
+    inside = F.col("cell") > 0
+    number = lambda c, k: F.count_if(inside & (F.col(c) == k if k < top else F.col(c) >= k)).alias(f"cells_with_{k}_{c}")
+    own = cells.groupBy(*TILE).agg(
+        F.sum("reads").alias("peaks"),
+        F.sum(F.when(F.col("cell") == 0, F.col("reads")).otherwise(0)).alias("peaks_outside"),
+        F.count_if(inside).alias("cells_with_reads"),
+        *[F.sum(c).alias(c) for c in letters],
+        *[F.round(F.sum(f"q_{k}") / F.sum(f"held_{k}"), 3).alias(f"q_{k}") for k in range(1, cycles + 1)],
+        *[number(c, k) for c in ("reads", "barcodes") for k in range(1, top + 1)],
+    )
+    before = _with_mask_and_guides(own, genotypes, mask, top).withColumnsRenamed({"cells": "cells_before", "nuclei": "nuclei_before"})
     after = cleaned.groupBy(*TILE).agg(
         F.countDistinct(F.when(F.col("cell") > 0, F.col("cell"))).alias("cells"), F.countDistinct(F.when(F.col("nucleus") > 0, F.col("nucleus"))).alias("nuclei")
     )
-    tried = report.groupBy(*TILE).agg(
+    tried = report_of_barcodes(barcodes.filter(inside), library, most, cycles).groupBy(*TILE).agg(
         F.count(F.lit(1)).alias("cells_tried"), F.count_if("assigned").alias("cells_matched"), F.count_if(F.col("unmatched") > 0).alias("cells_unmatched"), F.count_if(F.col("too_uncertain") > 0).alias("cells_uncertain")
     )
-    letters = F.lit(0).cast("long")
-    for b in "acgtkmn":
-        letters += F.col(f"n_{b}")
-    out = before.withColumn("nucleotides", letters).join(after, TILE, "left").join(tried, TILE, "left").join(cells_by_reads(reads, top), TILE, "left")
+    nucleotides = F.lit(0).cast("long")
+    for b in letters:
+        nucleotides += F.col(b)
+    out = before.withColumn("nucleotides", nucleotides).join(after, TILE, "left").join(tried, TILE, "left")
     counts = [c for c, kind in out.dtypes if kind == "bigint" and c not in TILE]
     return out.na.fill(0, counts)
 

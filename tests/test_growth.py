@@ -150,3 +150,31 @@ def test_cell_report_reads_reads_once(spark):
     report = g.cell_report(many, whole)
     assert "Range (" not in report._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(r)[3:] for r in report.collect()} == {(True, 8, 1, 1, 0, 0)}
+
+
+def test_full_tile_report_reads_reads_and_pixels_once(spark):
+    from pyspark.sql import functions as F
+
+    from screenloom.plans import quality as pq
+
+    long = lambda x: F.lit(x).cast("long") if isinstance(x, int) else x.cast("long")
+    # 60 reads: cells 0 to 4; a barcode whose weak base makes two codes of it; one id under both codes of cell 1
+    n = F.col("id")
+    weak = F.when(n % 2 == 0, 0.05).otherwise(0.5)
+    reads = spark.range(60).select(
+        long(1).alias("well"), long(1 + F.floor(n / 30)).alias("tile"), long(n % 5).alias("cell"), F.when(n % 10 == 6, n - 5).otherwise(n).cast("string").alias("read"),
+        F.when(n % 3 == 0, "ACGTACGTACGT").otherwise("CCCCCCCCCCCC").alias("barcode"), F.concat(F.array(weak), F.array_repeat(F.lit(0.25), 11)).alias("q"),
+    )
+    library = spark.createDataFrame([(0, "a", "ACGTACGTACGT"), (1, "b", "CCCCCCCCCCCC"), (2, "c", "GCGTACGTACGT")], "lib_idx long, sgrna string, sgrna_seq string")
+    genotypes = spark.createDataFrame([(1, 1, 1, "a"), (1, 1, 2, "b"), (1, 1, 3, "b")], "well long, tile long, cell long, sgrna string")
+    pixels = spark.range(1024).select(long(1).alias("well"), long(1).alias("tile"), F.floor(n / 32).alias("i"), (n % 32).alias("j"), (n % 2).alias("cell"), long(0).alias("nucleus"))
+    got = pq.tile_qc_in_full(reads, genotypes, pixels, library)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in text  # what was written, only
+    one = {r.tile: r for r in got.collect()}[1]
+    assert (one.peaks, one.peaks_outside, one.cells_with_reads, one.nucleotides, one.q_1, one.q_2) == (30, 6, 4, 360, 0.275, 0.25)
+    assert (one.cells_with_3_reads, one.cells_with_2_barcodes, one.cells_with_1_barcodes, one.cells_with_3_barcodes) == (4, 4, 0, 0)
+    assert (one.unique_guides, one.assigned_cells, one.top_1, one.top_1_n, one.top_2, one.top_3, one.top_3_n) == (2, 3, "b", 2, "a", None, 0)
+    assert (one.cells_before, one.nuclei_before, one.cells, one.nuclei) == (1, 0, 0, 0)
+    # cell 1 holds 1, 6, 11, 16, 21, 26: 6, 16 and 26 have the ids of 1, 11 and 21, so of its 6 rows 3 reads match
+    assert (one.cells_tried, one.cells_unmatched, one.cells_uncertain) == (4, 1, 0)
