@@ -192,7 +192,7 @@ def cell_report(reads: DataFrame, library: DataFrame, most: int = 3, cycles: int
 
     Reads are read once: they are brought down to the barcodes of each cell, which are written.
     """
-    return report_of_barcodes(saved(cell_barcodes(reads.select(*CELL, "read", "barcode")), "cells"), library, most, cycles)
+    return report_of_barcodes(saved(cell_barcodes(reads.select(*CELL, "read", "barcode")), "cells", compression="zstd"), library, most, cycles)
 
 
 def report_of_barcodes(cells: DataFrame, library: DataFrame, most: int = 3, cycles: int = 12) -> DataFrame:
@@ -213,10 +213,11 @@ def report_of_barcodes(cells: DataFrame, library: DataFrame, most: int = 3, cycl
     )
     total = lambda of: F.aggregate("parts", F.lit(0).cast("long"), lambda n, x: n + of(x))
     sharers = F.filter(F.transform("parts", lambda x: x["sharer"]), lambda x: x.isNotNull())
-    rows = total(lambda x: x["rows"]).alias("rows"), total(lambda x: F.when(x["sharer"].isNull(), x["reads"]).otherwise(0)).alias("alone")
+    # rows that are no read of their own, mostly none: repeated ones and those of sharers
+    rows = total(lambda x: x["rows"]).alias("rows"), total(lambda x: x["rows"] - F.when(x["sharer"].isNull(), x["reads"]).otherwise(0)).alias("others")
     each = each.select(*CELL, uncertain(F.col("barcode")).alias("mismatch"), *rows, F.when(F.size(sharers) > 0, sharers).alias("sharers"), F.col("guides.sgrna").alias("guides"))
     unclear = cells.filter(~clear).groupBy(*CELL, "barcode", "mismatch").agg(F.sum("rows").alias("rows"))
-    unclear = unclear.select(*CELL, "mismatch", "rows", F.lit(0).cast("long").alias("alone"))
+    unclear = unclear.select(*CELL, "mismatch", "rows", F.lit(0).cast("long").alias("others"))
     placed = each.unionByName(unclear, allowMissingColumns=True).repartition(*CELL)
 
     # a barcode with many guides has many rows, of which one counts for itself
@@ -229,7 +230,7 @@ def report_of_barcodes(cells: DataFrame, library: DataFrame, most: int = 3, cycl
         F.count_if(first & F.col("mismatch").isNotNull()).alias("raw_unique"),
         F.sum(F.when(first & (F.col("mismatch") > most), F.col("rows")).otherwise(0)).alias("too_uncertain"),
         F.count_if(first & matched).alias("processed_unique"),
-        F.sum(F.when(first & matched, F.col("alone")).otherwise(0)).alias("alone"),
+        F.sum(F.when(first & matched, F.col("rows") - F.col("others")).otherwise(0)).alias("alone"),
         F.flatten(F.collect_list(F.when(first & matched, F.col("sharers")))).alias("sharers"),
     )
     rank = F.rank().over(W.partitionBy(*CELL).orderBy(F.desc("matched"), F.desc("barcodes"), "mismatch"))

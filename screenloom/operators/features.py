@@ -64,17 +64,26 @@ def relabelled(cells: DataFrame, label: str = "cell") -> DataFrame:
     return cells.withColumn("new_label", F.dense_rank().over(W.partitionBy(*TILE).orderBy(label)).cast("long"))
 
 
+def _clean(of: list[str], rows: DataFrame, mask: DataFrame, height: int, width: int, border: int) -> DataFrame:
+    """``rows`` of cells of ``mask`` that stay, with columns ``of`` and their new labels."""
+    box = mask.filter("cell > 0").groupBy(*CELL).agg(*[f(c).alias(f"{c}_{n}") for c in "ij" for n, f in (("min", F.min), ("max", F.max))])
+    inside = box.filter((F.col("i_min") >= border) & (F.col("j_min") >= border) & (F.col("i_max") < height - border) & (F.col("j_max") < width - border))
+    kept = single_nucleus_cells(nuclei_in_cells(mask)).join(inside.select(*CELL), CELL)
+    kept = relabelled(kept.select(*CELL, F.col("nucleus").alias("own")))
+    return rows.join(kept, CELL).select(*of, F.col("new_label").alias("cell"), F.when(F.col("nucleus") == F.col("own"), F.col("new_label")).otherwise(0).alias("nucleus"))
+
+
 def clean_mask(mask: DataFrame, height: int, width: int, border: int = 3) -> DataFrame:
     """The mask with only cells that have one nucleus and keep ``border`` pixels from the edge; nucleus label = new cell label.
 
     Touching cells stay apart.
     """
-    box = mask.filter("cell > 0").groupBy(*CELL).agg(*[f(c).alias(f"{c}_{n}") for c in "ij" for n, f in (("min", F.min), ("max", F.max))])
-    inside = box.filter((F.col("i_min") >= border) & (F.col("j_min") >= border) & (F.col("i_max") < height - border) & (F.col("j_max") < width - border))
-    kept = single_nucleus_cells(nuclei_in_cells(mask)).join(inside.select(*CELL), CELL)
-    kept = relabelled(kept.select(*CELL, F.col("nucleus").alias("own")))
-    out = mask.filter("cell > 0").join(kept, CELL)
-    return out.select(*TILE, "i", "j", F.col("new_label").alias("cell"), F.when(F.col("nucleus") == F.col("own"), F.col("new_label")).otherwise(0).alias("nucleus"))
+    return _clean([*TILE, "i", "j"], mask.filter("cell > 0"), mask, height, width, border)
+
+
+def clean_labels(mask: DataFrame, height: int, width: int, border: int = 3) -> DataFrame:
+    """The labels of :func:`clean_mask` without its pixels: each cell with the nucleus labels in it."""
+    return _clean(TILE, mask.filter("cell > 0").select(*CELL, "nucleus").distinct(), mask, height, width, border)
 
 
 def region_intensities(values: DataFrame, where: Column, prefix: str = "", nonzero: bool = False) -> DataFrame:

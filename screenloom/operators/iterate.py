@@ -23,11 +23,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{where.rstrip('/')}/screenloom/{uuid.uuid4().hex}-{name}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a new folder and read back."""
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written to a new folder, with options of the Parquet writer, and read back."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -75,7 +75,7 @@ def tile_qc_in_full(
 ) -> DataFrame:
     """The whole quality row of each tile that has reads.
 
-    Besides :func:`tile_qc`: nuclei and cells before (``mask``) and after cleaning (``cleaned``), letters in all; the
+    Besides :func:`tile_qc`: nuclei and cells before (``mask``) and after cleaning (``cleaned``, pixels or labels), letters in all; the
     cells for which a match of their barcodes under ``code`` was tried, those matched, those with reads without a match and those with reads too
     uncertain; and the cells with 1 to ``top`` - 1 reads, and with ``top`` or more; the same of their distinct barcodes. What a tile lacks counts 0, guides it lacks are null.
 
@@ -86,7 +86,7 @@ def tile_qc_in_full(
     # a barcode that is read as several codes counts where it comes first
     new = F.row_number().over(W.partitionBy(*CELL, "raw").orderBy("barcode", "sharer")) == 1
     barcodes = cell_barcodes(reads.select(*CELL, "read", "barcode", "q"), made, ["raw"], quality)
-    barcodes = saved(barcodes.withColumn("new", new & F.col("raw").isNotNull()), "cells")
+    barcodes = saved(barcodes.withColumn("new", new & F.col("raw").isNotNull()), "cells", compression="zstd")
     letters = {f"n_{b.lower()}": F.sum(F.length(F.regexp_replace("raw", f"[^{b}]", "")) * F.col("rows")) for b in "ACGTKMN"}
     cells = barcodes.groupBy(*CELL).agg(
         F.sum("rows").alias("reads"), F.count_if("new").alias("barcodes"), *[c.alias(n) for n, c in letters.items()], *[F.sum(c).alias(c) for c in quality]

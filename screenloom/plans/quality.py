@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from screenloom.functions.bases import gene, intron
 from screenloom.operators import qc
 from screenloom.operators.barcodes import ambiguity_matches, in_library
-from screenloom.operators.features import clean_mask
+from screenloom.operators.features import clean_labels
 from screenloom.operators.iterate import saved
 from screenloom.plans.genotyping import CELL_REPORT, CODED, code, coded
 from screenloom.plans.phenotyping import CLEAN_MASK
@@ -98,8 +98,9 @@ FROM tiles AS t LEFT JOIN clean USING (well, tile) LEFT JOIN tried USING (well,
 
 @query("q4_9_tile_qc_in_full", _FULL)
 def tile_qc_in_full(reads, genotypes, pixels, library):
-    mask = saved(pixels.select("well", "tile", "i", "j", "cell", "nucleus"), "mask")
-    return qc.tile_qc_in_full(reads, genotypes, mask, clean_mask(mask, 32, 32), library, code(), top=3)
+    # pixels of a tile lie together, so that what is counted of its cells comes down within tasks
+    mask = saved(pixels.select("well", "tile", "i", "j", "cell", "nucleus").repartition("well", "tile"), "mask", compression="zstd")
+    return qc.tile_qc_in_full(reads, genotypes, mask, clean_labels(mask, 32, 32), library, code(), top=3)
 
 
 def _recovery(prefix: str, source: str) -> str:
